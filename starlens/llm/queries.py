@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license, packing, quality, sharding
+from . import decontam, license, packing, quality, sharding, substring
 from .common import table
 
 DOCS = "documents"
@@ -27,6 +27,11 @@ def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, DOCS))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.remove_repeats(table(spark, sf_dir, DOCS), carry=["doc_id"])
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +79,18 @@ from d left join cov using (doc_id) left join it using (doc_id)
 """
 
 
+def _op6_sql() -> str:
+    return r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+w as (select doc_id, i, array_to_string(ws[i : i + 12], ' ') as g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) as i from d)),
+f as (select doc_id, i from (select doc_id, i, min(doc_id) over (partition by g) as m from w) where m < doc_id),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as p from f),
+x as (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as p from d),
+k as (select doc_id, string_agg(w, ' ' order by p) as kept, count(*) as n from (select * from x anti join gone using (doc_id, p)) group by doc_id)
+select d.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join k using (doc_id)
+"""
+
+
 def _op10_sql() -> str:
     known = ", ".join(f"('{k}', '{v}')" for k, v in license.SENTENCES.items())
     rules = ", ".join(f"('{name}', '{kind}', '{',([a-z0-9_]+,)*?'.join(rule)}')" for name, (kind, rs) in license.LICENCES.items() for rule in rs)
@@ -90,5 +107,5 @@ from documents d left join (select doc_id, n from ids where view = 1) i using (d
 """
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op9_packing, op10_license_scan)}
-ORACLES = {"op2_quality_rules": _op2_sql(), "op3_benchmark_decontamination": _op3_sql(), "op10_license_scan": _op10_sql()}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op6_substring_dedup, op9_packing, op10_license_scan)}
+ORACLES = {"op2_quality_rules": _op2_sql(), "op3_benchmark_decontamination": _op3_sql(), "op6_substring_dedup": _op6_sql(), "op10_license_scan": _op10_sql()}

@@ -8,6 +8,7 @@ thousand whatever the input, are then dealt to shards in order.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ def assign(docs: DataFrame, shards: int = 16, ranges_per_shard: int = 256, sampl
     n_ranges = shards * ranges_per_shard
     total = F.broadcast(rows.agg(F.sum("size").alias("total")))
     drawn = rows.crossJoin(total).filter(_uniform("key", "doc_id") < _c("size") * float(n_ranges * sample_per_range) / _c("total"))
-    quantiles = F.array(*(F.lit(k / n_ranges) for k in range(1, n_ranges)))
+    quantiles = F.lit(np.arange(1, n_ranges) / n_ranges)  # numpy only to write the literal
     bounds = drawn.agg(F.array_sort(F.array_distinct(F.percentile_approx("key", quantiles, 20 * n_ranges))).alias("bounds"), F.first("total").alias("total"))
     ranged = rows.crossJoin(F.broadcast(bounds)).withColumn("range", _range_of(_c("key"), F.coalesce(_c("bounds"), F.array().cast("array<long>")), n_ranges))
     target = F.greatest(_c("total") / F.lit(n_ranges), F.lit(1.0))
