@@ -59,6 +59,68 @@ def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
             at = to
 
 
+class Words:
+    """The words of some texts in one buffer: one space between words, a line break between texts.
+
+    Words are runs of anything but ASCII white space. Texts without a word are left out of the buffer and have
+    size 0. Word hashes depend on the bytes alone, so they are the same in every process.
+    """
+
+    def __init__(self, texts: Iterable[bytes | None], lower: bool = False, split: bool = True) -> None:
+        if split:
+            texts = [b" ".join(((t or b"").translate(LOWER) if lower else (t or b"")).split()) for t in texts]
+        else:
+            texts = list(texts)
+        self.sizes = np.asarray([t.count(b" ") + 1 if t else 0 for t in texts], np.int64)
+        self.buffer = b"\n".join(t for t in texts if t)
+        raw = np.frombuffer(self.buffer, np.uint8)
+        gaps = np.flatnonzero((raw == 32) | (raw == 10))
+        self.starts = np.concatenate([[0], gaps + 1]) if len(raw) else np.zeros(0, np.int64)
+        self.ends = np.concatenate([gaps, [len(raw)]]) if len(raw) else np.zeros(0, np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        #: the text of each word
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.pos = np.arange(len(self.starts)) - self.first[self.owner] if len(self.starts) else np.zeros(0, np.int64)
+
+    def hashes(self) -> np.ndarray:
+        """For each word the sum of its bytes, each times a number that depends on its place in the word."""
+        raw = np.frombuffer(self.buffer, np.uint8)
+        if not len(raw):
+            return np.zeros(0, np.uint64)
+        sizes = self.ends - self.starts
+        place = np.arange(len(raw), dtype=np.int32)
+        place -= np.repeat(self.starts.astype(np.int32), np.minimum(sizes + 1, len(raw) - self.starts))
+        factors = mixed(np.arange(1, int(sizes.max()) + 2, dtype=np.uint64)) | np.uint64(1)
+        v = factors[place]
+        v *= raw.astype(np.uint64) + np.uint64(1)
+        v[self.ends[:-1]] = 0
+        return mixed(np.add.reduceat(v, self.starts) + sizes.astype(np.uint64))
+
+    def span(self, begin: int, end: int) -> bytes:
+        """The words begin to end - 1 (of one text), joined by one space."""
+        return self.buffer[self.starts[begin] : self.ends[end - 1]]
+
+
+def rolled(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash for every n consecutive numbers, by doubling; entry i covers i to i+n-1 (the last n-1 entries are void)."""
+    out, size, have, at = None, 1, h, 0
+    while True:
+        if n & size:
+            if out is None:
+                out = have.copy()
+            else:
+                shifted = np.zeros_like(have)
+                shifted[: len(have) - at] = have[at:]
+                out = out * np.uint64(0x9E3779B97F4A7C15) + mixed(shifted)
+            at += size
+        size *= 2
+        if size > n:
+            return mixed(out)
+        nxt = np.zeros_like(have)
+        nxt[: -(size // 2) or None] = have[size // 2 :] if len(have) > size // 2 else 0
+        have = mixed(have) * np.uint64(0xC2B2AE3D27D4EB4F) + nxt
+
+
 class WordIds:
     """Numbers words in the order of their first appearance; hashes are the same in every process."""
 

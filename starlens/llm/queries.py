@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license, packing, quality, sharding, substring
+from . import decontam, license, neardup, packing, quality, sharding, substring
 from .common import table
 
 DOCS = "documents"
@@ -32,6 +32,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(table(spark, sf_dir, DOCS), shingle=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -91,6 +96,19 @@ select d.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint
 """
 
 
+def _op7_sql() -> str:
+    return r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+g as (select distinct doc_id, array_to_string(ws[i : i + 2], ' ') as g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) as i from d where len(ws) > 0)),
+z as (select doc_id, count(*) as n from g group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as i from g as a join g as b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+e as (select a, b from p join z as x on x.doc_id = a join z as y on y.doc_id = b where 100 * i >= 85 * (x.n + y.n - i)),
+u as (select a, b from e union all select b, a from e),
+r(x, y) as (select doc_id, doc_id from d union select r.x, u.b from r join u on u.a = r.y)
+select d.doc_id, coalesce(z.n, 0)::bigint as n_shingles, c as component_id, c = d.doc_id as kept from d left join z using (doc_id) join (select x as doc_id, min(y) as c from r group by x) using (doc_id)
+"""
+
+
 def _op10_sql() -> str:
     known = ", ".join(f"('{k}', '{v}')" for k, v in license.SENTENCES.items())
     rules = ", ".join(f"('{name}', '{kind}', '{',([a-z0-9_]+,)*?'.join(rule)}')" for name, (kind, rs) in license.LICENCES.items() for rule in rs)
@@ -107,5 +125,5 @@ from documents d left join (select doc_id, n from ids where view = 1) i using (d
 """
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op6_substring_dedup, op9_packing, op10_license_scan)}
-ORACLES = {"op2_quality_rules": _op2_sql(), "op3_benchmark_decontamination": _op3_sql(), "op6_substring_dedup": _op6_sql(), "op10_license_scan": _op10_sql()}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op6_substring_dedup, op7_near_duplicates, op9_packing, op10_license_scan)}
+ORACLES = {"op2_quality_rules": _op2_sql(), "op3_benchmark_decontamination": _op3_sql(), "op6_substring_dedup": _op6_sql(), "op7_near_duplicates": _op7_sql(), "op10_license_scan": _op10_sql()}

@@ -19,59 +19,49 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, chunks, mixed, row_type, text_rows, whole_row
+from .common import Words, chunks, rolled, row_type, text_rows, whole_row
 
 _SPANS = "doc_id long, key long, first long, end long"
 
 
-def _rolled(h: np.ndarray, n: int) -> np.ndarray:
-    """A hash for every n consecutive numbers, by doubling; entry i covers i to i+n-1 (the last n-1 entries are void)."""
-    out, size, have, at = None, 1, h, 0
-    while True:
-        if n & size:
-            if out is None:
-                out = have.copy()
-            else:
-                shifted = np.zeros_like(have)
-                shifted[: len(have) - at] = have[at:]
-                out = out * np.uint64(0x9E3779B97F4A7C15) + mixed(shifted)
-            at += size
-        size *= 2
-        if size > n:
-            return mixed(out)
-        nxt = np.zeros_like(have)
-        nxt[: -(size // 2) or None] = have[size // 2 :] if len(have) > size // 2 else 0
-        have = mixed(have) * np.uint64(0xC2B2AE3D27D4EB4F) + nxt
-
-
-def _sliding_min(v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each place the least of v[i:i+n] and the first place that has it."""
-    best, where = v.copy(), np.arange(len(v))
-    for j in range(1, n):
-        a = best[: len(v) - j]
-        less = v[j:] < a
-        a[less] = v[j:][less]
-        where[: len(v) - j][less] = np.flatnonzero(less) + j
-    return best, where
-
-
-def _groups(ids: np.ndarray, at: np.ndarray, keys: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorts the windows that begin at `at`; for each, whether a smaller doc has an equal window. Second: the order."""
-    order = np.lexsort((docs, keys))
-    p, k = at[order], keys[order]
-    same = np.zeros(len(p), bool)
-    same[1:] = k[1:] == k[:-1]
-    twice = np.flatnonzero(same)
-    if any((ids[p[twice] + j] != ids[p[twice - 1] + j]).any() for j in range(n)):  # two texts with one hash: rank by the words
-        exact = np.unique(np.stack([ids[at + j] for j in range(n)], 1), axis=0, return_inverse=True)[1].ravel()
-        order = np.lexsort((docs, exact))
-        k = exact[order]
-        same[1:] = k[1:] == k[:-1]
-    begin = np.flatnonzero(~same)
-    least = np.repeat(docs[order][begin], np.diff(np.concatenate([begin, [len(p)]])))
-    later = np.zeros(len(at), bool)
-    later[order] = docs[order] > least
-    return later, order
+def _sliding_min(v: np.ndarray, n: int) -> np.ndarray:
+    """The first place of the least value among v[i:i+n], by doubling. Values are compared by their upper 36 bits."""
+    best = (v & np.uint64(0xFFFFFFFFF0000000)) | np.arange(len(v), dtype=np.uint64)
+    size = 1
+    while size < n:
+        step = min(size, n - size)
+        best[:-step] = np.minimum(best[:-step], best[step:])
+        size += step
+    return (best & np.uint64(0x0FFFFFFF)).astype(np.int64)
+
+
+def _later(words: Words, at: np.ndarray, keys: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
+    """For each window (n words from `at`, in ascending order) whether a smaller doc has an equal one among them."""
+    order = np.argsort(keys)
+    sorted_ = keys[order]
+    same = np.concatenate([[False], sorted_[1:] == sorted_[:-1], [False]])
+    order = np.sort(order[same[1:] | same[:-1]])  # only windows that are there twice
+    order = order[np.lexsort((docs[order], keys[order]))]
+    new = np.ones(len(order), bool)
+    new[1:] = keys[order][1:] != keys[order][:-1]
+    begin = np.flatnonzero(new)
+    model = np.arange(len(at))
+    model[order] = np.repeat(order[begin], np.diff(np.concatenate([begin, [len(order)]])))
+    later = docs > docs[model]
+    # Equal hashes are held against the words themselves, stretch by stretch.
+    k = np.flatnonzero(model != np.arange(len(at)))
+    a, b = _runs(at[k], words.owner[at[k]], at[model[k]] - at[k], words.owner[at[model[k]]])
+    here, there = at[k], at[model[k]]
+    w = words
+    first, last = w.starts[here[a]].tolist(), w.ends[here[b] + n - 1].tolist()
+    first_, last_ = w.starts[there[a]].tolist(), w.ends[there[b] + n - 1].tolist()
+    if all(w.buffer[p:q] == w.buffer[p_:q_] for p, q, p_, q_ in zip(first, last, first_, last_, strict=True)):
+        return later
+    least: dict[bytes, int] = {}  # two texts with one hash: by the words alone
+    spans = [w.span(i, i + n) for i in at.tolist()]
+    for x, d in zip(spans, docs.tolist(), strict=True):
+        least[x] = min(d, least.get(x, d))
+    return np.asarray([least[x] < d for x, d in zip(spans, docs.tolist(), strict=True)], bool)
 
 
 def _runs(at: np.ndarray, owner: np.ndarray, *also: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,11 +80,10 @@ def _packed(docs: np.ndarray, keys: np.ndarray, pos: np.ndarray, strings: list[b
     return zstandard.compress(head + b"\n".join(strings), 1)
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+def _unpacked(blob: bytes) -> tuple[np.ndarray, bytes]:
     raw = zstandard.decompress(blob)
     n = int(np.frombuffer(raw, "<i8", 1)[0])
-    a = np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n)
-    return a[0], a[1], a[2], raw[8 + 24 * n :].split(b"\n") if n else []
+    return np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n), raw[8 + 24 * n :]
 
 
 def _send(window: int, group: int, buckets: int):
@@ -102,40 +91,35 @@ def _send(window: int, group: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
-            rows = [(i, k, (t or b"").split()) for i, t, k in zip(*(c.to_pylist() for c in part.columns[:3]), strict=True) if i is not None]
-            rows = [r for r in rows if len(r[2]) >= window]
-            if not rows:
+            ids, texts, keys = (c.to_pylist() for c in part.columns[:3])
+            use = [k for k, i in enumerate(ids) if i is not None]
+            w = Words(texts[k] for k in use)
+            doc_ids, keys = (np.asarray([x[k] for k in use], np.int64) for x in (ids, keys))
+            at = np.flatnonzero(w.pos <= w.sizes[w.owner] - window)
+            if not len(at):
                 continue
-            flat = [w for r in rows for w in r[2]]
-            number = WordIds()
-            ids = number(flat)
-            size = np.asarray([len(r[2]) for r in rows])
-            first = np.cumsum(size) - size
-            row_of = np.repeat(np.arange(len(rows)), size)
-            pos = np.arange(len(ids)) - first[row_of]
-            begins = pos <= size[row_of] - window
-            doc_ids, keys = (np.asarray([r[j] for r in rows], np.int64) for j in (0, 1))
-            h = mixed(number.hashes())[ids]
-            at = np.flatnonzero(begins)
-            later, _ = _groups(ids, at, _rolled(h, window)[at], doc_ids[row_of[at]], window)
+            h = w.hashes()
+            later = _later(w, at, rolled(h, window)[at], doc_ids[w.owner[at]], window)
             out = []
             gone = at[later]
-            a, b = _runs(gone, row_of[gone])
+            a, b = _runs(gone, w.owner[gone])
             if len(a):
-                r = row_of[gone[a]]
-                spans = np.stack([doc_ids[r], keys[r], pos[gone[a]], pos[gone[b]] + window]).astype("<i8")
-                out.append((int(keys[r[0]] % buckets), True, spans.tobytes()))
-            value, where = _sliding_min(_rolled(h, group), window - group + 1)
+                o = w.owner[gone[a]]
+                spans = np.stack([doc_ids[o], keys[o], w.pos[gone[a]], w.pos[gone[b]] + window]).astype("<i8")
+                out.append((int(keys[o[0]] % buckets), True, spans.tobytes()))
+            value = rolled(h, group)
+            where = _sliding_min(value, window - group + 1)
             rest = at[~later]
-            a, b = _runs(rest, row_of[rest], where[rest])
-            to = (value[rest[a]] % np.uint64(buckets)).astype(np.int64)
+            a, b = _runs(rest, w.owner[rest], where[rest])
+            to = (value[where[rest[a]]] % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
-            edges = np.flatnonzero(np.diff(to[order])) + 1
-            for run_ in np.split(order, edges) if len(order) else []:
-                s, e = rest[a[run_]], rest[b[run_]] + window
-                r = row_of[s]
-                strings = [b" ".join(flat[i:j]) for i, j in zip(s.tolist(), e.tolist(), strict=True)]
-                out.append((int(to[run_[0]]), False, _packed(doc_ids[r], keys[r], pos[s], strings)))
+            a, b, to = rest[a[order]], rest[b[order]] + window - 1, to[order]
+            strings = [w.buffer[i:j] for i, j in zip(w.starts[a].tolist(), w.ends[b].tolist(), strict=True)]
+            cuts = [0, *(np.flatnonzero(np.diff(to)) + 1).tolist(), len(to)]
+            o = w.owner[a]
+            for i, j in zip(cuts, cuts[1:], strict=False):
+                if j > i:
+                    out.append((int(to[i]), False, _packed(doc_ids[o[i:j]], keys[o[i:j]], w.pos[a[i:j]], strings[i:j])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.bool_(), pa.binary()), strict=True)], names)
 
     return run
@@ -146,23 +130,17 @@ def _count(window: int):
         settled, blobs = table.column("settled").to_pylist(), table.column("blob").to_pylist()
         found = [np.frombuffer(x, "<i8").reshape(4, -1) for x, s in zip(blobs, settled, strict=True) if s]
         parts = [_unpacked(x) for x, s in zip(blobs, settled, strict=True) if not s]
+        del blobs
         if parts:
-            docs, keys, pos = (np.concatenate([p[j] for p in parts]) for j in range(3))
-            words = [x.split(b" ") for p in parts for x in p[3]]
-            size = np.asarray([len(w) for w in words])
-            number = WordIds()
-            ids = number([w for x in words for w in x])
-            del words, parts
-            h = mixed(number.hashes())[ids]
-            owner = np.repeat(np.arange(len(size)), size)
-            offset = np.arange(len(ids)) - (np.cumsum(size) - size)[owner]
-            at = np.flatnonzero(offset <= size[owner] - window)
-            later, _ = _groups(ids, at, _rolled(h, window)[at], docs[owner[at]], window)
-            gone = at[later]
-            a, b = _runs(gone, owner[gone])
+            docs, keys, pos = np.concatenate([p[0] for p in parts], 1)
+            w = Words([x for p in parts for x in p[1].split(b"\n")], split=False)
+            del parts
+            at = np.flatnonzero(w.pos <= w.sizes[w.owner] - window)
+            gone = at[_later(w, at, rolled(w.hashes(), window)[at], docs[w.owner[at]], window)]
+            a, b = _runs(gone, w.owner[gone])
             if len(a):
-                o = owner[gone[a]]
-                found.append(np.stack([docs[o], keys[o], pos[o] + offset[gone[a]], pos[o] + offset[gone[b]] + window]))
+                o = w.owner[gone[a]]
+                found.append(np.stack([docs[o], keys[o], pos[o] + w.pos[gone[a]], pos[o] + w.pos[gone[b]] + window]))
         all_ = np.concatenate(found, 1) if found else np.zeros((4, 0), np.int64)
         return pa.table([pa.array(x, pa.int64()) for x in all_], names=["doc_id", "key", "first", "end"])
 
