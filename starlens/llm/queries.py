@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license, neardup, packing, quality, sharding, substring
-from .common import table
+from . import decontam, langid, license, neardup, packing, quality, sharding, substring, toxicity
+from .common import crc_fold, table
 
 DOCS = "documents"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCS)
+    model = langid.fit(docs.filter(crc_fold("doc_id", 4) != 2))
+    out = langid.predict(docs, model)
+    return out.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = quality.apply_policy(quality.ledger(table(spark, sf_dir, DOCS)))
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits")
@@ -37,6 +44,13 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCS)
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(crc_fold("doc_id", 4) != 2))
+    out = toxicity.score(docs, index)
+    return out.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -125,5 +139,5 @@ from documents d left join (select doc_id, n from ids where view = 1) i using (d
 """
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op6_substring_dedup, op7_near_duplicates, op9_packing, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op6_substring_dedup, op7_near_duplicates, op8_toxicity, op9_packing, op10_license_scan)}
 ORACLES = {"op2_quality_rules": _op2_sql(), "op3_benchmark_decontamination": _op3_sql(), "op6_substring_dedup": _op6_sql(), "op7_near_duplicates": _op7_sql(), "op10_license_scan": _op10_sql()}
