@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, cut, mixed, rolled, text_rows
+from .common import Words, chunks, cut, mixed, rolled, text_rows, whole_row
 
 MANTISSA = 10
 _c = F.col
@@ -249,5 +249,5 @@ def classes(docs: DataFrame, shingle: int = 3, percent: int = 85, block_docs: in
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The documents that stay when each class keeps the one with the smallest id; a row with a null id stays."""
     drop = classes(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id", "text_key").distinct()
-    text_key = F.xxhash64(F.coalesce(_c("text").cast("string"), F.lit("")))
-    return docs.withColumn("__text_key", text_key).join(drop.withColumnRenamed("text_key", "__text_key"), ["doc_id", "__text_key"], "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    text_key = F.xxhash64(F.coalesce(_c("text").cast("string"), F.lit(""))).alias("text_key")
+    return docs.select("doc_id", text_key, whole_row(docs)).join(drop, ["doc_id", "text_key"], "left_anti").select("row.*")

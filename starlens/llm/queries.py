@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, license, neardup, packing, quality, sharding, substring, toxicity
+from . import decontam, langid, license, lm, neardup, packing, quality, sharding, substring, toxicity
 from .common import crc_fold, table
 
 DOCS = "documents"
@@ -34,6 +34,12 @@ def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, DOCS))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, DOCS)
+    out = lm.train_and_score(docs, docs.filter(crc_fold("doc_id", 7) != 2))
+    return out.select("doc_id", (crc_fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.remove_repeats(table(spark, sf_dir, DOCS), carry=["doc_id"])
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -139,5 +145,5 @@ from documents d left join (select doc_id, n from ids where view = 1) i using (d
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op6_substring_dedup, op7_near_duplicates, op8_toxicity, op9_packing, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op5_language_model, op6_substring_dedup, op7_near_duplicates, op8_toxicity, op9_packing, op10_license_scan)}
 ORACLES = {"op2_quality_rules": _op2_sql(), "op3_benchmark_decontamination": _op3_sql(), "op6_substring_dedup": _op6_sql(), "op7_near_duplicates": _op7_sql(), "op10_license_scan": _op10_sql()}

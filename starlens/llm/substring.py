@@ -184,3 +184,14 @@ def remove_repeats(docs: DataFrame, window: int = 13, carry: list[str] | None =
     spans = repeated_spans(docs, window).groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
     rows = text_rows(docs, whole_row(kept), key).join(spans, ["doc_id", "key"], "left")
     return rows.select("doc_id", "text", "row", "spans").mapInArrow(_cut, f"{row_type(kept)}, n_words long, n_removed long, kept binary")
+
+
+def rewrite(docs: DataFrame, window: int = 13) -> DataFrame:
+    """The documents with repeated words taken out of text (and n_chars, where there is such a column, counted anew).
+
+    A text that loses nothing stays as it is, white space included; one that loses all its words becomes empty.
+    """
+    cut_ = remove_repeats(docs, window)
+    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("row.text"))
+    out = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.char_length(text)).otherwise(F.col("row.n_chars") if "n_chars" in docs.columns else None)}
+    return cut_.select(*((out[c].cast(docs.schema[c].dataType) if c in out else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
