@@ -56,38 +56,74 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
         k += 1
 
 
-class WordTokens:
-    """Ids of words as little-endian bytes. The tokenizer never looks across white space, so a word's
-    ids don't depend on its neighbours; two generations of seen words keep the memory bounded."""
+class _Seen:
+    """A dictionary of bounded size: what isn't asked for during a whole generation is forgotten."""
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+    def __init__(self, most: int) -> None:
+        self.most = most
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def learn(self, words: set[bytes]) -> None:
+    def missing(self, words: set[bytes]) -> list[bytes]:
+        """After this, `young` has all words but those returned."""
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
-        missing = []
+        out = []
         for w in words.difference(self.young):
             if (ids := self.old.get(w)) is None:
-                missing.append(w)
+                out.append(w)
             else:
                 self.young[w] = ids
-        for k in range(0, len(missing), 2000):
-            part = missing[k : k + 2000]
+        return out
+
+
+_TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class WordTokens:
+    """Ids of words as little-endian bytes.
+
+    The tokenizer never looks across white space, so a word's ids don't depend on its neighbours. It also parts
+    letters from what follows them and reads them in lower case, so a word of Latin-1 letters with marks behind it is
+    looked up as the letters and the marks; all other words are asked for as they are.
+    """
+
+    def __init__(self, path: str, most: int = 500_000) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words, self.parts = _Seen(most), _Seen(most)
+
+    def _ask(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
+        for k in range(0, len(words), 2000):
+            part = words[k : k + 2000]
             enc = self.tokenizer.encode([w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False)
             ids = np.asarray(enc.ids, "<u4").tobytes()
             ends = np.cumsum(np.bincount(np.asarray(enc.word_ids, np.int64), minlength=len(part))) * 4
             at = 0
             for w, end in zip(part, ends.tolist(), strict=True):
-                self.young[w] = ids[at:end]
+                into[w] = ids[at:end]
                 at = end
 
+    def learn(self, words: set[bytes]) -> None:
+        split: list[tuple[bytes, bytes, bytes]] = []
+        for w in self.words.missing(words):
+            core = w.rstrip(_TAIL)
+            tail = w[len(core) :]
+            if core.isalpha():
+                split.append((w, core.lower(), tail))
+                continue
+            text = core.decode("utf-8", "replace")
+            if text.isalpha() and max(text) < "\u0100":
+                split.append((w, text.lower().encode(), tail))
+            else:
+                split.append((w, w, b""))
+        self._ask(self.parts.missing({p for s in split for p in s[1:]}), self.parts.young)
+        got = self.parts.young
+        self.words.young.update((w, got[core] + got[tail]) for w, core, tail in split)
+
     def encode(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.young.__getitem__, words))
+        return b"".join(map(self.words.young.__getitem__, words))
 
 
 _KEPT: dict[str, WordTokens] = {}
