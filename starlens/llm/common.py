@@ -59,6 +59,12 @@ def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
             at = to
 
 
+def _stretches(starts: np.ndarray, size: int) -> tuple[list[int], list[int]]:
+    """First and end index of runs of words that begin within the same `size` bytes."""
+    cuts = np.unique(np.searchsorted(starts, np.arange(0, starts[-1] + 1, size))).tolist()
+    return cuts, [*cuts[1:], len(starts)]
+
+
 class Words:
     """The words of some texts in one buffer: one space between words, a line break between texts.
 
@@ -87,14 +93,20 @@ class Words:
         raw = np.frombuffer(self.buffer, np.uint8)
         if not len(raw):
             return np.zeros(0, np.uint64)
-        sizes = self.ends - self.starts
-        place = np.arange(len(raw), dtype=np.int32)
-        place -= np.repeat(self.starts.astype(np.int32), np.minimum(sizes + 1, len(raw) - self.starts))
+        sizes = (self.ends - self.starts).astype(np.int32)
         factors = mixed(np.arange(1, int(sizes.max()) + 2, dtype=np.uint64)) | np.uint64(1)
-        v = factors[place]
-        v *= raw.astype(np.uint64) + np.uint64(1)
-        v[self.ends[:-1]] = 0
-        return mixed(np.add.reduceat(v, self.starts) + sizes.astype(np.uint64))
+        factors[-1] = 0  # of the gap behind the longest word
+        out = sizes.astype(np.uint64)
+        # Some words at a time, since each byte takes 8 here.
+        for i, j in zip(*_stretches(self.starts, 1 << 20), strict=True):
+            begin, end = self.starts[i], self.ends[j - 1]
+            place = np.arange(end - begin, dtype=np.int32)
+            place -= np.repeat((self.starts[i:j] - begin).astype(np.int32), np.append(sizes[i : j - 1] + 1, sizes[j - 1]))
+            v = factors[place]
+            v *= raw[begin:end].astype(np.uint64) + np.uint64(1)
+            v[(self.ends[i : j - 1] - begin)] = 0
+            out[i:j] += np.add.reduceat(v, self.starts[i:j] - begin)
+        return mixed(out)
 
     def span(self, begin: int, end: int) -> bytes:
         """The words begin to end - 1 (of one text), joined by one space."""

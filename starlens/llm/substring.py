@@ -1,6 +1,7 @@
 """Repeated passages across documents, found with super-k-mers.
 
-A window is so many consecutive words. Its minimiser is the least hash among its short word groups; runs of
+A window is so many consecutive words. Its minimiser is the first of its words in a fixed order: longer words come
+first, words of one length in the order of a hash. Long words are rare, so buckets stay even. Runs of
 windows with the same minimiser travel together as one packed string to the minimiser's bucket, where
 the windows are sorted and counted by their words. Equal windows always meet, since they have equal minimisers.
 
@@ -75,18 +76,22 @@ def _runs(at: np.ndarray, owner: np.ndarray, *also: np.ndarray) -> tuple[np.ndar
     return begin, np.concatenate([begin[1:] - 1, [len(at) - 1]])
 
 
-def _packed(docs: np.ndarray, keys: np.ndarray, pos: np.ndarray, strings: list[bytes]) -> bytes:
-    head = np.asarray([len(docs)], "<i8").tobytes() + b"".join(x.astype("<i8").tobytes() for x in (docs, keys, pos))
-    return zstandard.compress(head + b"\n".join(strings), 1)
+def _packed(docs: np.ndarray, keys: np.ndarray, owner: np.ndarray, pos: np.ndarray, strings: list[bytes]) -> bytes:
+    """Strings with their place; each document's id and key once."""
+    which, at = np.unique(owner, return_inverse=True)
+    head = [np.asarray([len(pos), len(which)], "<i8"), docs[which].astype("<i8"), keys[which].astype("<i8"), at.astype("<i4"), pos.astype("<i4")]
+    return zstandard.compress(b"".join(x.tobytes() for x in head) + b"\n".join(strings), 3)
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, bytes]:
     raw = zstandard.decompress(blob)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    return np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n), raw[8 + 24 * n :]
+    n, m = np.frombuffer(raw, "<i8", 2).tolist()
+    docs, keys = np.frombuffer(raw, "<i8", 2 * m, 16).reshape(2, m)
+    at, pos = np.frombuffer(raw, "<i4", 2 * n, 16 + 16 * m).reshape(2, n)
+    return np.stack([docs[at], keys[at], pos.astype(np.int64)]), raw[16 + 16 * m + 8 * n :]
 
 
-def _send(window: int, group: int, buckets: int):
+def _send(window: int, buckets: int):
     names = ["bucket", "settled", "blob"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,11 +112,11 @@ def _send(window: int, group: int, buckets: int):
                 o = w.owner[gone[a]]
                 spans = np.stack([doc_ids[o], keys[o], w.pos[gone[a]], w.pos[gone[b]] + window]).astype("<i8")
                 out.append((int(keys[o[0]] % buckets), True, spans.tobytes()))
-            value = rolled(h, group)
-            where = _sliding_min(value, window - group + 1)
+            shorter = (255 - np.minimum(w.ends - w.starts, 255)).astype(np.uint64)
+            where = _sliding_min((shorter << np.uint64(56)) | (h >> np.uint64(8)), window)
             rest = at[~later]
             a, b = _runs(rest, w.owner[rest], where[rest])
-            to = (value[where[rest[a]]] % np.uint64(buckets)).astype(np.int64)
+            to = (h[where[rest[a]]] % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             a, b, to = rest[a[order]], rest[b[order]] + window - 1, to[order]
             strings = [w.buffer[i:j] for i, j in zip(w.starts[a].tolist(), w.ends[b].tolist(), strict=True)]
@@ -119,7 +124,7 @@ def _send(window: int, group: int, buckets: int):
             o = w.owner[a]
             for i, j in zip(cuts, cuts[1:], strict=False):
                 if j > i:
-                    out.append((int(to[i]), False, _packed(doc_ids[o[i:j]], keys[o[i:j]], w.pos[a[i:j]], strings[i:j])))
+                    out.append((int(to[i]), False, _packed(doc_ids, keys, o[i:j], w.pos[a[i:j]], strings[i:j])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.bool_(), pa.binary()), strict=True)], names)
 
     return run
@@ -162,12 +167,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(2), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], ["row", "n_words", "n_removed", "kept"])
 
 
-def repeated_spans(docs: DataFrame, window: int = 13, group: int = 3, bucket_bytes: int = 8 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = 13, bucket_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, key (hash of the text), first, end: word ranges covered by windows that a smaller doc_id also holds. Ranges may overlap."""
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key")
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = 1 + total // bucket_bytes
-    sent = text_rows(docs, key).mapInArrow(_send(window, group, buckets), "bucket long, settled boolean, blob binary")
+    sent = text_rows(docs, key).mapInArrow(_send(window, buckets), "bucket long, settled boolean, blob binary")
     return sent.groupBy("bucket").applyInArrow(_count(window), _SPANS)
 
 
