@@ -1 +1,5 @@
+"""Operators by subject; each module lists its queries and their SQL."""
 
+from . import star, timeline
+
+MODULES = (star, timeline)
