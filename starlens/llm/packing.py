@@ -85,7 +85,8 @@ class WordTokens:
 
     The tokenizer never looks across white space, so a word's ids don't depend on its neighbours. It also parts
     letters from what follows them and reads them in lower case, so a word of Latin-1 letters with marks behind it is
-    looked up as the letters and the marks; all other words are asked for as they are.
+    looked up as the letters and the marks, which go straight to the tokenizer's merges, one character for each
+    byte; all other words are asked for as they are.
     """
 
     def __init__(self, path: str, most: int = 500_000) -> None:
@@ -93,6 +94,15 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words, self.parts = _Seen(most), _Seen(most)
+        plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
+        beyond = iter(range(256, 512))
+        #: byte-level vocabularies write printable bytes as themselves and the others as characters from 256 on
+        self.written = {b: b if b in plain else next(beyond) for b in range(256)}
+
+    def _merge(self, parts: list[bytes], into: dict[bytes, bytes]) -> None:
+        tokenize, written = self.tokenizer.model.tokenize, self.written
+        for p in parts:
+            into[p] = np.asarray([t.id for t in tokenize(p.decode("latin-1").translate(written))], "<u4").tobytes() if p else b""
 
     def _ask(self, words: list[bytes], into: dict[bytes, bytes]) -> None:
         for k in range(0, len(words), 2000):
@@ -107,6 +117,7 @@ class WordTokens:
 
     def learn(self, words: set[bytes]) -> None:
         split: list[tuple[bytes, bytes, bytes]] = []
+        odd = []
         for w in self.words.missing(words):
             core = w.rstrip(_TAIL)
             tail = w[len(core) :]
@@ -117,8 +128,9 @@ class WordTokens:
             if text.isalpha() and max(text) < "\u0100":
                 split.append((w, text.lower().encode(), tail))
             else:
-                split.append((w, w, b""))
-        self._ask(self.parts.missing({p for s in split for p in s[1:]}), self.parts.young)
+                odd.append(w)
+        self._ask(odd, self.words.young)
+        self._merge(self.parts.missing({p for s in split for p in s[1:]}), self.parts.young)
         got = self.parts.young
         self.words.young.update((w, got[core] + got[tail]) for w, core, tail in split)
 

@@ -167,7 +167,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(2), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], ["row", "n_words", "n_removed", "kept"])
 
 
-def repeated_spans(docs: DataFrame, window: int = 13, bucket_bytes: int = 4 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = 13, bucket_bytes: int = 5 << 19) -> DataFrame:
     """doc_id, key (hash of the text), first, end: word ranges covered by windows that a smaller doc_id also holds. Ranges may overlap."""
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key")
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
