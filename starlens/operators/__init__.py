@@ -1,5 +1,5 @@
 """Operators by subject; each module lists its queries and their SQL."""
 
-from . import star, timeline
+from . import catalog, star, timeline
 
-MODULES = (star, timeline)
+MODULES = (star, timeline, catalog)
