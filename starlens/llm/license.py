@@ -20,22 +20,22 @@ SENTENCES = {
     "mit_notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "mit_as_is": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
     "apache_name": "licensed under the apache license version 2 0",
-    "apache_head": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "apache_head": "licensed under the apache license version 2 0 the license",
     "apache_copy": "you may obtain a copy of the license at",
     "apache_as_is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "apache_see": "see the license for the specific language governing permissions and limitations under the license",
     "gpl3_name": "this work is licensed under the gnu general public license version 3",
-    "gpl_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "gpl2_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
-    "gpl_hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl_free": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2_free": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl_hope": "this program is distributed in the hope that it will be useful but without any warranty",
     "gpl_details": "see the gnu general public license for more details",
     "gpl_received": "you should have received a copy of the gnu general public license along with this program",
-    "lgpl_free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl_free": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
     "bsd_redistribution": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd_source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd_binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd_endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
-    "mpl2_form": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl2_form": "this source code form is subject to the terms of the mozilla public license v",
     "cc_by_nc_4": "licensed under cc by nc 4 0",
     "cc_by_4": "licensed under cc by 4 0",
     "cc_by_sa_4": "licensed under cc by sa 4 0",
