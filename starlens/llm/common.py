@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,27 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
 
 
+_HELD: dict[str, Any] = {}
+
+
+def worker_cache(key: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task. It serves many operators in turn, so only the last one's is kept."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def tidy(forget: bool = False) -> None:
+    """Gives freed memory back to the system, which allocators else keep for the worker's next tasks."""
+    if forget:
+        _HELD.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def row_type(df: DataFrame) -> str:
     return f"row {df.schema.simpleString()}"
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, cut, mixed, rolled, text_rows, whole_row
+from .common import Words, chunks, cut, mixed, rolled, text_rows, tidy, whole_row
 
 MANTISSA = 10
 _c = F.col
@@ -98,6 +98,7 @@ def _signatures(n: int, count: int):
     types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy(forget=True)
         for part in chunks(batches):
             ids, texts, text_keys = (c.to_pylist() for c in part.columns[:3])
             w = Words(texts, lower=True)
@@ -115,6 +116,7 @@ def _signatures(n: int, count: int):
                 regs[i] = r.tobytes()
             cols = [ids, text_keys, keys, [len(s) for s in sets], [len(t or b"") for t in texts], regs]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
+        tidy()
 
     return run
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import chunks, text_rows
+from .common import chunks, text_rows, tidy, worker_cache
 
 #: Of the id that ends each document.
 END = np.asarray([1], "<u4").tobytes()
@@ -138,7 +138,6 @@ class WordTokens:
         return b"".join(map(self.words.young.__getitem__, words))
 
 
-_KEPT: dict[str, WordTokens] = {}
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -146,7 +145,7 @@ def _pack(path: str, capacity: int, group: int):
     names = [x.split()[0] for x in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _KEPT.get(path) or _KEPT.setdefault(path, WordTokens(path))
+        tokens = worker_cache(f"packing {path}", lambda: WordTokens(path))
         sequence = TaskContext.get().partitionId() << 33
         small = max(1, capacity // 8)
         target = max(1, group * (capacity - capacity // 100))  # a little room, so that near-equal windows fit
@@ -189,6 +188,7 @@ def _pack(path: str, capacity: int, group: int):
             yield batch()
         flush()
         yield batch()
+        tidy()
 
     return run
 

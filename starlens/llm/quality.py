@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, chunks, row_type, text_rows, whole_row
+from .common import WordIds, chunks, row_type, text_rows, tidy, whole_row
 
 _c = F.col
 
@@ -83,6 +83,7 @@ def _upper(bare: bytes) -> int:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["row", *(x.split()[0] for x in MEASURES.split(", "))]
+    tidy(forget=True)
     for part in chunks(batches):
         number, out = WordIds(), []
         for text in part.column(1).to_pylist():
@@ -96,6 +97,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 _repeated_any(words, number(words)), len(lines), _upper(bare), t.count(b"!"), len(t) - len(t.translate(None, _DIGITS)),
             ))
         yield pa.RecordBatch.from_arrays([part.column(2), *(pa.array(c, pa.int64()) for c in zip(*out, strict=True))], names)
+    tidy()
 
 
 def measured(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:

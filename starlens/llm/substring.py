@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, rolled, row_type, text_rows, whole_row
+from .common import Words, chunks, rolled, row_type, text_rows, tidy, whole_row
 
 _SPANS = "doc_id long, key long, first long, end long"
 
@@ -95,16 +95,19 @@ def _send(window: int, buckets: int):
     names = ["bucket", "settled", "blob"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy(forget=True)
         for part in chunks(batches):
             ids, texts, keys = (c.to_pylist() for c in part.columns[:3])
             use = [k for k, i in enumerate(ids) if i is not None]
             w = Words(texts[k] for k in use)
+            del texts
             doc_ids, keys = (np.asarray([x[k] for k in use], np.int64) for x in (ids, keys))
             at = np.flatnonzero(w.pos <= w.sizes[w.owner] - window)
             if not len(at):
                 continue
             h = w.hashes()
             later = _later(w, at, rolled(h, window)[at], doc_ids[w.owner[at]], window)
+            tidy()
             out = []
             gone = at[later]
             a, b = _runs(gone, w.owner[gone])
@@ -126,6 +129,8 @@ def _send(window: int, buckets: int):
                 if j > i:
                     out.append((int(to[i]), False, _packed(doc_ids, keys, o[i:j], w.pos[a[i:j]], strings[i:j])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.bool_(), pa.binary()), strict=True)], names)
+            del w, h, where, strings, out
+            tidy()
 
     return run
 
@@ -146,6 +151,8 @@ def _count(window: int):
             if len(a):
                 o = w.owner[gone[a]]
                 found.append(np.stack([docs[o], keys[o], pos[o] + w.pos[gone[a]], pos[o] + w.pos[gone[b]] + window]))
+            del w, at, gone, a, b
+        tidy()
         all_ = np.concatenate(found, 1) if found else np.zeros((4, 0), np.int64)
         return pa.table([pa.array(x, pa.int64()) for x in all_], names=["doc_id", "key", "first", "end"])
 
@@ -165,6 +172,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = s["end"]
             n_words.append(len(words)), n_removed.append(gone), kept.append(b" ".join(left + words[at:] if gone else words))
         yield pa.RecordBatch.from_arrays([part.column(2), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], ["row", "n_words", "n_removed", "kept"])
+    tidy()
 
 
 def repeated_spans(docs: DataFrame, window: int = 13, bucket_bytes: int = 5 << 19) -> DataFrame:
