@@ -1,4 +1,4 @@
-"""Lookups in catalog tables: references of one measure, tags, callers, ancestor paths, missing keys, value-set security."""
+"""Lookups in catalog tables: references, tags, callers, ancestor paths, missing keys; syntax checks, redaction, moves and generated rows."""
 
 from __future__ import annotations
 
@@ -77,9 +77,55 @@ def path_functions(spark, sf):
     return c.select("c_custkey", "path", F.element_at("p", 2).alias("item2"), F.element_at("p", -1).alias("item_last"), F.size("p").alias("length"), F.array_contains("p", "ASIA").alias("in_asia"))
 
 
-@query("""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents where text is not null)
-  select doc_id, count_if((length(line) - length(replace(line, '"', ''))) % 2 = 1) as unclosed from l group by 1""")
+#: closed strings and comments of a formula
+_QUOTED = r'"(?:[^"\n]|"")*"|//[^\n]*|/\*[\s\S]*?\*/'
+
+
+@query(rf"""with l as (select doc_id, unnest(string_split(regexp_replace(text, '{_QUOTED}', '', 'g'), chr(10))) as line from documents where text is not null)
+  select doc_id, count_if(contains(line, '"')) as unclosed from l group by 1""")
 def check_strings(spark, sf):
-    lines = F.split("text", "\n", -1)
-    odd = F.filter(lines, lambda x: F.length(F.regexp_replace(x, '[^"]', "")) % 2 == 1)
-    return lake(spark, sf, "documents").filter("text is not null").select("doc_id", F.size(odd).cast("long").alias("unclosed"))
+    lines = F.split(F.regexp_replace("text", _QUOTED, ""), "\n", -1)
+    return lake(spark, sf, "documents").filter("text is not null").select("doc_id", F.size(F.filter(lines, lambda x: x.contains('"'))).cast("long").alias("unclosed"))
+
+
+@query(rf"""select doc_id, regexp_matches(regexp_replace(text, '{_QUOTED}', '', 'g'), '[-+*/&<>=,][ \t\r\n)}}\]]*$') as trailing from documents""")
+def check_trailing(spark, sf):
+    return lake(spark, sf, "documents").select("doc_id", F.regexp_replace("text", _QUOTED, "").rlike(r"[-+*/&<>=,][ \t\r\n)}\]]*\z").alias("trailing"))
+
+
+@query(f"""with {MEASURES_SQL}, t as (select *, case p_partkey % 3 when 0 then 'let a = ' || expression || ' in a' when 1 then '"x" meta [Source = 1]' else expression end as script from m)
+  select name, case when p_partkey % 3 = 0 then '[M-code redacted]' else script end as script from t""")
+def redact_script(spark, sf):
+    k = _c("p_partkey") % 3
+    script = F.when(k == 0, F.concat(F.lit("let a = "), "expression", F.lit(" in a"))).when(k == 1, F.lit('"x" meta [Source = 1]')).otherwise(_c("expression"))
+    t = measures(spark, sf).select("name", script.alias("script"))
+    code = _c("script").rlike(r"(?is)\blet\b.*\bin\b|\bSource\s*=") & ~_c("script").rlike(r'(?s)^\s*"[^"]*"\s+meta\s*\[')
+    return t.select("name", F.when(code, "[M-code redacted]").otherwise(_c("script")).alias("script"))
+
+
+@query(f"""with {MEASURES_SQL}, c as (select name, table_name as old, case when p_partkey % 4 = 0 then table_name else (select min(table_name) from m) end as target from m where p_partkey % 2 = 0),
+  taken as (select distinct c.name, c.target from c join m on m.name = c.name and m.table_name = c.target)
+  select c.name, c.old, c.target, case when c.old = c.target then 'already_there' when taken.name is not null then 'name_taken' else 'moved' end as status from c left join taken on taken.name = c.name and taken.target = c.target""")
+def bulk_move(spark, sf):
+    """A change table of measures and the table each shall go to; rows that can't move say why."""
+    m = measures(spark, sf)
+    first = m.agg(F.min("table_name").alias("least"))  # one row
+    c = m.filter("p_partkey % 2 = 0").crossJoin(F.broadcast(first))
+    c = c.select("name", _c("table_name").alias("old"), F.when(_c("p_partkey") % 4 == 0, _c("table_name")).otherwise(_c("least")).alias("target"))
+    taken = m.select("name", _c("table_name").alias("target"), F.lit(True).alias("taken")).distinct()
+    status = F.when(_c("old") == _c("target"), "already_there").when(_c("taken"), "name_taken").otherwise("moved")
+    return c.join(taken, ["name", "target"], "left").select("name", "old", "target", status.alias("status"))
+
+
+@query(f"""with {MEASURES_SQL}, v(suffix, head, tail) as (values ('YTD', 'TOTALYTD(', ')'), ('PY', 'CALCULATE(', ', SAMEPERIODLASTYEAR(Cal[Date]))')),
+  n as (select name || ' ' || suffix as name, table_name, head || '[' || name || ']' || tail as expression from m, v where not is_hidden) select * from n where name not in (select name from m)""")
+def gen_family_rows(spark, sf):
+    """New catalog rows, one per visible measure and variant, where the name is still free."""
+    m = measures(spark, sf)
+    ref = F.concat(F.lit("["), "name", F.lit("]"))
+    variants = F.array(
+        F.struct(F.lit("YTD").alias("suffix"), F.concat(F.lit("TOTALYTD("), ref, F.lit(")")).alias("expression")),
+        F.struct(F.lit("PY").alias("suffix"), F.concat(F.lit("CALCULATE("), ref, F.lit(", SAMEPERIODLASTYEAR(Cal[Date]))")).alias("expression")),
+    )
+    rows = m.filter("not is_hidden").select("name", "table_name", F.explode(variants).alias("v")).select(F.concat_ws(" ", "name", "v.suffix").alias("name"), "table_name", "v.expression")
+    return rows.join(m.select("name"), "name", "left_anti")
