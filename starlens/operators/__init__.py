@@ -1,5 +1,5 @@
 """Operators by subject; each module lists its queries and their SQL."""
 
-from . import catalog, lookups, star, timeline
+from . import catalog, lookups, rules, star, timeline
 
-MODULES = (star, timeline, catalog, lookups)
+MODULES = (star, timeline, catalog, lookups, rules)

@@ -1,4 +1,4 @@
-"""Questions over a fleet's catalog tables: listings, search, lint, audits, lineage and bulk changes.
+"""Questions over a fleet's catalog tables: listings, search, audits, lineage and bulk changes.
 
 The catalog tables of many projects are derived from the lake by rules (shim views), so that every question runs at the
 lake's scale. The rules are written once for Spark and once for DuckDB.
@@ -190,49 +190,6 @@ def search_text(spark, sf):
     return d.select("doc_id", F.when(_c("a") & _c("b"), "both").when(_c("a"), "name").otherwise("expression").alias("matched_in"), F.when(F.length("text") > 200, F.concat(F.substring("text", 1, 200), F.lit("..."))).otherwise(_c("text")).alias("preview"))
 
 
-def lint(spark, sf) -> DataFrame:
-    """project_id, severity, rule, category, entity: one row per finding; rules on formula texts, formats and structure."""
-    m = measures(spark, sf)
-    e, n = _c("expression"), _c("name")
-    bare = F.regexp_replace("expression", r'"(?:[^"]|"")*"|//[^\n]*|/\*[\s\S]*?\*/', "")
-    rules = [
-        ("warning", "dax_use_divide_function", "dax", bare.rlike(r"[\w)\]]\s*/") & ~e.rlike("DIVIDE")),
-        ("warning", "dax_iferror_to_iserror", "dax", e.rlike(r"\bIFERROR\s*\(")),
-        ("info", "dax_hardcoded_year", "dax", e.rlike(r"\b20(2[0-9]|30)\b")),
-        ("error", "err_empty_measure_expression", "error", F.trim(e) == ""),
-        ("info", "fmt_missing_format_string", "formatting", _c("format_string").isNull() & ~_c("is_hidden")),
-        ("warning", "fmt_percentage_mismatch", "formatting", n.rlike(r"(?i)(percent|pct|%|ratio)") & ~_c("format_string").contains("%")),
-        ("warning", "name_whitespace", "naming", n != F.trim(n)),
-        ("warning", "name_special_characters", "naming", n.rlike(r"[<>{}|&~`^]")),
-    ]
-    found = F.filter(F.array(*(F.when(cond, F.struct(F.lit(s).alias("severity"), F.lit(r).alias("rule"), F.lit(k).alias("category"))) for s, r, k, cond in rules)), lambda x: x.isNotNull())
-    return m.select("project_id", _c("name").alias("entity"), F.explode(found).alias("f")).select("project_id", "entity", "f.*")
-
-
-_LINT = f"""{MEASURES_SQL}, f as (select project_id, name as entity, 'warning' as severity, 'dax_use_divide_function' as rule, 'dax' as category from m where regexp_matches(expression, '[\\w)\\]]\\s*/') and not contains(expression, 'DIVIDE')
- union all select project_id, name, 'warning', 'dax_iferror_to_iserror', 'dax' from m where regexp_matches(expression, '\\bIFERROR\\s*\\(')
- union all select project_id, name, 'info', 'dax_hardcoded_year', 'dax' from m where regexp_matches(expression, '\\b20(2[0-9]|30)\\b')
- union all select project_id, name, 'error', 'err_empty_measure_expression', 'error' from m where trim(expression) = ''
- union all select project_id, name, 'info', 'fmt_missing_format_string', 'formatting' from m where format_string is null and not is_hidden)"""
-
-
-@query(f"with {_LINT} select project_id, count(*) as findings, count_if(severity = 'error') as errors, count_if(severity = 'warning') as warnings, count_if(severity = 'info') as infos, count_if(severity = 'error') = 0 as is_valid from f group by 1")
-def lint_summary(spark, sf):
-    sev = lambda s: F.count_if(_c("severity") == s)
-    return lint(spark, sf).groupBy("project_id").agg(F.count("*").alias("findings"), sev("error").alias("errors"), sev("warning").alias("warnings"), sev("info").alias("infos"), (sev("error") == 0).alias("is_valid"))
-
-
-@query(f"with {_LINT} select rule, severity, entity from f where category = 'dax'")
-def lint_dax(spark, sf):
-    return lint(spark, sf).filter("category = 'dax'").select("rule", "severity", "entity")
-
-
-@query(f"with {MEASURES_SQL} select project_id, 'maint_measures_without_folders' as rule, count_if(display_folder is null) as n from m where not is_hidden group by 1 having count(*) >= 10 and count_if(display_folder is null) > 5")
-def lint_maintenance(spark, sf):
-    g = measures(spark, sf).filter("not is_hidden").groupBy("project_id").agg(F.count("*").alias("visible"), F.count_if(_c("display_folder").isNull()).alias("n"))
-    return g.filter("visible >= 10 and n > 5").select("project_id", F.lit("maint_measures_without_folders").alias("rule"), "n")
-
-
 @query(" union all ".join(f"select '{n}' as relationship, '{x}' as from_column, '{y}' as to_column where (select data_type from information_schema.columns where table_name = '{a}' and column_name = '{x}') <> (select data_type from information_schema.columns where table_name = '{b}' and column_name = '{y}')" for n, (a, x, b, y, _) in RELATIONSHIPS.items()))
 def lint_key_types(spark, sf):
     rels = spark.createDataFrame([(n, a, x, b, y) for n, (a, x, b, y, _) in RELATIONSHIPS.items()], "relationship string, a string, from_column string, b string, to_column string")
