@@ -1,5 +1,5 @@
 """Operators by subject; each module lists its queries and their SQL."""
 
-from . import catalog, lookups, rules, star, timeline
+from . import catalog, changes, lookups, referrers, rules, star, texts, timeline
 
-MODULES = (star, timeline, catalog, lookups, rules)
+MODULES = (star, timeline, catalog, lookups, rules, referrers, texts, changes)

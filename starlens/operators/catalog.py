@@ -240,7 +240,7 @@ def classify_first_match(spark, sf):
 @query("select doc_id, case when k = 0 then 'DAX' when k = 1 then 'MDX' when k = 2 then 'SQL' else 'unknown' end as kind from (select doc_id, doc_id % 4 as k from documents where text is not null)")
 def classify_query_text(spark, sf):
     head = F.element_at(F.array(*map(F.lit, ("evaluate ", "with member ", "exec ", "zz "))), (_c("doc_id") % 4 + 1).cast("int"))
-    t = F.upper(F.trim(F.concat(head, F.substring("text", 1, 1))))
+    t = F.upper(F.trim(F.concat(head, "text")))
     kind = F.when(t.rlike("^(EVALUATE|DEFINE|VAR)"), "DAX").when(t.rlike("^WITH") & t.rlike("MEMBER|SET"), "MDX").when(t.rlike("^SELECT") & t.rlike("FROM") & t.contains("["), "MDX").when(t.rlike("^(SELECT|EXEC|CALL|INSERT)"), "SQL").otherwise("unknown")
     return lake(spark, sf, "documents").filter("text is not null").select("doc_id", kind.alias("kind"))
 
