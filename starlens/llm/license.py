@@ -1,9 +1,10 @@
 """Licence recognition by sentences.
 
-A text is cut into sentences, twice: line by line, and with line breaks read as spaces (notices are often
-wrapped). Each sentence is normalised and, where it is a known licence sentence, replaced by its
-identifier. A licence is recognised where the document's identifiers contain those of one of its rules in the
-rule's order; other sentences may stand between. Everything is a DataFrame expression.
+A text is cut into sentences, three times: line by line, with line breaks read as spaces (notices are often
+wrapped), and paragraph by paragraph, where a sentence also ends at a blank line and each of its lines counts
+besides the whole. Each sentence is normalised and, where it is a known licence sentence, replaced by its
+identifier. A licence is recognised where the identifiers of one of these views contain those of one of its rules
+in the rule's order; other sentences may stand between. Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
@@ -66,17 +67,31 @@ LICENCES: dict[str, tuple[str, list[list[str]]]] = {
 
 #: a sentence ends at . ! ? : or ; before white space (so that 2.0 stays whole), or at the end
 _END = r"[.!?:;]+[ \t\r\f\x0B]+"
+#: the same where line breaks are white space, or lines without a letter or digit (blank, or a comment's margin alone)
+_END_WRAPPED = r"\n[^\p{L}\p{N}]*\n|[.!?:;]+[ \t\r\f\x0B\n]+"
 
 
-def _identifiers(text: Column) -> Column:
-    """Identifiers of the known sentences of a text without line breaks, in order; others are left out."""
+def _telling(sentences: Column) -> Column:
+    """Those of an array that may be known, by words of which each known sentence has one."""
+    return F.filter(sentences, lambda s: (F.length(s) >= min(map(len, SENTENCES.values()))) & s.rlike(r"(?i)licen|rights|permi|redist|copyright|warrant|software|copy"))
+
+
+def _known(sentences: Column) -> Column:
     known = F.create_map(*(F.lit(x) for k, v in SENTENCES.items() for x in (v, k)))
-    longest = max(map(len, SENTENCES.values()))
-    fits = F.filter(F.split(text, _END), lambda s: F.length(s).between(8, 4 * longest) & s.rlike(r"(?i)licen|rights|permi|redist|copyright|warrant|software|copy"))
-    normal = F.transform(fits, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+    normal = F.transform(_telling(sentences), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
     return F.filter(F.transform(normal, lambda s: F.try_element_at(known, s)), lambda k: k.isNotNull())
 
 
+def _identifiers(text: Column) -> Column:
+    """Identifiers of the known sentences of a text without line breaks, in order; others are left out."""
+    return _known(F.split(text, _END))
+
+
+def _by_paragraph(text: Column) -> Column:
+    """Identifiers of wrapped sentences, which end at blank lines too, each followed by those of its lines."""
+    return F.flatten(F.transform(_telling(F.split(text, _END_WRAPPED)), lambda s: _known(F.concat(F.array(s), F.split(s, "\n")))))
+
+
 def recognise(docs: DataFrame) -> DataFrame:
     """doc_id, sentences (identifiers, line by line), licences and classes (sorted, without repeats).
 
@@ -87,9 +102,9 @@ def recognise(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     by_line = F.flatten(F.transform(F.split(text, "\n"), _identifiers))
     wrapped = _identifiers(F.regexp_replace(text, "\n", " "))
-    views = docs.select(F.col("doc_id"), by_line.alias("sentences"), wrapped.alias("wrapped"))
+    views = docs.select(F.col("doc_id"), by_line.alias("sentences"), wrapped.alias("wrapped"), _by_paragraph(text).alias("merged"))
     joined = lambda c: F.concat(F.lit(","), F.array_join(c, ","), F.lit(","))
-    views = views.withColumn("seqs", F.array(joined("sentences"), joined("wrapped")))
+    views = views.withColumn("seqs", F.array(joined("sentences"), joined("wrapped"), joined("merged")))
 
     def has(rules: list[list[str]]) -> Column:
         pattern = "|".join(",(?:[a-z0-9_]+,)*?".join(rule) for rule in rules)

@@ -1,6 +1,7 @@
 import collections
 import math
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -269,6 +270,35 @@ def test_licences(spark):
     assert got[20] == ["GPL-3.0"]
 
 
+GRANT = 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'
+MIT = ["The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM.']
+BSD = [
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+]
+BSD_3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+BSD_END = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.'
+APACHE = [
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at', "    http://www.apache.org/licenses/LICENSE-2.0",
+    'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+]
+
+
+def test_whole_wrapped_licences(spark):
+    right, whole = "Copyright (c) 2020 Foo Bar", {"MIT": ["MIT License", GRANT, *MIT], "BSD-2-Clause": [*BSD, BSD_END], "BSD-3-Clause": [*BSD, BSD_3, BSD_END], "Apache-2.0": APACHE}
+    rows, want = [], {}
+    for name, parts in whole.items():
+        parts = [parts[0], right, *parts[1:]] if name == "MIT" else [right, *parts]
+        for width in (78, 40):
+            for margin, end in (("", "\n"), ("", "\r\n"), (" * ", "\n"), ("#" + " " * 99, "\n")):
+                rows.append((len(rows), end.join(margin + x for p in parts for x in [*textwrap.wrap(p, width, break_long_words=False, break_on_hyphens=False), ""]), "en"))
+                want[len(rows) - 1] = [name]
+    rows.append((len(rows), "\n".join(["The MIT License (MIT)", right, "", *textwrap.wrap(GRANT, 78)]), "en"))
+    rows.append((len(rows), "\n".join([right, "", *textwrap.wrap(MIT[0] + " " + MIT[1], 78), "", *textwrap.wrap(GRANT, 78)]), "en"))
+    want |= {len(rows) - 2: ["MIT"], len(rows) - 1: []}
+    assert {r.doc_id: list(r.licences) for r in license.recognise(nasty(spark, rows)).collect()} == want
+
+
 def test_pipeline(spark, tmp_path):
     docs = nasty(spark).drop(*EXTRA)
     bench(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
