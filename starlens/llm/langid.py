@@ -89,22 +89,36 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: set[tuple[str, int]] = set()
     for part in chunks(batches):
-        texts = [t or b"" for t in part.column(1).to_pylist()]
-        c = [np.minimum(counts(t), 65535).astype("<u2").tobytes() if has_letter(t) else None for t in texts]
-        yield pa.RecordBatch.from_arrays([part.column(2), pa.array(c, pa.binary())], ["lang", "counts"])
+        new: dict[tuple[str, int], bytes] = {}
+        for text, key in zip(part.column(1).to_pylist(), zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True), strict=True):
+            if key not in seen:
+                seen.add(key)
+                new[key] = np.minimum(counts(text), 65535).astype("<u2").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in new], pa.string()), pa.array([k[1] for k in new], pa.int64()), pa.array(new.values(), pa.binary())], ["lang", "key", "counts"])
+
+
+def sample(train: DataFrame, per_language: int) -> DataFrame:
+    """lang, key (hash of the text) and counts of about per_language different texts of each language, and at least one.
+
+    Equal texts of a language count as one, both in the rate and in what is drawn.
+    """
+    known = train.filter("lang is not null").filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text", F.xxhash64("text").alias("key"))
+    draw = F.pmod("key", F.lit(1 << 30))
+    sizes = known.select("lang", "key").distinct().groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("least"))
+    drawn = known.join(F.broadcast(sizes), "lang").filter((draw / float(1 << 30) < F.lit(float(per_language)) / F.col("n")) | (draw == F.col("least")))
+    # Copies are left out within each task, and then across tasks.
+    once = text_rows(drawn, F.col("lang").cast("string").alias("lang"), "key").mapInArrow(_sample_counts, "lang string, key long, counts binary")
+    return once.groupBy("lang", "key").agg(F.max("counts").alias("counts"))
 
 
 def fit(train: DataFrame, per_language: int = 400, clusters: int = 4) -> Model | None:
-    """Learns from text and lang of a sample of about per_language texts of each language (drawn by a hash of the text).
+    """Learns from a sample of about per_language different texts of each language (drawn by a hash of the text).
 
     Rows with null lang, and texts that are null or have no letter, are left out. None if nothing is left.
     """
-    known = train.filter("lang is not null and text is not null").select("doc_id", "lang", "text")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = known.join(F.broadcast(sizes), "lang").filter(draw < F.lit(float(per_language)) / F.col("n"))
-    got = text_rows(drawn, "lang").mapInArrow(_sample_counts, "lang string, counts binary").dropna().collect()
+    got = sample(train, per_language).collect()
     if not got:
         return None
     got.sort(key=lambda r: (r.lang, bytes(r.counts)))

@@ -226,6 +226,17 @@ def test_language(spark, sf_dir):
     assert {r.lang_pred for r in langid.predict(docs, langid.fit(docs.limit(0))).collect()} == {"und"}
 
 
+def test_language_sample_counts_copies_once_and_keeps_each_language(spark):
+    words = {"aa": "uno dos tres", "bb": "eins zwei drei", "cc": "yksi kaksi kolme", "dd": "ichi ni san", "ee": "satu dua tiga", "ff": "moja mbili tatu"}
+    rows = [(k, f"{words[x]} {'x' * (k % 3)}", x) for x in words for k in range(900)] + [(k, f"one two three {'y' * k}", "gg") for k in range(400)] + [(k, f"... {k}", "aa") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = collections.Counter(r.lang for r in langid.sample(docs, 40).collect())
+    assert all(got[x] == 3 for x in words) and 15 < got["gg"] < 80  # 40 are expected
+    few = collections.Counter(r.lang for r in langid.sample(docs, 1).collect())
+    assert set(few) == {*words, "gg"} and max(few.values()) <= 8
+    assert langid.fit(docs, per_language=1).languages == sorted(set(few))
+
+
 def test_toxicity(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     index = toxicity.fit(docs, labels)
