@@ -1,9 +1,11 @@
 """Repeated passages across documents, found with super-k-mers.
 
 A window is so many consecutive words. Its minimiser is the first of its words in a fixed order: longer words come
-first, words of one length in the order of a hash. Long words are rare, so buckets stay even. Runs of
+first, words of one length in the order of a hash. Long words are rare, so most buckets stay even. Runs of
 windows with the same minimiser travel together as one packed string to the minimiser's bucket, where
 the windows are sorted and counted by their words. Equal windows always meet, since they have equal minimisers.
+A first pass adds up the bytes of each bucket; the windows of one that would be too large (around a word that many
+texts share, say) travel one by one to parts of it, chosen by the hash of the whole window, so that equal ones meet still.
 
 Before anything is shuffled, each task settles what it can alone: a window that a document with a smaller id
 in the same few MB also holds is known to be repeated and need not travel. So a passage that a third
@@ -12,6 +14,7 @@ of all documents share is sent about once per few MB of input, not once per docu
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,11 +94,42 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, bytes]:
     return np.stack([docs[at], keys[at], pos.astype(np.int64)]), raw[16 + 16 * m + 8 * n :]
 
 
-def _send(window: int, buckets: int):
+def _minimisers(words: Words, h: np.ndarray, window: int) -> np.ndarray:
+    """For each place the place of the minimiser of the window that begins there."""
+    shorter = (255 - np.minimum(words.ends - words.starts, 255)).astype(np.uint64)
+    return _sliding_min((shorter << np.uint64(56)) | (h >> np.uint64(8)), window)
+
+
+def _weigh(window: int, buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy(forget=True)
+        together, single = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        for part in chunks(batches):
+            w = Words(t for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if i is not None)
+            at = np.flatnonzero(w.pos <= w.sizes[w.owner] - window)
+            if not len(at):
+                continue
+            h = w.hashes()
+            where = _minimisers(w, h, window)[at]
+            to = (h[where] % np.uint64(buckets)).astype(np.int64)
+            np.add.at(single, to, w.ends[at + window - 1] - w.starts[at])
+            a, b = _runs(at, w.owner[at], where)
+            np.add.at(together, to[a], w.ends[at[b] + window - 1] - w.starts[at[a]])
+            del w, at, h, where, to, a, b
+            tidy()
+        k = np.flatnonzero(single)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (k, together[k], single[k])], ["bucket", "together", "single"])
+
+    return run
+
+
+def _send(window: int, buckets: int, parts: dict[int, int]):
     names = ["bucket", "settled", "blob"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tidy(forget=True)
+        parts_of = np.ones(buckets, np.int64)
+        parts_of[list(parts)] = list(parts.values())
         for part in chunks(batches):
             ids, texts, keys = (c.to_pylist() for c in part.columns[:3])
             use = [k for k, i in enumerate(ids) if i is not None]
@@ -106,7 +140,8 @@ def _send(window: int, buckets: int):
             if not len(at):
                 continue
             h = w.hashes()
-            later = _later(w, at, rolled(h, window)[at], doc_ids[w.owner[at]], window)
+            whole = rolled(h, window)[at]
+            later = _later(w, at, whole, doc_ids[w.owner[at]], window)
             tidy()
             out = []
             gone = at[later]
@@ -114,14 +149,18 @@ def _send(window: int, buckets: int):
             if len(a):
                 o = w.owner[gone[a]]
                 spans = np.stack([doc_ids[o], keys[o], w.pos[gone[a]], w.pos[gone[b]] + window]).astype("<i8")
-                out.append((int(keys[o[0]] % buckets), True, spans.tobytes()))
-            shorter = (255 - np.minimum(w.ends - w.starts, 255)).astype(np.uint64)
-            where = _sliding_min((shorter << np.uint64(56)) | (h >> np.uint64(8)), window)
-            rest = at[~later]
+                out.append((zlib.crc32(spans.tobytes()) % buckets, True, spans.tobytes()))
+            where = _minimisers(w, h, window)
+            rest, whole = at[~later], whole[~later]
+            to = (h[where[rest]] % np.uint64(buckets)).astype(np.int64)
+            alone = parts_of[to] > 1
+            one = rest[alone]
+            to_one = to[alone] + buckets * (whole[alone] % parts_of[to[alone]].astype(np.uint64)).astype(np.int64)
+            rest, to = rest[~alone], to[~alone]
             a, b = _runs(rest, w.owner[rest], where[rest])
-            to = (h[where[rest[a]]] % np.uint64(buckets)).astype(np.int64)
+            a, b, to = np.concatenate([rest[a], one]), np.concatenate([rest[b], one]) + window - 1, np.concatenate([to[a], to_one])
             order = np.argsort(to, kind="stable")
-            a, b, to = rest[a[order]], rest[b[order]] + window - 1, to[order]
+            a, b, to = a[order], b[order], to[order]
             strings = [w.buffer[i:j] for i, j in zip(w.starts[a].tolist(), w.ends[b].tolist(), strict=True)]
             cuts = [0, *(np.flatnonzero(np.diff(to)) + 1).tolist(), len(to)]
             o = w.owner[a]
@@ -129,7 +168,7 @@ def _send(window: int, buckets: int):
                 if j > i:
                     out.append((int(to[i]), False, _packed(doc_ids, keys, o[i:j], w.pos[a[i:j]], strings[i:j])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.bool_(), pa.binary()), strict=True)], names)
-            del w, h, where, strings, out
+            del w, h, whole, where, strings, out
             tidy()
 
     return run
@@ -175,13 +214,21 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tidy()
 
 
-def repeated_spans(docs: DataFrame, window: int = 13, bucket_bytes: int = 5 << 19) -> DataFrame:
-    """doc_id, key (hash of the text), first, end: word ranges covered by windows that a smaller doc_id also holds. Ranges may overlap."""
+def send(docs: DataFrame, window: int, bucket_bytes: int, most: int = 8) -> DataFrame:
+    """bucket, settled, blob: windows on their way to their buckets. A bucket of more than `most` times bucket_bytes is divided by the hash of its windows."""
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key")
     total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = 1 + total // bucket_bytes
-    sent = text_rows(docs, key).mapInArrow(_send(window, buckets), "bucket long, settled boolean, blob binary")
-    return sent.groupBy("bucket").applyInArrow(_count(window), _SPANS)
+    parts: dict[int, int] = {}
+    if total * window > most * bucket_bytes:  # else none can be larger
+        sizes = text_rows(docs).mapInArrow(_weigh(window, buckets), "bucket long, together long, single long").groupBy("bucket").agg(F.sum("together").alias("together"), F.sum("single").alias("single"))
+        parts = {r.bucket: 1 + r.single // (most * bucket_bytes // 2) for r in sizes.filter(F.col("together") > most * bucket_bytes).collect()}
+    return text_rows(docs, key).mapInArrow(_send(window, buckets, parts), "bucket long, settled boolean, blob binary")
+
+
+def repeated_spans(docs: DataFrame, window: int = 13, bucket_bytes: int = 5 << 19) -> DataFrame:
+    """doc_id, key (hash of the text), first, end: word ranges covered by windows that a smaller doc_id also holds. Ranges may overlap."""
+    return send(docs, window, bucket_bytes).groupBy("bucket").applyInArrow(_count(window), _SPANS)
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, carry: list[str] | None = None) -> DataFrame:

@@ -176,6 +176,39 @@ def test_passages_across_batches(spark):
     assert {r.row.doc_id: r.n_removed for r in substring.remove_repeats(docs).collect()} == want
 
 
+def test_word_that_many_texts_share_fills_no_bucket(spark):
+    rng = random.Random(8)
+    rows, passage = [], [f"p{k}" for k in range(30)]
+    for k in range(1500):
+        w = [f"{rng.randint(0, 10**6)}" for _ in range(40)]
+        if k % 3 == 0:
+            w[20:20] = ["https://example.org/one-signature-of-a-source"]
+        if k % 30 == 0:
+            w[15:25] = [*passage[: 15 + k % 7], "https://example.org/one-signature-of-a-source", *passage[15:]]
+        rows.append((k, " ".join(w), "en"))
+    first, want = {}, {}
+    for k, t, _ in rows:
+        w = t.split()
+        for i in range(len(w) - 12):
+            first.setdefault(tuple(w[i : i + 13]), k)
+    for k, t, _ in rows:
+        w = t.split()
+        want[k] = {j for i in range(len(w) - 12) if first[tuple(w[i : i + 13])] < k for j in range(i, i + 13)}
+    docs = nasty(spark, rows).repartition(5, "doc_id")
+
+    def largest(**most):
+        size = collections.Counter()
+        for r in substring.send(docs, 13, 2000, **most).filter("not settled").collect():
+            size[r.bucket] += len(substring._unpacked(bytes(r.blob))[1])
+        return max(size.values())
+
+    assert largest(most=10**9) > 80_000 and largest() < 16_000
+    got = collections.defaultdict(set)
+    for r in substring.repeated_spans(docs, bucket_bytes=2000).collect():
+        got[r.doc_id] |= set(range(r.first, r.end))
+    assert {k: got[k] for k in want} == want and any(want.values())
+
+
 def test_near_duplicates_on_odd_rows(spark):
     got = {(r.doc_id, r.component_id, r.n_shingles) for r in neardup.classes(nasty(spark)).collect()}
     assert {(6, 6, 58), (12, 6, 58), (7, 6, 60), (8, 8, 1), (9, 8, 1), (1, 1, 0), (2, 2, 0), (None, None, 58)} <= got
