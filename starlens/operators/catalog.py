@@ -225,9 +225,11 @@ def union_filter_unknowns(spark, sf):
 
 @query("select c_nationkey, case when n > 20 then array_to_string(a[1:20], ', ') || ' (+' || (n - 20) || ' more)' else array_to_string(a, ', ') end as names from (select c_nationkey, list(c_name order by c_name) as a, count(*) as n from customer group by 1)")
 def capped_list(spark, sf):
-    g = lake(spark, sf, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list("c_name")).alias("a"))
-    head = F.array_join(F.slice("a", 1, 20), ", ")
-    return g.select("c_nationkey", F.when(F.size("a") > 20, F.concat(head, F.lit(" (+"), (F.size("a") - 20).cast("string"), F.lit(" more)"))).otherwise(head).alias("names"))
+    c = lake(spark, sf, "customer").select("c_nationkey", "c_name")
+    first = c.withColumn("r", F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.asc_nulls_last("c_name")))).filter("r <= 20")
+    first = first.groupBy(_c("c_nationkey").alias("k")).agg(F.array_join(F.array_sort(F.collect_list("c_name")), ", ").alias("head"))
+    g = c.groupBy("c_nationkey").agg(F.count("*").alias("n")).join(first, _c("c_nationkey").eqNullSafe(_c("k")))
+    return g.select("c_nationkey", F.when(_c("n") > 20, F.concat("head", F.lit(" (+"), (_c("n") - 20).cast("string"), F.lit(" more)"))).otherwise(_c("head")).alias("names"))
 
 
 @query("select p_partkey, case when p_type like 'STANDARD%' then 'Plain' when p_type like '%BRASS' then 'Brass' when p_type like '%O%' then 'Other' end as folder from part where p_type like 'STANDARD%' or p_type like '%BRASS' or p_type like '%O%'")

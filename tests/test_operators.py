@@ -36,3 +36,12 @@ def test_longest_paths_take_the_longer_branch_and_leave_cycles_out(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x"), ("z", "x")], "src string, dst string")
     nodes = spark.createDataFrame([(x,) for x in "abcxyz"], "name string")
     assert {r.name: r.depth for r in catalog.longest_paths(nodes, e).collect()} == {"a": 2, "b": 1, "c": 0}
+
+
+def test_capped_list_keeps_twenty_names_before_it_gathers_them(spark, tmp_path):
+    rows = [(1, f"c{k:03}") for k in range(30)] + [(2, "b"), (2, "a"), (2, "a"), (None, "x"), (3, None)] + [(4, None)] + [(4, f"d{k:02}") for k in range(20)]
+    spark.createDataFrame(rows, "c_nationkey int, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    df = catalog.capped_list(spark, str(tmp_path))
+    d = ", ".join(f"d{k:02}" for k in range(20))
+    assert {r.c_nationkey: r.names for r in df.collect()} == {1: ", ".join(f"c{k:03}" for k in range(20)) + " (+10 more)", 2: "a, a, b", None: "x", 3: "", 4: d + " (+1 more)"}
+    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
