@@ -238,10 +238,36 @@ def test_large_family_in_blocks_against_brute_force(spark):
             if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 up[y] = x
-    got = {r.doc_id: r.component_id for r in neardup.classes(nasty(spark, rows), block_docs=16).collect()}
+    got = {r.doc_id: r.component_id for r in neardup.classes(nasty(spark, rows), block_docs=16, block_registers=24).collect()}
     assert got == {k: find(k) for k in sets}
 
 
+def test_each_pair_of_different_comps_meets_once(spark):
+    rng = random.Random(4)
+    rows = [(g, (0 if k % 3 else k) + 1000 * g, 10_000 * g + k, rng.randint(1, 9)) for g, n in ((1, 90), (2, 3), (3, 40)) for k in range(n)] + [(4, 4000, 40_000 + k, 1) for k in range(50)]
+    met = collections.defaultdict(list)
+    for r in neardup._dealt(spark.createDataFrame(rows, "group long, comp long, node long, bytes long"), 8, 10**6).collect():
+        met[r.group, r.task].append(r)
+    seen = collections.Counter()
+    for part in met.values():
+        for k, x in enumerate(part):
+            seen.update(tuple(sorted((x.node, y.node))) for y in part[k + 1 :] if x.comp != y.comp and (not x.cross or x.block != y.block))
+        assert len(part) <= 60
+    want = {tuple(sorted((x[2], y[2]))) for k, x in enumerate(rows) for y in rows[k + 1 :] if x[0] == y[0] and x[1] != y[1]}
+    assert set(seen) == want and set(seen.values()) == {1}
+
+
+def test_texts_that_share_much_but_not_enough_are_not_sent_again(spark, monkeypatch):
+    rng, sent = random.Random(6), []
+    rows = [(k, " ".join([f"b{x}" for x in range(85)] + [f"u{rng.random()}" for _ in range(63)]), "en") for k in range(300)]
+    compared = neardup._compared
+    monkeypatch.setattr(neardup, "_compared", lambda percent, count, shingle: sent.append(shingle) or compared(percent, count, shingle))
+    dealt = neardup._dealt
+    monkeypatch.setattr(neardup, "_dealt", lambda *a: sent.append(dealt(*a)) or sent[-1])
+    assert neardup.classes(nasty(spark, rows)).filter("doc_id <> component_id").count() == 0
+    assert sent[1] is None and sent[3] == 3 and sent[2].count() == 0 and sent[0].count() > 0
+
+
 def test_register_estimate():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**63, 3000).astype(np.uint64)
