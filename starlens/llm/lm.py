@@ -1,11 +1,13 @@
 """Log-bilinear language model, trained with noise-contrastive estimation.
 
-Word counts come from all training texts. The commonest words are classes of their own; every other word belongs to
-the class of its ending. The neural part predicts the next class from the two before it: a bilinear form of the
-context's vectors with the class's vector, trained by noise-contrastive estimation on the class
-trigrams of all training texts. At scoring time a batched matrix product and a softmax give normalised log probabilities
-for every context. Within a class, words have their share of the class's count, less what unseen words get
-(the share of words seen once). The probabilities of all known words and of one unseen word per class add up to 1.
+Word counts come from all training texts. The commonest words are units of their own, thousands of them once the corpus
+is large enough; every other word belongs to the unit of its ending. The model predicts the next unit from the two words
+before it: the sum of a vector for the nearer and one for the farther word, times the vector of the predicted unit,
+plus its bias. It is trained by noise-contrastive estimation on every word of all training texts, in tasks whose
+parameters are averaged after each round. The score is bilinear, so the normalising sums of all contexts are
+one matrix product: the exponentials of the nearer words' scores times those of the farther words'. Within the unit of an ending,
+words have their share of its count, less what unseen words get (the share of words seen once). The probabilities of all
+known words and of one unseen word per ending add up to 1.
 """
 
 from __future__ import annotations
@@ -17,26 +19,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Words, chunks, cut, text_rows
+from .common import LOWER, Words, chunks, cut, text_rows, tidy
 
-HEAD, ENDINGS, DIM, NOISE = 96, 64, 24, 12
-#: classes: common words, endings, the end of a text, the time before its first word
-END, START = HEAD + ENDINGS, HEAD + ENDINGS + 1
-CLASSES = START + 1
+#: most units of single words (a word needs LEAST occurrences), of those the ones told apart as the farther word; endings
+HEAD, FAR, LEAST, ENDINGS = 3840, 512, 20, 128
+#: length of vectors; noise words of a batch; words of a batch; rounds of averaging in a pass over the corpus; words that passes add up to at least
+DIM, NOISE, BATCH, ROUNDS, LONG = 24, 64, 2048, 4, 300_000
 _c = F.col
 
 
-def _ending() -> np.ndarray:
-    """The ending class of each pair of last bytes (of one byte: itself after a zero)."""
-    return np.asarray([zlib.crc32(bytes(x for x in (k >> 8, k & 255) if x)) % ENDINGS for k in range(1 << 16)], np.int64) + HEAD
+def _ending(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % ENDINGS
+
+
+#: the ending of each pair of last bytes (of one byte: itself after a zero)
+_TABLE = np.asarray([_ending(bytes(x for x in (k >> 8, k & 255) if x)) for k in range(1 << 16)], np.int64)
 
 
 def _ending_sql(word):
-    last = F.expr(f"substring({word}, -2, 2)")
-    return (F.crc32(last) % ENDINGS + HEAD).cast("int")
+    return (F.crc32(F.expr(f"substring({word}, -2, 2)")) % ENDINGS).cast("int")
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,97 +70,93 @@ class Known:
 
     words: np.ndarray  # hashes, sorted
     n: np.ndarray
-    kind: np.ndarray  # class
+    unit: np.ndarray
+    head: int  # how many words are units of their own
+    far: np.ndarray  # the unit of each unit as the farther word
     total: int
     distinct: int
-    of_class: np.ndarray  # count of all words of a class
-    unseen: np.ndarray  # share of a class that unseen words get
+    of_unit: np.ndarray  # count of all words of a unit
+    unseen: np.ndarray  # share of a unit that unseen words get
+
+    @property
+    def end(self) -> int:
+        return self.head + ENDINGS
+
+    @property
+    def noise(self) -> np.ndarray:
+        n = self.of_unit + 0.5
+        return n / n.sum()
 
-    def classes(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """The class of each word, and its count where it is among the commonest (else 0)."""
+    def units(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The unit of each word, and its count where it is among the commonest (else 0)."""
         h = w.hashes()
         at = np.minimum(np.searchsorted(self.words, h), max(len(self.words) - 1, 0))
         hit = self.words[at] == h if len(self.words) else np.zeros(len(h), bool)
         raw = np.frombuffer(w.buffer, np.uint8).astype(np.int64)
         last, size = w.ends - 1, w.ends - w.starts
-        kind = _TABLE[np.where(size > 1, raw[np.maximum(last - 1, 0)], 0) << 8 | raw[last]] if len(raw) else np.zeros(0, np.int64)
-        kind[hit] = self.kind[at[hit]]
-        return kind, np.where(hit, self.n[at] if len(self.n) else 0, 0)
+        unit = self.head + _TABLE[np.where(size > 1, raw[np.maximum(last - 1, 0)], 0) << 8 | raw[last]] if len(raw) else np.zeros(0, np.int64)
+        unit[hit] = self.unit[at[hit]]
+        return unit, np.where(hit, self.n[at] if len(self.n) else 0, 0)
 
+    def sequence(self, w: Words, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The units of all words and ends, and the text of each."""
+        size = w.sizes + 1
+        out = np.full(int(size.sum()), self.end, np.int64)
+        out[np.arange(len(unit)) + w.owner] = unit
+        return out, np.repeat(np.arange(len(size)), size)
 
-_TABLE = _ending()
+    def contexts(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit before each unit, and that before it as the farther word; end + 1 before a text begins."""
+        one, two = np.full_like(flat, self.end), np.full_like(flat, self.end)
+        one[1:], two[2:] = flat[:-1], flat[:-2]
+        two[one == self.end] = self.end
+        return one + (one == self.end), self.far[two + (two == self.end)]
 
 
 def known_words(table: DataFrame, n_docs: int, most: int = 200_000) -> Known:
-    """Collects at most `most` of the commonest words: those above a count that fewer words exceed."""
-    sizes = table.groupBy("n").agg(F.count("*").alias("words"))
-    above = Window.orderBy(_c("n").desc())
-    floor = sizes.select("n", F.sum("words").over(above).alias("upto")).filter(_c("upto") <= most).agg(F.min("n")).first()[0]
-    got = [(bytes(r.word), r.n) for r in table.filter(_c("n") >= floor).toLocalIterator()] if floor is not None else []
-    got.sort(key=lambda r: (-r[1], r[0]))
-    kind = _ending_sql("word")
-    stats = table.select("n", kind.alias("kind"), "word")
-    head = [w for w, _ in got[:HEAD]]
-    ends = {r.kind: r for r in stats.filter(~_c("word").isin(head) if head else F.lit(True)).groupBy("kind").agg(F.sum("n").alias("n"), F.sum((_c("n") == 1).cast("long")).alias("once"), F.count("*").alias("v")).collect()}
-    of_class, unseen = np.ones(CLASSES), np.zeros(CLASSES)
-    for k, r in ends.items():
-        of_class[k], unseen[k] = r.n, min(0.9, (r.once + 1) / (r.n + 2))
-    for k in range(HEAD, HEAD + ENDINGS):
-        if k not in ends:
-            unseen[k] = 1.0
-    w = Words([x for x, _ in got], split=False)
-    h = w.hashes()
-    order = np.argsort(h)
-    kinds = np.asarray([zlib.crc32(x[-2:]) % ENDINGS + HEAD for x, _ in got], np.int64)
-    kinds[: len(head)] = np.arange(len(head))
+    """Collects the `most` commonest words, equally common ones in the order of their bytes."""
+    got = [(bytes(r.word), r.n) for r in table.orderBy(_c("n").desc(), "word").limit(most).collect()]
+    head = min(HEAD, sum(n >= LEAST for _, n in got))
+    ending = np.asarray([_ending(w) for w, _ in got], np.int64)
     n = np.asarray([x for _, x in got], np.int64)
-    for k in range(len(head)):
-        of_class[k] = n[k]
+    stats = table.groupBy(_ending_sql("word").alias("ending")).agg(F.sum("n").alias("n"), F.sum((_c("n") == 1).cast("long")).alias("once")).collect()
+    of_unit, unseen = np.zeros(head + ENDINGS + 1), np.zeros(head + ENDINGS + 1)
+    of_unit[:head], of_unit[-1], unseen[head:-1] = n[:head], n_docs, 1.0
+    mine = np.bincount(ending[:head], n[:head], ENDINGS)
+    for r in stats:
+        if (rest := r.n - int(mine[r.ending])) > 0:
+            of_unit[head + r.ending], unseen[head + r.ending] = rest, min(0.9, (r.once + 1) / (rest + 2))
+    few = min(FAR, head)
+    far = np.concatenate([np.where(np.arange(head) < few, np.arange(head), few + ending[:head]), few + np.arange(ENDINGS), [few + ENDINGS] * 2]).astype(np.int64)
+    h = Words([x for x, _ in got], split=False).hashes()
+    order = np.argsort(h)
+    unit = np.where(np.arange(len(got)) < head, np.arange(len(got)), head + ending)
     row = table.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    return Known(h[order], n[order], kinds[order], row.n + n_docs, row.v + (n_docs > 0), of_class, unseen)
-
+    return Known(h[order], n[order], unit[order], head, far, row.n + n_docs, row.v + (n_docs > 0), of_unit, unseen)
 
-def _sequences(w: Words, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class codes (two before, one before, itself) of all words and ends; and the text of each."""
-    size = w.sizes + 1
-    first = np.cumsum(size) - size
-    flat = np.full(int(size.sum()), END, np.int64)
-    flat[np.arange(len(kind)) + w.owner] = kind
-    one, two = np.full_like(flat, START), np.full_like(flat, START)
-    one[1:], two[2:] = flat[:-1], flat[:-2]
-    one[first] = START
-    two[first] = START
-    second = first[size > 1] + 1
-    two[second] = START
-    return (two * CLASSES + one) * CLASSES + flat, np.repeat(np.arange(len(size)), size)
 
-
-def _trigrams(held):
+def _encode(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Known = held.value
-        codes, ns = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for part in chunks(batches):
             w = Words(part.column(1).to_pylist(), lower=True)
-            c, n = np.unique(_sequences(w, known.classes(w)[0])[0], return_counts=True)
-            codes, at = np.unique(np.concatenate([codes, c]), return_inverse=True)
-            ns = np.bincount(at, np.concatenate([ns, n])).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(ns)], ["code", "n"])
+            flat = known.sequence(w, known.units(w)[0])[0].astype("<u2")
+            yield pa.RecordBatch.from_arrays([pa.array([len(flat)]), pa.array([flat.tobytes()], pa.binary())], ["n", "units"])
+        tidy()
 
     return run
 
 
 class Net:
-    """Vectors of context classes and of predicted classes, a matrix for each place of the context, a bias per class."""
+    """Vectors of the nearer word, the farther word and the predicted unit, and a bias per unit."""
 
-    NAMES = ("context", "target", "near", "far", "bias")
+    NAMES = ("near", "far", "target", "bias")
 
-    def __init__(self, noise: np.ndarray) -> None:
-        rng = np.random.default_rng(7)
-        self.context = rng.normal(0, 0.3, (CLASSES, DIM)).astype(np.float32)
-        self.target = rng.normal(0, 0.3, (CLASSES, DIM)).astype(np.float32)
-        self.near = np.eye(DIM, dtype=np.float32)
-        self.far = 0.5 * np.eye(DIM, dtype=np.float32)
-        self.bias = np.log(noise).astype(np.float32)
+    def __init__(self, known: Known) -> None:
+        rng, size = np.random.default_rng(7), known.end + 1
+        self.noise = known.noise
+        self.near, self.far, self.target = (rng.normal(0, 0.2, (n, DIM)).astype(np.float32) for n in (size + 1, int(known.far.max()) + 1, size))
+        self.bias = np.log(self.noise).astype(np.float32)
 
     def dump(self) -> bytes:
         return b"".join(getattr(self, k).astype("<f4").tobytes() for k in self.NAMES)
@@ -169,112 +169,118 @@ class Net:
             at += 4 * x.size
         return self
 
-    def predicted(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
-        return self.context[one] @ self.near + self.context[two] @ self.far
-
-    def train(self, codes: np.ndarray, n: np.ndarray, noise: np.ndarray, rng: np.random.Generator, rate: float, batch: int = 4096) -> None:
-        """One pass; each trigram once, weighted by its count (damped steps by Adagrad)."""
-        grads = {k: np.full(getattr(self, k).shape, 1e-4, np.float32) for k in self.NAMES}
-        log_noise = np.log(noise * NOISE).astype(np.float32)
-        cumulative = np.cumsum(noise)
-        for at in np.array_split(rng.permutation(len(codes)), max(1, len(codes) // batch)):
-            c, weight = codes[at], n[at].astype(np.float32)
-            weight = weight / weight.sum()
-            two, one, word = c // CLASSES**2, c // CLASSES % CLASSES, c % CLASSES
-            drawn = np.minimum(np.searchsorted(cumulative, rng.random(NOISE * 64)), CLASSES - 1).reshape(64, NOISE)[np.arange(len(c)) % 64]
-            words = np.concatenate([word[:, None], drawn], 1)
-            p = self.predicted(two, one)
-            q = self.target[words]
-            s = np.einsum("bd,bkd->bk", p, q) + self.bias[words] - log_noise[words]
-            g = -1 / (1 + np.exp(-np.clip(s, -30, 30)))
-            g[:, 0] += 1
-            g *= weight[:, None]
-            gp = np.einsum("bk,bkd->bd", g, q)
-            step = {
-                "near": self.context[one].T @ gp, "far": self.context[two].T @ gp,
-                "bias": np.bincount(words.ravel(), g.ravel(), CLASSES),
-                "target": _summed(words.ravel(), (g[:, :, None] * p[:, None, :]).reshape(-1, DIM)),
-                "context": _summed(one, gp @ self.near.T) + _summed(two, gp @ self.far.T),
-            }
-            for k, x in step.items():
-                grads[k] += x * x
-                setattr(self, k, (getattr(self, k) + rate * x / np.sqrt(grads[k])).astype(np.float32))
-
-    def log10_table(self) -> np.ndarray:
-        """log10 P(class | two before, one before) as [two * CLASSES + one, class]: matrix products, then a softmax."""
-        out = np.empty((CLASSES * CLASSES, CLASSES), np.float32)
-        one = np.arange(CLASSES)
-        for two in range(CLASSES):
-            s = self.predicted(np.full(CLASSES, two), one) @ self.target.T + self.bias
-            s[:, START] = -np.inf
-            s -= s.max(1, keepdims=True)
-            out[two * CLASSES : (two + 1) * CLASSES] = (s - np.log(np.exp(s).sum(1, keepdims=True))) / np.log(10)
+    def trainer(self, rate: float, seed: int):
+        """Trains on units and their contexts; each batch shares its noise words (steps by Adagrad)."""
+        rng = np.random.default_rng(seed)
+        past = {k: np.ones(getattr(self, k).shape, np.float32) for k in self.NAMES}
+        log_noise = np.log(self.noise * NOISE).astype(np.float32)
+        cumulative = np.cumsum(self.noise)
+
+        def move(name: str, rows: np.ndarray, x: np.ndarray) -> None:
+            order = np.argsort(rows, kind="stable")
+            begin = np.flatnonzero(np.diff(rows[order], prepend=-1))
+            at, step = rows[order[begin]], np.add.reduceat(x[order], begin, axis=0)
+            past[name][at] += step * step
+            getattr(self, name)[at] += rate * step / np.sqrt(past[name][at])
+
+        def train(word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+            for at in np.array_split(rng.permutation(len(word)), -(-len(word) // BATCH)):
+                w, i, j = word[at], one[at], two[at]
+                drawn = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(cumulative) - 1)
+                p, t, q = self.near[i] + self.far[j], self.target[w], self.target[drawn]
+                right = 1 / (1 + np.exp(np.clip(np.einsum("bd,bd->b", p, t) + self.bias[w] - log_noise[w], -30, 30)))
+                wrong = -1 / (1 + np.exp(np.clip(log_noise[drawn] - self.bias[drawn] - p @ q.T, -30, 30)))
+                back = right[:, None] * t + wrong @ q
+                rows = np.concatenate([w, drawn])
+                move("near", i, back)
+                move("far", j, back)
+                move("target", rows, np.concatenate([right[:, None] * p, wrong.T @ p]))
+                move("bias", rows, np.concatenate([right, wrong.sum(0)]))
+
+        return train
+
+    def log_sums(self) -> np.ndarray:
+        """The logarithm of the sum over all units, for every nearer and every farther word: one matrix product."""
+        far = self.far @ self.target.T + self.bias
+        top = far.max(1)
+        far = np.exp(far - top[:, None]).T
+        out = np.empty((len(self.near), len(self.far)), np.float32)
+        for k in range(0, len(out), 512):
+            near = self.near[k : k + 512] @ self.target.T
+            most = near.max(1, keepdims=True)
+            out[k : k + 512] = np.log(np.exp(near - most) @ far) + most + top
         return out
 
-
-def _summed(rows: np.ndarray, x: np.ndarray) -> np.ndarray:
-    order = np.argsort(rows, kind="stable")
-    r = rows[order]
-    begin = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-    out = np.zeros((CLASSES, x.shape[1]), np.float32)
-    out[r[begin]] = np.add.reduceat(x[order], begin, axis=0)
-    return out
+    def log10(self, word: np.ndarray, one: np.ndarray, two: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """log10 P(unit | nearer, farther word)."""
+        out = np.empty(len(word), np.float32)
+        for k in range(0, len(word), 1 << 16):
+            w, i, j = (x[k : k + (1 << 16)] for x in (word, one, two))
+            out[k : k + (1 << 16)] = np.einsum("bd,bd->b", self.near[i] + self.far[j], self.target[w]) + self.bias[w] - sums[i, j]
+        return out / np.float32(np.log(10))
 
 
-def _train(held, noise: np.ndarray, rate: float):
+def _train(known_held, net_held, k: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [(np.asarray(b.column(0)), np.asarray(b.column(1))) for b in batches if b.num_rows]
-        if not got:
-            return
-        codes, n = (np.concatenate(x) for x in zip(*got, strict=True))
-        order = np.argsort(codes)
-        net = Net(noise).load(held.value)
-        net.train(codes[order], n[order], noise, np.random.default_rng(len(codes)), rate)
-        yield pa.RecordBatch.from_arrays([pa.array([float(n.sum())]), pa.array([net.dump()], pa.binary())], ["weight", "net"])
+        known: Known = known_held.value
+        net, total = Net(known).load(net_held.value), 0
+        train = net.trainer(rate, k)
+        for batch in batches:
+            for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                flat = np.frombuffer(raw, "<u2").astype(np.int64)
+                one, two = known.contexts(flat)
+                mine = slice(n * (k % ROUNDS) // ROUNDS, n * (k % ROUNDS + 1) // ROUNDS)
+                if len(flat[mine]):
+                    train(flat[mine], one[mine], two[mine])
+                    total += len(flat[mine])
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array([float(total)]), pa.array([net.dump()], pa.binary())], ["weight", "net"])
 
     return run
 
 
-def train_net(trigrams: DataFrame, parts: int = 8, rounds: int = 6) -> Net:
-    """Parallel training with averaged parameters. There are at most CLASSES^3 different trigrams whatever the input, so the
-    parts are of bounded size; each round sends one set of parameters (about 40 KB) per part to the driver."""
-    sc = trigrams.sparkSession.sparkContext
-    unigram = np.full(CLASSES, 0.5)
-    for r in trigrams.groupBy((_c("code") % CLASSES).alias("k")).agg(F.sum("n").alias("n")).collect():
-        unigram[r.k] += r.n
-    noise = unigram / unigram.sum()
-    net = Net(noise)
-    rows = cut(trigrams.repartition(parts, F.xxhash64("code")))
-    for k in range(rounds):
-        held = sc.broadcast(net.dump())
-        got = rows.mapInArrow(_train(held, noise, 0.15 / (1 + k)), "weight double, net binary").collect()
-        if not got:
-            break
-        nets = sorted((r.weight, bytes(r.net)) for r in got)
-        total = sum(w for w, _ in nets)
-        mean = sum(np.frombuffer(x, "<f4").astype(np.float64) * (w / total) for w, x in nets)
-        net.load(mean.astype("<f4").tobytes())
-    return net
+def _mean(table: pa.Table) -> pa.Table:
+    rows = sorted(zip(table.column("weight").to_pylist(), table.column("net").to_pylist(), strict=True))
+    total = sum(w for w, _ in rows)
+    mean = sum(np.frombuffer(x, "<f4").astype(np.float64) * (w / total) for w, x in rows)
+    return pa.table([table.column("part")[:1], pa.array([total]), pa.array([mean.astype("<f4").tobytes()], pa.binary())], names=["part", "weight", "net"])
 
 
-_LOCAL: dict[int, np.ndarray] = {}
+def train_net(coded: DataFrame, known_held, fan: int = 32) -> Net:
+    """Rounds of training in parallel, each on a part of every text's words; then the mean of the parameters (about 1 MB).
+
+    The mean is taken of `fan` at a time, in as many levels as it needs, so that one set alone comes to the driver.
+    Small corpora are passed several times, until LONG words are reached or 8 passes.
+    """
+    sc = coded.sparkSession.sparkContext
+    net = Net(known_held.value)
+    words = coded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    for k in range(ROUNDS * min(8, max(1, LONG // max(words, 1))) if words else 0):
+        made = coded.mapInArrow(_train(known_held, sc.broadcast(net.dump()), k, 0.02), "weight double, net binary").select(F.spark_partition_id().cast("long").alias("part"), "weight", "net")
+        n = coded.rdd.getNumPartitions()
+        while n > 1:
+            n = -(-n // fan)
+            made = made.withColumn("part", _c("part") % n).groupBy("part").applyInArrow(_mean, "part long, weight double, net binary")
+        for r in made.collect():
+            net.load(bytes(r.net))
+    return net
 
 
-def _score(known_held, net_held, noise_free: Net):
+def _score(known_held, net_held, sums_held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Known = known_held.value
-        table = noise_free.load(net_held.value).log10_table().ravel()
-        within = np.log10((1 - known.unseen) / known.of_class)
+        net, sums = Net(known).load(net_held.value), sums_held.value
+        within = np.log10(np.maximum(1 - known.unseen, 1e-300) / np.maximum(known.of_unit, 1))
         for part in chunks(batches):
             ids, texts, keys = (c.to_pylist() for c in part.columns[:3])
             w = Words(texts, lower=True)
-            kind, n = known.classes(w)
-            codes, owner = _sequences(w, kind)
+            unit, n = known.units(w)
+            flat, owner = known.sequence(w, unit)
             docs = len(ids)
-            neural = np.bincount(owner, table[codes], docs)
+            neural = np.bincount(owner, net.log10(flat, *known.contexts(flat), sums), docs)
             common = n > 0
-            sums = lambda v: np.bincount(w.owner[common], v[common], docs)  # noqa: B023, E731
-            base, inner = sums(np.log10(n + 1.0)), sums(np.log10(np.maximum(n, 1)) + within[kind] * (kind >= HEAD) - np.log10(np.maximum(n, 1)) * (kind < HEAD))
+            add = lambda v: np.bincount(w.owner[common], v[common], docs)  # noqa: B023, E731
+            base, inner = add(np.log10(n + 1.0)), add(np.where(unit >= known.head, np.log10(np.maximum(n, 1)) + within[unit], 0.0))
             n_known = np.bincount(w.owner[common], minlength=docs)
             yield _rows(ids, keys, [b"\x20" + repr((i, k)).encode() for i, k in zip(ids, keys, strict=True)], np.ones(docs), np.zeros(docs), w.sizes + 1, n_known, base, neural + inner)
             rare = np.flatnonzero(~common)
@@ -300,7 +306,7 @@ def train_and_score(docs: DataFrame, train: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score (log10) for every row of docs.
 
     A null or empty text is one token, its end. Without training texts every token has probability 1/(0+0+1) in
-    base_score, and score comes from untrained parameters. Repeated rows are each scored alike; a null doc_id is a value
+    base_score, and score comes from untrained parameters. An empty `docs` gives no rows. Repeated rows are each scored alike; a null doc_id is a value
     like any other; extra columns are ignored; texts are read whole, whatever their length. Rare words (all but a fixed
     number of the commonest) meet their counts in a join, so nothing that grows with the corpus is broadcast.
     """
@@ -309,14 +315,13 @@ def train_and_score(docs: DataFrame, train: DataFrame) -> DataFrame:
     table = cut(counts(train))
     known = known_words(table, n_docs)
     held = sc.broadcast(known)
-    tri = cut(text_rows(train).mapInArrow(_trigrams(held), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
-    net = train_net(tri)
+    net = train_net(cut(text_rows(train).mapInArrow(_encode(held), "n long, units binary")), held)
     key = F.xxhash64(F.coalesce(_c("text").cast("string"), F.lit(""))).alias("key")
-    parts = text_rows(docs, key).mapInArrow(_score(held, sc.broadcast(net.dump()), Net(np.full(CLASSES, 1 / CLASSES))), _PARTS)
+    parts = text_rows(docs, key).mapInArrow(_score(held, sc.broadcast(net.dump()), sc.broadcast(net.log_sums())), _PARTS)
     kind = _ending_sql("word")
-    at = lambda x: F.get(F.lit(np.log10(np.maximum(x, 1e-300))), kind)
+    at = lambda x: F.get(F.lit(np.log10(np.maximum(x[known.head : known.end], 1e-300))), kind)
     c = F.coalesce("n", F.lit(0))
-    seen = _c("times") * F.when(c > 0, F.log10(c) + at((1 - known.unseen) / known.of_class)).otherwise(at(known.unseen))
+    seen = _c("times") * F.when(c > 0, F.log10(c) + at((1 - known.unseen) / np.maximum(known.of_unit, 1))).otherwise(at(known.unseen))
     met = parts.join(table, "word", "left").select(
         "doc_id", "key", "is_doc", (_c("n_tokens")).alias("t"), (_c("n_known") + F.when(c > 0, _c("times")).otherwise(0)).alias("k"),
         (_c("base") + _c("times") * F.log10(c + 1.0)).alias("b"), (_c("score") + F.when(_c("times") > 0, seen).otherwise(0.0)).alias("s"),
