@@ -1,15 +1,17 @@
 """Toxicity by the nearest labelled examples.
 
-Examples and texts are TF-IDF vectors over terms (words, and beginnings and ends of words) that tell the two labels
-apart. The nearest examples by exact cosine come from an inverted index with a maximum for each term and block
-of examples: blocks that can't reach the k-th best are skipped. Distance-weighted votes of the neighbours are
-calibrated on the examples themselves, each left out of its own vote; the neighbours are the evidence.
+Examples and texts are TF-IDF vectors over words, and beginnings and ends of words. Every term of two or more examples
+counts; a term weighs more, the better it tells the two labels apart. The nearest examples by exact cosine come from an inverted
+index with a maximum for each term and block of examples: blocks that can't reach the k-th best are skipped.
+Distance-weighted votes of the neighbours are calibrated on the examples themselves, each left out of its own vote;
+the neighbours are the evidence.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,101 +22,162 @@ from .common import chunks, text_rows
 from .decontam import words
 
 BLOCK = 64
+#: a term with this chi-square between the labels has half the weight of one that tells them apart for certain
+HALF = 30.0
+#: a term of more than one in DENSE examples has a matrix for each block; room for 32-bit rounding; texts weighed together
+DENSE, MARGIN, BATCH = 20, 1e-4, 128
 
 
 def terms(word: bytes) -> list[bytes]:
     out = [word]
     if len(word) > 4:
         out += [b"^" + word[:4], b"$" + word[-4:]]
-    if len(word) > 5:
-        out.append(b"^" + word[:5])
     return out
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Everything in the ranges, and the number of the range it is from."""
+    size = end - begin
+    which = np.repeat(np.arange(len(begin)), size)
+    return np.arange(len(which)) + np.repeat(begin - (np.cumsum(size) - size), size), which
+
+
 class Index:
-    """Labelled examples as an inverted index with block maxima."""
+    """Labelled examples (id, toxic, counts of words) as an inverted index with block maxima."""
 
-    def __init__(self, examples: list[tuple[int, int, Counter]], weight: dict[int, float], chi: float, most: int, k: int) -> None:
-        self.ids = np.asarray([e[0] for e in examples], np.int64)
-        self.toxic = np.asarray([e[1] for e in examples], np.int64)
-        self.weight = np.asarray([weight[e[1]] for e in examples])
-        self.k = k
+    def __init__(self, examples: list[tuple[int, int, dict[bytes, int]]], weight: dict[int, float], k: int = 15) -> None:
         docs = [Counter() for _ in examples]
         for d, e in zip(docs, examples, strict=True):
             for w, c in e[2].items():
                 for t in terms(w):
                     d[t] += c
-        self.vocab = self._select(docs, chi, most)
-        df = Counter(t for d in docs for t in d if t in self.vocab)
-        self.idf = np.asarray([np.log(1 + len(docs) / df[t]) for t in self.vocab])
-        self.blocks = -(-len(docs) // BLOCK) if docs else 0
-        at: list[list[int]] = [[] for _ in self.vocab]
-        val: list[list[float]] = [[] for _ in self.vocab]
-        self.vectors = [self.vector({self.vocab[t]: c for t, c in d.items() if t in self.vocab}) for d in docs]
-        for i, (ts, ws) in enumerate(self.vectors):
-            for t, w in zip(ts.tolist(), ws.tolist(), strict=True):
-                at[t].append(i), val[t].append(w)
-        self.at, self.val = [np.asarray(x, np.int64) for x in at], [np.asarray(x) for x in val]
-        self.block_of = [x // BLOCK for x in self.at]
-        self.most = np.zeros((len(self.vocab), self.blocks))
-        for t in range(len(self.vocab)):
-            np.maximum.at(self.most[t], self.block_of[t], self.val[t])
-        self._calibrate()
-
-    def _select(self, docs: list[Counter], chi: float, most: int) -> dict[bytes, int]:
-        n1 = int(self.toxic.sum())
-        n0 = len(docs) - n1
-        if not n0 or not n1:
-            return {}
-        a = Counter(t for d, y in zip(docs, self.toxic, strict=True) if y for t in d)
-        b = Counter(t for d, y in zip(docs, self.toxic, strict=True) if not y for t in d)
-        scored = []
-        for t, x in a.items():
-            p, q = x / n1, b[t] / n0
-            m = (x + b[t]) / (n0 + n1)
-            value = (p - q) ** 2 / max(m * (1 - m), 1e-12) * n0 * n1 / (n0 + n1)
-            if x >= 3 and p > q and value >= chi:
-                scored.append((-value, t))
-        return {t: i for i, (_, t) in enumerate(sorted(scored)[:most])}
-
-    def vector(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        ts = np.asarray(sorted(tf), np.int64)
-        w = np.asarray([1 + np.log(tf[t]) for t in ts.tolist()]) * self.idf[ts] if len(ts) else np.zeros(0)
-        return ts, w / np.linalg.norm(w) if len(ts) else w
-
-    def _cosines(self, ts: np.ndarray, ws: np.ndarray, use: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(self.ids))
-        for t, w in zip(ts.tolist(), ws.tolist(), strict=True):
-            keep = use[self.block_of[t]]
-            out[self.at[t][keep]] += w * self.val[t][keep]
+        label = np.asarray([e[1] for e in examples], np.int64)
+        df = Counter(t for d in docs for t in d)
+        self.vocab = {t: i for i, t in enumerate(sorted(t for t, n in df.items() if n > 1))}
+        self.idf = self._weights(docs, label)
+        known = [sorted((self.vocab[t], c) for t, c in d.items() if t in self.vocab) for d in docs]
+        vectors = [self.vector(*np.asarray(d, np.int64).reshape(-1, 2).T) for d in known]
+        # Examples with one label and one strongest term lie side by side, so that few blocks are near a text.
+        lead = [int(ts[ws.argmax()]) if len(ts) else -1 for ts, ws in vectors]
+        order = sorted(range(len(docs)), key=lambda i: (label[i], lead[i], examples[i][0]))
+        vectors = [vectors[i] for i in order]
+        self.forward = (np.cumsum([0, *(len(ts) for ts, _ in vectors)]), np.concatenate([np.zeros(0, np.int64), *(ts for ts, _ in vectors)]), np.concatenate([np.zeros(0), *(ws for _, ws in vectors)]))
+        self.ids = np.asarray([examples[i][0] for i in order], np.int64)
+        self.toxic = label[order]
+        self.weight = np.asarray([weight[int(y)] for y in self.toxic])
+        self.k = k
+        self.blocks = -(-len(docs) // BLOCK)
+        first, term, value = self.forward
+        at = np.repeat(np.arange(len(order)), np.diff(first))
+        #: terms that one in DENSE examples has: their part of each block is a matrix, with the largest of each row
+        n = np.bincount(term, minlength=len(self.vocab))
+        self.column = np.where(n * DENSE > len(order), np.cumsum(n * DENSE > len(order)) - 1, -1)
+        common, width = self.column[term] >= 0, int(self.column.max(initial=-1)) + 1
+        self.dense = np.zeros((self.blocks, width, BLOCK), np.float32)
+        self.dense[at[common] // BLOCK, self.column[term[common]], at[common] % BLOCK] = value[common]
+        self.dense_most = self.dense.max(2, initial=0).T.copy()
+        #: postings of the other terms in the order of terms, and within a term of examples
+        term, at, value = term[~common], at[~common], value[~common]
+        by = np.lexsort((at, term))
+        self.at, self.value, term = at[by].astype(np.int32), value[by].astype(np.float32), term[by]
+        #: where each term's part of each block begins
+        part = term * max(self.blocks, 1) + self.at // BLOCK
+        self.cell = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+        self.most = np.maximum.reduceat(self.value, self.cell) if len(part) else np.zeros(0, np.float32)
+        self.block_of = part[self.cell] % max(self.blocks, 1)
+        self.cell_end = np.append(self.cell[1:], len(part))
+        self.cells = np.searchsorted(term[self.cell], np.arange(len(self.vocab) + 1))
+        #: the terms of words met so far
+        self.of: dict[bytes, tuple[int, ...]] = {}
+        self.calibrate(np.full(len(order), -1.0))
+
+    def _weights(self, docs: list[Counter], label: np.ndarray) -> np.ndarray:
+        """Inverse document frequency, times chi-square / (chi-square + HALF) for the two labels (1 if there is but one)."""
+        has = np.zeros((2, len(self.vocab)))
+        for d, y in zip(docs, label.tolist(), strict=True):
+            at = [self.vocab[t] for t in d if t in self.vocab]
+            has[int(y == 1), at] += 1
+        n = np.asarray([(label != 1).sum(), (label == 1).sum()], float)
+        idf = np.log(1 + len(docs) / np.maximum(has.sum(0), 1))
+        if not n.all():
+            return idf
+        mean = has.sum(0) / n.sum()
+        chi = (has[1] / n[1] - has[0] / n[0]) ** 2 / np.maximum(mean * (1 - mean), 1e-12) * n[0] * n[1] / n.sum()
+        return idf * (chi + 1e-3) / (chi + HALF)
+
+    def vector(self, ts: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(times)) * self.idf[ts]
+        return ts, w / (np.linalg.norm(w) or 1.0)
+
+    def text(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """The vector of a whole text."""
+        tokens, of, vocab = words(text), self.of, self.vocab
+        for w in set(tokens).difference(of):
+            of[w] = tuple(vocab[t] for t in terms(w) if t in vocab)
+        out = self.vector(*np.unique(np.fromiter(chain.from_iterable(map(of.__getitem__, tokens)), np.int64), return_counts=True))
+        if len(of) > 500_000:
+            of.clear()
         return out
 
-    def nearest(self, ts: np.ndarray, ws: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the k nearest examples with a positive cosine; the smaller number first in a tie."""
-        if not len(ts):
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = ws @ self.most[ts]
-        first = np.zeros(self.blocks, bool)
-        first[np.argsort(-bound, kind="stable")[: max(2, self.blocks // 8)]] = True
-        cos = self._cosines(ts, ws, first)
-        if without >= 0:
-            cos[without] = 0
-        kth = np.partition(cos, -self.k)[-self.k] if len(cos) > self.k else 0.0
-        more = ~first & (bound >= kth - 1e-12) & (bound > 0)
-        if more.any():
-            cos += self._cosines(ts, ws, more)
-            if without >= 0:
-                cos[without] = 0
-        order = np.lexsort((np.arange(len(cos)), -np.round(cos, 12)))[: self.k]
+    def nearest(self, docs: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the numbers and cosines of the k nearest examples with a positive cosine; the smaller number first in a tie.
+
+        Blocks are weighed with 32-bit numbers and a margin; the cosines themselves are exact.
+        """
+        n, blocks, wide = len(docs), self.blocks, self.blocks * BLOCK
+        if not n or not blocks:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * n
+        owner = np.repeat(np.arange(n), [len(ts) for ts, _ in docs])
+        ts, ws = np.concatenate([ts for ts, _ in docs]), np.concatenate([ws for _, ws in docs]).astype(np.float32)
+        common = self.column[ts] >= 0
+        x = np.zeros((n, self.dense.shape[1]), np.float32)
+        x[owner[common], self.column[ts[common]]] = ws[common]
+        cell, which = _ranges(self.cells[ts[~common]], self.cells[ts[~common] + 1])
+        owner, w = owner[~common][which], ws[~common][which]
+        block = self.block_of[cell]
+        bound = x @ self.dense_most + np.bincount(owner * blocks + block, w * self.most[cell], n * blocks).reshape(n, blocks)
+        cos = np.zeros((n, wide), np.float32)
+
+        def weigh(use: np.ndarray) -> None:
+            for k in np.flatnonzero(use.any(0)).tolist():
+                rows = np.flatnonzero(use[:, k])
+                cos[rows, k * BLOCK : (k + 1) * BLOCK] = x[rows] @ self.dense[k]
+            some = use[owner, block]
+            at, which = _ranges(self.cell[cell[some]], self.cell_end[cell[some]])
+            cos[...] += np.bincount(owner[some][which] * wide + self.at[at], self.value[at] * w[some][which], n * wide).reshape(n, wide)
+            if without is not None:
+                cos[np.arange(n), without] = 0
+
+        kth = lambda: np.partition(cos, -self.k, axis=1)[:, -self.k] if wide > self.k else np.zeros(n)
+        few = min(max(2, blocks // 16), blocks)
+        use = np.zeros((n, blocks), bool)
+        np.put_along_axis(use, np.argpartition(-bound, few - 1, axis=1)[:, :few], True, 1)
+        weigh(use)
+        weigh(~use & (bound > 0) & (bound >= (kth() - MARGIN)[:, None]))
+        near = (cos > 0) & (cos >= (kth() - MARGIN)[:, None])
+        return [self._exact(np.flatnonzero(near[i]), *docs[i]) for i in range(n)]
+
+    def _exact(self, at: np.ndarray, ts: np.ndarray, ws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, term, value = self.forward
+        i, which = _ranges(first[at], first[at + 1])
+        mine = np.zeros(len(self.vocab))
+        mine[ts] = ws
+        cos = np.bincount(which, value[i] * mine[term[i]], len(at))
+        order = np.lexsort((at, -np.round(cos, 12)))[: self.k]
         order = order[cos[order] > 0]
-        return order, cos[order]
+        return at[order], cos[order]
+
+    def example(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        first, term, value = self.forward
+        return term[first[i] : first[i + 1]], value[first[i] : first[i + 1]]
 
     def vote(self, at: np.ndarray, cos: np.ndarray) -> float:
+        """Negative where there is no neighbour."""
         w = cos**2 * self.weight[at]
         return float((w * self.toxic[at]).sum() / (w.sum() + 1e-9)) * float(cos.max(initial=0.0)) ** 0.25 if len(at) else -1.0
 
-    def _calibrate(self) -> None:
-        raw = np.asarray([self.vote(*self.nearest(ts, ws, i)) for i, (ts, ws) in enumerate(self.vectors)])
+    def calibrate(self, raw: np.ndarray) -> None:
+        """raw: each example's vote, without itself."""
         total = float(self.weight.sum()) or 1.0
         self.prior = float((self.weight * self.toxic).sum()) / total
         none = raw < 0
@@ -136,48 +199,61 @@ class Index:
         return min(1.0, max(0.0, self.none if raw < 0 else float(np.interp(raw, self.mids, self.rates))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int = 3000, chi: float = 30.0, most: int = 1024, k: int = 15) -> Index:
-    """Examples are a sample of about so many toxic and clean labelled rows (drawn by a hash of the id; their bound).
+def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+    for part in chunks(batches):
+        tf = [[{"word": w, "times": c} for w, c in Counter(words(t)).items()] for t in part.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(tf, kind)], ["doc_id", "toxic", "words"])
+
+
+def examples(docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int = 3000) -> tuple[list[tuple[int, int, dict[bytes, int]]], dict[int, float]]:
+    """Labelled rows (id, toxic, counts of words), and how many labelled rows one example of each label stands for.
 
-    Labels that are null, or of ids without a text, are left out; texts are read whole.
+    A sample of about so many toxic and clean ids, drawn by a hash of the id (at most twice as many together). An id with clashing labels is toxic. Labels that are null, or
+    of ids without a text, are left out; rows with one id and one text count once; texts are read whole.
     """
-    known = labels.filter("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     n = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("example")), F.lit(1 << 30)) / float(1 << 30)
     drawn = known.filter(draw < F.when(F.col("toxic") == 1, toxic / max(n.get(1, 1), 1)).otherwise(clean / max(n.get(0, 1), 1)))
-    ids = drawn.dropDuplicates(["doc_id"]).limit(2 * (toxic + clean))  # far above what the draw gives: a bound for the broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter("text is not null")
-    got = sorted({(r.doc_id, r.toxic, r.text) for r in rows.toLocalIterator()})
-    have = Counter(r[1] for r in got)
-    weight = {y: n.get(y, 0) / max(have[y], 1) for y in (0, 1)}
-    return Index([(i, y, Counter(words(t.encode()))) for i, y, t in got], weight, chi, most, k)
+    ids = drawn.limit(2 * (toxic + clean))  # far above what the draw gives: a bound for the broadcast
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter("text is not null").dropDuplicates(["doc_id", "text"])
+    got = text_rows(rows, "toxic").mapInArrow(_drawn, "doc_id long, toxic int, words array<struct<word:binary,times:long>>").collect()
+    out = sorted(((r.doc_id, r.toxic, {bytes(w.word): w.times for w in r["words"]}) for r in got), key=lambda e: (e[0], e[1], sorted(e[2].items())))
+    have = Counter(e[1] for e in out)
+    return out, {y: n.get(y, 0) / max(have[y], 1) for y in (0, 1)}
+
+
+def _own_votes(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            index: Index = held.value
+            at = part.column(0).to_pylist()
+            votes = [index.vote(*x) for k in range(0, len(at), BATCH) for x in index.nearest([index.example(i) for i in at[k : k + BATCH]], at[k : k + BATCH])]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(votes, pa.float64())], ["id", "vote"])
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int = 3000, k: int = 15) -> Index:
+    """An index of the `examples`, calibrated on the votes that each gets from the others."""
+    spark = docs.sparkSession
+    index = Index(*examples(docs, labels, toxic, clean), k)
+    held = spark.sparkContext.broadcast(index)
+    votes = spark.range(0, len(index.ids), 1, max(1, len(index.ids) // 256)).mapInArrow(_own_votes(held), "id long, vote double").collect()
+    index.calibrate(np.asarray([r.vote for r in sorted(votes)], float))
+    return index
 
 
 def _score(held, evidence: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = held.value
-        of: dict[bytes, tuple[int, ...]] = {}
-        votes: dict[bytes, tuple[float, list[int]]] = {}
-        vocab = index.vocab
         for part in chunks(batches):
-            scores, near = [], []
-            for text in part.column(1).to_pylist():
-                tf: dict[int, int] = {}
-                for w, c in Counter(words(text)).items():
-                    if (ts := of.get(w)) is None:
-                        ts = tuple(vocab[t] for t in terms(w) if t in vocab)
-                        if len(of) > 500_000:
-                            of.clear()
-                        of[w] = ts
-                    for t in ts:
-                        tf[t] = tf.get(t, 0) + c
-                key = np.asarray([x for t in sorted(tf) for x in (t, tf[t])], np.int64).tobytes()
-                if key not in votes:
-                    if len(votes) > 100_000:
-                        votes.clear()
-                    at, cos = index.nearest(*index.vector(tf))
-                    votes[key] = (index.score(index.vote(at, cos)), index.ids[at[:evidence]].tolist())
-                scores.append(votes[key][0]), near.append(votes[key][1])
+            scores, near, texts = [], [], part.column(1).to_pylist()
+            for k in range(0, len(texts), BATCH):
+                vectors = [index.text(t) for t in texts[k : k + BATCH]]
+                for at, cos in index.nearest(vectors):
+                    scores.append(index.score(index.vote(at, cos))), near.append(index.ids[at[:evidence]].tolist())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
     return run
@@ -186,9 +262,10 @@ def _score(held, evidence: int):
 def score(docs: DataFrame, index: Index, evidence: int = 3) -> DataFrame:
     """doc_id, score (0 to 1) and evidence (ids of the nearest examples) for every row.
 
-    Null and empty texts, and texts without any telling term, have no neighbour and get the share of toxic rows
-    among such examples; with no examples that is 0. Repeated rows get equal scores; ties between neighbours go to
-    the smaller id; extra columns are ignored; texts are read whole, whatever their length.
+    Null and empty texts, and texts without any term of the examples, have no neighbour and get the share of toxic rows
+    among such examples; with no examples (or an empty `labels` or `documents`) that is 0. Repeated rows get equal scores; ties between
+    neighbours go to the one that comes first in the index; a null doc_id is scored like any other; extra columns are ignored; texts are read whole,
+    whatever their length.
     """
     held = docs.sparkSession.sparkContext.broadcast(index)
     return text_rows(docs).mapInArrow(_score(held, evidence), "doc_id long, score double, evidence array<long>")
