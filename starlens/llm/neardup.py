@@ -319,11 +319,20 @@ def links(docs: DataFrame, reps: DataFrame, bands: int, rows: int, shingle: int,
     label = components(first)
 
     # Bands whose members are not all joined: registers alone, between members that are not joined.
-    now = cut(tied.join(label, "node", "left").select("node", "band", F.coalesce("label", "node").alias("comp")))
-    mixed_ = now.groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n")).filter("a <> b").select("band", "n")
-    unlike = _met(now, mixed_, ["band"], total).select(_c("band").alias("group"), "comp", "node")
-    unlike = unlike.join(texts.select("node", "registers", "n_shingles", F.lit(1).alias("bytes")), "node")
-    likely = components(_dealt(unlike, block_registers, block_registers).groupBy("task").applyInArrow(_compared(percent, count, None), "u long, v long"))
+    now = tied.join(label, "node", "left").select("node", "band", F.coalesce("label", "node").alias("comp"))
+    sizes = now.groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n")).filter("a <> b").select("band", "n")
+    large = label.groupBy(_c("label").alias("comp")).agg(F.count("*").alias("n")).filter(_c("n") >= block_docs).select("comp", F.lit(True).alias("large"))
+    unlike = cut(_met(now, sizes, ["band"], total).drop("n").join(large, "comp", "left"))
+    # Small comps meet band by band; a large one meets, once and not by band, those that it shares a band with.
+    few = unlike.filter("large is null").select(_c("band").alias("group"), "comp", "node")
+    hosts = unlike.filter("large").groupBy("band").agg(F.collect_set("comp").alias("hosts"))  # at most one in block_docs of the band's rows
+    guest = _met(unlike, sizes.join(hosts, "band"), ["band"], total).withColumn("host", F.explode("hosts"))
+    guest = guest.filter((_c("comp") != _c("host")) & (_c("large").isNull() | (_c("comp") > _c("host"))))
+    guest = cut(guest.select(_c("host").alias("group"), F.lit(1).alias("comp"), "node").distinct())
+    home = unlike.filter("large").select(_c("comp").alias("group"), F.lit(0).alias("comp"), "node").distinct()
+    regs = texts.select("node", "registers", "n_shingles", F.lit(1).alias("bytes"))
+    compared = lambda x: _dealt(x.join(regs, "node"), block_registers, block_registers).groupBy("task").applyInArrow(_compared(percent, count, None), "u long, v long")
+    likely = components(compared(few).unionByName(compared(home.unionByName(guest))))
 
     # Documents with a candidate, with their texts.
     again = likely.select("node", _c("label").alias("group")).join(label, "node", "left").select("node", "group", F.coalesce("label", "node").alias("comp"))
