@@ -265,7 +265,7 @@ def test_texts_that_share_much_but_not_enough_are_not_sent_again(spark, monkeypa
     dealt = neardup._dealt
     monkeypatch.setattr(neardup, "_dealt", lambda *a: sent.append(dealt(*a)) or sent[-1])
     assert neardup.classes(nasty(spark, rows)).filter("doc_id <> component_id").count() == 0
-    assert sent[1] is None and sent[3] == 3 and sent[2].count() == 0 and sent[0].count() > 0
+    assert sent[1] is sent[3] is None and sent[5] == 3 and sent[4].count() == 0 and sent[0].count() > 0
 
 
 def test_register_estimate():
@@ -296,19 +296,59 @@ def test_language_sample_counts_copies_once_and_keeps_each_language(spark):
     assert langid.fit(docs, per_language=1).languages == sorted(set(few))
 
 
-def test_toxicity(spark, sf_dir):
+def test_toxicity_against_plain_nearest_neighbours(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    index = toxicity.fit(docs, labels)
+    own, _ = toxicity.examples(docs, labels)
+    tf = {e[0]: collections.Counter() for e in own}
+    for i, _, ws in own:
+        for w, c in ws.items():
+            tf[i].update(dict.fromkeys(toxicity.terms(w), 0))
+            for t in toxicity.terms(w):
+                tf[i][t] += c
+    df = collections.Counter(t for d in tf.values() for t in d)
+    label = {e[0]: e[1] for e in own}
+    n1, n0 = sum(label.values()), sum(1 - y for y in label.values())
+    weight = {}
+    for t, n in df.items():
+        if n > 1:
+            x, m = sum(label[i] for i in tf if t in tf[i]), n / len(tf)
+            chi = (x / n1 - (n - x) / n0) ** 2 / max(m * (1 - m), 1e-12) * n1 * n0 / len(tf)
+            weight[t] = math.log(1 + len(tf) / n) * (chi + 1e-3) / (chi + toxicity.HALF)
+
+    def vector(d):
+        v = {t: (1 + math.log(c)) * weight[t] for t, c in d.items() if t in weight}
+        size = math.sqrt(sum(x * x for x in v.values())) or 1.0
+        return {t: x / size for t, x in v.items()}
+
+    vectors = {i: vector(d) for i, d in tf.items()}
+    texts = {r.doc_id: r.text for r in docs.limit(60).collect()}
+    rows = {r.doc_id: r for r in toxicity.score(docs.filter(F.col("doc_id").isin(list(texts))), index, evidence=15).collect()}
+    for k, text in texts.items():
+        d = collections.Counter(t for w in decontam.words((text or "").encode()) for t in toxicity.terms(w))
+        mine = vector(d)
+        cos = {i: sum(x * v.get(t, 0.0) for t, x in mine.items()) for i, v in vectors.items()}
+        best = sorted((x for x in cos.values() if x > 0), reverse=True)[:15]
+        near = [cos[i] for i in rows[k].evidence]
+        assert np.allclose(near, best) and len(near) == len(best)
+        votes = [(cos[i], label[i], index.weight[np.flatnonzero(index.ids == i)[0]]) for i in rows[k].evidence]
+        total = sum(c * c * w for c, _, w in votes)
+        raw = sum(c * c * w for c, y, w in votes if y) / (total + 1e-9) * best[0] ** 0.25 if best else -1.0
+        assert math.isclose(rows[k].score, index.score(raw), abs_tol=1e-9)
+
+
+def test_toxicity_on_odd_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     index = toxicity.fit(docs, labels)
-    for ts, ws in index.vectors[:60]:
-        at, cos = index.nearest(ts, ws)
-        full = np.zeros(len(index.ids))
-        for i, (t2, w2) in enumerate(index.vectors):
-            full[i] = sum(w2[t2 == t].sum() * w for t, w in zip(ts, ws, strict=True))
-        want = np.sort(full[full > 0])[::-1][: index.k]
-        assert np.allclose(np.sort(cos)[::-1], want)
     got = toxicity.score(nasty(spark), index).collect()
-    assert len(got) == len(NASTY) and all(0 <= r.score <= 1 for r in got)
-    assert all(0 <= r.score <= 1 for r in toxicity.score(nasty(spark), toxicity.fit(docs, labels.limit(0))).collect())
+    assert len(got) == len(NASTY) and all(0 <= r.score <= 1 for r in got) and len({r.score for r in got if r.doc_id == 7}) == 1
+    for none in (toxicity.fit(docs, labels.limit(0)), toxicity.fit(docs.limit(0), labels)):
+        assert {r.score for r in toxicity.score(nasty(spark), none).collect()} == {0.0}
+    assert toxicity.score(nasty(spark).limit(0), index).count() == 0
+    clash = spark.createDataFrame([(6, 0), (6, 1), (7, 0), (8, None), (None, 1), (99, 1)], "doc_id long, toxic int")
+    own, weight = toxicity.examples(nasty(spark), clash)
+    assert [e[:2] for e in own] == [(6, 1), (7, 0)] and weight == {0: 1.0, 1: 2.0}
+    assert all(0 <= r.score <= 1 for r in toxicity.score(nasty(spark), toxicity.fit(nasty(spark), clash)).collect())
 
 
 def test_language_model(spark, sf_dir):
@@ -328,8 +368,48 @@ def test_language_model(spark, sf_dir):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
     odd = lm.train_and_score(nasty(spark), nasty(spark).limit(0)).collect()
     assert len(odd) == len(NASTY) and all(r.base_score == 0 for r in odd)
-    table = lm.Net(np.full(lm.CLASSES, 1 / lm.CLASSES)).log10_table()
-    assert np.allclose((10.0 ** table.astype(float)).sum(1), 1, atol=1e-4)
+    assert lm.train_and_score(nasty(spark).limit(0), nasty(spark)).count() == 0
+
+
+def test_language_model_scores_against_plain_numpy(spark, sf_dir, monkeypatch):
+    made = []
+    known_words, log_sums = lm.known_words, lm.Net.log_sums
+    monkeypatch.setattr(lm, "known_words", lambda *a: made.append(known_words(*a)) or made[-1])
+    monkeypatch.setattr(lm.Net, "log_sums", lambda net: made.append(net) or log_sums(net))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r.doc_id: (r.text or "").encode().translate(lm.LOWER).split() for r in docs.collect()}
+    train = [k for k in texts if zlib.crc32(str(k).encode()) % 7 != 2]
+    rows = {r.doc_id: r.score for r in queries.op5_language_model(spark, sf_dir).collect()}
+    known, net = made
+    c = collections.Counter(w for k in train for w in texts[k])
+    head = {w: i for i, (w, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[: known.head])}
+    rest = collections.defaultdict(list)
+    for w, n in c.items():
+        if w not in head:
+            rest[lm._ending(w)].append(n)
+    p = {e: min(0.9, (ns.count(1) + 1) / (sum(ns) + 2)) for e, ns in rest.items()}
+    total, at = 0.0, lambda k, ws: len(head) + lm.ENDINGS + 1 if k < 0 else head.get(ws[k], len(head) + lm._ending(ws[k]))
+    for k in [*[k for k in texts if texts[k]][:12], *[k for k in texts if not texts[k]][:2]]:
+        ws, score = texts[k], 0.0
+        for i in range(len(ws) + 1):
+            v = net.near[at(i - 1, ws)].astype(float) + net.far[known.far[at(i - 2, ws)]]
+            s = net.target.astype(float) @ v + net.bias
+            u = len(head) + lm.ENDINGS if i == len(ws) else at(i, ws)
+            score += (s[u] - s.max() - math.log(np.exp(s - s.max()).sum())) / math.log(10)
+            if i < len(ws) and ws[i] not in head:
+                e = lm._ending(ws[i])
+                score += math.log10(c[ws[i]] / sum(rest[e]) * (1 - p[e])) if c[ws[i]] else math.log10(p.get(e, 1.0))
+        assert math.isclose(rows[k], score, rel_tol=1e-4, abs_tol=1e-3)
+        total += score
+    # all known words and one unseen word per ending share out what the network gives
+    assert math.isclose(sum(c[w] / sum(rest[e]) * (1 - p[e]) for w in c if w not in head for e in [lm._ending(w)]) + sum(p.values()), len(rest))
+    # the trained network, not the counts alone
+    flat = lm.Net(known)
+    flat.near[:], flat.far[:] = 0, 0
+    held = docs.filter("crc32(cast(cast(doc_id as string) as binary)) % 7 = 2")
+    w = lm.Words([r.text.encode() for r in held.collect() if r.text], lower=True)
+    words, _ = known.sequence(w, known.units(w)[0])
+    assert net.log10(words, *known.contexts(words), log_sums(net)).mean() > flat.log10(words, *known.contexts(words), log_sums(flat)).mean() + 0.05
 
 
 def test_licences(spark):
