@@ -228,14 +228,22 @@ def _compared(percent: int, count: int, shingle: int | None):
     return run
 
 
+#: so many rows of one key are no burden for a task
+FEW = 1 << 16
+
+
 def _met(rows: DataFrame, facts: DataFrame, key: list[str], total: int) -> DataFrame:
     """rows joined with facts, which has one row a key and says in n how many of `total` rows have it.
 
-    Keys of more than 1/4096 of the rows, so at most 4095 keys, are broadcast: no key fills a task.
+    Keys of more than 1/4096 of the rows (so at most 4095, whose hashes come to the driver) are dealt to 64 tasks each.
     """
-    often = _c("n") * 4096 > F.lit(total)
-    hot = F.broadcast(facts.filter(often))
-    return rows.join(hot, key).unionByName(rows.join(hot.select(*key), key, "left_anti").join(facts.filter(~often), key))
+    mark = F.xxhash64(*key)
+    hot = [r[0] for r in facts.filter((_c("n") * 4096 > F.lit(total)) & (_c("n") > FEW)).select(mark).collect()] if total > FEW else []
+    if not hot:
+        return rows.join(facts, key)
+    often = mark.isin(hot)
+    rows = rows.withColumn("salt", F.when(often, F.pmod(F.xxhash64(*rows.columns), F.lit(64))).otherwise(0).cast("int"))
+    return rows.join(facts.withColumn("salt", F.explode(F.when(often, F.sequence(F.lit(0), F.lit(63))).otherwise(F.array(F.lit(0))))), [*key, "salt"]).drop("salt")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -322,6 +330,7 @@ def links(docs: DataFrame, reps: DataFrame, bands: int, rows: int, shingle: int,
     now = tied.join(label, "node", "left").select("node", "band", F.coalesce("label", "node").alias("comp"))
     sizes = now.groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n")).filter("a <> b").select("band", "n")
     large = label.groupBy(_c("label").alias("comp")).agg(F.count("*").alias("n")).filter(_c("n") >= block_docs).select("comp", F.lit(True).alias("large"))
+    sizes = cut(sizes)
     unlike = cut(_met(now, sizes, ["band"], total).drop("n").join(large, "comp", "left"))
     # Small comps meet band by band; a large one meets, once and not by band, those that it shares a band with.
     few = unlike.filter("large is null").select(_c("band").alias("group"), "comp", "node")
