@@ -216,7 +216,9 @@ def test_near_duplicates_on_odd_rows(spark):
     assert neardup.keep_one(nasty(spark).limit(0)).count() == 0
 
 
-def test_large_family_in_blocks_against_brute_force(spark):
+@pytest.mark.parametrize("few", [neardup.FEW, 4])
+def test_large_family_in_blocks_against_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(neardup, "FEW", few)
     rng = random.Random(2)
     base = [f"v{k}" for k in range(200)]
     rows = []
