@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +32,15 @@ def words(text: bytes | None) -> list[bytes]:
 class Benchmark:
     """The words of some items as one array of word numbers (1 and up) and its suffixes."""
 
-    def __init__(self, items: list[tuple[int, bytes | None]], window: int) -> None:
+    def __init__(self, items: list[tuple[int | None, bytes | None]], window: int) -> None:
         self.window, self.vocab = window, {}
+        self.ids = [i for i, _ in items]
         tokens: list[int] = []
         start, left, item, pos = [], [], [], []
-        for item_id, text in items:
+        for number, (_, text) in enumerate(items):
             w = words(text)
             for k in range(len(w)):
-                start.append(len(tokens) + k), left.append(len(w) - k), item.append(item_id), pos.append(k)
+                start.append(len(tokens) + k), left.append(len(w) - k), item.append(number), pos.append(k)
             tokens += [self.vocab.setdefault(x, len(self.vocab) + 1) for x in w]
         self.tokens = np.asarray([*tokens, 0], np.int64)
         self.start, self.left, self.item, self.pos = (np.asarray(x, np.int64) for x in (start, left, item, pos))
@@ -146,86 +147,101 @@ def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def _scan(block, window: int):
+def _benchmarks(blocks: list, window: int):
+    """One block after the other; a worker holds a single block, whatever their number."""
+    held: dict[int, Benchmark] = {}
+    while True:
+        for k, block in enumerate(blocks):
+            if k not in held:
+                held.clear()
+                held[k] = Benchmark(block.value, window)
+                vars(block).pop("_value", None)
+            yield held[k]
+
+
+def _scan(blocks: list, window: int):
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench = Benchmark(block.value, window)
-        kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+        benchmarks = _benchmarks(blocks, window)
         for part in chunks(batches):
-            shard = Shard(part.column(1).to_pylist(), bench)
-            got = shard.lookup(bench)
-            k = np.flatnonzero(got["whi"] > got["wlo"])
-            hit = np.zeros(shard.size + window, bool)
-            ranges = np.unique(np.stack([got["wlo"][k], got["whi"][k], bench.need[k]], 1), axis=0)
-            which, at = shard.places(ranges[:, 0], ranges[:, 1])
-            for j in range(window):
-                hit[at[ranges[which, 2] > j] + j] = True
-            which, at = shard.places(got["wlo"][k], got["whi"][k])
-            pairs = np.unique(np.stack([shard.doc_of(at), bench.item[k][which]], 1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
-            items: list[list[int]] = [list(x) for x in part.column(4).to_pylist()]
-            for doc, item in pairs.tolist():
-                items[doc].append(item)
-            for doc, earlier in enumerate(part.column(3).to_pylist()):
-                for x in earlier:
-                    hit[shard.first[doc] + x["first"] : shard.first[doc] + x["end"]] = True
-            spans = [_spans(hit[a : a + n]) if items[i] else [] for i, (a, n) in enumerate(zip(shard.first.tolist(), shard.counts, strict=True))]
+            texts, hits, items = part.column(1).to_pylist(), None, [set() for _ in range(part.num_rows)]
+            longest = np.zeros(part.num_rows, np.int64)
+            for bench in islice(benchmarks, len(blocks)):
+                shard = Shard(texts, bench)
+                got = shard.lookup(bench)
+                hits = np.zeros(shard.size + window, bool) if hits is None else hits
+                k = np.flatnonzero(got["whi"] > got["wlo"])
+                ranges = np.unique(np.stack([got["wlo"][k], got["whi"][k], bench.need[k]], 1), axis=0)
+                which, at = shard.places(ranges[:, 0], ranges[:, 1])
+                for j in range(window):
+                    hits[at[ranges[which, 2] > j] + j] = True
+                which, at = shard.places(got["wlo"][k], got["whi"][k])
+                pairs = np.unique(np.stack([shard.doc_of(at), bench.item[k][which]], 1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
+                for doc, item in pairs.tolist():
+                    items[doc].add(bench.ids[item])
+                which, at = shard.places(got["lo"][k], got["hi"][k])
+                np.maximum.at(longest, shard.doc_of(at), got["length"][k][which])
+            counts = [len(words(t)) for t in texts] if hits is None else shard.counts
+            first = np.cumsum(np.asarray(counts, np.int64) + 1) - np.asarray(counts, np.int64) - 1
+            spans = [_spans(hits[a : a + n]) if x else [] for a, n, x in zip(first.tolist(), counts, items, strict=True)]
+            ordered = [sorted(x, key=lambda i: (i is not None, i or 0)) for x in items]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array([[{"first": a, "end": b} for a, b in s] for s in spans], kind), pa.array([sorted(set(x)) for x in items], pa.list_(pa.int64())), pa.array(shard.counts, pa.int64())],
-                ["doc_id", "text", "row", "spans", "items", "n_words"],
+                [part.column(2), pa.array(counts, pa.int64()), pa.array([[{"first": a, "end": b} for a, b in s] for s in spans], kind), pa.array(ordered, pa.list_(pa.int64())), pa.array(longest)],
+                ["row", "n_words", "spans", "items", "longest"],
             )
 
     return run
 
 
-def _longest(block, window: int):
+def _longest(blocks: list, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench = Benchmark(block.value, window)
         names = ["item_id", "item_pos", "doc_id", "doc_pos", "length"]
+        benchmarks = _benchmarks(blocks, window)
         for part in chunks(batches):
-            shard = Shard(part.column(1).to_pylist(), bench)
-            got = shard.lookup(bench)
-            k = np.flatnonzero((got["length"] >= bench.need) & (bench.need > 0))
-            which, at = shard.places(got["lo"][k], got["hi"][k])
-            doc = shard.doc_of(at)
-            cols = [bench.item[k][which], bench.pos[k][which], None, at - shard.first[doc], got["length"][k][which]]
-            arrays = [pa.array(c, pa.int64()) if c is not None else part.column(0).take(pa.array(doc)) for c in cols]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            for bench in islice(benchmarks, len(blocks)):
+                shard = Shard(part.column(1).to_pylist(), bench)
+                got = shard.lookup(bench)
+                k = np.flatnonzero((got["length"] >= bench.need) & (bench.need > 0))
+                which, at = shard.places(got["lo"][k], got["hi"][k])
+                doc = shard.doc_of(at)
+                ids = [bench.ids[i] for i in bench.item[k][which].tolist()]
+                cols = [ids, bench.pos[k][which], None, at - shard.first[doc], got["length"][k][which]]
+                arrays = [pa.array(c, pa.int64()) if c is not None else part.column(0).take(pa.array(doc)) for c in cols]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
 
 
-def _blocks(benchmark: DataFrame, max_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
-    """The benchmark's rows in blocks of about max_bytes, so that what is broadcast never grows with it."""
-    b = text_rows(benchmark, id_col="item_id")
-    total = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = 1 + total // max_bytes
-    for k in range(n):
-        yield [(r[0], bytes(r[1] or b"")) for r in b.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)) == k).toLocalIterator()]
+def _blocks(benchmark: DataFrame, max_bytes: int) -> list:
+    """The benchmark's rows, read once, as broadcasts of about max_bytes each."""
+    out, block, size = [], [], 0
+    for r in text_rows(benchmark, id_col="item_id").toLocalIterator():
+        block.append((r[0], bytes(r[1] or b"")))
+        size += len(block[-1][1]) + 16
+        if size >= max_bytes:
+            out.append(benchmark.sparkSession.sparkContext.broadcast(block))
+            block, size = [], 0
+    return [*out, benchmark.sparkSession.sparkContext.broadcast(block)] if block or not out else out
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry: list[str] | None = None, block_bytes: int = 16 << 20) -> DataFrame:
-    """Each input row as a struct `row` with n_words, spans (word ranges inside occurring windows) and items (ids, sorted).
+    """Each input row as a struct `row` with n_words, spans (word ranges inside occurring windows), items (ids, sorted) and longest.
 
-    A window is `window` consecutive item words; an item of fewer, but not none, is one window. Null and empty
-    texts have no words and match nothing, nor does an empty benchmark. Items with equal texts are all reported.
-    Rows that repeat are each reported; further columns are carried in `row`.
+    A window is `window` consecutive item words; an item of fewer, but not none, is one window. longest is the number of words of the
+    longest verbatim match that holds a window. Null and empty texts have no words and match nothing, nor does an empty
+    benchmark. Items with equal texts are all reported. Items without an id hit like any other and are one null, first in `items`.
+    Rows that repeat are each reported; an empty table gives no rows; further columns are carried in `row`. The benchmark is read once,
+    and so are the documents; a task goes through the benchmark block by block.
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in carry or docs.columns))
-    spans, items = "array<struct<first:bigint,end:bigint>>", "array<bigint>"
-    found = text_rows(docs, whole_row(kept), F.array().cast(spans).alias("spans"), F.array().cast(items).alias("items"))
-    types = f"{found.select('doc_id').schema.simpleString()[7:-1].replace(':', ' ')}, text binary, {row_type(kept)}, spans {spans}, items {items}, n_words long"
-    for block in _blocks(benchmark, block_bytes):
-        held = docs.sparkSession.sparkContext.broadcast(block)
-        found = found.select("doc_id", "text", "row", "spans", "items").mapInArrow(_scan(held, window), types)
-    return found.select("row", "n_words", "spans", "items")
+    types = f"{row_type(kept)}, n_words long, spans array<struct<first:bigint,end:bigint>>, items array<bigint>, longest long"
+    return text_rows(docs, whole_row(kept)).mapInArrow(_scan(_blocks(benchmark, block_bytes), window), types)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 16 << 20) -> DataFrame:
     """item_id, item_pos, doc_id, doc_pos, length: for each item suffix the longest verbatim matches in each shard, of a window or more."""
-    out = None
-    for block in _blocks(benchmark, block_bytes):
-        one = text_rows(docs).mapInArrow(_longest(docs.sparkSession.sparkContext.broadcast(block), window), "item_id long, item_pos long, doc_id long, doc_pos long, length long")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return text_rows(docs).mapInArrow(_longest(_blocks(benchmark, block_bytes), window), "item_id long, item_pos long, doc_id long, doc_pos long, length long")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
