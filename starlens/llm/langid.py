@@ -95,18 +95,19 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for text, key in zip(part.column(1).to_pylist(), zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True), strict=True):
             if key not in seen:
                 seen.add(key)
-                new[key] = np.minimum(counts(text), 65535).astype("<u2").tobytes()
+                new[key] = counts(text).astype("<u4").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in new], pa.string()), pa.array([k[1] for k in new], pa.int64()), pa.array(new.values(), pa.binary())], ["lang", "key", "counts"])
 
 
-def sample(train: DataFrame, per_language: int) -> DataFrame:
+def sample(train: DataFrame, per_language: int, most_languages: int = 500) -> DataFrame:
     """lang, key (hash of the text) and counts of about per_language different texts of each language, and at least one.
 
-    Equal texts of a language count as one, both in the rate and in what is drawn.
+    Equal texts of a language count as one, both in the rate and in what is drawn. Values of lang beyond the `most_languages` with
+    the most different texts are left out (the bound of the labelled sample; ties by name).
     """
     known = train.filter("lang is not null").filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text", F.xxhash64("text").alias("key"))
     draw = F.pmod("key", F.lit(1 << 30))
-    sizes = known.select("lang", "key").distinct().groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("least"))
+    sizes = known.select("lang", "key").distinct().groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("least")).orderBy(F.col("n").desc(), "lang").limit(most_languages)
     drawn = known.join(F.broadcast(sizes), "lang").filter((draw / float(1 << 30) < F.lit(float(per_language)) / F.col("n")) | (draw == F.col("least")))
     # Copies are left out within each task, and then across tasks.
     once = text_rows(drawn, F.col("lang").cast("string").alias("lang"), "key").mapInArrow(_sample_counts, "lang string, key long, counts binary")
@@ -122,7 +123,7 @@ def fit(train: DataFrame, per_language: int = 400, clusters: int = 4) -> Model |
     if not got:
         return None
     got.sort(key=lambda r: (r.lang, bytes(r.counts)))
-    c = np.stack([np.frombuffer(r.counts, "<u2") for r in got])
+    c = np.stack([np.frombuffer(r.counts, "<u4") for r in got])
     idf = np.log((1 + len(c)) / (1 + (c > 0).sum(0))).astype(np.float32) + np.float32(0.1)
     languages = sorted({r.lang for r in got})
     model = Model(languages, idf, np.zeros((0, FEATURES)), np.zeros(0), np.zeros(0))
