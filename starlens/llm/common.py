@@ -23,10 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster's shared folder if it names one; a temporary folder only where none is set."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        sc.setCheckpointDir(shared_folder(spark))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; without one, a temporary folder on a single machine and an error elsewhere."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="spark-")
 
 
 def cut(df: DataFrame) -> DataFrame:
