@@ -71,6 +71,15 @@ def test_decontamination_on_odd_rows_and_in_blocks(spark, block):
     assert decontam.decontaminate(nasty(spark), bench(spark, [])).count() == len(NASTY)
 
 
+@pytest.mark.parametrize("block", [16 << 20, 40])
+def test_items_without_id_and_longest_match(spark, block):
+    items = bench(spark, [(None, "one"), (None, " ".join(PASSAGE.split()[5:25])), (3, " ".join(PASSAGE.split()[20:35])), (None, None)])
+    got = {r.row.doc_id: (list(r["items"]), r.longest) for r in decontam.find(nasty(spark), items, block_bytes=block).collect()}
+    assert got[6] == ([None, 3], 20) and got[8] == ([None], 1) and got[1] == ([], 0)
+    assert decontam.find(nasty(spark).limit(0), items).count() == 0
+    assert {r.item_id for r in decontam.longest_matches(nasty(spark), items, block_bytes=block).collect()} == {None, 3}
+
+
 def test_suffix_array_against_brute_force():
     rng = random.Random(3)
     for _ in range(20):
@@ -103,6 +112,33 @@ def test_shards(spark):
     assert sharding.assign(docs.limit(0), 4).count() == 0
 
 
+def test_shards_against_plain_python(spark, sf_dir):
+    rows = queries.op4_sampled_splitters(spark, sf_dir).collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    sums, slots, homes = collections.Counter(), collections.defaultdict(list), collections.defaultdict(set)
+    for r in rows:
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(texts[r.doc_id]) + 1, zlib.crc32(texts[r.doc_id]), "bytes", None)
+        sums[r.shard] += r["size"]
+        slots[r.shard].append((r.slot, r.text_crc32))
+        homes[texts[r.doc_id]].add(r.shard)
+    assert set(sums) <= set(range(16)) and max(sums.values()) < sum(sums.values()) / 16 + 2 * max(map(len, texts.values()))
+    assert all(sorted(k for k, _ in x) == list(range(len(x))) for x in slots.values())
+    assert sum(len(h) > 1 for h in homes.values()) <= 16
+
+
+def test_written_shards_keep_every_row(spark, tmp_path):
+    docs = nasty(spark, [*NASTY, *((None, "same", None) for _ in range(50))]).drop("bucket").withColumn("slot", F.lit(None).cast("string"))
+    sharding.write_shards(docs, f"{tmp_path}/out", 3)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert set(back.columns) == {*docs.columns, "shard_", "slot_"}
+    plain = lambda df: sorted(map(str, df.select(docs.columns).collect()))
+    assert plain(back) == plain(docs)
+    for r in back.groupBy("shard_").agg(F.count("*").alias("n"), F.countDistinct("slot_").alias("d"), F.max("slot_").alias("m")).collect():
+        assert r.n == r.d == r.m + 1
+    sharding.write_shards(docs.limit(0), f"{tmp_path}/none", 3)
+
+
 def test_packing(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = nasty(spark)
@@ -287,6 +323,29 @@ def test_language(spark, sf_dir):
     assert {r.lang_pred for r in langid.predict(docs, langid.fit(docs.limit(0))).collect()} == {"und"}
 
 
+def test_language_against_plain_nearest_centroid(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.fit(docs)
+    rows = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    for d in docs.collect():
+        r, text = rows[d.doc_id], (d.text or "").encode()
+        if not any(map(str.isalpha, d.text or "")):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        grams = collections.Counter()
+        plain = b" ".join([b"", *(d.text if d.text.isascii() else d.text.lower()).encode().translate(langid._GAP).split(), b""])
+        for n in range(1, 5):
+            grams.update((((int.from_bytes(plain[i : i + n], "big") + n) * 0x9E3779B1) & 0xFFFFFFFF) >> 20 for i in range(len(plain) - n + 1))
+        v = np.zeros(langid.FEATURES)
+        for g, n in grams.items():
+            v[g] = math.log1p(n) * model.idf[g]
+        cos = model.centroids @ (v / np.linalg.norm(v))
+        best = [max(c for c, l in zip(cos, model.language_of, strict=True) if l == k) for k in range(len(model.languages))]
+        assert model.languages[int(np.argmax(best))] == r.lang_pred or np.ptp(np.sort(best)[-2:]) < 1e-5
+        assert math.isclose(r.score, 1 / sum(math.exp(30 * (b - max(best))) for b in best), abs_tol=1e-3)
+    assert langid.predict(docs.limit(0), model).count() == 0
+
+
 def test_language_sample_counts_copies_once_and_keeps_each_language(spark):
     words = {"aa": "uno dos tres", "bb": "eins zwei drei", "cc": "yksi kaksi kolme", "dd": "ichi ni san", "ee": "satu dua tiga", "ff": "moja mbili tatu"}
     rows = [(k, f"{words[x]} {'x' * (k % 3)}", x) for x in words for k in range(900)] + [(k, f"one two three {'y' * k}", "gg") for k in range(400)] + [(k, f"... {k}", "aa") for k in range(900)]
@@ -451,8 +510,69 @@ def test_whole_wrapped_licences(spark):
     assert {r.doc_id: list(r.licences) for r in license.recognise(nasty(spark, rows)).collect()} == want
 
 
-def test_pipeline(spark, tmp_path):
-    docs = nasty(spark).drop(*EXTRA)
-    bench(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
-    assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == 1  # only the long text stays
+def _pipeline_on(spark, folder, rows, items):
+    bench(spark, items).write.parquet(f"{folder}/benchmark.parquet")
+    (rows if hasattr(rows, "write") else nasty(spark, rows)).write.parquet(f"{folder}/documents.parquet")
+    return corpus_pipeline.run(spark, str(folder))
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    got = _pipeline_on(spark, tmp_path / "a", NASTY, ((1, " ".join(PASSAGE.split()[5:25])), (2, "one"), (None, None)))
+    assert got.select("doc_id").distinct().count() == 1  # only the long text stays
+    assert _pipeline_on(spark, tmp_path / "b", nasty(spark).limit(0), ()).count() == 0
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    rng = random.Random(12)
+    word = lambda: rng.choice("bcdfgklmnprst") + "".join(rng.choice("aeiou") + rng.choice("lmnrst") for _ in range(rng.randint(1, 3)))
+    text = lambda n: [word() for _ in range(n)]
+    shared, item = text(40), text(15)
+    docs: dict[int, list[str]] = {}
+    for k in range(60):
+        w = text(rng.randint(30, 130))
+        if k % 4 == 0:
+            w[10:10] = shared[: rng.randint(10, 40)]
+        if k % 9 == 1:
+            w[5:5] = item[: rng.randint(8, 15)]
+        if k % 7 == 3:
+            w = w[:8] * 12
+        if k % 10 == 5:
+            w = list(docs[k - 3])
+            for _ in range(rng.randint(0, 5)):
+                w[rng.randrange(len(w))] = word()
+        docs[k] = w
+    rows = [(k, " ".join(w), "en") for k, w in docs.items()]
+
+    def clean(w):
+        win = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        hit = {j for i in range(len(w) - 2) if win[tuple(w[i : i + 3])] > 1 for j in range(i, i + 3)}
+        return len(w) >= 50 and 100 * len(hit) <= 50 * len(w) and 3 * len(w) <= sum(map(len, w)) <= 12 * len(w)
+
+    left = {k: w for k, w in docs.items() if clean(w)}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in left.items()}
+    up = {k: k for k in left}
+    for _ in left:
+        for a in left:
+            for b in left:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    up[a] = up[b] = min(up[a], up[b])
+    single = {k: w for k, w in left.items() if up[k] == k}
+    first = {}
+    for k, w in sorted(single.items()):
+        for i in range(len(w) - 12):
+            first.setdefault(tuple(w[i : i + 13]), k)
+    cut = {k: [x for j, x in enumerate(w) if not any(first[tuple(w[i : i + 13])] < k for i in range(max(0, j - 12), min(j, len(w) - 13) + 1))] for k, w in single.items()}
+    windows = {tuple(item[i : i + 10]) for i in range(len(item) - 9)}
+    want = {k: w for k, w in cut.items() if not any(tuple(w[i : i + 10]) in windows for i in range(len(w) - 9))}
+    assert 0 < len(want) < len(cut) < len(left) < len(docs) and any(len(cut[k]) < len(single[k]) for k in cut)
+    got = collections.defaultdict(list)
+    for r in _pipeline_on(spark, tmp_path, rows, [(1, " ".join(item))]).collect():
+        got[r.doc_id].append(r)
+    assert set(got) == set(want)
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for k, pieces in got.items():
+        ids, at = [*tok.encode(" ".join(want[k]), add_special_tokens=False).ids, 1], 0
+        for p in sorted(pieces, key=lambda p: p.start):
+            assert p.start == at and p.ids_crc32 == zlib.crc32(np.asarray(ids[at : at + p.length], "<u4").tobytes())
+            at += p.length
+        assert at == len(ids)
