@@ -43,20 +43,28 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Index:
-    """Labelled examples (id, toxic, counts of words) as an inverted index with block maxima."""
-
-    def __init__(self, examples: list[tuple[int, int, dict[bytes, int]]], weight: dict[int, float], k: int = 15) -> None:
-        docs = [Counter() for _ in examples]
-        for d, e in zip(docs, examples, strict=True):
-            for w, c in e[2].items():
-                for t in terms(w):
-                    d[t] += c
+    """Labelled examples (id, toxic, words joined by spaces, how often each is there) as an inverted index with block maxima."""
+
+    def __init__(self, examples: list[tuple[int, int, bytes, np.ndarray]], weight: dict[int, float], k: int = 15) -> None:
         label = np.asarray([e[1] for e in examples], np.int64)
-        df = Counter(t for d in docs for t in d)
-        self.vocab = {t: i for i, t in enumerate(sorted(t for t, n in df.items() if n > 1))}
+        ids: dict[bytes, int] = {}
+        docs = []
+        for _, _, raw, times in examples:
+            of = [[ids.setdefault(t, len(ids)) for t in terms(w)] for w in raw.split()]
+            ts, at = np.unique(np.fromiter(chain.from_iterable(of), np.int64), return_inverse=True)
+            docs.append((ts, np.bincount(at, np.repeat(times, [len(x) for x in of]), len(ts))))
+        df = np.bincount(np.concatenate([np.zeros(0, np.int64), *(ts for ts, _ in docs)]), minlength=len(ids))
+        self.vocab = {t: i for i, t in enumerate(sorted(t for t, i in ids.items() if df[i] > 1))}
+        number = np.full(len(ids), -1)
+        for t, i in self.vocab.items():
+            number[ids[t]] = i
+        del ids
+        for i, (ts, times) in enumerate(docs):
+            known = number[ts] >= 0
+            order = np.argsort(number[ts[known]])
+            docs[i] = number[ts[known]][order], times[known][order]
         self.idf = self._weights(docs, label)
-        known = [sorted((self.vocab[t], c) for t, c in d.items() if t in self.vocab) for d in docs]
-        vectors = [self.vector(*np.asarray(d, np.int64).reshape(-1, 2).T) for d in known]
+        vectors = [self.vector(*d) for d in docs]
         # Examples with one label and one strongest term lie side by side, so that few blocks are near a text.
         lead = [int(ts[ws.argmax()]) if len(ts) else -1 for ts, ws in vectors]
         order = sorted(range(len(docs)), key=lambda i: (label[i], lead[i], examples[i][0]))
@@ -91,12 +99,11 @@ class Index:
         self.of: dict[bytes, tuple[int, ...]] = {}
         self.calibrate(np.full(len(order), -1.0))
 
-    def _weights(self, docs: list[Counter], label: np.ndarray) -> np.ndarray:
+    def _weights(self, docs: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> np.ndarray:
         """Inverse document frequency, times chi-square / (chi-square + HALF) for the two labels (1 if there is but one)."""
         has = np.zeros((2, len(self.vocab)))
-        for d, y in zip(docs, label.tolist(), strict=True):
-            at = [self.vocab[t] for t in d if t in self.vocab]
-            has[int(y == 1), at] += 1
+        for (ts, _), y in zip(docs, label.tolist(), strict=True):
+            has[int(y == 1), ts] += 1
         n = np.asarray([(label != 1).sum(), (label == 1).sum()], float)
         idf = np.log(1 + len(docs) / np.maximum(has.sum(0), 1))
         if not n.all():
@@ -200,14 +207,14 @@ class Index:
 
 
 def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
     for part in chunks(batches):
-        tf = [[{"word": w, "times": c} for w, c in Counter(words(t)).items()] for t in part.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(tf, kind)], ["doc_id", "toxic", "words"])
+        found = [Counter(words(t)) for t in part.column(1).to_pylist()]
+        cols = [part.column(0), part.column(2), pa.array([b" ".join(c) for c in found], pa.binary()), pa.array([np.asarray(list(c.values()), "<i4").tobytes() for c in found], pa.binary())]
+        yield pa.RecordBatch.from_arrays(cols, ["doc_id", "toxic", "words", "times"])
 
 
-def examples(docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int = 3000) -> tuple[list[tuple[int, int, dict[bytes, int]]], dict[int, float]]:
-    """Labelled rows (id, toxic, counts of words), and how many labelled rows one example of each label stands for.
+def examples(docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int = 3000) -> tuple[list[tuple[int, int, bytes, np.ndarray]], dict[int, float]]:
+    """Labelled rows (id, toxic, different words, how often each is there), and how many labelled rows one example of each label stands for.
 
     A sample of about so many toxic and clean ids, drawn by a hash of the id (at most twice as many together). An id with clashing labels is toxic. Labels that are null, or
     of ids without a text, are left out; rows with one id and one text count once; texts are read whole.
@@ -218,10 +225,10 @@ def examples(docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int =
     drawn = known.filter(draw < F.when(F.col("toxic") == 1, toxic / max(n.get(1, 1), 1)).otherwise(clean / max(n.get(0, 1), 1)))
     ids = drawn.limit(2 * (toxic + clean))  # far above what the draw gives: a bound for the broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter("text is not null").dropDuplicates(["doc_id", "text"])
-    got = text_rows(rows, "toxic").mapInArrow(_drawn, "doc_id long, toxic int, words array<struct<word:binary,times:long>>").collect()
-    out = sorted(((r.doc_id, r.toxic, {bytes(w.word): w.times for w in r["words"]}) for r in got), key=lambda e: (e[0], e[1], sorted(e[2].items())))
+    got = text_rows(rows, "toxic").mapInArrow(_drawn, "doc_id long, toxic int, words binary, times binary").collect()
+    out = sorted((r.doc_id, r.toxic, bytes(r["words"]), bytes(r.times)) for r in got)
     have = Counter(e[1] for e in out)
-    return out, {y: n.get(y, 0) / max(have[y], 1) for y in (0, 1)}
+    return [(*e[:3], np.frombuffer(e[3], "<i4")) for e in out], {y: n.get(y, 0) / max(have[y], 1) for y in (0, 1)}
 
 
 def _own_votes(held):
