@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, Words, chunks, cut, text_rows, tidy
@@ -114,8 +114,14 @@ class Known:
 
 
 def known_words(table: DataFrame, n_docs: int, most: int = 200_000) -> Known:
-    """Collects the `most` commonest words, equally common ones in the order of their bytes."""
-    got = [(bytes(r.word), r.n) for r in table.orderBy(_c("n").desc(), "word").limit(most).collect()]
+    """Collects at most `most` of the commonest words: all above a count, and of those with the next lower count a part drawn by hash."""
+    sizes = table.groupBy("n").agg(F.count("*").alias("words"))
+    upto = sizes.select("n", "words", F.sum("words").over(Window.orderBy(_c("n").desc())).alias("upto"))
+    rest = upto.filter(_c("upto") > most).orderBy(_c("n").desc()).limit(1).collect()
+    floor, share = (rest[0].n, 0.9 * (most - rest[0].upto + rest[0].words) / rest[0].words) if rest else (0, 0.0)
+    some = (_c("n") == floor) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    got = [(bytes(r.word), r.n) for r in table.filter((_c("n") > floor) | some).collect()]
+    got.sort(key=lambda r: (-r[1], r[0]))
     head = min(HEAD, sum(n >= LEAST for _, n in got))
     ending = np.asarray([_ending(w) for w, _ in got], np.int64)
     n = np.asarray([x for _, x in got], np.int64)
@@ -246,7 +252,7 @@ def _mean(table: pa.Table) -> pa.Table:
     return pa.table([table.column("part")[:1], pa.array([total]), pa.array([mean.astype("<f4").tobytes()], pa.binary())], names=["part", "weight", "net"])
 
 
-def train_net(coded: DataFrame, known_held, fan: int = 32) -> Net:
+def train_net(coded: DataFrame, known_held, fan: int = 8) -> Net:
     """Rounds of training in parallel, each on a part of every text's words; then the mean of the parameters (about 1 MB).
 
     The mean is taken of `fan` at a time, in as many levels as it needs, so that one set alone comes to the driver.
