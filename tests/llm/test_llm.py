@@ -362,8 +362,8 @@ def test_toxicity_against_plain_nearest_neighbours(spark):
     index = toxicity.fit(docs, labels)
     own, _ = toxicity.examples(docs, labels)
     tf = {e[0]: collections.Counter() for e in own}
-    for i, _, ws in own:
-        for w, c in ws.items():
+    for i, _, ws, times in own:
+        for w, c in zip(ws.split(), times.tolist(), strict=True):
             tf[i].update(dict.fromkeys(toxicity.terms(w), 0))
             for t in toxicity.terms(w):
                 tf[i][t] += c
@@ -408,7 +408,7 @@ def test_toxicity_on_odd_rows(spark):
     assert toxicity.score(nasty(spark).limit(0), index).count() == 0
     clash = spark.createDataFrame([(6, 0), (6, 1), (7, 0), (8, None), (None, 1), (99, 1)], "doc_id long, toxic int")
     own, weight = toxicity.examples(nasty(spark), clash)
-    assert [e[:2] for e in own] == [(6, 1), (7, 0)] and weight == {0: 1.0, 1: 2.0}
+    assert [e[:2] for e in own] == [(6, 1), (7, 0)] and own[0][2].split() == PASSAGE.encode().split() and weight == {0: 1.0, 1: 2.0}
     assert all(0 <= r.score <= 1 for r in toxicity.score(nasty(spark), toxicity.fit(nasty(spark), clash)).collect())
 
 
