@@ -68,18 +68,35 @@ class Index:
         # Examples with one label and one strongest term lie side by side, so that few blocks are near a text.
         lead = [int(ts[ws.argmax()]) if len(ts) else -1 for ts, ws in vectors]
         order = sorted(range(len(docs)), key=lambda i: (label[i], lead[i], examples[i][0]))
-        vectors = [vectors[i] for i in order]
-        self.forward = (np.cumsum([0, *(len(ts) for ts, _ in vectors)]), np.concatenate([np.zeros(0, np.int64), *(ts for ts, _ in vectors)]), np.concatenate([np.zeros(0), *(ws for _, ws in vectors)]))
+        docs = [docs[i] for i in order]
+        #: terms of each example and how often they are there: all that travels
+        self.first = np.cumsum([0, *(len(ts) for ts, _ in docs)])
+        self.term = np.concatenate([np.zeros(0), *(ts for ts, _ in docs)]).astype(np.int32)
+        self.times = np.concatenate([np.zeros(0), *(times for _, times in docs)]).astype(np.int32)
         self.ids = np.asarray([examples[i][0] for i in order], np.int64)
         self.toxic = label[order]
         self.weight = np.asarray([weight[int(y)] for y in self.toxic])
         self.k = k
         self.blocks = -(-len(docs) // BLOCK)
-        first, term, value = self.forward
-        at = np.repeat(np.arange(len(order)), np.diff(first))
+        self.calibrate(np.full(len(order), -1.0))
+        self._build()
+
+    def __getstate__(self) -> dict:
+        return {k: getattr(self, k) for k in ("vocab", "idf", "first", "term", "times", "ids", "toxic", "weight", "k", "blocks", "prior", "none", "mids", "rates")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self._build()
+
+    def _build(self) -> None:
+        first, term = self.first, self.term.astype(np.int64)
+        pairs = zip(first.tolist(), first[1:].tolist(), strict=False)
+        value = np.concatenate([np.zeros(0), *(self.vector(term[a:b], self.times[a:b])[1] for a, b in pairs)])
+        self.forward = (first, term, value)
+        at = np.repeat(np.arange(len(self.ids)), np.diff(first))
         #: terms that one in DENSE examples has: their part of each block is a matrix, with the largest of each row
         n = np.bincount(term, minlength=len(self.vocab))
-        self.column = np.where(n * DENSE > len(order), np.cumsum(n * DENSE > len(order)) - 1, -1)
+        self.column = np.where(n * DENSE > len(self.ids), np.cumsum(n * DENSE > len(self.ids)) - 1, -1)
         common, width = self.column[term] >= 0, int(self.column.max(initial=-1)) + 1
         self.dense = np.zeros((self.blocks, width, BLOCK), np.float32)
         self.dense[at[common] // BLOCK, self.column[term[common]], at[common] % BLOCK] = value[common]
@@ -97,7 +114,6 @@ class Index:
         self.cells = np.searchsorted(term[self.cell], np.arange(len(self.vocab) + 1))
         #: the terms of words met so far
         self.of: dict[bytes, tuple[int, ...]] = {}
-        self.calibrate(np.full(len(order), -1.0))
 
     def _weights(self, docs: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> np.ndarray:
         """Inverse document frequency, times chi-square / (chi-square + HALF) for the two labels (1 if there is but one)."""
@@ -248,6 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = 1500, clean: int = 3000
     index = Index(*examples(docs, labels, toxic, clean), k)
     held = spark.sparkContext.broadcast(index)
     votes = spark.range(0, len(index.ids), 1, max(1, len(index.ids) // 256)).mapInArrow(_own_votes(held), "id long, vote double").collect()
+    held.destroy()
     index.calibrate(np.asarray([r.vote for r in sorted(votes)], float))
     return index
 
