@@ -230,6 +230,8 @@ def _compared(percent: int, count: int, shingle: int | None):
 
 #: so many rows of one key are no burden for a task
 FEW = 1 << 16
+#: edges that a task joins at once
+EDGES = 1 << 17
 
 
 def _met(rows: DataFrame, facts: DataFrame, key: list[str], total: int) -> DataFrame:
@@ -246,22 +248,36 @@ def _met(rows: DataFrame, facts: DataFrame, key: list[str], total: int) -> DataF
     return rows.join(facts.withColumn("salt", F.explode(F.when(often, F.sequence(F.lit(0), F.lit(63))).otherwise(F.array(F.lit(0))))), [*key, "salt"]).drop("salt")
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sets = _Sets()
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            sets.join(u, v)
+    found = [(x, r) for x in sets.up if (r := sets.find(x)) != x]
+    u, v = zip(*found, strict=True) if found else ((), ())
+    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label (smallest node reachable) for undirected edges (u, v); nodes without edges are not listed.
 
-    Alternates large-star and small-star steps, each an aggregation and a join; the edges stay as many as the nodes or
+    About EDGES edges at a time are joined within a task. If that leaves more than one task, large-star and small-star steps alternate, each an aggregation and a join; the edges stay as many as the nodes or
     fewer, whatever a component's size, and each round is written to the checkpoint folder. The hub of a large component fills no task.
     """
     now = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
-    last = None
+    total = now.count()
+    parts = 1 + total // EDGES
+    now = now.coalesce(parts).mapInArrow(_contracted, "u long, v long")
+    if parts == 1:
+        now = cut(now)
+        return now.select(_c("u").alias("node"), _c("v").alias("label")).unionByName(now.select(_c("v").alias("node"), _c("v").alias("label")).distinct())
+    now = cut(now.distinct())
     while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == last or not mark[0]:
-            return now.select(_c("u").alias("node"), _c("v").alias("label")).unionByName(now.select(_c("v").alias("node"), _c("v").alias("label")).distinct())
-        last = mark
         both = now.unionByName(now.select(_c("v").alias("u"), _c("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), _c("u")).alias("m"), F.count_if(_c("v") > _c("u")).alias("n"))
-        large = _met(both.filter("v > u"), least, ["u"], mark[0]).select(_c("v").alias("u"), _c("m").alias("v")).filter("u <> v").distinct()
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), _c("u")).alias("m"), F.count_if(_c("v") > _c("u")).alias("n"), F.count_if(_c("v") < _c("u")).alias("below")))
+        if least.filter("below > 1 or (below = 1 and n > 0)").isEmpty():  # stars alone
+            return least.select(_c("u").alias("node"), _c("m").alias("label"))
+        large = _met(both.filter("v > u"), least, ["u"], total).select(_c("v").alias("u"), _c("m").alias("v")).filter("u <> v")
         # smaller neighbours of a node are few after the first step: a large component's hub has none
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(_c("v").alias("u"), _c("m").alias("v"))
@@ -333,15 +349,14 @@ def links(docs: DataFrame, reps: DataFrame, bands: int, rows: int, shingle: int,
     sizes = cut(sizes)
     unlike = cut(_met(now, sizes, ["band"], total).drop("n").join(large, "comp", "left"))
     # Small comps meet band by band; a large one meets, once and not by band, those that it shares a band with.
-    few = unlike.filter("large is null").select(_c("band").alias("group"), "comp", "node")
+    few = unlike.filter("large is null").select(F.xxhash64(F.lit("band"), "band").alias("group"), "comp", "node")
     hosts = unlike.filter("large").groupBy("band").agg(F.collect_set("comp").alias("hosts"))  # at most one in block_docs of the band's rows
     guest = _met(unlike, sizes.join(hosts, "band"), ["band"], total).withColumn("host", F.explode("hosts"))
     guest = guest.filter((_c("comp") != _c("host")) & (_c("large").isNull() | (_c("comp") > _c("host"))))
-    guest = cut(guest.select(_c("host").alias("group"), F.lit(1).alias("comp"), "node").distinct())
-    home = unlike.filter("large").select(_c("comp").alias("group"), F.lit(0).alias("comp"), "node").distinct()
-    regs = texts.select("node", "registers", "n_shingles", F.lit(1).alias("bytes"))
-    compared = lambda x: _dealt(x.join(regs, "node"), block_registers, block_registers).groupBy("task").applyInArrow(_compared(percent, count, None), "u long, v long")
-    likely = components(compared(few).unionByName(compared(home.unionByName(guest))))
+    of = lambda host, comp: (F.xxhash64(F.lit("comp"), host).alias("group"), F.lit(comp).cast("long").alias("comp"), _c("node"))
+    once = guest.select(*of("host", 1)).unionByName(unlike.filter("large").select(*of("comp", 0))).distinct()
+    unlike = few.unionByName(once).join(texts.select("node", "registers", "n_shingles", F.lit(1).alias("bytes")), "node")
+    likely = components(_dealt(unlike, block_registers, block_registers).groupBy("task").applyInArrow(_compared(percent, count, None), "u long, v long"))
 
     # Documents with a candidate, with their texts.
     again = likely.select("node", _c("label").alias("group")).join(label, "node", "left").select("node", "group", F.coalesce("label", "node").alias("comp"))
