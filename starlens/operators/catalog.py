@@ -6,7 +6,7 @@ lake's scale. The rules are written once for Spark and once for DuckDB.
 
 from __future__ import annotations
 
-from functools import reduce
+import tempfile
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,9 +125,10 @@ def dep_adjacency(spark, sf):
 def _cut(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        import tempfile
-
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint(eager=True)
 
 
@@ -232,11 +233,17 @@ def capped_list(spark, sf):
     return g.select("c_nationkey", F.when(_c("n") > 20, F.concat("head", F.lit(" (+"), (_c("n") - 20).cast("string"), F.lit(" more)"))).otherwise(_c("head")).alias("names"))
 
 
-@query("select p_partkey, case when p_type like 'STANDARD%' then 'Plain' when p_type like '%BRASS' then 'Brass' when p_type like '%O%' then 'Other' end as folder from part where p_type like 'STANDARD%' or p_type like '%BRASS' or p_type like '%O%'")
+_FOLDER_SQL = "case p_size % 4 when 0 then 'Plain' when 1 then 'Brass' end"
+_MOVES_SQL = "case when starts_with(p_type, 'STANDARD') and current_folder is distinct from 'Plain' then 'Plain' when ends_with(p_type, 'BRASS') and current_folder is distinct from 'Brass' then 'Brass' when contains(p_type, 'O') and current_folder is distinct from 'Other' then 'Other' end"
+
+
+@query(f"select * from (select p_partkey, current_folder, {_MOVES_SQL} as new_folder from (select p_partkey, p_type, {_FOLDER_SQL} as current_folder from part)) where new_folder is not null")
 def classify_first_match(spark, sf):
-    rules = [("STANDARD%", "Plain"), ("%BRASS", "Brass"), ("%O%", "Other")]
-    first = reduce(lambda w, r: w.when(_c("p_type").like(r[0]), r[1]), rules[1:], F.when(_c("p_type").like(rules[0][0]), rules[0][1]))
-    return lake(spark, sf, "part").select("p_partkey", first.alias("folder")).filter("folder is not null")
+    """The first rule that matches and would change the folder; a matching rule of the current folder is passed over."""
+    rules = [(F.startswith, "STANDARD", "Plain"), (F.endswith, "BRASS", "Brass"), (F.contains, "O", "Other")]
+    parts = lake(spark, sf, "part").select("p_partkey", "p_type", F.expr(_FOLDER_SQL).alias("current_folder"))
+    first = [F.when(match(_c("p_type"), F.lit(pattern)) & ~_c("current_folder").eqNullSafe(folder), folder) for match, pattern, folder in rules]
+    return parts.select("p_partkey", "current_folder", F.coalesce(*first).alias("new_folder")).filter("new_folder is not null")
 
 
 @query("select doc_id, case when k = 0 then 'DAX' when k = 1 then 'MDX' when k = 2 then 'SQL' else 'unknown' end as kind from (select doc_id, doc_id % 4 as k from documents where text is not null)")

@@ -31,10 +31,23 @@ def star_join(spark, sf):
     return related(spark, sf, lake(spark, sf, "lineitem"), *_PATH).groupBy(_c("r_name").alias("region"), _c("p_brand").alias("brand")).agg(total("l_extendedprice").alias("revenue"), F.count("*").alias("n"), total("s_acctbal").alias("supplier_balance"))
 
 
-@query(f"select year(l_shipdate)::bigint as ship_year, year(o_orderdate)::bigint as order_year, sum(l_extendedprice{_M})::double as revenue from lineitem left join orders on l_orderkey = o_orderkey group by 1, 2")
+@query(f"select n_name as supplier_nation, r_name as region, sum(l_extendedprice{_M})::double as revenue from lineitem left join supplier on l_suppkey = s_suppkey left join nation on s_nationkey = n_nationkey left join region on n_regionkey = r_regionkey group by 1, 2")
 def use_relationship(spark, sf):
-    li = related(spark, sf, lake(spark, sf, "lineitem"), "lineitem_orders")
-    return li.groupBy(F.year("l_shipdate").cast("long").alias("ship_year"), F.year("o_orderdate").cast("long").alias("order_year")).agg(total("l_extendedprice").alias("revenue"))
+    """The inactive relationship of suppliers to nations in place of the customers' one."""
+    li = related(spark, sf, lake(spark, sf, "lineitem"), "lineitem_supplier", "supplier_nation", "nation_region")
+    return li.groupBy(_c("n_name").alias("supplier_nation"), _c("r_name").alias("region")).agg(total("l_extendedprice").alias("revenue"))
+
+
+_DAYS = "days as (select d::date as d, year(d)::bigint as y, quarter(d)::bigint as q from (select unnest(generate_series(lo, hi, interval 1 day)) as d from (select min(o_orderdate)::date as lo, max(o_orderdate)::date as hi from orders)))"
+
+
+@query(f"with {_DAYS}, daily as (select l_shipdate::date as d, sum(l_extendedprice{_M}) as v, count(*) as n from lineitem group by 1) select y as ship_year, q as ship_quarter, sum(v)::double as revenue, sum(n)::bigint as n from daily left join days using (d) group by 1, 2")
+def use_relationship_date(spark, sf):
+    """Lines by the day they shipped, along the inactive relationship to the day frame of the orders; days beyond the frame are blank."""
+    span = lake(spark, sf, "orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi"))
+    days = span.select(F.explode(F.sequence("lo", "hi")).alias("d")).select("d", F.year("d").cast("long").alias("ship_year"), F.quarter("d").cast("long").alias("ship_quarter"))
+    daily = lake(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("d")).agg(F.sum(money("l_extendedprice")).alias("v"), F.count("*").alias("n"))
+    return daily.join(days, "d", "left").groupBy("ship_year", "ship_quarter").agg(F.sum("v").cast("double").alias("revenue"), F.sum("n").alias("n"))
 
 
 @query(f"select l_returnflag, count(*) as n, sum(l_quantity{_M})::double as quantity from lineitem where l_partkey in (select p_partkey from part where p_size > 25) group by 1")
@@ -74,6 +87,13 @@ def natural_join(spark, sf):
     return left.join(right, [c for c in left.columns if c in right.columns])
 
 
+@query("select r_regionkey, r_name, n_name from region left join (select n_regionkey as r_regionkey, n_name from nation where n_regionkey < 3) using (r_regionkey)")
+def natural_left_join(spark, sf):
+    """Every row of the left side once or more, joined on all columns of one name."""
+    left, right = lake(spark, sf, "region"), lake(spark, sf, "nation").filter("n_regionkey < 3").select(_c("n_regionkey").alias("r_regionkey"), "n_name")
+    return left.join(right, [c for c in left.columns if c in right.columns], "left")
+
+
 @query("select c_custkey, o_orderkey, o_totalprice from (select c_custkey, o_orderkey, o_totalprice, row_number() over (partition by c_custkey order by o_totalprice desc, o_orderkey) as k from customer left join orders on o_custkey = c_custkey) where k <= 2")
 def generate_topn(spark, sf):
     w = Window.partitionBy("c_custkey").orderBy(_c("o_totalprice").desc_nulls_last(), "o_orderkey")
@@ -185,11 +205,11 @@ def hierarchy_rollup(spark, sf):
 _PROFILED = ("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
 
 
-@query(" union all ".join(f"select '{x}' as col, count({x}) as n, count(*) - count({x}) as nulls, count(distinct {x}) as distinct_values, min({x})::varchar as lo, max({x})::varchar as hi from part" for x in _PROFILED[:4]))
+@query(" union all ".join(f"select '{x}' as col, count({x}) as n, count(*) - count({x}) as nulls, count(distinct {x}) as distinct_values, min({x})::varchar as lo, max({x})::varchar as hi from part" for x in _PROFILED))
 def column_profile(spark, sf):
     p = lake(spark, sf, "part")
-    agg = p.agg(*(F.struct(F.lit(x).alias("col"), F.count(x).alias("n"), (F.count("*") - F.count(x)).alias("nulls"), F.count_distinct(x).alias("distinct_values"), F.min(x).cast("string").alias("lo"), F.max(x).cast("string").alias("hi")).alias(x) for x in _PROFILED[:4]))
-    return agg.select(F.explode(F.array(*_PROFILED[:4])).alias("s")).select("s.*")
+    agg = p.agg(*(F.struct(F.lit(x).alias("col"), F.count(x).alias("n"), (F.count("*") - F.count(x)).alias("nulls"), F.count_distinct(x).alias("distinct_values"), F.min(x).cast("string").alias("lo"), F.max(x).cast("string").alias("hi")).alias(x) for x in _PROFILED))
+    return agg.select(F.explode(F.array(*_PROFILED)).alias("s")).select("s.*")
 
 
 @query("select o_orderpriority, quantile_cont(o_totalprice, 0.5) as median, quantile_cont(o_totalprice, 0.9) as p90 from orders group by 1")

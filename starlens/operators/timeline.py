@@ -119,6 +119,23 @@ def ti_parallel(spark, sf):
     return q.select("region", "q", "v", F.lag("v").over(w).alias("previous_quarter"), F.lead("v").over(w).alias("next_quarter"))
 
 
+for _p in ("month", "year"):
+
+    @query(f"with {DENSE_SQL}, q as (select region, date_trunc('{_p}', d)::date as period, round(sum(v), 4) as v from dense group by 1, 2) select region, period, v, lag(v) over (partition by region order by period) as previous, lead(v) over (partition by region order by period) as following from q", f"ti_parallel_{_p}")
+    def _parallel(spark, sf, p=_p):
+        q = _frame(spark, sf).groupBy("region", F.trunc("d", p).alias("period")).agg(F.round(F.sum("v"), 4).alias("v"))
+        w = Window.partitionBy("region").orderBy("period")
+        return q.select("region", "period", "v", F.lag("v").over(w).alias("previous"), F.lead("v").over(w).alias("following"))
+
+
+for _p in ("quarter", "year"):
+
+    @query(f"with {DENSE_SQL}, m as (select region, date_trunc('{_p}', d)::date as period, max_by(v, d) filter (v is not null) as closing from dense group by 1, 2) select region, period, closing, lag(closing) over (partition by region order by period) as opening from m", f"ti_balance_{_p}")
+    def _balance(spark, sf, p=_p):
+        m = _frame(spark, sf).groupBy("region", F.trunc("d", p).alias("period")).agg(F.max_by("v", F.when(_c("v").isNotNull(), _c("d"))).alias("closing"))
+        return m.withColumn("opening", F.lag("closing").over(Window.partitionBy("region").orderBy("period")))
+
+
 @query(f"with {DENSE_SQL} select region, d, round(sum(v) over (partition by region order by d rows 27 preceding), 4) as value from dense")
 def ti_moving_28d(spark, sf):
     return _frame(spark, sf).select("region", "d", F.round(F.sum("v").over(Window.partitionBy("region").orderBy("d").rowsBetween(-27, 0)), 4).alias("value"))
