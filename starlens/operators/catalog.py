@@ -46,29 +46,6 @@ MEASURES_SQL = """m as (select p_partkey % 20 as project_id, p_brand as table_na
   case when p_partkey % 11 = 0 then 'IFERROR([M' || (p_partkey // 2) || '], 0)' when p_partkey % 13 = 0 then '[M' || (p_partkey // 2) || '] / 2' when p_partkey % 17 = 0 then 'CALCULATE([M' || (p_partkey // 2) || '], Cal[Year] = 2024)'
   when p_partkey % 19 = 0 then ' ' else 'DIVIDE([M' || (p_partkey // 2) || '], 2)' end as expression from part)"""
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "array<float>": "FLOAT[]", "boolean": "BOOLEAN", "date": "DATE"}
-
-
-def lake_columns(spark, sf) -> DataFrame:
-    rows = [(t, c, _TYPES.get(k, k.upper()), i) for t in TABLES for i, (c, k) in enumerate(lake(spark, sf, t).dtypes)]
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, ordinal int")
-
-
-_IN = ", ".join(f"'{t}'" for t in TABLES)
-
-
-@query(f"select table_name, column_name, case when data_type like 'TIMESTAMP%' then 'TIMESTAMP' else data_type end as data_type from information_schema.columns where table_name in ({_IN})")
-def lake_schema(spark, sf):
-    return lake_columns(spark, sf).select("table_name", "column_name", "data_type")
-
-
-@query(f"select table_name, '{{\"columns\":' || count(*) || ',\"names\":\"' || string_agg(column_name, ',' order by column_name) || '\"}}' as doc from information_schema.columns where table_name in ({_IN}) group by 1")
-def data_dictionary(spark, sf):
-    g = lake_columns(spark, sf).groupBy("table_name").agg(F.count("*").alias("columns"), F.array_join(F.array_sort(F.collect_list("column_name")), ",").alias("names"))
-    return g.select("table_name", F.to_json(F.struct("columns", "names")).alias("doc"))
-
-
 @query("select c_custkey, n_name as nation, r_name as region from customer left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey where c_name not like 'RowNumber-%'")
 def resolve_ids(spark, sf):
     n = lake(spark, sf, "nation").join(lake(spark, sf, "region"), _c("n_regionkey") == _c("r_regionkey"), "left")
@@ -191,15 +168,6 @@ def search_text(spark, sf):
     return d.select("doc_id", F.when(_c("a") & _c("b"), "both").when(_c("a"), "name").otherwise("expression").alias("matched_in"), F.when(F.length("text") > 200, F.concat(F.substring("text", 1, 200), F.lit("..."))).otherwise(_c("text")).alias("preview"))
 
 
-@query(" union all ".join(f"select '{n}' as relationship, '{x}' as from_column, '{y}' as to_column where (select data_type from information_schema.columns where table_name = '{a}' and column_name = '{x}') <> (select data_type from information_schema.columns where table_name = '{b}' and column_name = '{y}')" for n, (a, x, b, y, _) in RELATIONSHIPS.items()))
-def lint_key_types(spark, sf):
-    rels = spark.createDataFrame([(n, a, x, b, y) for n, (a, x, b, y, _) in RELATIONSHIPS.items()], "relationship string, a string, from_column string, b string, to_column string")
-    cols = lake_columns(spark, sf).select("table_name", "column_name", "data_type")
-    end = lambda t, c, n: cols.select(_c("table_name").alias(t), _c("column_name").alias(c), _c("data_type").alias(n))
-    j = rels.join(end("a", "from_column", "ta"), ["a", "from_column"]).join(end("b", "to_column", "tb"), ["b", "to_column"])
-    return j.filter("ta <> tb").select("relationship", "from_column", "to_column")
-
-
 @query("with b as (select l_orderkey as visual, case when l_quantity = 1 then 'Nowhere' else p_brand end as entity, case when l_linenumber = 7 then p_name || '?' else p_name end as property from lineitem join part on l_partkey = p_partkey) select case when entity not in (select p_brand from part) then 'missing_table' when not exists (select 1 from part where p_brand = entity and p_name = property) then 'missing_measure' else 'valid' end as verdict, count(*) as n, count(distinct visual) as visuals from b group by 1")
 def binding_audit(spark, sf):
     p = lake(spark, sf, "part")

@@ -130,18 +130,19 @@ def cardinality_audit(spark, sf):
     return _pairs(spark, sf).groupBy("relationship").agg(side("l").alias("from_side"), side("r").alias("to_side"), F.count_if(_c("r") > 1).alias("duplicate_keys"))
 
 
-@query("select p_partkey from part where p_partkey not in (select l_partkey from lineitem) and p_name not in (select source from documents)")
+@query("select p_partkey from part where p_partkey not in (select l_partkey from lineitem where l_quantity >= 45) and p_partkey not in (select p_partkey // 2 from part)")
 def unused_items(spark, sf):
-    sold = lake(spark, sf, "lineitem").select(_c("l_partkey").alias("p_partkey"))
-    named = lake(spark, sf, "documents").select(_c("source").alias("p_name"))
-    return lake(spark, sf, "part").join(sold, "p_partkey", "left_anti").join(named, "p_name", "left_anti").select("p_partkey")
+    """Items that neither a large line nor another item's formula uses."""
+    sold = lake(spark, sf, "lineitem").filter("l_quantity >= 45").select(_c("l_partkey").alias("p_partkey"))
+    named = lake(spark, sf, "part").selectExpr("p_partkey div 2 as p_partkey")
+    return lake(spark, sf, "part").join(sold, "p_partkey", "left_anti").join(named, "p_partkey", "left_anti").select("p_partkey")
 
 
 @query("with cal as (select unnest(generate_series((select min(ts)::date from events)::timestamp, (select max(ts)::date from events)::timestamp, interval 1 day))::date as d) select d, count(event_id) as n, count(distinct user_id) as users from cal left join events on ts::date = d group by 1")
 def join_on_date(spark, sf):
-    e = lake(spark, sf, "events").select(F.to_date("ts").alias("d"), "event_id", "user_id")
+    e = lake(spark, sf, "events").groupBy(F.to_date("ts").alias("d")).agg(F.count("event_id").alias("n"), F.count_distinct("user_id").alias("users"))
     cal = e.agg(F.min("d").alias("a"), F.max("d").alias("b")).select(F.explode(F.sequence("a", "b")).alias("d"))
-    return cal.join(e, "d", "left").groupBy("d").agg(F.count("event_id").alias("n"), F.count_distinct("user_id").alias("users"))
+    return cal.join(e, "d", "left").na.fill(0, ["n", "users"])
 
 
 # Measures
@@ -252,11 +253,11 @@ def selected_value(spark, sf):
 
 # Set operations
 
-_A, _B = "select c_nationkey as k from customer where c_acctbal > 5000", "select s_nationkey as k from supplier where s_acctbal > 0"
+_A, _B = "select c_custkey // 2 as k from customer where c_acctbal > 5000", "select s_suppkey as k from supplier where s_acctbal > 0"
 
 
 def _two(spark, sf):
-    return lake(spark, sf, "customer").filter("c_acctbal > 5000").select(_c("c_nationkey").alias("k")), lake(spark, sf, "supplier").filter("s_acctbal > 0").select(_c("s_nationkey").alias("k"))
+    return lake(spark, sf, "customer").filter("c_acctbal > 5000").selectExpr("c_custkey div 2 as k"), lake(spark, sf, "supplier").filter("s_acctbal > 0").select(_c("s_suppkey").alias("k"))
 
 
 @query(f"{_A} union all {_B}")
@@ -318,10 +319,11 @@ def topn_with_ties(spark, sf):
     return a.withColumn("k", F.rank().over(Window.partitionBy("c_mktsegment").orderBy(_c("v").desc()))).filter("k <= 10").drop("k")
 
 
-@query("select o_orderpriority as label, count(distinct substr(o_orderpriority, 1, 1)) as sort_values, count(distinct o_orderstatus) > 1 as broken_by_status from orders group by 1")
+@query("select c_custkey // 8 as label, count(distinct k) as sort_values, min(k) as sort_value, count(distinct k) > 1 as broken from (select c_custkey, case when c_custkey % 40 = 3 then -1 else c_custkey // 16 end as k from customer) group by 1")
 def sort_by_audit(spark, sf):
-    o = lake(spark, sf, "orders")
-    return o.groupBy(_c("o_orderpriority").alias("label")).agg(F.count_distinct(F.substring("o_orderpriority", 1, 1)).alias("sort_values"), (F.count_distinct("o_orderstatus") > 1).alias("broken_by_status"))
+    """A label may be sorted by another column only where each label has one value of it."""
+    c = lake(spark, sf, "customer").selectExpr("c_custkey div 8 as label", "case when c_custkey % 40 = 3 then -1 else c_custkey div 16 end as k")
+    return c.groupBy("label").agg(F.count_distinct("k").alias("sort_values"), F.min("k").alias("sort_value"), (F.count_distinct("k") > 1).alias("broken"))
 
 
 @query("select count(*) as exported, (select count(*) from lineitem) > 100000 as truncated from (select 1 from lineitem limit 100000)")

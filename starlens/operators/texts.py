@@ -120,16 +120,17 @@ def query_refs(spark, sf):
 
 
 @query("""select p_partkey, try_cast(right(p_brand, 1) as double) as number_, make_date(2000 + p_partkey % 20, 1 + p_partkey % 12, 1 + p_partkey % 28) as date_, p_size % 2 <> 0 as flag,
-  'rgb(' || (p_partkey * 7 % 256) || ',' || (p_size * 5 % 256) || ',' || (p_partkey % 256) || ')' as rgb, p_retailprice::varchar = p_retailprice::varchar as text_ok from part""")
+  'rgb(' || (p_partkey * 7 % 256) || ',' || (p_size * 5 % 256) || ',' || (p_partkey % 256) || ')' as rgb, p_size::varchar || ' pcs' as text_ from part""")
 def udf_convert_pack(spark, sf):
     made = "create or replace temporary function "
     spark.sql(made + "to_number_(v string) returns double return try_cast(v as double)")
     spark.sql(made + "to_day_(v string) returns date return to_date(v, 'yyyy-M-d')")
+    spark.sql(made + "to_text_(v bigint, unit string) returns string return concat(v, unit)")
     spark.sql(made + "to_flag_(v bigint) returns boolean return v <> 0")
     spark.sql(made + "hex_rgb_(h string) returns string return concat('rgb(', conv(substring(h, 2, 2), 16, 10), ',', conv(substring(h, 4, 2), 16, 10), ',', conv(substring(h, 6, 2), 16, 10), ')')")
     color = "concat('#', lpad(hex(p_partkey * 7 % 256), 2, '0'), lpad(hex(p_size * 5 % 256), 2, '0'), lpad(hex(p_partkey % 256), 2, '0'))"
     day = "concat_ws('-', 2000 + p_partkey % 20, 1 + p_partkey % 12, 1 + p_partkey % 28)"
-    return lake(spark, sf, "part").selectExpr("p_partkey", "to_number_(right(p_brand, 1)) as number_", f"to_day_({day}) as date_", "to_flag_(p_size % 2) as flag", f"hex_rgb_({color}) as rgb", "cast(p_retailprice as string) is not null as text_ok")
+    return lake(spark, sf, "part").selectExpr("p_partkey", "to_number_(right(p_brand, 1)) as number_", f"to_day_({day}) as date_", "to_flag_(p_size % 2) as flag", f"hex_rgb_({color}) as rgb", "to_text_(p_size, ' pcs') as text_")
 
 
 @query("select o_custkey, round(v, 2) as v, case when t > 0 then round((v - t) / t, 4) end as variance_pct, v >= t as reached from (select o_custkey, sum(o_totalprice::decimal(18,2))::double as v, (count(*) * 150000)::double as t from orders group by 1)")

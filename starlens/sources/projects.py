@@ -179,3 +179,18 @@ def report_parameters(spark: SparkSession, root: str) -> DataFrame:
         _c("_metadata.file_path").alias("path"), _c("_Name").alias("name"), _c("DataType").alias("type"), F.coalesce("DefaultValue.Values.Value", none).alias("defaults"), F.coalesce(valid, none).alias("valid"),
         _c("ValidValues.DataSetReference.DataSetName").isNotNull().alias("by_query"),
     )
+
+
+def report_info(files: DataFrame) -> DataFrame:
+    """path, counts of sources, datasets, parameters (with defaults, with valid values), sections and items, header flag and page size.
+
+    A body outside of any section counts as one section; pages without a size are 8.5in by 11in. Files that are no XML must be left out before.
+    """
+    at = lambda p: F.xpath_double("content", F.lit(f"count({p})")).cast("long")
+    held = "//ReportItems/*"
+    size = lambda k, default: F.coalesce(F.nullif(F.xpath_string("content", F.lit(f"//{k}")), F.lit("")), F.lit(default))
+    return files.select(
+        "path", at("//DataSources/DataSource").alias("sources"), at("//DataSets/DataSet").alias("datasets"), at("//ReportParameter").alias("parameters"), at("//ReportParameter[DefaultValue]").alias("with_default"),
+        at("//ReportParameter[ValidValues]").alias("with_valid"), F.greatest(at("//ReportSections/ReportSection"), F.lit(1)).alias("sections"), at(held).alias("items"), at("//ReportItems/Textbox").alias("textboxes"),
+        F.xpath_boolean("content", F.lit("//PageHeader")).alias("has_header"), size("PageWidth", "8.5in").alias("page_width"), size("PageHeight", "11in").alias("page_height"),
+    )
