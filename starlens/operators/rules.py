@@ -1,7 +1,9 @@
-"""The linter: every rule gives project_id, severity, rule, entity; rules on one row share a pass over their table.
+"""The linter: every rule gives project_id, category, severity, rule, entity.
 
-Rules never gather a project: lookups are joins on (project, name), counts are partial aggregates, and the first holder of
-a lineage tag is found by a minimum, so that a tag or project holding most rows needs no large sort in one task.
+Rules of all categories on one row share a pass over their table. What a rule asks of other objects of a table or project is
+gathered as bits and counts in one partial aggregation by table and one by project, so that no rule joins the fleet's
+tables anew and none gathers a project; tables of one name in a project count as one. The first holder of a lineage tag is
+found by a minimum, so that a tag or project holding most rows needs no large sort in one task.
 """
 
 from __future__ import annotations
@@ -25,14 +27,17 @@ def query(sql: str):
     return add
 
 
-def flagged(df: DataFrame, entity: Column, rules: list[tuple[str, str, Column]]) -> DataFrame:
-    """One row per row and rule that holds; all rules in one pass. A null condition doesn't hold."""
-    marks = F.array(*(F.when(cond, F.struct(F.lit(s).alias("severity"), F.lit(r).alias("rule"))) for s, r, cond in rules))
-    return df.select("project_id", entity.alias("entity"), F.explode(F.filter(marks, lambda x: x.isNotNull())).alias("f")).select("project_id", "f.severity", "f.rule", "entity")
+Rule = tuple[str, str, str, Column]  #: category, severity, rule, condition
 
 
-def found(df: DataFrame, severity: str, rule: str, entity: Column) -> DataFrame:
-    return df.select("project_id", F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), entity.alias("entity"))
+def flagged(df: DataFrame, entity: Column, rules: list[Rule], wanted: tuple[str, ...]) -> list[DataFrame]:
+    """One row per row and rule of the wanted categories that holds, in one pass; a null condition doesn't hold."""
+    named = lambda *x: F.struct(*(F.lit(v).alias(n) for n, v in zip(("category", "severity", "rule"), x)))
+    marks = [F.when(cond, named(k, s, r)) for k, s, r, cond in rules if k in wanted]
+    if not marks:
+        return []
+    hits = df.select("project_id", entity.alias("entity"), F.explode(F.filter(F.array(*marks), lambda x: x.isNotNull())).alias("f"))
+    return [hits.select("project_id", "f.category", "f.severity", "f.rule", "entity")]
 
 
 def together(*parts: DataFrame) -> DataFrame:
@@ -60,57 +65,186 @@ def all_expressions(spark, sf):
     return all_formulas(spark, sf).filter("expression is not null")
 
 
-def structural(spark, sf) -> DataFrame:
-    t, cols, items, rels = (fleet(spark, sf, n) for n in ("tables", "columns", "items", "relationships"))
-    groups = t.filter("is_group").select("project_id", "table_name")
-    refs = fleet(spark, sf, "refs").filter("coalesce(kind, 'table') = 'table'")
-    has = lambda cond: cols.filter(cond).select("project_id", "table_name")
-    lacking = lambda other: groups.join(other, ["project_id", "table_name"], "left_anti")
-    e = _c("table_name")
-    flat = fleet(spark, sf, "projects").filter("discourages").select("project_id")
-    names = t.select("project_id", "table_name").distinct()
+def _blank(column: str) -> Column:
+    return F.trim(F.coalesce(column, F.lit(""))) == ""
+
+
+def _empty(column: str) -> Column:
+    return F.coalesce(column, F.lit("")) == ""
+
+
+#: fixed values: functions that aggregate
+_AGGREGATION = r"(?i)\b(SUM|AVERAGE|COUNT|COUNTROWS|MIN|MAX|SUMX|AVERAGEX|COUNTX|MAXX|MINX)\s*\("
+#: closed strings and comments of a formula
+_QUOTED = r'"(?:[^"]|"")*"|//[^\n]*|/\*[\s\S]*?\*/'
+
+
+def _formula_rules(there: Column) -> list[Rule]:
+    e = F.when(there, _c("expression"))
+    bare = F.regexp_replace(e, _QUOTED, "")
+    year = F.regexp_extract(e, r"\b(20[2-9]\d)\b", 1)
+    return [
+        ("dax", "warning", "dax_use_divide_function", bare.rlike(r"[\w)\]]\s*/") & ~e.rlike("(?i)DIVIDE")),
+        ("dax", "warning", "dax_iferror_to_iserror", e.rlike(r"(?i)\bIFERROR\s*\(")),
+        ("dax", "info", "dax_nested_calculate", F.regexp_count(e, F.lit(r"(?i)\bCALCULATE\s*\(")) > 2),
+        ("dax", "info", "dax_use_selectedvalue", e.rlike(r"(?i)\bIF\s*\(\s*HASONEVALUE\s*\(")),
+        ("dax", "info", "dax_treatas_over_intersect", e.rlike(r"(?i)\bINTERSECT\s*\(") & e.rlike(r"(?i)\bFILTER\s*\(")),
+        ("dax", "info", "dax_values_in_calculate", e.rlike(r"(?is)\bCALCULATE\s*\(.*\bVALUES\s*\(")),
+        ("dax", "info", "dax_hardcoded_year", F.when(year != "", year.cast("int")).between(2020, 2030)),
+    ]
+
+
+def _column_rules() -> list[Rule]:
+    kind, name, fmt = _c("data_type"), _c("column_name"), _c("format_string")
+    return [
+        ("structural", "warning", "missing_lineage_tag", _empty("tag")),
+        ("performance", "warning", "perf_avoid_float_columns", (kind == "double") & ~_c("is_calculated")),
+        ("performance", "warning", "perf_calc_column_with_aggregation", _c("is_calculated") & _c("expression").rlike(_AGGREGATION)),
+        ("performance", "warning", "perf_summarize_id_column", (_c("summarize_by") == "sum") & name.rlike("(?i)(ID|Key|Code|Num)$")),
+        ("formatting", "info", "fmt_integer_decimal_format", (kind == "int64") & fmt.rlike(r"\.0+")),
+        ("formatting", "info", "fmt_currency_without_symbol", (kind == "double") & name.rlike("(?i)(amount|price|cost|revenue|sales|total)") & (fmt != "") & ~fmt.rlike("(?i)[$€£¥]|currency")),
+        ("naming", "warning", "name_whitespace", name != F.trim(name)),
+        ("error", "warning", "err_missing_data_type", _empty("data_type")),
+        *_formula_rules(_c("is_calculated")),
+    ]
+
+
+def _measure_rules() -> list[Rule]:
+    name, fmt, e = _c("name"), _c("format_string"), _c("expression")
+    return [
+        ("structural", "warning", "missing_lineage_tag", _empty("tag")),
+        ("formatting", "info", "fmt_missing_format_string", _empty("format_string") & ~_c("is_hidden")),
+        ("formatting", "warning", "fmt_percentage_mismatch", name.rlike("(?i)(percent|pct|%|ratio)") & (fmt != "") & ~fmt.contains("%")),
+        ("formatting", "warning", "fmt_svg_missing_image_url", e.rlike(r"(?i)data:image/svg\+xml") & ~_c("data_category").eqNullSafe("ImageUrl")),
+        ("maintenance", "info", "maint_missing_measure_description", ~_c("is_hidden") & _empty("description")),
+        ("naming", "warning", "name_whitespace", name != F.trim(name)),
+        ("naming", "warning", "name_special_characters", name.rlike("[<>{}|&~`^]")),
+        ("error", "info", "err_userelationship_check", e.rlike(r"(?i)\bUSERELATIONSHIP\s*\(")),
+        ("error", "error", "err_empty_measure_expression", _blank("expression")),
+        *_formula_rules(F.lit(True)),
+    ]
+
+
+def _item_rules() -> list[Rule]:
+    return [
+        ("structural", "error", "calc_item_missing_name", F.trim("name") == ""),
+        ("structural", "error", "calc_item_missing_expression", _blank("expression")),
+        *_formula_rules(F.lit(True)),
+    ]
+
+
+_TABLE, _GROUP, _LOADED, _UNTAGGED, _REF, _COLUMN, _VISIBLE, _NAME, _ORDINAL, _ITEM, _MEASURE, _LINKED = (1 << k for k in range(12))
+
+
+def _by_table(t: DataFrame, cols: DataFrame, rels: DataFrame, items: DataFrame, m: DataFrame, refs: DataFrame) -> DataFrame:
+    """project_id, table_name, bits (what there is of that name), n (its columns); one shuffle of partial aggregates."""
+
+    def part(df: DataFrame, always: int, bits: dict[int, Column] | None = None, table: str = "table_name", n: int = 0) -> DataFrame:
+        every = [F.when(cond, bit).otherwise(0) for bit, cond in (bits or {}).items()]
+        return df.select("project_id", _c(table).alias("table_name"), reduce(Column.__add__, every, F.lit(always)).alias("bits"), F.lit(n).alias("n"))
+
+    source, kind = _c("source_column"), _c("data_type")
     return together(
-        found(groups.select("project_id").distinct().join(flat, "project_id", "left_anti"), "error", "calc_group_missing_discourage_implicit", F.lit("model")),
-        found(lacking(refs.select("project_id", _c("ref").alias("table_name"))), "error", "calc_group_missing_ref_table", e),
-        found(lacking(has("source_column = 'Name' and data_type = 'string'")), "error", "calc_group_missing_name_column", e),
-        found(lacking(has("source_column = 'Ordinal' and data_type = 'int64'")), "error", "calc_group_missing_ordinal_column", e),
-        flagged(items, _member(), [("error", "calc_item_missing_name", F.trim("name") == ""), ("error", "calc_item_missing_expression", F.trim(F.coalesce("expression", F.lit(""))) == "")]),
-        found(refs.join(names.withColumnRenamed("table_name", "ref"), ["project_id", "ref"], "left_anti"), "error", "orphaned_table_ref", _c("ref")),
-        ends(rels, names, cols),
-        tags(spark, sf),
-    )
-
-
-def ends(rels: DataFrame, names: DataFrame, cols: DataFrame) -> DataFrame:
-    """Relationship ends whose table, or else whose column, isn't there."""
-    out = rels
-    known_columns = cols.select("project_id", "table_name", "column_name").distinct()
+        part(t, _TABLE, {_GROUP: _c("is_group"), _LOADED: _c("source") != "calculated", _UNTAGGED: _empty("tag")}),
+        part(cols, _COLUMN, {_VISIBLE: ~F.coalesce("is_hidden", F.lit(False)), _NAME: (source == "Name") & (kind == "string"), _ORDINAL: (source == "Ordinal") & (kind == "int64")}, n=1),
+        part(rels, _LINKED, table="from_table"), part(rels, _LINKED, table="to_table"),
+        part(items, _ITEM), part(m, _MEASURE), part(refs.filter("coalesce(kind, 'table') = 'table'"), _REF, table="ref"),
+    ).groupBy("project_id", "table_name").agg(F.bit_or("bits").alias("bits"), F.sum("n").alias("n"))
+
+
+def _table_rules() -> list[Rule]:
+    has = lambda bit: _c("bits").bitwiseAND(bit) != 0
+    group, plain = has(_TABLE) & has(_GROUP), has(_TABLE) & ~has(_GROUP)
+    name = _c("table_name")
+    return [
+        ("structural", "error", "calc_group_missing_ref_table", group & ~has(_REF)),
+        ("structural", "error", "calc_group_missing_name_column", group & ~has(_NAME)),
+        ("structural", "error", "calc_group_missing_ordinal_column", group & ~has(_ORDINAL)),
+        ("structural", "error", "orphaned_table_ref", has(_REF) & ~has(_TABLE)),
+        ("structural", "warning", "missing_lineage_tag", has(_UNTAGGED)),
+        ("performance", "warning", "perf_too_many_columns", _c("n") > 100),
+        ("maintenance", "info", "maint_unconnected_table", plain & has(_LOADED) & has(_COLUMN) & ~has(_LINKED)),
+        ("maintenance", "warning", "maint_empty_calc_group", group & ~has(_ITEM)),
+        ("maintenance", "info", "maint_fully_hidden_table", plain & has(_COLUMN) & ~has(_VISIBLE) & ~has(_MEASURE)),
+        ("naming", "warning", "name_whitespace", has(_TABLE) & (name != F.trim(name))),
+    ]
+
+
+def _by_project(p: DataFrame, t: DataFrame, rels: DataFrame, m: DataFrame) -> DataFrame:
+    """project_id and the counts that rules on whole models need."""
+    counts = {"discouraging": (p, _c("discourages")), "n_tables": (t, F.lit(True)), "groups": (t, _c("is_group")), "idle": (rels, ~_c("is_active")), "shown": (m, ~_c("is_hidden")), "unfiled": (m, ~_c("is_hidden") & _empty("display_folder"))}
+    of = lambda df: df.select("project_id", *((cond if own is df else F.lit(False)).alias(n) for n, (own, cond) in counts.items()))
+    return together(*map(of, (p, t, rels, m))).groupBy("project_id").agg(*(F.count_if(n).alias(n) for n in counts))
+
+
+def _project_rules() -> list[Rule]:
+    return [
+        ("structural", "error", "calc_group_missing_discourage_implicit", (_c("groups") > 0) & (_c("discouraging") == 0)),
+        ("performance", "info", "perf_many_inactive_relationships", _c("idle") > 5),
+        ("performance", "info", "perf_many_tables", _c("n_tables") > 30),
+        ("maintenance", "info", "maint_measures_without_folders", (_c("shown") >= 10) & (_c("unfiled") > 5)),
+    ]
+
+
+def _ends(rels: DataFrame, names: DataFrame, cols: DataFrame) -> DataFrame:
+    """Relationships with, for both ends, whether the table is there (from_t, to_t), the column (from_c, to_c) and its type."""
+    known = cols.groupBy("project_id", "table_name", "column_name").agg(F.lit(True).alias("c"), F.min(F.when(_c("data_type") != "", _c("data_type"))).alias("type"))
     for side in ("from", "to"):
         table, column = f"{side}_table", f"{side}_column"
-        out = out.join(names.select("project_id", _c("table_name").alias(table), F.lit(True).alias(f"{side}_t")), ["project_id", table], "left")
-        out = out.join(known_columns.select("project_id", _c("table_name").alias(table), _c("column_name").alias(column), F.lit(True).alias(f"{side}_c")), ["project_id", table, column], "left")
-    rules = []
-    for side in ("from", "to"):
-        there, column = _c(f"{side}_t").isNotNull(), _c(f"{side}_c").isNotNull()
-        rules += [("error", f"relationship_missing_{side}_table", ~there), ("error", f"relationship_invalid_{side}_column", there & ~column)]
-    return flagged(out, _c("name"), rules)
-
-
-def tags(spark, sf) -> DataFrame:
-    """Missing lineage tags, and every holder of a tag but the first (tables, then columns, measures, functions)."""
-    t, c, m, f = (fleet(spark, sf, n) for n in ("tables", "columns", "formulas", "functions"))
-    every = together(
-        t.select("project_id", _c("table_name").alias("entity"), "tag", F.struct(F.lit(0).alias("kind"), _c("pos").cast("long").alias("pos")).alias("at")),
-        c.select("project_id", _member(name="column_name").alias("entity"), "tag", F.struct(F.lit(1).alias("kind"), _c("pos").cast("long").alias("pos")).alias("at")),
-        m.select("project_id", _member().alias("entity"), "tag", F.struct(F.lit(2).alias("kind"), _c("pos").cast("long").alias("pos")).alias("at")),
-        f.select("project_id", _c("name").alias("entity"), "tag", F.struct(F.lit(3).alias("kind"), F.lit(0).cast("long").alias("pos")).alias("at")),
-    )
-    tagged = every.filter("tag <> ''")
+        rels = rels.join(names.select("project_id", _c("table_name").alias(table), F.lit(True).alias(f"{side}_t")), ["project_id", table], "left")
+        rels = rels.join(known.select("project_id", _c("table_name").alias(table), _c("column_name").alias(column), _c("c").alias(f"{side}_c"), _c("type").alias(f"{side}_type")), ["project_id", table, column], "left")
+    return rels
+
+
+def _relationship_rules() -> list[Rule]:
+    return [
+        ("performance", "warning", "perf_many_to_many_relationship", (F.coalesce("from_card", F.lit("many")) == "many") & (_c("to_card") == "many")),
+        ("performance", "warning", "perf_bidirectional_crossfilter", _c("cross_filter") == "bothDirections"),
+    ]
+
+
+def _end_rules() -> list[Rule]:
+    missing = lambda side: ("structural", "error", f"relationship_missing_{side}_table", _c(f"{side}_t").isNull())
+    invalid = lambda side: ("structural", "error", f"relationship_invalid_{side}_column", _c(f"{side}_t").isNotNull() & _c(f"{side}_c").isNull())
+    return [rule(side) for side in ("from", "to") for rule in (missing, invalid)] + [("error", "warning", "err_relationship_type_mismatch", _c("from_type") != _c("to_type"))]
+
+
+def _found(df: DataFrame, category: str, severity: str, rule: str, entity: str) -> DataFrame:
+    return df.select("project_id", *(F.lit(v).alias(n) for n, v in (("category", category), ("severity", severity), ("rule", rule))), _c(entity).alias("entity"))
+
+
+def repeated_tags(t: DataFrame, c: DataFrame, m: DataFrame, f: DataFrame) -> DataFrame:
+    """Every holder of a lineage tag but the first (tables, then columns, measures, functions)."""
+    at = lambda kind, pos: F.struct(F.lit(kind).alias("kind"), pos.cast("long").alias("pos")).alias("at")
+    holders = ((t, _c("table_name"), _c("pos")), (c, _member(name="column_name"), _c("pos")), (m, _member(), _c("pos")), (f, _c("name"), F.lit(0)))
+    tagged = together(*(df.filter("tag <> ''").select("project_id", entity.alias("entity"), "tag", at(kind, pos)) for kind, (df, entity, pos) in enumerate(holders)))
     first = tagged.groupBy("project_id", "tag").agg(F.min("at").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return together(
-        found(every.filter("coalesce(tag, '') = ''"), "warning", "missing_lineage_tag", _c("entity")),
-        found(tagged.join(first, ["project_id", "tag"]).filter("at > first"), "error", "duplicate_lineage_tag", _c("entity")),
-    )
+    return tagged.join(first, ["project_id", "tag"]).filter("at > first")
+
+
+#: categories of rules
+CATEGORIES = ("structural", "performance", "dax", "formatting", "maintenance", "naming", "error")
+
+
+def lint(spark, sf, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
+    """All findings of the categories asked for, in one pass over each kind of object; `dep_cycles` has the rule on cycles."""
+    p, t, refs, cols, rels, m, items, f = (fleet(spark, sf, n) for n in ("projects", "tables", "refs", "columns", "relationships", "formulas", "items", "functions"))
+    parts = [
+        *flagged(cols, _member(name="column_name"), _column_rules(), categories),
+        *flagged(m, _member(), _measure_rules(), categories),
+        *flagged(items, _member(), _item_rules(), categories),
+        *flagged(f, _c("name"), [("structural", "warning", "missing_lineage_tag", _empty("tag"))], categories),
+        *flagged(_by_table(t, cols, rels, items, m, refs), _c("table_name"), _table_rules(), categories),
+        *flagged(_by_project(p, t, rels, m), F.lit("model"), _project_rules(), categories),
+        *flagged(rels, _c("name"), _relationship_rules(), categories),
+        *flagged(_ends(rels, t.select("project_id", "table_name").distinct(), cols), _c("name"), _end_rules(), categories),
+    ]
+    if "structural" in categories:
+        parts.append(_found(repeated_tags(t, cols, m, f), "structural", "error", "duplicate_lineage_tag", "entity"))
+    if "maintenance" in categories:
+        dup = m.groupBy("project_id", "name").agg(F.count_distinct("table_name").alias("n")).filter("n > 1")
+        parts.append(_found(dup, "maintenance", "warning", "maint_duplicate_measure_name", "name"))
+    return together(*parts)
 
 
 _EV = """every as (select project_id, table_name as entity, tag, 0 as k, pos from tables union all select project_id, table_name || '.' || column_name, tag, 1, pos from columns
@@ -140,31 +274,7 @@ _S_TABLES = fleet_sql("projects", "tables", "refs", "columns", "relationships",
 
 @query(f"with {_S_TABLES} {_STRUCTURAL}")
 def lint_structural(spark, sf):
-    return structural(spark, sf)
-
-
-_AGGREGATION = r"(?i)\b(SUM|AVERAGE|COUNT|COUNTROWS|MIN|MAX|SUMX|AVERAGEX|COUNTX|MAXX|MINX)\s*\("
-
-
-def performance(spark, sf) -> DataFrame:
-    t, cols, rels = (fleet(spark, sf, n) for n in ("tables", "columns", "relationships"))
-    wide = cols.groupBy("project_id", "table_name").agg(F.count("*").alias("n")).filter("n > 100")
-    idle = rels.groupBy("project_id").agg(F.count_if(~_c("is_active")).alias("n")).filter("n > 5")
-    many = t.groupBy("project_id").agg(F.count("*").alias("n")).filter("n > 30")
-    return together(
-        flagged(cols, _member(name="column_name"), [
-            ("warning", "perf_avoid_float_columns", (_c("data_type") == "double") & ~_c("is_calculated")),
-            ("warning", "perf_calc_column_with_aggregation", _c("is_calculated") & _c("expression").rlike(_AGGREGATION)),
-            ("warning", "perf_summarize_id_column", (_c("summarize_by") == "sum") & _c("column_name").rlike("(?i)(ID|Key|Code|Num)$")),
-        ]),
-        flagged(rels, _c("name"), [
-            ("warning", "perf_many_to_many_relationship", (F.coalesce("from_card", F.lit("many")) == "many") & (_c("to_card") == "many")),
-            ("warning", "perf_bidirectional_crossfilter", _c("cross_filter") == "bothDirections"),
-        ]),
-        found(wide, "warning", "perf_too_many_columns", _c("table_name")),
-        found(idle, "info", "perf_many_inactive_relationships", F.lit("model")),
-        found(many, "info", "perf_many_tables", F.lit("model")),
-    )
+    return lint(spark, sf, ("structural",)).drop("category")
 
 
 _PERFORMANCE = """select project_id, 'warning' as severity, 'perf_avoid_float_columns' as rule, table_name || '.' || column_name as entity from columns where data_type = 'double' and not is_calculated
@@ -179,26 +289,7 @@ _PERFORMANCE = """select project_id, 'warning' as severity, 'perf_avoid_float_co
 
 @query(f"with {fleet_sql('tables', 'columns', 'relationships')} {_PERFORMANCE}")
 def lint_performance(spark, sf):
-    return performance(spark, sf)
-
-
-#: closed strings and comments of a formula
-_QUOTED = r'"(?:[^"]|"")*"|//[^\n]*|/\*[\s\S]*?\*/'
-
-
-def formulas(spark, sf) -> DataFrame:
-    e = _c("expression")
-    bare = F.regexp_replace(e, _QUOTED, "")
-    year = F.regexp_extract(e, r"\b(20[2-9]\d)\b", 1)
-    return flagged(all_formulas(spark, sf), _member(), [
-        ("warning", "dax_use_divide_function", bare.rlike(r"[\w)\]]\s*/") & ~e.rlike("(?i)DIVIDE")),
-        ("warning", "dax_iferror_to_iserror", e.rlike(r"(?i)\bIFERROR\s*\(")),
-        ("info", "dax_nested_calculate", F.regexp_count(e, F.lit(r"(?i)\bCALCULATE\s*\(")) > 2),
-        ("info", "dax_use_selectedvalue", e.rlike(r"(?i)\bIF\s*\(\s*HASONEVALUE\s*\(")),
-        ("info", "dax_treatas_over_intersect", e.rlike(r"(?i)\bINTERSECT\s*\(") & e.rlike(r"(?i)\bFILTER\s*\(")),
-        ("info", "dax_values_in_calculate", e.rlike(r"(?is)\bCALCULATE\s*\(.*\bVALUES\s*\(")),
-        ("info", "dax_hardcoded_year", F.when(year != "", year.cast("int")).between(2020, 2030)),
-    ])
+    return lint(spark, sf, ("performance",)).drop("category")
 
 
 def _hits(severity: str, rule: str, cond: str) -> str:
@@ -218,23 +309,7 @@ _FORMULAS = " union all ".join([
 
 @query(f"with {_TEXTS} {_FORMULAS}")
 def lint_dax(spark, sf):
-    return formulas(spark, sf)
-
-
-def formatting(spark, sf) -> DataFrame:
-    m, cols = fleet(spark, sf, "formulas"), fleet(spark, sf, "columns")
-    fmt = _c("format_string")
-    return together(
-        flagged(m, _member(), [
-            ("info", "fmt_missing_format_string", (F.coalesce(fmt, F.lit("")) == "") & ~_c("is_hidden")),
-            ("warning", "fmt_percentage_mismatch", _c("name").rlike("(?i)(percent|pct|%|ratio)") & (fmt != "") & ~fmt.contains("%")),
-            ("warning", "fmt_svg_missing_image_url", _c("expression").rlike(r"(?i)data:image/svg\+xml") & ~_c("data_category").eqNullSafe("ImageUrl")),
-        ]),
-        flagged(cols, _member(name="column_name"), [
-            ("info", "fmt_integer_decimal_format", (_c("data_type") == "int64") & fmt.rlike(r"\.0+")),
-            ("info", "fmt_currency_without_symbol", (_c("data_type") == "double") & _c("column_name").rlike("(?i)(amount|price|cost|revenue|sales|total)") & (fmt != "") & ~fmt.rlike("(?i)[$€£¥]|currency")),
-        ]),
-    )
+    return lint(spark, sf, ("dax",)).drop("category")
 
 
 _FORMATTING = r"""select project_id, 'info' as severity, 'fmt_missing_format_string' as rule, table_name || '.' || name as entity from formulas where coalesce(format_string, '') = '' and not is_hidden
@@ -246,27 +321,7 @@ _FORMATTING = r"""select project_id, 'info' as severity, 'fmt_missing_format_str
 
 @query(f"with {fleet_sql('formulas', 'columns')} {_FORMATTING}")
 def lint_formatting(spark, sf):
-    return formatting(spark, sf)
-
-
-def maintenance(spark, sf) -> DataFrame:
-    t, cols, rels, items, m = (fleet(spark, sf, n) for n in ("tables", "columns", "relationships", "items", "formulas"))
-    key = ["project_id", "table_name"]
-    linked = together(rels.select("project_id", _c("from_table").alias("table_name")), rels.select("project_id", _c("to_table").alias("table_name"))).distinct()
-    plain = t.filter("not is_group").select(*key, "source")
-    own = cols.groupBy(*key).agg(F.bool_and(F.coalesce("is_hidden", F.lit(False))).alias("all_hidden"))
-    folders = m.filter("not is_hidden").groupBy("project_id").agg(F.count("*").alias("n"), F.count_if(F.coalesce("display_folder", F.lit("")) == "").alias("without"))
-    dup = m.groupBy("project_id", "name").agg(F.count_distinct("table_name").alias("n")).filter("n > 1")
-    loose = plain.filter("source <> 'calculated'").join(own, key, "left_semi").join(linked, key, "left_anti")
-    dark = plain.join(own.filter("all_hidden"), key, "left_semi").join(m, key, "left_anti")
-    return together(
-        found(loose, "info", "maint_unconnected_table", _c("table_name")),
-        found(folders.filter("n >= 10 and without > 5"), "info", "maint_measures_without_folders", F.lit("model")),
-        found(t.filter("is_group").join(items, key, "left_anti"), "warning", "maint_empty_calc_group", _c("table_name")),
-        flagged(m, _member(), [("info", "maint_missing_measure_description", ~_c("is_hidden") & (F.coalesce("description", F.lit("")) == ""))]),
-        found(dark, "info", "maint_fully_hidden_table", _c("table_name")),
-        found(dup, "warning", "maint_duplicate_measure_name", _c("name")),
-    )
+    return lint(spark, sf, ("formatting",)).drop("category")
 
 
 _MAINTENANCE = """select project_id, 'info' as severity, 'maint_unconnected_table' as rule, table_name as entity from tables where not is_group and source <> 'calculated' and (project_id, table_name) in (select (project_id, table_name) from columns)
@@ -280,16 +335,7 @@ _MAINTENANCE = """select project_id, 'info' as severity, 'maint_unconnected_tabl
 
 @query(f"with {fleet_sql('tables', 'columns', 'relationships', 'items', 'formulas')} {_MAINTENANCE}")
 def lint_maintenance(spark, sf):
-    return maintenance(spark, sf)
-
-
-def naming(spark, sf) -> DataFrame:
-    blanks = lambda n: ("warning", "name_whitespace", _c(n) != F.trim(n))
-    return together(
-        flagged(fleet(spark, sf, "tables"), _c("table_name"), [blanks("table_name")]),
-        flagged(fleet(spark, sf, "columns"), _member(name="column_name"), [blanks("column_name")]),
-        flagged(fleet(spark, sf, "formulas"), _member(), [blanks("name"), ("warning", "name_special_characters", _c("name").rlike("[<>{}|&~`^]"))]),
-    )
+    return lint(spark, sf, ("maintenance",)).drop("category")
 
 
 _NAMING = """select project_id, 'warning' as severity, 'name_whitespace' as rule, table_name as entity from tables where table_name <> trim(table_name)
@@ -300,22 +346,7 @@ _NAMING = """select project_id, 'warning' as severity, 'name_whitespace' as rule
 
 @query(f"with {fleet_sql('tables', 'columns', 'formulas')} {_NAMING}")
 def lint_naming(spark, sf):
-    return naming(spark, sf)
-
-
-def errors(spark, sf) -> DataFrame:
-    cols, rels = fleet(spark, sf, "columns"), fleet(spark, sf, "relationships")
-    types = cols.filter("data_type <> ''").groupBy("project_id", "table_name", "column_name").agg(F.min("data_type").alias("data_type"))
-    end = lambda side: types.select("project_id", *(_c(n).alias(f"{side}_{k}") for n, k in (("table_name", "table"), ("column_name", "column"), ("data_type", "type"))))
-    both = rels.join(end("from"), ["project_id", "from_table", "from_column"]).join(end("to"), ["project_id", "to_table", "to_column"])
-    return together(
-        flagged(cols, _member(name="column_name"), [("warning", "err_missing_data_type", F.coalesce("data_type", F.lit("")) == "")]),
-        flagged(both, _c("name"), [("warning", "err_relationship_type_mismatch", _c("from_type") != _c("to_type"))]),
-        flagged(fleet(spark, sf, "formulas"), _member(), [
-            ("info", "err_userelationship_check", _c("expression").rlike(r"(?i)\bUSERELATIONSHIP\s*\(")),
-            ("error", "err_empty_measure_expression", F.trim(F.coalesce("expression", F.lit(""))) == ""),
-        ]),
-    )
+    return lint(spark, sf, ("naming",)).drop("category")
 
 
 _ERRORS = r"""select project_id, 'warning' as severity, 'err_missing_data_type' as rule, table_name || '.' || column_name as entity from columns where coalesce(data_type, '') = ''
@@ -327,16 +358,7 @@ _ERRORS = r"""select project_id, 'warning' as severity, 'err_missing_data_type'
 
 @query(f"with {fleet_sql('columns', 'relationships', 'formulas')} {_ERRORS}")
 def lint_errors(spark, sf):
-    return errors(spark, sf)
-
-
-#: category -> its rules
-CATEGORIES = {"structural": structural, "performance": performance, "dax": formulas, "formatting": formatting, "maintenance": maintenance, "naming": naming, "error": errors}
-
-
-def lint(spark, sf, categories: tuple[str, ...] = tuple(CATEGORIES)) -> DataFrame:
-    """All findings of the categories asked for."""
-    return together(*(CATEGORIES[k](spark, sf).withColumn("category", F.lit(k)) for k in categories))
+    return lint(spark, sf, ("error",)).drop("category")
 
 
 _ALL = f"""{_S_TABLES}, texts as (select project_id, 'measure' as kind, table_name, name, expression from formulas union all select project_id, 'column', table_name, column_name, expression from columns where is_calculated union all select project_id, 'item', table_name, name, expression from items),
