@@ -11,6 +11,7 @@ import tempfile
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import packs
 from ..sources.frames import RELATIONSHIPS, lake
 
 _c = F.col
@@ -110,18 +111,21 @@ def _cut(df: DataFrame) -> DataFrame:
 
 
 def longest_paths(nodes: DataFrame, e: DataFrame) -> DataFrame:
-    """name, depth: the longest downstream chain, leaves 0. Peels finished nodes; nodes on or above a cycle never finish and are left out."""
-    left, e, done, depth = _cut(nodes), _cut(e), None, 0
-    while True:
-        ready = left.join(e.select(_c("src").alias("name")), "name", "left_anti")
-        ready = _cut(ready)
-        if ready.isEmpty():
-            return done if done is not None else left.select("name", F.lit(0).alias("depth")).limit(0)
-        now = ready.select("name", F.lit(depth).alias("depth"))
-        done = now if done is None else done.unionByName(now)
-        left = _cut(left.join(ready, "name", "left_anti"))
-        e = _cut(e.join(ready.select(_c("name").alias("dst")), "dst", "left_anti"))
+    """name, depth: the longest downstream chain, leaves 0. Nodes on or above a cycle never finish and are left out.
+
+    A node finishes in the round after its last dependency, so a round looks only at the dependents of the nodes that
+    finished last; what is finished is kept as one table a round and never written again.
+    """
+    e = _cut(e.join(nodes.select(_c("name").alias("src")), "src", "left_semi").select("src", "dst"))
+    last = _cut(nodes.join(e.select(_c("src").alias("name")), "name", "left_anti").select("name", F.lit(0).alias("depth")))
+    done, depth = last, 0
+    while not last.isEmpty():
         depth += 1
+        touched = e.join(last.select(_c("name").alias("dst")), "dst", "left_semi").select("src").distinct()
+        waiting = e.join(touched, "src", "left_semi").join(done.select(_c("name").alias("dst")), "dst", "left_anti").select("src")
+        last = _cut(touched.join(waiting, "src", "left_anti").select(_c("src").alias("name"), F.lit(depth).alias("depth")))
+        done = done.unionByName(last)
+    return done
 
 
 @query(f"with recursive {_EDGES}, r(name, top, k) as (select name, name, 0 from m union all select e.dst, r.top, k + 1 from r join e on e.src = r.name) select top as name, max(k) as depth from r group by 1")
@@ -132,11 +136,11 @@ def dep_depth(spark, sf):
 @query(f"with recursive {_EDGES}, r(src, dst) as (select src, dst from e union select r.src, e.dst from r join e on e.src = r.dst) select src, count(*) as upstream from r group by 1")
 def dep_closure(spark, sf):
     e = _cut(edges(spark, sf))
-    seen = frontier = e
+    seen = frontier = e  # one table a round; a round writes what is new alone
     while not frontier.isEmpty():
         nxt = frontier.select("src", _c("dst").alias("via")).join(e.select(_c("src").alias("via"), "dst"), "via").select("src", "dst").distinct()
         frontier = _cut(nxt.join(seen, ["src", "dst"], "left_anti"))
-        seen = _cut(seen.unionByName(frontier))
+        seen = seen.unionByName(frontier)
     return seen.groupBy("src").agg(F.count("*").alias("upstream"))
 
 
@@ -147,7 +151,7 @@ def short_cycles(spark, sf):
     g = _cut(p.crossJoin(F.broadcast(n)).filter("p_partkey < n").select(_c("p_partkey").alias("src"), ((_c("p_partkey") * 7 + 3) % _c("n")).alias("dst")))
     walk, found = g, g.filter("src = dst").select("src")
     for _ in range(5):
-        walk = walk.select("src", _c("dst").alias("via")).join(g.select(_c("src").alias("via"), "dst"), "via").select("src", "dst")
+        walk = walk.select("src", _c("dst").alias("via")).join(g.select(_c("src").alias("via"), "dst"), "via").select("src", "dst").distinct()
         found = found.unionByName(walk.filter("src = dst").select("src"))
     return found.distinct().select(_c("src").alias("name"))
 
@@ -339,16 +343,26 @@ def format_values(spark, sf):
     return lake(spark, sf, "part").select("p_partkey", F.when(k == 0, F.format_number(F.round("p_retailprice").cast("long"), 0)).when(k == 1, F.expr("format_number(p_size / 100, '0.0%')")).otherwise(F.concat(F.lit("$"), F.format_number("p_partkey", 0))).alias("shown"))
 
 
-@query("select p_partkey, lpad(p_size::varchar, 6, '0') as padded, try_cast(p_name as double) as number_, 'part ' || p_partkey as text_ from part")
+@query("""select p_partkey, lpad(p_size::varchar, 6, '0') as padded, rpad(p_brand, 12, '.') as padded_right, printf('%05.2f', round(p_size / 7, 2)) as number_, printf('%.1f%%', round(100 * (p_size / 64), 1)) as percent_, '$' || format('{:,.2f}', round(p_retailprice, 2)) as currency_ from part""")
 def udf_format_pack(spark, sf):
-    spark.sql("create or replace temporary function pad_left(v string, n int, p string) returns string return right(concat(repeat(p, n), v), n)")
-    return lake(spark, sf, "part").selectExpr("p_partkey", "pad_left(cast(p_size as string), 6, '0') as padded", "try_cast(p_name as double) as number_", "concat('part ', p_partkey) as text_")
+    k, size = _c("p_partkey"), _c("p_size")
+    shown = {"padded": packs.pad_left(size, 6, "0"), "padded_right": packs.pad_right(_c("p_brand"), 12, "."), "number_": packs.format_number(size / 7, 2), "percent_": packs.format_percent(size / 64, 1), "currency_": packs.format_currency(_c("p_retailprice"), "$")}
+    return lake(spark, sf, "part").select(k, *(v.alias(n) for n, v in shown.items()))
 
 
-@query("select o_orderkey, case when r >= 1 then 'green' when r >= 0.8 then 'amber' else 'red' end as status from (select o_orderkey, o_totalprice / 150000 as r from orders)")
+@query("""select o_orderkey, case when r >= 1 then '%2322C55E' when r >= 0.8 then '%23F59E0B' else '%23EF4444' end as color, chr(case when r >= 1 then 9989 when r >= 0.8 then 9888 else 10060 end) as icon, chr(case when v > b then 9650 when v < b then 9660 else 9644 end) || ' ' as arrow,
+  case when v >= t then '+' else '' end || printf('%.1f%%', round(case when t <> 0 then (v - t) / t else 0 end * 100, 1) + 0.0) as variance from (select *, case when t <> 0 then v / t else 0 end as r from (select o_orderkey, o_totalprice as v, (o_orderkey % 5 * 50000)::double as t, (o_orderkey % 7 * 30000)::double as b from orders))""")
 def udf_kpi_pack(spark, sf):
-    spark.sql("create or replace temporary function status_color(r double) returns string return case when r >= 1 then 'green' when r >= 0.8 then 'amber' else 'red' end")
-    return lake(spark, sf, "orders").selectExpr("o_orderkey", "status_color(o_totalprice / 150000) as status")
+    v, t, before = _c("o_totalprice"), (_c("o_orderkey") % 5 * 50000).cast("double"), (_c("o_orderkey") % 7 * 30000).cast("double")
+    shown = {"color": packs.status_color(v, t), "icon": packs.status_icon(v, t), "arrow": packs.trend_arrow(v, before), "variance": packs.variance_format(v, t)}
+    return lake(spark, sf, "orders").select("o_orderkey", *(x.alias(n) for n, x in shown.items()))
+
+
+@query("""select p_partkey, '<b>' || p_name || '</b>' as bold, '<i>' || p_brand || '</i>' as italic, '<span style=''color:red''>' || p_type || '</span>' as colored, '<span style=''font-size:12px''>' || p_name || '</span>' as sized from part""")
+def udf_markup_pack(spark, sf):
+    name = _c("p_name")
+    shown = {"bold": packs.html_bold(name), "italic": packs.html_italic(_c("p_brand")), "colored": packs.html_color(_c("p_type"), "red"), "sized": packs.html_size(name, 12)}
+    return lake(spark, sf, "part").select("p_partkey", *(x.alias(n) for n, x in shown.items()))
 
 
 @query("select event_id, k as path, v as value from (select event_id, unnest(json_keys(props)) as k, props from events), lateral (select json_extract_string(props, '$.' || k) as v)")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..sources.fleet import fleet, fleet_sql
 from ..sources.frames import lake
-from .rules import together
+from .rules import relationship_ends, together
 
 _c = F.col
+ENDS = ["from_table", "from_column", "to_table", "to_column"]
 QUERIES, ORACLES = {}, {}
 
 
@@ -87,3 +88,39 @@ def column_delete(spark, sf):
     uses = together(end("from"), end("to"), cols.filter("sort_by is not null").select("project_id", "table_name", _c("sort_by").alias("column_name"))).groupBy(*key).agg(F.count("*").alias("n"))
     asked = cols.filter("pos % 9 = 0").select(*key).distinct().join(uses, key, "left")
     return asked.select(*key, F.coalesce("n", F.lit(0)).alias("blockers"), _c("n").isNull().alias("deleted"))
+
+
+_NEW_COLUMNS = """new as (select o_custkey - o_custkey % 64 as project_id, 'T' || cast(o_custkey as string) as table_name, case o_orderkey % 4 when 0 then 'Key' when 1 then 'New' || cast(o_orderkey % 3 as string) when 2 then 'M' || cast(o_custkey + 3 as string) else 'C' || cast(o_orderkey as string) end as name, o_orderkey as pos from {orders} where o_orderkey % 3 = 0)"""
+
+
+@query(f"""with {fleet_sql('tables', 'columns', 'formulas')}, {_NEW_COLUMNS.format(orders='orders')}, r as (select *, row_number() over (partition by project_id, table_name, name order by pos) as r from new)
+  select project_id, table_name, name, pos, case when (project_id, table_name) not in (select (project_id, table_name) from tables) then 'table not found' when (project_id, table_name, name) in (select (project_id, table_name, column_name) from columns) then 'column exists'
+    when (project_id, table_name, name) in (select (project_id, table_name, name) from formulas) then 'measure of that name' when r > 1 then 'repeated in batch' else 'created' end as outcome from r""")
+def create_columns(spark, sf):
+    """A batch of new columns and what becomes of each: unknown table, column or measure of that name, repeated, created."""
+    new = spark.sql(_NEW_COLUMNS[len("new as (") : -1], orders=lake(spark, sf, "orders"))
+    key = ["project_id", "table_name", "name"]
+    t = fleet(spark, sf, "tables").select("project_id", "table_name", F.lit(True).alias("t")).distinct()
+    taken = together(fleet(spark, sf, "columns").select("project_id", "table_name", _c("column_name").alias("name"), F.lit(0).alias("by")), fleet(spark, sf, "formulas").select(*key, F.lit(1).alias("by"))).groupBy(*key).agg(F.min("by").alias("by"))
+    first = new.groupBy(*key).agg(F.min("pos").alias("first"))
+    j = new.join(t, ["project_id", "table_name"], "left").join(taken, key, "left").join(first, key)
+    outcome = F.when(_c("t").isNull(), "table not found").when(_c("by") == 0, "column exists").when(_c("by") == 1, "measure of that name").when(_c("pos") > _c("first"), "repeated in batch").otherwise("created")
+    return j.select(*key, "pos", outcome.alias("outcome"))
+
+
+_NEW_RELATIONSHIPS = """new as (select o_custkey - o_custkey % 64 as project_id, 'N' || cast(o_orderkey as string) as name, case when o_orderkey % 11 = 0 then 'Tz' else 'T' || cast(o_custkey as string) end as from_table, case when o_orderkey % 7 = 0 then 'No' when o_orderkey % 5 = 0 then 'Code' else 'Key' end as from_column,
+  'T' || cast(o_custkey - o_custkey % 64 + case when o_orderkey % 17 = 0 then 30 when o_orderkey % 3 = 0 then 2 else 1 end as string) as to_table, case when o_orderkey % 13 = 0 then 'No' else 'Key' end as to_column from {orders} where o_orderkey % 4 < 3)"""
+
+
+@query(f"""with {fleet_sql('tables', 'columns', 'relationships')}, {_NEW_RELATIONSHIPS.format(orders='orders')}
+  select project_id, name, case when (project_id, from_table) not in (select (project_id, table_name) from tables) then 'from table not found' when (project_id, to_table) not in (select (project_id, table_name) from tables) then 'to table not found'
+    when (project_id, from_table, from_column) not in (select (project_id, table_name, column_name) from columns) then 'from column not found' when (project_id, to_table, to_column) not in (select (project_id, table_name, column_name) from columns) then 'to column not found'
+    when (project_id, from_table, from_column, to_table, to_column) in (select (project_id, from_table, from_column, to_table, to_column) from relationships) then 'relationship exists' else 'created' end as outcome from new""")
+def create_relationships(spark, sf):
+    """A batch of new relationships and what becomes of each: an end that isn't there, the same ends related already, created."""
+    new = spark.sql(_NEW_RELATIONSHIPS[len("new as (") : -1], orders=lake(spark, sf, "orders"))
+    old = fleet(spark, sf, "relationships").select("project_id", *ENDS, F.lit(True).alias("old")).distinct()
+    names = fleet(spark, sf, "tables").select("project_id", "table_name").distinct()
+    j = relationship_ends(new, names, fleet(spark, sf, "columns")).join(old, ["project_id", *ENDS], "left")
+    missing = [F.when(_c(f"{side}_{k}").isNull(), f"{side} {what} not found") for k, what in (("t", "table"), ("c", "column")) for side in ("from", "to")]
+    return j.select("project_id", "name", F.coalesce(*missing, F.when(_c("old"), "relationship exists"), F.lit("created")).alias("outcome"))

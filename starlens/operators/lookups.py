@@ -117,15 +117,33 @@ def bulk_move(spark, sf):
     return c.join(taken, ["name", "target"], "left").select("name", "old", "target", status.alias("status"))
 
 
-@query(f"""with {MEASURES_SQL}, v(suffix, head, tail) as (values ('YTD', 'TOTALYTD(', ')'), ('PY', 'CALCULATE(', ', SAMEPERIODLASTYEAR(Cal[Date]))')),
-  n as (select name || ' ' || suffix as name, table_name, head || '[' || name || ']' || tail as expression from m, v where not is_hidden) select * from n where name not in (select name from m)""")
+#: generated measures: suffix -> formula and format over a measure {m} (fixed values: they are stored in models)
+FAMILIES = {
+    "MTD": ("TOTALMTD([{m}], Cal[Date])", None),
+    "QTD": ("TOTALQTD([{m}], Cal[Date])", None),
+    "YTD": ("TOTALYTD([{m}], Cal[Date])", None),
+    "PY": ("CALCULATE([{m}], SAMEPERIODLASTYEAR(Cal[Date]))", None),
+    "PY MTD": ("TOTALMTD([{m}], SAMEPERIODLASTYEAR(Cal[Date]))", None),
+    "PY QTD": ("TOTALQTD([{m}], SAMEPERIODLASTYEAR(Cal[Date]))", None),
+    "PY YTD": ("TOTALYTD([{m}], SAMEPERIODLASTYEAR(Cal[Date]))", None),
+    "YoY": ("[{m}] - CALCULATE([{m}], SAMEPERIODLASTYEAR(Cal[Date]))", None),
+    "YoY %": ("VAR _Current = [{m}]\nVAR _PY = CALCULATE([{m}], SAMEPERIODLASTYEAR(Cal[Date]))\nRETURN\n    DIVIDE(_Current - _PY, _PY, BLANK())", "0.0%"),
+    "Target": ("[{m} PY] * 1.05", "#,0"),
+    "Variance": ("[{m}] - [{m} Target]", "#,0"),
+    "Variance %": ("DIVIDE([{m} Variance], [{m} Target], BLANK())", "0.0%"),
+    "Status Color": ('VAR _Ratio = DIVIDE([{m}], [{m} Target], BLANK())\nRETURN\n    SWITCH(\n        TRUE(),\n        _Ratio >= 1, "#80004B",\n        _Ratio >= 0.95, "#0D9F6E",\n        _Ratio >= 0.8, "#C97A1E",\n        _Ratio > 0, "#C92A2A",\n        "#9E9E9E"\n    )', None),
+    "Gauge Max": ("MAX([{m}], [{m} Target]) * 1.1", "#,0"),
+    "Subtitle": ('"Now: " & FORMAT([{m}], "#,0")', None),
+}
+_FAMILY_SQL = ", ".join("('{}', '{}', {})".format(k, e.replace("\n", "' || chr(10) || '"), f"'{f}'" if f else "null::varchar") for k, (e, f) in FAMILIES.items())
+
+
+@query(f"""with {MEASURES_SQL}, v(suffix, body, format_string) as (values {_FAMILY_SQL}),
+  n as (select name || ' ' || suffix as name, table_name, replace(body, '{{m}}', name) as expression, v.format_string from m, v where not is_hidden) select * from n where name not in (select name from m)""")
 def gen_family_rows(spark, sf):
-    """New catalog rows, one per visible measure and variant, where the name is still free."""
+    """New catalog rows, one per visible measure and variant (time to date, prior year, key figure, subtitle), where the name is still free."""
     m = measures(spark, sf)
-    ref = F.concat(F.lit("["), "name", F.lit("]"))
-    variants = F.array(
-        F.struct(F.lit("YTD").alias("suffix"), F.concat(F.lit("TOTALYTD("), ref, F.lit(")")).alias("expression")),
-        F.struct(F.lit("PY").alias("suffix"), F.concat(F.lit("CALCULATE("), ref, F.lit(", SAMEPERIODLASTYEAR(Cal[Date]))")).alias("expression")),
-    )
-    rows = m.filter("not is_hidden").select("name", "table_name", F.explode(variants).alias("v")).select(F.concat_ws(" ", "name", "v.suffix").alias("name"), "table_name", "v.expression")
+    body = lambda e: F.replace(F.lit(e), F.lit("{m}"), _c("name"))
+    variants = F.array(*(F.struct(F.lit(k).alias("suffix"), body(e).alias("expression"), F.lit(f).cast("string").alias("format_string")) for k, (e, f) in FAMILIES.items()))
+    rows = m.filter("not is_hidden").select("name", "table_name", F.explode(variants).alias("v")).select(F.concat_ws(" ", "name", "v.suffix").alias("name"), "table_name", "v.expression", "v.format_string")
     return rows.join(m.select("name"), "name", "left_anti")

@@ -186,7 +186,7 @@ def _project_rules() -> list[Rule]:
     ]
 
 
-def _ends(rels: DataFrame, names: DataFrame, cols: DataFrame) -> DataFrame:
+def relationship_ends(rels: DataFrame, names: DataFrame, cols: DataFrame) -> DataFrame:
     """Relationships with, for both ends, whether the table is there (from_t, to_t), the column (from_c, to_c) and its type."""
     known = cols.groupBy("project_id", "table_name", "column_name").agg(F.lit(True).alias("c"), F.min(F.when(_c("data_type") != "", _c("data_type"))).alias("type"))
     for side in ("from", "to"):
@@ -237,7 +237,7 @@ def lint(spark, sf, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
         *flagged(_by_table(t, cols, rels, items, m, refs), _c("table_name"), _table_rules(), categories),
         *flagged(_by_project(p, t, rels, m), F.lit("model"), _project_rules(), categories),
         *flagged(rels, _c("name"), _relationship_rules(), categories),
-        *flagged(_ends(rels, t.select("project_id", "table_name").distinct(), cols), _c("name"), _end_rules(), categories),
+        *flagged(relationship_ends(rels, t.select("project_id", "table_name").distinct(), cols), _c("name"), _end_rules(), categories),
     ]
     if "structural" in categories:
         parts.append(_found(repeated_tags(t, cols, m, f), "structural", "error", "duplicate_lineage_tag", "entity"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.packs import color_hex_to_rgb
 from ..functions.text import CONNECTIONS, QUOTED, REDACTED, balanced, blanked, dedent, redact
 from ..sources.fleet import fleet, fleet_sql
 from ..sources.frames import lake
@@ -122,20 +123,17 @@ def query_refs(spark, sf):
 @query("""select p_partkey, try_cast(right(p_brand, 1) as double) as number_, make_date(2000 + p_partkey % 20, 1 + p_partkey % 12, 1 + p_partkey % 28) as date_, p_size % 2 <> 0 as flag,
   'rgb(' || (p_partkey * 7 % 256) || ',' || (p_size * 5 % 256) || ',' || (p_partkey % 256) || ')' as rgb, p_size::varchar || ' pcs' as text_ from part""")
 def udf_convert_pack(spark, sf):
-    made = "create or replace temporary function "
-    spark.sql(made + "to_number_(v string) returns double return try_cast(v as double)")
-    spark.sql(made + "to_day_(v string) returns date return to_date(v, 'yyyy-M-d')")
-    spark.sql(made + "to_text_(v bigint, unit string) returns string return concat(v, unit)")
-    spark.sql(made + "to_flag_(v bigint) returns boolean return v <> 0")
-    spark.sql(made + "hex_rgb_(h string) returns string return concat('rgb(', conv(substring(h, 2, 2), 16, 10), ',', conv(substring(h, 4, 2), 16, 10), ',', conv(substring(h, 6, 2), 16, 10), ')')")
-    color = "concat('#', lpad(hex(p_partkey * 7 % 256), 2, '0'), lpad(hex(p_size * 5 % 256), 2, '0'), lpad(hex(p_partkey % 256), 2, '0'))"
-    day = "concat_ws('-', 2000 + p_partkey % 20, 1 + p_partkey % 12, 1 + p_partkey % 28)"
-    return lake(spark, sf, "part").selectExpr("p_partkey", "to_number_(right(p_brand, 1)) as number_", f"to_day_({day}) as date_", "to_flag_(p_size % 2) as flag", f"hex_rgb_({color}) as rgb", "to_text_(p_size, ' pcs') as text_")
+    """Texts, numbers, days, flags and colours converted; what can't be read is null."""
+    part = lambda x: F.lpad(F.hex(x % 256), 2, "0")
+    k, size = _c("p_partkey"), _c("p_size")
+    day = F.concat_ws("-", *((x).cast("string") for x in (2000 + k % 20, 1 + k % 12, 1 + k % 28)))
+    made = {"number_": F.expr("try_cast(right(p_brand, 1) as double)"), "date_": F.to_date(day, "yyyy-M-d"), "flag": size % 2 != 0, "rgb": color_hex_to_rgb(F.concat(F.lit("#"), part(k * 7), part(size * 5), part(k))), "text_": F.concat(size.cast("string"), F.lit(" pcs"))}
+    return lake(spark, sf, "part").select("p_partkey", *(v.alias(n) for n, v in made.items()))
 
 
 @query("select o_custkey, round(v, 2) as v, case when t > 0 then round((v - t) / t, 4) end as variance_pct, v >= t as reached from (select o_custkey, sum(o_totalprice::decimal(18,2))::double as v, (count(*) * 150000)::double as t from orders group by 1)")
 def sql_udf_kpi(spark, sf):
-    """A model function with typed parameters, as an SQL function that the optimizer inlines."""
-    spark.sql("create or replace temporary function variance_pct_(v double, t double) returns double return case when t > 0 then (v - t) / t end")
+    """A model function with typed parameters, as a function of columns: nothing is registered in the session."""
+    variance_pct = lambda v, t: F.when(t > 0, (v - t) / t)
     o = lake(spark, sf, "orders").groupBy("o_custkey").agg(F.sum(_c("o_totalprice").cast("decimal(18,2)")).cast("double").alias("v"), (F.count("*") * 150000).cast("double").alias("t"))
-    return o.selectExpr("o_custkey", "round(v, 2) as v", "round(variance_pct_(v, t), 4) as variance_pct", "v >= t as reached")
+    return o.select("o_custkey", F.round("v", 2).alias("v"), F.round(variance_pct(_c("v"), _c("t")), 4).alias("variance_pct"), (_c("v") >= _c("t")).alias("reached"))
