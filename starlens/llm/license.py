@@ -37,6 +37,20 @@ SENTENCES = {
     "bsd_binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd_endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "mpl2_form": "this source code form is subject to the terms of the mozilla public license v",
+    "mpl2_copy": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "mpl2_copy_http": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "agpl3_free": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl3_free": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "epl2_available": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "isc_grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc_grant_and": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "zero_bsd_grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "author_disclaims": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "zlib_as_is": "this software is provided as is without any express or implied warranty",
+    "zlib_grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "zlib_origin": "the origin of this software must not be misrepresented you must not claim that you wrote the original software",
+    "boost_notice": "distributed under the boost software license version 1 0",
+    "boost_grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
     "cc_by_nc_4": "licensed under cc by nc 4 0",
     "cc_by_4": "licensed under cc by 4 0",
     "cc_by_sa_4": "licensed under cc by sa 4 0",
@@ -47,19 +61,62 @@ SENTENCES = {
     "rights_reserved": "all rights reserved",
 }
 
+#: names of licences in normal form; a sentence that names one by one of NAMING_SENTENCES has the identifier before it
+NAMES = {
+    "mit_named": ["mit license"],
+    "apache_named": ["apache license version 2 0", "apache license 2 0", "apache 2 0 license"],
+    "gpl2_named": ["gnu general public license version 2", "gnu general public license v2 0", "gplv2", "gpl v2", "gnu gpl v2", "gnu gpl version 2"],
+    "gpl3_named": ["gnu general public license version 3", "gnu general public license v3 0", "gplv3", "gpl v3", "gnu gpl v3", "gnu gpl version 3"],
+    "agpl3_named": ["gnu affero general public license version 3", "gnu affero general public license v3 0", "agplv3", "agpl v3", "gnu agpl v3", "gnu agpl version 3"],
+    "lgpl21_named": ["gnu lesser general public license version 2 1", "gnu lesser general public license v2 1", "lgplv2 1", "lgpl v2 1", "gnu lgpl v2 1", "gnu lgpl version 2 1"],
+    "lgpl3_named": ["gnu lesser general public license version 3", "gnu lesser general public license v3 0", "lgplv3", "lgpl v3", "gnu lgpl v3", "gnu lgpl version 3"],
+    "bsd2_named": ["bsd 2 clause license", "simplified bsd license"],
+    "bsd3_named": ["bsd 3 clause license", "new bsd license"],
+    "isc_named": ["isc license"],
+    "zlib_named": ["zlib license"],
+    "boost_named": ["boost software license version 1 0"],
+    "mpl2_named": ["mozilla public license version 2 0", "mozilla public license 2 0"],
+    "epl2_named": ["eclipse public license version 2 0", "eclipse public license 2 0"],
+    "cc_by_named": ["creative commons attribution 4 0 international license"],
+    "cc_by_sa_named": ["creative commons attribution sharealike 4 0 international license"],
+    "cc_by_nc_named": ["creative commons attribution noncommercial 4 0 international license"],
+    "cc_by_nd_named": ["creative commons attribution noderivatives 4 0 international license"],
+    "cc_by_nc_sa_named": ["creative commons attribution noncommercial sharealike 4 0 international license"],
+    "cc_by_nc_nd_named": ["creative commons attribution noncommercial noderivatives 4 0 international license"],
+}
+NAMING_SENTENCES = ("licensed under {}", "released under {}", "distributed under {}", "this work is licensed under {}", "this project is licensed under {}", "this software is licensed under {}", "this file is licensed under {}")
+_SHORT = {"cc_by_nc_sa_4": "cc by nc sa 4 0", "cc_by_nd_4": "cc by nd 4 0", "cc_by_nc_nd_4": "cc by nc nd 4 0"}
+
+
+def known_sentences() -> dict[str, str]:
+    """Each known sentence and its identifier; a sentence listed by itself keeps its own."""
+    made = {form.format(f"{article} {name}"): key for key, names in NAMES.items() for name in names for form in NAMING_SENTENCES for article in ("the", "a")}
+    return made | {f"licensed under {name}": key for key, name in _SHORT.items()} | {text: key for key, text in SENTENCES.items()}
+
+
 #: licence -> (class, rules); a rule lists sentences in their order. Rules of one licence are alternatives.
 LICENCES: dict[str, tuple[str, list[list[str]]]] = {
-    "MIT": ("permissive", [["mit_name"], ["mit_licensed"], ["mit_title", "mit_grant"], ["mit_grant", "mit_notice", "mit_as_is"]]),
-    "Apache-2.0": ("permissive", [["apache_name"], ["apache_head", "apache_copy"], ["apache_head", "apache_as_is", "apache_see"]]),
-    "GPL-3.0": ("copyleft", [["gpl3_name"], ["gpl_free", "gpl_hope", "gpl_details"], ["gpl_free", "gpl_received"]]),
-    "GPL-2.0": ("copyleft", [["gpl2_free", "gpl_hope", "gpl_details"], ["gpl2_free", "gpl_received"]]),
-    "LGPL-2.1": ("copyleft", [["lgpl_free"]]),
-    "BSD-2-Clause": ("permissive", [["bsd_redistribution", "bsd_source", "bsd_binary"]]),
-    "BSD-3-Clause": ("permissive", [["bsd_redistribution", "bsd_source", "bsd_binary", "bsd_endorse"]]),
-    "MPL-2.0": ("copyleft", [["mpl2_form"]]),
-    "CC-BY-NC-4.0": ("noncommercial", [["cc_by_nc_4"]]),
-    "CC-BY-4.0": ("permissive", [["cc_by_4"], ["cc_by_work"]]),
-    "CC-BY-SA-4.0": ("copyleft", [["cc_by_sa_4"], ["cc_by_sa_work"]]),
+    "MIT": ("permissive", [["mit_named"], ["mit_name"], ["mit_licensed"], ["mit_title", "mit_grant"], ["mit_grant", "mit_notice", "mit_as_is"]]),
+    "Apache-2.0": ("permissive", [["apache_named"], ["apache_name"], ["apache_head", "apache_copy"], ["apache_head", "apache_as_is", "apache_see"]]),
+    "GPL-3.0": ("copyleft", [["gpl3_named"], ["gpl3_name"], ["gpl_free", "gpl_hope", "gpl_details"], ["gpl_free", "gpl_received"]]),
+    "GPL-2.0": ("copyleft", [["gpl2_named"], ["gpl2_free", "gpl_hope", "gpl_details"], ["gpl2_free", "gpl_received"]]),
+    "LGPL-2.1": ("copyleft", [["lgpl21_named"], ["lgpl_free"]]),
+    "LGPL-3.0": ("copyleft", [["lgpl3_named"], ["lgpl3_free"]]),
+    "AGPL-3.0": ("copyleft", [["agpl3_named"], ["agpl3_free"]]),
+    "EPL-2.0": ("copyleft", [["epl2_named"], ["epl2_available"]]),
+    "ISC": ("permissive", [["isc_named"], ["isc_grant", "author_disclaims"], ["isc_grant_and", "author_disclaims"]]),
+    "0BSD": ("permissive", [["zero_bsd_grant", "author_disclaims"]]),
+    "Zlib": ("permissive", [["zlib_named"], ["zlib_as_is", "zlib_grant"], ["zlib_grant", "zlib_origin"]]),
+    "BSL-1.0": ("permissive", [["boost_named"], ["boost_notice"], ["boost_grant"]]),
+    "BSD-2-Clause": ("permissive", [["bsd2_named"], ["bsd_redistribution", "bsd_source", "bsd_binary"]]),
+    "BSD-3-Clause": ("permissive", [["bsd3_named"], ["bsd_redistribution", "bsd_source", "bsd_binary", "bsd_endorse"]]),
+    "MPL-2.0": ("copyleft", [["mpl2_named"], ["mpl2_form"], ["mpl2_copy"], ["mpl2_copy_http"]]),
+    "CC-BY-NC-4.0": ("noncommercial", [["cc_by_nc_named"], ["cc_by_nc_4"]]),
+    "CC-BY-NC-SA-4.0": ("noncommercial", [["cc_by_nc_sa_named"], ["cc_by_nc_sa_4"]]),
+    "CC-BY-NC-ND-4.0": ("noncommercial", [["cc_by_nc_nd_named"], ["cc_by_nc_nd_4"]]),
+    "CC-BY-ND-4.0": ("noderivatives", [["cc_by_nd_named"], ["cc_by_nd_4"]]),
+    "CC-BY-4.0": ("permissive", [["cc_by_named"], ["cc_by_4"], ["cc_by_work"]]),
+    "CC-BY-SA-4.0": ("copyleft", [["cc_by_sa_named"], ["cc_by_sa_4"], ["cc_by_sa_work"]]),
     "CC0-1.0": ("permissive", [["cc0_work"]]),
     "Unlicense": ("permissive", [["unlicense_public"]]),
     "All-Rights-Reserved": ("proprietary", [["rights_reserved"]]),
@@ -71,13 +128,17 @@ _END = r"[.!?:;]+[ \t\r\f\x0B]+"
 _END_WRAPPED = r"\n[^\p{L}\p{N}]*\n|[.!?:;]+[ \t\r\f\x0B\n]+"
 
 
+#: every known sentence has one of these, before it is normalised as well
+TELLING = r"(?i)licen|gpl|rights|permi|redist|copyright|warrant|software|copy"
+
+
 def _telling(sentences: Column) -> Column:
     """Those of an array that may be known, by words of which each known sentence has one."""
-    return F.filter(sentences, lambda s: (F.length(s) >= min(map(len, SENTENCES.values()))) & s.rlike(r"(?i)licen|rights|permi|redist|copyright|warrant|software|copy"))
+    return F.filter(sentences, lambda s: (F.length(s) >= min(map(len, known_sentences()))) & s.rlike(TELLING))
 
 
 def _known(sentences: Column) -> Column:
-    known = F.create_map(*(F.lit(x) for k, v in SENTENCES.items() for x in (v, k)))
+    known = F.create_map(*(F.lit(x) for sentence in known_sentences().items() for x in sentence))
     normal = F.transform(_telling(sentences), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
     return F.filter(F.transform(normal, lambda s: F.try_element_at(known, s)), lambda k: k.isNotNull())
 

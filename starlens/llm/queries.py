@@ -130,7 +130,7 @@ select d.doc_id, coalesce(z.n, 0)::bigint as n_shingles, c as component_id, c =
 
 
 def _op10_sql() -> str:
-    known = ", ".join(f"('{k}', '{v}')" for k, v in license.SENTENCES.items())
+    known = ", ".join(f"('{k}', '{v}')" for v, k in license.known_sentences().items())
     rules = ", ".join(f"('{name}', '{kind}', '{',([a-z0-9_]+,)*?'.join(rule)}')" for name, (kind, rs) in license.LICENCES.items() for rule in rs)
     return rf"""
 with known(id, s) as (values {known}), rules(name, kind, p) as (values {rules}),

@@ -1,6 +1,7 @@
 import collections
 import math
 import random
+import re
 import textwrap
 import zlib
 
@@ -511,6 +512,23 @@ def test_whole_wrapped_licences(spark):
     assert {r.doc_id: list(r.licences) for r in license.recognise(nasty(spark, rows)).collect()} == want
 
 
+def test_every_known_sentence_is_looked_at_and_every_licence_found(spark):
+    known = license.known_sentences()
+    assert all(re.search(license.TELLING, s) and s == re.sub("[^a-z0-9]+", " ", s) for s in known)
+    assert {i for _, rules in license.LICENCES.values() for rule in rules for i in rule} <= set(known.values())
+    text = {i: s for s, i in known.items()}
+    rows, want = [], {}
+    for name, (_, rules) in license.LICENCES.items():
+        for rule in rules:
+            rows.append((len(rows), "Some words. " + " More of it! ".join(text[i].capitalize() + "." for i in rule), "en"))
+            want[len(rows) - 1] = name
+    got = {r.doc_id: list(r.licences) for r in license.recognise(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[k] == [name] for k, name in want.items())
+    other = [(0, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", "en"), (1, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "en"), (2, "Released under the GPLv3.\nThis project is licensed under the BSD 2-Clause License; see below.", "en")]
+    got = {r.doc_id: list(r.licences) for r in license.recognise(spark.createDataFrame(other, "doc_id long, text string, lang string")).collect()}
+    assert got == {0: [], 1: ["MPL-2.0"], 2: ["BSD-2-Clause", "GPL-3.0"]}
+
+
 def _pipeline_on(spark, folder, rows, items):
     bench(spark, items).write.parquet(f"{folder}/benchmark.parquet")
     (rows if hasattr(rows, "write") else nasty(spark, rows)).write.parquet(f"{folder}/documents.parquet")
