@@ -6,13 +6,12 @@ lake's scale. The rules are written once for Spark and once for DuckDB.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import packs
 from ..sources.frames import RELATIONSHIPS, lake
+from ..sources.frames import cut as _cut
 
 _c = F.col
 QUERIES, ORACLES = {}, {}
@@ -100,16 +99,6 @@ def dep_adjacency(spark, sf):
     return measures(spark, sf).select("name").join(e, "name", "left").select(F.concat("name", F.lit(" -> "), F.coalesce("to", F.lit("(isolated)"))).alias("line"))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
-
-
 def longest_paths(nodes: DataFrame, e: DataFrame) -> DataFrame:
     """name, depth: the longest downstream chain, leaves 0. Nodes on or above a cycle never finish and are left out.
 

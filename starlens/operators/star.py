@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.order import percentiles
 from ..sources.frames import RELATIONSHIPS, divide, lake, money, related, total
 
 _c = F.col
@@ -215,15 +216,13 @@ def column_profile(spark, sf):
 
 @query("select o_orderpriority, quantile_cont(o_totalprice, 0.5) as median, quantile_cont(o_totalprice, 0.9) as p90 from orders group by 1")
 def percentile_inc(spark, sf):
-    return lake(spark, sf, "orders").groupBy("o_orderpriority").agg(F.percentile("o_totalprice", F.lit(0.5)).alias("median"), F.percentile("o_totalprice", F.lit(0.9)).alias("p90"))
+    return percentiles(lake(spark, sf, "orders"), "o_orderpriority", "o_totalprice", {"median": (0.5, False), "p90": (0.9, False)})
 
 
 @query("with r as (select o_orderpriority as k, o_totalprice as v, row_number() over (partition by o_orderpriority order by o_totalprice) as i, count(*) over (partition by o_orderpriority) as n from orders), b as (select *, 0.9 * (n + 1) as h from r) select k, round(max(case when i = floor(h) then v end) + max(h - floor(h)) * (max(case when i = floor(h) + 1 then v end) - max(case when i = floor(h) then v end)), 4) as p90 from b group by k")
 def percentile_exc(spark, sf):
-    w = Window.partitionBy("o_orderpriority")
-    r = lake(spark, sf, "orders").select(_c("o_orderpriority").alias("k"), _c("o_totalprice").alias("v"), F.row_number().over(w.orderBy("o_totalprice")).alias("i"), (F.lit(0.9) * (F.count("*").over(w) + 1)).alias("h"))
-    at = lambda d: F.max(F.when(_c("i") == F.floor("h") + d, _c("v")))
-    return r.groupBy("k").agg(F.round(at(0) + F.max(_c("h") - F.floor("h")) * (at(1) - at(0)), 4).alias("p90"))
+    p = percentiles(lake(spark, sf, "orders"), "o_orderpriority", "o_totalprice", {"p90": (0.9, True)})
+    return p.select(_c("o_orderpriority").alias("k"), F.round("p90", 4).alias("p90"))
 
 
 @query("select l_returnflag, round(stddev_pop(l_quantity), 6) as sd_p, round(stddev_samp(l_quantity), 6) as sd_s, round(var_pop(l_quantity), 6) as var_p, round(var_samp(l_quantity), 6) as var_s, round(exp(avg(ln(l_quantity))), 6) as geomean, round(regr_slope(l_extendedprice, l_quantity), 4) as slope, round(regr_intercept(l_extendedprice, l_quantity), 2) as intercept from lineitem group by 1")
@@ -292,7 +291,7 @@ def generate_series(spark, sf):
 def add_missing_items(spark, sf):
     c = lake(spark, sf, "customer")
     facts = related(spark, sf, c.filter("c_acctbal > 9500"), "customer_nation", "nation_region").groupBy("r_name", "c_mktsegment").agg(F.count("*").alias("n"))
-    items = lake(spark, sf, "region").select("r_name").crossJoin(F.broadcast(c.select("c_mktsegment").distinct()))  # region and segment names
+    items = lake(spark, sf, "region").select("r_name").crossJoin(c.select("c_mktsegment").distinct())  # every pair is the result; no side is forced to all executors
     return items.join(facts, ["r_name", "c_mktsegment"], "left").select("r_name", "c_mktsegment", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.order import neighbourhood, ranks
 from ..sources.frames import DENSE_SQL, blank_sub, dense, divide, lake, orders_by_region, related, total
 
 _c = F.col
@@ -170,26 +171,27 @@ def _spend(spark, sf):
 
 @query(f"select *, rank() over (partition by c_mktsegment order by v desc)::bigint as rank_, dense_rank() over (partition by c_mktsegment order by v desc)::bigint as dense_ from ({_SPEND})")
 def rank_measure(spark, sf):
-    w = Window.partitionBy("c_mktsegment").orderBy(_c("v").desc())
-    return _spend(spark, sf).withColumns({"rank_": F.rank().over(w).cast("long"), "dense_": F.dense_rank().over(w).cast("long")})
+    return ranks(_spend(spark, sf), "c_mktsegment", "v")
 
 
 @query(f"select c_mktsegment, o_custkey, lag(v, 2) over w as two_before, lead(v, 1) over w as next_, first_value(v) over w as first_ from ({_SPEND}) window w as (partition by c_mktsegment order by v desc, o_custkey)")
 def window_offset(spark, sf):
-    w = Window.partitionBy("c_mktsegment").orderBy(_c("v").desc(), "o_custkey")
-    return _spend(spark, sf).select("c_mktsegment", "o_custkey", F.lag("v", 2).over(w).alias("two_before"), F.lead("v").over(w).alias("next_"), F.first("v").over(w).alias("first_"))
+    spend = _spend(spark, sf)
+    near = neighbourhood(spend, "c_mktsegment", "v", "o_custkey", 2, 1, {"two_before": lambda w: F.lag("v", 2).over(w), "next_": lambda w: F.lead("v").over(w)})
+    most = spend.groupBy(_c("c_mktsegment").alias("k")).agg(F.max("v").alias("first_"))
+    return near.join(most, _c("c_mktsegment").eqNullSafe(_c("k")), "left").select("c_mktsegment", "o_custkey", "two_before", "next_", "first_")
 
 
 @query(f"select c_mktsegment, o_custkey, round(sum(v) over (partition by c_mktsegment order by v desc, o_custkey rows between 2 preceding and 1 following), 4) as s from ({_SPEND})")
 def window_frame(spark, sf):
-    w = Window.partitionBy("c_mktsegment").orderBy(_c("v").desc(), "o_custkey").rowsBetween(-2, 1)
-    return _spend(spark, sf).select("c_mktsegment", "o_custkey", F.round(F.sum("v").over(w), 4).alias("s"))
+    near = neighbourhood(_spend(spark, sf), "c_mktsegment", "v", "o_custkey", 2, 1, {"s": lambda w: F.round(F.sum("v").over(w.rowsBetween(-2, 1)), 4)})
+    return near.select("c_mktsegment", "o_custkey", "s")
 
 
 @query("select p_brand, p_partkey, (select count(*) from part as q where q.p_brand = part.p_brand and q.p_retailprice > part.p_retailprice) + 1 as r from part")
 def earlier_rank(spark, sf):
-    w = Window.partitionBy("p_brand").orderBy(_c("p_retailprice").desc())
-    return lake(spark, sf, "part").select("p_brand", "p_partkey", F.rank().over(w).cast("long").alias("r"))
+    p = lake(spark, sf, "part").select("p_brand", "p_partkey", "p_retailprice")
+    return ranks(p, "p_brand", "p_retailprice").select("p_brand", "p_partkey", _c("rank_").alias("r"))
 
 
 # Calculation groups: an item is a function from a measure (and its prior year) to a value.

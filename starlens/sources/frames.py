@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,17 @@ def money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder, its lineage cut."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint(eager=True)
+
+
 def total(c: Column | str) -> Column:
     return F.sum(money(c)).cast("double")
 
