@@ -239,10 +239,27 @@ def guarded_delete(spark, sf):
     return lake(spark, sf, "part").filter("p_size = 3").select("p_partkey").join(n, "p_partkey", "left").select("p_partkey", F.coalesce("n", F.lit(0)).alias("blockers"), _c("n").isNull().alias("deleted"))
 
 
-@query("select c_custkey, case when c_nationkey % 4 = 0 then c_nationkey + 100 else c_nationkey end as c_nationkey, c_nationkey % 4 = 0 as moved from customer")
+@query("""with r as (select n_nationkey as k, n_nationkey + 20 as fresh, n_nationkey + 20 in (select n_nationkey from nation) as taken from nation where n_nationkey % 4 = 0), h as (select 'customer' as kind, c_custkey as host, c_nationkey as k from customer union all select 'supplier', s_suppkey, s_nationkey from supplier)
+  select kind, host, case when not taken then fresh else h.k end as nationkey, case when taken then 'name taken' when fresh is not null then 'moved' else 'kept' end as outcome from h left join r on r.k = h.k""")
 def rename_cascade(spark, sf):
-    names = lake(spark, sf, "nation").filter("n_nationkey % 4 = 0").select(_c("n_nationkey").alias("c_nationkey"), (_c("n_nationkey") + 100).alias("new"))
-    return lake(spark, sf, "customer").join(names, "c_nationkey", "left").select("c_custkey", F.coalesce("new", "c_nationkey").alias("c_nationkey"), _c("new").isNotNull().alias("moved"))
+    """A key renamed in every table that refers to it; a rename to a key that is there already is refused and changes nothing."""
+    n = lake(spark, sf, "nation").select("n_nationkey")
+    renames = n.filter("n_nationkey % 4 = 0").select(_c("n_nationkey").alias("k"), (_c("n_nationkey") + 20).alias("fresh"))
+    renames = renames.join(n.select(_c("n_nationkey").alias("fresh"), F.lit(True).alias("taken")), "fresh", "left")
+    side = lambda t, host, k: lake(spark, sf, t).select(F.lit(t).alias("kind"), _c(host).alias("host"), _c(k).alias("k"))
+    hosts = side("customer", "c_custkey", "c_nationkey").unionByName(side("supplier", "s_suppkey", "s_nationkey")).join(renames, "k", "left")
+    outcome = F.when(_c("taken"), "name taken").when(_c("fresh").isNotNull(), "moved").otherwise("kept")
+    return hosts.select("kind", "host", F.coalesce(F.when(_c("taken").isNull(), _c("fresh")), "k").alias("nationkey"), outcome.alias("outcome"))
+
+
+@query("with o as (select p_partkey as host, 'Note' as name, p_brand as value from part where p_partkey % 2 = 0 union all select p_partkey, 'Owner', p_type from part where p_partkey % 5 = 0), d as (select p_partkey as host, case when p_partkey % 6 = 0 then 'Owner' else 'Note' end as name from part where p_partkey % 3 = 0) select coalesce(o.host, d.host) as host, coalesce(o.name, d.name) as name, o.value, case when o.host is null then 'not found' when d.host is null then 'kept' else 'deleted' end as outcome from o full join d on o.host = d.host and o.name = d.name")
+def annotation_delete(spark, sf):
+    """Annotations with deletions by host and name: kept, deleted, or asked for and not found."""
+    p = lake(spark, sf, "part")
+    note = lambda cond, name, v: p.filter(cond).select(_c("p_partkey").alias("host"), F.lit(name).alias("name"), _c(v).alias("value"), F.lit(True).alias("o"))
+    old = note("p_partkey % 2 = 0", "Note", "p_brand").unionByName(note("p_partkey % 5 = 0", "Owner", "p_type"))
+    gone = p.filter("p_partkey % 3 = 0").select(_c("p_partkey").alias("host"), F.when(_c("p_partkey") % 6 == 0, "Owner").otherwise("Note").alias("name"), F.lit(True).alias("d"))
+    return old.join(gone, ["host", "name"], "full").select("host", "name", "value", F.when(_c("o").isNull(), "not found").when(_c("d").isNull(), "kept").otherwise("deleted").alias("outcome"))
 
 
 @query("with o as (select p_partkey as host, p_brand as v from part where p_partkey % 2 = 0), n as (select p_partkey as host, p_type as v from part where p_partkey % 3 = 0) select coalesce(o.host, n.host) as host, coalesce(n.v, o.v) as value, o.host is null as created from o full join n on o.host = n.host")

@@ -86,20 +86,25 @@ def monthly_revenue(spark, sf):
 
 _FAM = f"""with {DENSE_SQL.replace("as v from orders", "as v, count(*)::double as n, max(o_totalprice) as hi from orders").replace("select region, d, v from days", "select region, d, v, n, hi from days")},
 l as (select region, d, 'Revenue' as base, v as x from dense union all select region, d, 'Orders', n from dense union all select region, d, 'Largest', hi from dense),
-r as (select region, base, d, x, sum(x) over (partition by region, base, date_trunc('year', d) order by d rows unbounded preceding) as ytd from l),
-j as (select r.*, p.x as py from r left join r as p on p.region = r.region and p.base = r.base and p.d = (r.d - interval 1 year)::date)
-select region, d, base || ' YTD' as measure, round(ytd, 4) as value from j union all select region, d, base || ' PY', round(py, 4) from j
-union all select region, d, base || ' YoY', round(case when x is null and py is null then null else coalesce(x, 0) - coalesce(py, 0) end, 4) from j"""
+r as (select region, base, d, x, {", ".join(f"sum(x) over (partition by region, base, date_trunc('{p}', d) order by d rows unbounded preceding) as {n}" for n, p in _PERIODS.items())} from l),
+j as (select r.*, p.x as py, {", ".join(f"p.{n} as py_{n}" for n in _PERIODS)}, case when r.x is null and p.x is null then null else coalesce(r.x, 0) - coalesce(p.x, 0) end as yoy from r left join r as p on p.region = r.region and p.base = r.base and p.d = (r.d - interval 1 year)::date)
+""" + " union all ".join(f"select region, d, base || ' {shown}' as measure, round({x}, 4) as value from j" for shown, x in (("MTD", "mtd"), ("QTD", "qtd"), ("YTD", "ytd"), ("PY", "py"), ("PY MTD", "py_mtd"), ("PY QTD", "py_qtd"), ("PY YTD", "py_ytd"), ("YoY", "yoy"), ("YoY %", "yoy / nullif(py, 0)")))
 
 
 @query(_FAM)
 def ti_family(spark, sf):
+    """Nine variants of three measures: to date by month, quarter and year, the same a year before, and the change."""
     o = related(spark, sf, lake(spark, sf, "orders"), "orders_customer", "customer_nation", "nation_region")
     daily = o.groupBy(_c("r_name").alias("region"), F.to_date("o_orderdate").alias("d")).agg(total("o_totalprice").alias("Revenue"), F.count("*").cast("double").alias("Orders"), F.max("o_totalprice").alias("Largest"))
     bases = ("Revenue", "Orders", "Largest")
     f = dense(daily)
-    f = prior_year(f.select("*", *(to_date_total(f, "year", b).alias(f"{b}_ytd") for b in bases)), *bases)
-    out = [x for b in bases for x in ((f"{b} YTD", _c(f"{b}_ytd")), (f"{b} PY", _c(f"py_{b}")), (f"{b} YoY", blank_sub(_c(b), _c(f"py_{b}"))))]
+    f = f.select("*", *(to_date_total(f, p, b).alias(f"{b}_{n}") for b in bases for n, p in _PERIODS.items()))
+    f = prior_year(f, *bases, *(f"{b}_{n}" for b in bases for n in _PERIODS))
+    out = []
+    for b in bases:
+        yoy = blank_sub(_c(b), _c(f"py_{b}"))
+        out += [(f"{b} {n.upper()}", _c(f"{b}_{n}")) for n in _PERIODS] + [(f"{b} PY", _c(f"py_{b}"))] + [(f"{b} PY {n.upper()}", _c(f"py_{b}_{n}")) for n in _PERIODS]
+        out += [(f"{b} YoY", yoy), (f"{b} YoY %", divide(yoy, _c(f"py_{b}")))]
     rows = F.array(*(F.struct(F.lit(n).alias("measure"), F.round(x, 4).alias("value")) for n, x in out))
     return f.select("region", "d", F.explode(rows).alias("s")).select("region", "d", "s.*")
 
