@@ -137,3 +137,29 @@ def sql_udf_kpi(spark, sf):
     variance_pct = lambda v, t: F.when(t > 0, (v - t) / t)
     o = lake(spark, sf, "orders").groupBy("o_custkey").agg(F.sum(_c("o_totalprice").cast("decimal(18,2)")).cast("double").alias("v"), (F.count("*") * 150000).cast("double").alias("t"))
     return o.select("o_custkey", F.round("v", 2).alias("v"), F.round(variance_pct(_c("v"), _c("t")), 4).alias("variance_pct"), (_c("v") >= _c("t")).alias("reached"))
+
+
+#: fixed values: what names, column references and formats may hold before they are put into formulas
+NAME_PATTERN = r"^[A-Za-z_][A-Za-z0-9_ &%]*\z"
+REFERENCE_PATTERN = r"^(?:'[A-Za-z0-9_ ]+'|[A-Za-z_][A-Za-z0-9_]*)?\[[A-Za-z0-9_ ]+\]\z"
+FORMAT_PATTERN = r"^[A-Za-z0-9#0 .,:;%$\-/\\()@*+]*\z"
+CONTROL_PATTERN = r"[\x00-\x1f]"
+
+
+@query(rf"""with {fleet_sql('formulas')}, t as (select project_id, name, pos, table_name || '[' || name || ']' as ref, coalesce(format_string, name) as fmt, description as label, expression as e, '{REFERENCE_PATTERN.replace("'", "''")}' as rp from formulas)
+  select project_id, name, pos, regexp_matches(name, '{NAME_PATTERN}') as name_ok, not contains(name, '[') and not contains(name, ']') and not regexp_matches(name, '{CONTROL_PATTERN}') as bracket_ok, regexp_matches(ref, rp) as reference_ok, regexp_matches(fmt, '{FORMAT_PATTERN}') as format_ok,
+  length(label) between 1 and 256 and not regexp_matches(label, '{CONTROL_PATTERN}') as label_ok, length(e) between 1 and 100000 and (not regexp_matches(e, '{CONTROL_PATTERN}') or regexp_matches(e, '[\r\n\t]')) as expression_ok, replace(e, '"', '""') as literal from t""")
+def input_guards(spark, sf):
+    """Guards of texts that go into formulas: names, references, formats, labels, formulas; and the formula as a string literal. Null inputs give null."""
+    name, label, e = _c("name"), _c("description"), _c("expression")
+    control = lambda c: c.rlike(CONTROL_PATTERN)
+    guards = {
+        "name_ok": name.rlike(NAME_PATTERN),
+        "bracket_ok": ~name.contains("[") & ~name.contains("]") & ~control(name),
+        "reference_ok": F.concat("table_name", F.lit("["), name, F.lit("]")).rlike(REFERENCE_PATTERN),
+        "format_ok": F.coalesce("format_string", name).rlike(FORMAT_PATTERN),
+        "label_ok": F.length(label).between(1, 256) & ~control(label),
+        "expression_ok": F.length(e).between(1, 100_000) & (~control(e) | e.rlike(r"[\r\n\t]")),
+        "literal": F.replace(e, F.lit('"'), F.lit('""')),
+    }
+    return fleet(spark, sf, "formulas").select("project_id", "name", "pos", *(g.alias(n) for n, g in guards.items()))
