@@ -179,10 +179,18 @@ def collect_minimal(spark, sf):
     return j.groupBy("o_orderkey").agg(F.nullif(parts, F.lit("")).alias("even_parts"), F.count("l_orderkey").alias("n"))
 
 
-@query("select n_nationkey, n_name, n_nationkey in (1, 2, 3) or n_name like '%A' as included from nation")
+@query("""with k as (select distinct s_suppkey % 30 as n_nationkey from supplier where s_suppkey % 4 = 0), w as (select r_name as n_name from region union select n_name from nation where n_regionkey = 1)
+  select n_nationkey, n_name, case when n_nationkey in (select n_nationkey from k) or n_name in (select n_name from w) then 'included' else 'excluded' end as status from nation
+  union all select n_nationkey, null, 'unknown' from k where n_nationkey not in (select n_nationkey from nation) union all select null, n_name, 'unknown' from w where n_name not in (select n_name from nation)""")
 def union_filter_unknowns(spark, sf):
-    n = lake(spark, sf, "nation")
-    return n.select("n_nationkey", "n_name", (_c("n_nationkey").isin(1, 2, 3) | _c("n_name").like("%A")).alias("included"))
+    """Rows asked for by key or by name are included, the others excluded; keys and names that are asked for and not there are unknown."""
+    n, said = lake(spark, sf, "nation").select("n_nationkey", "n_name"), F.lit(True)
+    keys = lake(spark, sf, "supplier").filter("s_suppkey % 4 = 0").select((_c("s_suppkey") % 30).alias("n_nationkey")).distinct()
+    names = lake(spark, sf, "region").select(_c("r_name").alias("n_name")).union(lake(spark, sf, "nation").filter("n_regionkey = 1").select("n_name")).distinct()
+    found = n.join(keys.withColumn("k", said), "n_nationkey", "left").join(names.withColumn("w", said), "n_name", "left")
+    rows = found.select("n_nationkey", "n_name", F.when(F.coalesce("k", "w"), "included").otherwise("excluded").alias("status"))
+    unknown = lambda asked, column: asked.join(n, column, "left_anti").select(column, F.lit("unknown").alias("status"))
+    return rows.unionByName(unknown(keys, "n_nationkey"), allowMissingColumns=True).unionByName(unknown(names, "n_name"), allowMissingColumns=True)
 
 
 @query("select c_nationkey, case when n > 20 then array_to_string(a[1:20], ', ') || ' (+' || (n - 20) || ' more)' else array_to_string(a, ', ') end as names from (select c_nationkey, list(c_name order by c_name) as a, count(*) as n from customer group by 1)")
