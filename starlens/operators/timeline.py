@@ -154,10 +154,11 @@ def ti_closing_balance(spark, sf):
     return m.withColumn("opening", F.lag("closing").over(Window.partitionBy("region").orderBy("month")))
 
 
-@query("select distinct o_orderdate::date as d, date_trunc('month', o_orderdate)::date as month_start, last_day(o_orderdate::date) as month_end, date_trunc('quarter', o_orderdate)::date as quarter_start, date_trunc('year', o_orderdate)::date as year_start, (date_trunc('year', o_orderdate) + interval 1 year - interval 1 day)::date as year_end from orders")
+@query("select distinct o_orderdate::date as d, date_trunc('month', o_orderdate)::date as month_start, last_day(o_orderdate::date) as month_end, date_trunc('quarter', o_orderdate)::date as quarter_start, (date_trunc('quarter', o_orderdate) + interval 3 month - interval 1 day)::date as quarter_end, date_diff('day', date_trunc('month', o_orderdate)::date, o_orderdate::date) + 1 as mtd_days, date_diff('day', date_trunc('quarter', o_orderdate)::date, o_orderdate::date) + 1 as qtd_days, date_diff('day', date_trunc('year', o_orderdate)::date, o_orderdate::date) + 1 as ytd_days, date_trunc('year', o_orderdate)::date as year_start, (date_trunc('year', o_orderdate) + interval 1 year - interval 1 day)::date as year_end from orders")
 def ti_period_bounds(spark, sf):
     d = lake(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
-    return d.select("d", F.trunc("d", "month").alias("month_start"), F.last_day("d").alias("month_end"), F.trunc("d", "quarter").alias("quarter_start"), F.trunc("d", "year").alias("year_start"), F.date_sub(F.add_months(F.trunc("d", "year"), 12), 1).alias("year_end"))
+    days = [(F.date_diff("d", F.trunc("d", p)) + 1).cast("long").alias(f"{n}_days") for n, p in _PERIODS.items()]  # days in the set to date
+    return d.select("d", F.trunc("d", "month").alias("month_start"), F.last_day("d").alias("month_end"), F.trunc("d", "quarter").alias("quarter_start"), F.date_sub(F.add_months(F.trunc("d", "quarter"), 3), 1).alias("quarter_end"), *days, F.trunc("d", "year").alias("year_start"), F.date_sub(F.add_months(F.trunc("d", "year"), 12), 1).alias("year_end"))
 
 
 @query("with f as (select year(o_orderdate)::bigint as y, o_custkey, min(o_orderdate::date) as d from orders group by 1, 2), n as (select y, d, count(*) as k from f group by 1, 2) select y, d, sum(k) over (partition by y order by d)::bigint as customers from n")
