@@ -43,6 +43,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def attach(rows: DataFrame, facts: DataFrame, key: str, small_mb: int = 16, salts: int = 16) -> DataFrame:
+    """rows with the columns of facts, which has one row per key; null keys meet each other.
+
+    facts is a table that was cut. It is broadcast where its keys have been measured to be few and short; else every row of it is
+    sent for each of some salts, so that a key with very many rows is met in several tasks.
+    """
+    n, size = facts.agg(F.count("*"), F.sum(F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + 64)).first()
+    if not n or size <= small_mb << 20:
+        facts, also = F.broadcast(facts), []
+    else:
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)), F.lit(salts)).cast("int"))
+        facts, also = facts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["salt"]
+    a, b = rows.alias("a"), facts.alias("b")
+    met = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
+    for s in also:
+        met &= F.col(f"a.{s}") == F.col(f"b.{s}")
+    return a.join(b, met).select(*(f"a.`{c}`" for c in rows.columns if c != "salt"), *(f"b.`{c}`" for c in facts.columns if c not in (key, "salt")))
+
+
 def text_rows(df: DataFrame, *more: Column | str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id, the text's bytes and what is named besides."""
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *more)

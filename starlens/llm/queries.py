@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, license, lm, neardup, packing, quality, sharding, substring, toxicity
-from .common import crc_fold, table
+from . import decontam, langid, license, lm, mixing, neardup, packing, quality, sharding, substring, toxicity, variants, vectorcode
+from .common import attach, crc_fold, cut, table
 
 DOCS = "documents"
 
@@ -68,6 +68,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.array_join("licences", ",").alias("licences"), F.array_join("classes", ",").alias("classes"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vectorcode.train(vectors)
+    coded = cut(vectorcode.encode(vectors, books).select("row.vec_id", "row.label", "code", "error"))
+    totals = cut(coded.groupBy("label").agg(F.sum("error").alias("label_error")))
+    out = attach(coded, totals, "label")
+    return out.select("vec_id", "code", "error", "label_error", F.lit(books.sha256() if books else None).alias("codebooks_sha256"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, DOCS)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.count_words(table(spark, sf_dir, DOCS)))
+
+
 def _op2_sql() -> str:
     return r"""
 with base as (select doc_id, coalesce(text, '') as t from documents),
@@ -145,5 +162,43 @@ from documents d left join (select doc_id, n from ids where view = 1) i using (d
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op5_language_model, op6_substring_dedup, op7_near_duplicates, op8_toxicity, op9_packing, op10_license_scan)}
-ORACLES = {"op2_quality_rules": _op2_sql(), "op3_benchmark_decontamination": _op3_sql(), "op6_substring_dedup": _op6_sql(), "op7_near_duplicates": _op7_sql(), "op10_license_scan": _op10_sql()}
+def _op11_sql() -> str:
+    """Codebooks of parts p as rows (p, e, list); one materialised step for each round."""
+    near = "select vec_id, label, p, v, e, d from (select *, row_number() over (partition by rid, p order by d, e) as k from (select x.*, b.e, (list_inner_product(v, v) + list_inner_product(b.w, b.w) - 2 * list_inner_product(v, b.w))::bigint as d from x join {b} b using (p))) where k = 1"
+    steps = []
+    for r in range(4):
+        steps.append(f"n{r} as materialized ({near.format(b=f'b{r}')})")
+        mean = f"select p, e, list(m order by i) as w from (select p, e, i, floor(sum(v[i]::hugeint)::double / count(*))::double as m from (select *, unnest(range(1, 17)) as i from n{r}) group by p, e, i) group by p, e"
+        steps.append(f"b{r + 1} as materialized (select p, e, coalesce(m.w, b.w) as w from b{r} b left join ({mean}) m using (p, e))")
+    return f"""
+with k as (select row_number() over (order by vec_id) as rid, vec_id, label, list_transform(embedding, lambda z: floor(1024 * z::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda z: z is null or not isfinite(z))) = 0),
+x as materialized (select rid, vec_id, label, p, v[16 * p + 1 : 16 * p + 16] as v from (select *, unnest(range(0, 4)) as p from k)),
+b0 as materialized (select p, rid - 1 as e, v as w from x where rid <= 256),
+{", ".join(steps)},
+f as materialized ({near.format(b="b4")}),
+g as (select vec_id, label, string_agg(format('{{:02x}}', e), '' order by p) as code, sum(d)::bigint as error from f group by vec_id, label),
+s as (select sha256(string_agg(z::bigint::varchar, ',' order by p, e, i)) as h from (select p, e, unnest(w) as z, generate_subscripts(w, 1) as i from b4))
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, h as codebooks_sha256 from g, s
+"""
+
+
+def _op12_sql() -> str:
+    return r"""
+with recursive k as (select doc_id, source, (length(regexp_replace(coalesce(text, ''), '[^\x20\x09-\x0D]+', 'w', 'g')) - length(regexp_replace(coalesce(text, ''), '[^\x20\x09-\x0D]', '', 'g')))::bigint as size,
+  ('0x' || md5(coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, '')))[:15])::bigint as key from documents),
+s as (select source, sum(size)::bigint as source_size, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as w from k group by source),
+t as (select sum(source_size)::bigint as total from s),
+r(step, f) as (select 0, 1.5::double * (select total from t) / (select sum(w) from s)
+  union all select step + 1, (1.5::double * (select total from t) - (select coalesce(sum(2 * source_size), 0) from s where 2 * source_size <= w * f)) / nullif((select sum(w) from s where 2 * source_size > w * f), 0) from r where step < 40 and f is not null),
+l as (select max(f) as f from r),
+g as (select source, source_size, least(2.0::double * source_size, w * f) as target from s, l),
+b as (select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as full from g),
+c as (select k.doc_id, k.source, size, source_size, target, b.full, target - b.full * source_size as rest, sum(size) over (partition by k.source order by key, k.doc_id rows unbounded preceding) as upto
+  from k join b on k.source is not distinct from b.source)
+select doc_id, size, source_size, target, (size * (c.full + (rest > 0 and 2 * (rest - (upto - size)) >= size)::int))::bigint as taken from c
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_benchmark_decontamination, op4_sampled_splitters, op5_language_model, op6_substring_dedup, op7_near_duplicates, op8_toxicity, op9_packing, op10_license_scan, op11_vector_codes, op12_source_mixing, op13_spelling_variants)}
+ORACLES = {"op2_quality_rules": _op2_sql(), "op3_benchmark_decontamination": _op3_sql(), "op6_substring_dedup": _op6_sql(), "op7_near_duplicates": _op7_sql(), "op10_license_scan": _op10_sql(), "op11_vector_codes": _op11_sql(), "op12_source_mixing": _op12_sql()}
