@@ -235,13 +235,13 @@ def remove_repeats(docs: DataFrame, window: int = 13, carry: list[str] | None =
     """Each input row as a struct `row` with n_words, n_removed and kept (the words left, joined by one space).
 
     Windows are judged on the input as it is. Null and empty texts and those shorter than a window lose nothing.
-    Rows with equal doc_id are one document as far as order goes: none removes from the other. A row with a null
+    Rows with equal doc_id are one document as far as order goes: none removes from the other; of rows that repeat, ranges are gathered once. A row with a null
     doc_id neither loses words nor takes any from others. Ties can't arise otherwise: the smallest doc_id keeps a window. Extra
     columns are carried in `row`; an empty table gives no rows. Texts of any length are read whole.
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in carry or docs.columns))
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key")
-    spans = repeated_spans(docs, window).groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    spans = repeated_spans(docs, window).groupBy("doc_id", "key").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
     rows = text_rows(docs, whole_row(kept), key).join(spans, ["doc_id", "key"], "left")
     return rows.select("doc_id", "text", "row", "spans").mapInArrow(_cut, f"{row_type(kept)}, n_words long, n_removed long, kept binary")
 
