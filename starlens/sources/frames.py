@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df written as a table in the checkpoint folder and read from there.
+
+    Like cut, but what is known of the rows is their true size: a loop's plan neither inherits the estimates and constraints of all
+    rounds before, which the optimizer would go through again and again, nor sorts tables that are small enough to be broadcast.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        cut(spark.range(0))  # names the folder
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def total(c: Column | str) -> Column:
     return F.sum(money(c)).cast("double")
 
