@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import packs
 from ..sources.frames import RELATIONSHIPS, lake
 from ..sources.frames import cut as _cut
+from ..sources.frames import written
+from .graphs import ancestry, longest_chains, reach_counts, reach_index, reaches
 
 _c = F.col
 QUERIES, ORACLES = {}, {}
@@ -99,38 +101,24 @@ def dep_adjacency(spark, sf):
     return measures(spark, sf).select("name").join(e, "name", "left").select(F.concat("name", F.lit(" -> "), F.coalesce("to", F.lit("(isolated)"))).alias("line"))
 
 
-def longest_paths(nodes: DataFrame, e: DataFrame) -> DataFrame:
-    """name, depth: the longest downstream chain, leaves 0. Nodes on or above a cycle never finish and are left out.
-
-    A node finishes in the round after its last dependency, so a round looks only at the dependents of the nodes that
-    finished last; what is finished is kept as one table a round and never written again.
-    """
-    e = _cut(e.join(nodes.select(_c("name").alias("src")), "src", "left_semi").select("src", "dst"))
-    last = _cut(nodes.join(e.select(_c("src").alias("name")), "name", "left_anti").select("name", F.lit(0).alias("depth")))
-    done, depth = last, 0
-    while not last.isEmpty():
-        depth += 1
-        touched = e.join(last.select(_c("name").alias("dst")), "dst", "left_semi").select("src").distinct()
-        waiting = e.join(touched, "src", "left_semi").join(done.select(_c("name").alias("dst")), "dst", "left_anti").select("src")
-        last = _cut(touched.join(waiting, "src", "left_anti").select(_c("src").alias("name"), F.lit(depth).alias("depth")))
-        done = done.unionByName(last)
-    return done
-
-
 @query(f"with recursive {_EDGES}, r(name, top, k) as (select name, name, 0 from m union all select e.dst, r.top, k + 1 from r join e on e.src = r.name) select top as name, max(k) as depth from r group by 1")
 def dep_depth(spark, sf):
-    return longest_paths(measures(spark, sf).select("name"), edges(spark, sf))
+    return longest_chains(measures(spark, sf).select("name"), edges(spark, sf))
 
 
-@query(f"with recursive {_EDGES}, r(src, dst) as (select src, dst from e union select r.src, e.dst from r join e on e.src = r.dst) select src, count(*) as upstream from r group by 1")
+@query(f"with recursive {_EDGES}, r(src, dst, k) as (select src, dst, 1 from e union select r.src, e.dst, k + 1 from r join e on e.src = r.dst) select src, count(distinct dst) as upstream, max(k) as hops from r group by 1")
 def dep_closure(spark, sf):
-    e = _cut(edges(spark, sf))
-    seen = frontier = e  # one table a round; a round writes what is new alone
-    while not frontier.isEmpty():
-        nxt = frontier.select("src", _c("dst").alias("via")).join(e.select(_c("src").alias("via"), "dst"), "via").select("src", "dst").distinct()
-        frontier = _cut(nxt.join(seen, ["src", "dst"], "left_anti"))
-        seen = seen.unionByName(frontier)
-    return seen.groupBy("src").agg(F.count("*").alias("upstream"))
+    """How many measures each one needs, directly or not, and how long its longest chain is; from a reachability index, not from pairs."""
+    e = written(edges(spark, sf))
+    depth = longest_chains(e.select(_c("src").alias("name")).union(e.select("dst")).distinct(), e)
+    return reach_counts(e).join(depth, "name").filter("depth > 0").select(_c("name").alias("src"), _c("reached").alias("upstream"), _c("depth").alias("hops"))
+
+
+@query(f"with recursive {_EDGES}, r(src, dst) as (select src, dst from e union select r.src, e.dst from r join e on e.src = r.dst), q as (select l_returnflag, 'M' || l_partkey as src, 'M' || l_suppkey as dst from lineitem) select l_returnflag, count(*) as asked, count(r.src) as reached from q left join r on r.src = q.src and r.dst = q.dst group by 1")
+def dep_reaches(spark, sf):
+    """Whether one measure needs another, for many pairs at once: each is an equality join with the index and a comparison of positions."""
+    pairs = lake(spark, sf, "lineitem").select("l_returnflag", F.concat(F.lit("M"), _c("l_partkey").cast("string")).alias("src"), F.concat(F.lit("M"), _c("l_suppkey").cast("string")).alias("dst"))
+    return reaches(pairs, *reach_index(edges(spark, sf))).groupBy("l_returnflag").agg(F.count("*").alias("asked"), F.count_if("reached").alias("reached"))
 
 
 @query("with recursive g as (select p_partkey as src, (p_partkey * 7 + 3) % (select count(*) from part) as dst from part where p_partkey < (select count(*) from part)), r(src, dst, k) as (select src, dst, 1 from g union select r.src, g.dst, k + 1 from r join g on g.src = r.dst where k < 6) select distinct src as name from r where src = dst")
@@ -317,21 +305,28 @@ def ols_apply(spark, sf):
     return lake(spark, sf, "customer").drop("c_acctbal")
 
 
-@query("with recursive t as (select p_partkey as id, nullif(p_partkey // 3, 0) as boss from part), r(id, up, d) as (select id, id, 0 from t union all select r.id, t.boss, d + 1 from r join t on t.id = r.up where t.boss is not null and t.boss in (select id from t)) select id, max(d) as depth, string_agg(up::varchar, '|' order by d desc) as path from r group by 1")
+_BOSSES = """with recursive t as (select p_partkey as id, nullif(p_partkey // 3, 0) as boss from part), r(id, root, path) as (select id, id, [id] from t where boss is null or boss not in (select id from t)
+  union all select t.id, r.root, list_append(r.path, t.id) from r join t on t.boss = r.id), up as (select id, unnest(path) as above from r)"""
+
+
+def _staff(spark, sf) -> DataFrame:
+    return lake(spark, sf, "part").select(_c("p_partkey").alias("name"), F.nullif(F.floor(_c("p_partkey") / 3), F.lit(0)).alias("parent"))
+
+
+@query(_BOSSES + """, n as (select above as id, count(*) as n from up group by 1) select r.id, root, len(path) - 1 as depth, row_number() over (partition by root order by path) as enter_, row_number() over (partition by root order by path) + n - 1 as leave_ from r join n using (id)""")
 def rls_hierarchy(spark, sf):
-    t = lake(spark, sf, "part").select(_c("p_partkey").alias("id"), F.nullif(F.floor(_c("p_partkey") / 3), F.lit(0)).alias("boss"))
-    known = t.select(_c("id").alias("boss"))
-    t = _cut(t.join(known, "boss", "left_semi").select("id", "boss"))  # bosses that exist
-    nodes = lake(spark, sf, "part").select(_c("p_partkey").alias("id"))
-    walk = nodes.select("id", _c("id").alias("at"), F.lit(0).alias("d"))
-    seen = walk
-    while True:
-        walk = _cut(walk.join(t.select(_c("id").alias("at"), "boss"), "at").select("id", _c("boss").alias("at"), (_c("d") + 1).alias("d")))
-        if walk.isEmpty():
-            break
-        seen = seen.unionByName(walk)
-    up = F.array_sort(F.collect_list(F.struct((-_c("d")).alias("o"), _c("at").cast("string").alias("at"))))
-    return seen.groupBy("id").agg(F.max("d").alias("depth"), F.array_join(F.transform(up, lambda s: s["at"]), "|").alias("path"))
+    """Every person's place in the tree of managers: a manager sees those of one root whose enter_ lies between own enter_ and leave_."""
+    return ancestry(_staff(spark, sf)).select(_c("name").alias("id"), "root", "depth", _c("enter").alias("enter_"), _c("leave").alias("leave_"))
+
+
+@query(_BOSSES + " select l_returnflag, count(*) as asked, count(above) as visible from lineitem left join up on up.id = l_partkey and up.above = l_suppkey group by 1")
+def rls_is_above(spark, sf):
+    """Rows that a manager (l_suppkey) may see as they belong to someone below (l_partkey), or to themselves: two joins by key and a comparison of numbers."""
+    n = written(ancestry(_staff(spark, sf)))
+    side = lambda k, end: n.select(_c("name").alias(k), *(_c(c).alias(f"{end}_{c}") for c in ("root", "enter", "leave")))
+    rows = lake(spark, sf, "lineitem").select("l_returnflag", "l_partkey", "l_suppkey").join(side("l_partkey", "own"), "l_partkey", "left").join(side("l_suppkey", "boss"), "l_suppkey", "left")
+    sees = (_c("own_root") == _c("boss_root")) & _c("own_enter").between(_c("boss_enter"), _c("boss_leave"))
+    return rows.groupBy("l_returnflag").agg(F.count("*").alias("asked"), F.count_if(sees).alias("visible"))
 
 
 # Texts

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import BARE, QUALIFIED
 from ..sources.fleet import fleet, fleet_sql
 from ..sources.frames import lake
-from .catalog import _cut
-from .rules import _TEXTS, all_formulas, together
+from .graphs import components
+from .rules import _REFS, all_formulas, references, together
 
 _c = F.col
 QUERIES, ORACLES = {}, {}
@@ -66,20 +65,6 @@ def partition_inventory(spark, sf):
     return t.groupBy("mode", "source").agg(F.count("*").alias("n"), F.count_if("odd").alias("unknown"))
 
 
-def references(texts: DataFrame) -> DataFrame:
-    """project_id, kind, own_table, own_name, table_name (null: brackets without a table), column_name; each once a text."""
-    own = ["project_id", "kind", _c("table_name").alias("own_table"), _c("name").alias("own_name")]
-    full = texts.select(*own, F.explode(F.regexp_extract_all("expression", F.lit(QUALIFIED), F.lit(0))).alias("r"))
-    full = full.select("project_id", "kind", "own_table", "own_name", F.replace(F.trim(F.regexp_extract("r", r"^([^\[]*)", 1)), F.lit("'"), F.lit("")).alias("table_name"), F.regexp_extract("r", r"\[([^\]]+)\]", 1).alias("column_name"))
-    bare = texts.select(*own, F.explode(F.regexp_extract_all("expression", F.lit(BARE), F.lit(1))).alias("column_name")).withColumn("table_name", F.lit(None).cast("string"))
-    return full.unionByName(bare).distinct()
-
-
-_REFS = f"""{_TEXTS}, q as (select project_id, kind, table_name, name, unnest(regexp_extract_all(expression, '[A-Za-z_''][A-Za-z0-9_'' ]*\\[[^\\]]+\\]')) as r from texts),
-  qualified as (select distinct project_id, kind, table_name as own_table, name as own_name, replace(trim(regexp_extract(r, '^([^\\[]*)', 1)), '''', '') as table_name, regexp_extract(r, '\\[([^\\]]+)\\]', 1) as column_name from q),
-  bare as (select distinct project_id, kind, table_name as own_table, name as own_name, unnest(regexp_extract_all(expression, '(^|[^A-Za-z0-9_''])\\[([^\\]]+)\\]', 2)) as column_name from texts)"""
-
-
 @query(f"""with {fleet_sql('relationships')}, {_REFS}, uses as (select project_id, from_table as table_name, from_column as column_name, 'relationship' as kind, name as who from relationships union select project_id, to_table, to_column, 'relationship', name from relationships
     union select project_id, table_name, sort_by, 'sort', column_name from columns where sort_by is not null
     union select project_id, table_name, column_name, kind, own_table || '.' || own_name from qualified union select project_id, own_table, column_name, kind, own_table || '.' || own_name from bare)
@@ -115,31 +100,11 @@ def group_referrers(spark, sf):
     return outside.select("project_id", "table_name", "kind", F.concat_ws(".", "own_table", "own_name").alias("referrer")).distinct()
 
 
-def on_cycles(edges: DataFrame) -> DataFrame:
-    """name of every node that reaches itself, over edges src, dst.
-
-    Edges that start at a node without an incoming edge, or end at one without an outgoing, are peeled until none is left;
-    what remains are the cycles and the bridges between them, on which the closure is taken.
-    """
-    e = _cut(edges.distinct())
-    n = e.count()
-    while True:
-        e = _cut(e.join(e.select(_c("dst").alias("src")).distinct(), "src", "left_semi").join(e.select(_c("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
-        left = e.count()
-        if left == n:
-            break
-        n = left
-    seen = frontier = e
-    while not frontier.isEmpty():
-        step = frontier.select("src", _c("dst").alias("via")).join(e.select(_c("src").alias("via"), "dst"), "via").select("src", "dst").distinct()
-        frontier = _cut(step.join(seen, ["src", "dst"], "left_anti"))
-        seen = _cut(seen.unionByName(frontier))
-    return seen.filter("src = dst").select(_c("src").alias("name"))
-
-
 @query("""with recursive g as (select p_partkey as src, case when p_partkey % 10 = 9 then p_partkey - 3 else p_partkey + 1 end as dst from part union select p_partkey, p_partkey + 10 from part where p_partkey % 10 = 0 and p_partkey % 50 <> 40),
-  e as (select src, dst from g where dst in (select p_partkey from part)), r as (select src, dst from e union select r.src, e.dst from r join e on e.src = r.dst) select src as name from r where src = dst""")
+  e as (select src, dst from g where dst in (select p_partkey from part)), r as (select src, dst from e union select r.src, e.dst from r join e on e.src = r.dst)
+  select a.src as name, min(a.dst) as component from r as a join r as b on b.src = a.dst and b.dst = a.src group by 1""")
 def dep_cycles(spark, sf):
+    """Nodes on cycles with the smallest node of their component."""
     p = lake(spark, sf, "part").select(_c("p_partkey").alias("src"))
     g = p.withColumn("dst", F.when(_c("src") % 10 == 9, _c("src") - 3).otherwise(_c("src") + 1)).union(p.filter("src % 10 = 0 and src % 50 <> 40").withColumn("dst", _c("src") + 10))
-    return on_cycles(g.join(p.select(_c("src").alias("dst")), "dst", "left_semi").select("src", "dst"))
+    return components(g.join(p.select(_c("src").alias("dst")), "dst", "left_semi").select("src", "dst"))

@@ -13,7 +13,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import BARE, QUALIFIED
 from ..sources.fleet import fleet, fleet_sql
+from ..sources.frames import written
+from .graphs import components
 
 _c = F.col
 QUERIES, ORACLES = {}, {}
@@ -60,6 +63,20 @@ _TEXTS = fleet_sql("formulas", "columns", "items") + """, texts as (select proje
   union all select project_id, 'column', table_name, column_name, expression from columns where is_calculated union all select project_id, 'item', table_name, name, expression from items)"""
 
 
+def references(texts: DataFrame) -> DataFrame:
+    """project_id, kind, own_table, own_name, table_name (null: brackets without a table), column_name; each once a text."""
+    own = ["project_id", "kind", _c("table_name").alias("own_table"), _c("name").alias("own_name")]
+    full = texts.select(*own, F.explode(F.regexp_extract_all("expression", F.lit(QUALIFIED), F.lit(0))).alias("r"))
+    full = full.select("project_id", "kind", "own_table", "own_name", F.replace(F.trim(F.regexp_extract("r", r"^([^\[]*)", 1)), F.lit("'"), F.lit("")).alias("table_name"), F.regexp_extract("r", r"\[([^\]]+)\]", 1).alias("column_name"))
+    bare = texts.select(*own, F.explode(F.regexp_extract_all("expression", F.lit(BARE), F.lit(1))).alias("column_name")).withColumn("table_name", F.lit(None).cast("string"))
+    return full.unionByName(bare).distinct()
+
+
+_REFS = _TEXTS + """, q as (select project_id, kind, table_name, name, unnest(regexp_extract_all(expression, '[A-Za-z_''][A-Za-z0-9_'' ]*\\[[^\\]]+\\]')) as r from texts),
+  qualified as (select distinct project_id, kind, table_name as own_table, name as own_name, replace(trim(regexp_extract(r, '^([^\\[]*)', 1)), '''', '') as table_name, regexp_extract(r, '\\[([^\\]]+)\\]', 1) as column_name from q),
+  bare as (select distinct project_id, kind, table_name as own_table, name as own_name, unnest(regexp_extract_all(expression, '(^|[^A-Za-z0-9_''])\\[([^\\]]+)\\]', 2)) as column_name from texts)"""
+
+
 @query(f"with {_TEXTS} select * from texts where expression is not null")
 def all_expressions(spark, sf):
     return all_formulas(spark, sf).filter("expression is not null")
@@ -209,6 +226,73 @@ def _end_rules() -> list[Rule]:
     return [rule(side) for side in ("from", "to") for rule in (missing, invalid)] + [("error", "warning", "err_relationship_type_mismatch", _c("from_type") != _c("to_type"))]
 
 
+#: nodes are project, kind, table and name in one text; of a table's calculated columns one that uses a measure needs all, by way of a node of the table
+_NODE = "concat(cast({p} as string), '|{k}|', {t}, '|', {n})"
+
+
+def _node(kind: str, table: str | Column, name: str | Column) -> Column:
+    return F.concat(_c("project_id").cast("string"), F.lit(f"|{kind}|"), table, F.lit("|"), name)
+
+
+def formula_edges(spark, sf) -> DataFrame:
+    """src, dst of all that a measure or column needs to be computed: the columns and measures its formula names, and the column it is sorted by.
+
+    Brackets with a table name a column of it, else a measure; brackets alone name the project's measures of that name, else a column of the own table. A
+    measure used in a calculated column needs every calculated column of that column's table. What only names itself counts for columns, not for measures.
+    """
+    cols, m = fleet(spark, sf, "columns"), fleet(spark, sf, "formulas").select("project_id", "table_name", "name").distinct()
+    known = cols.groupBy("project_id", "table_name", "column_name").agg(F.max("is_calculated").alias("calculated"))
+    refs = references(all_formulas(spark, sf).filter("kind <> 'item'")).withColumnRenamed("column_name", "name").withColumn("src", F.concat(_c("project_id").cast("string"), F.lit("|"), "kind", F.lit("|"), "own_table", F.lit("|"), "own_name"))
+    column = known.select("project_id", "table_name", _c("column_name").alias("name"), F.lit(True).alias("is_column"))
+    full = refs.filter("table_name is not null").join(column, ["project_id", "table_name", "name"], "left").join(m.withColumn("is_measure", F.lit(True)), ["project_id", "table_name", "name"], "left")
+    full = full.select("project_id", "kind", "own_table", "src", F.when(_c("is_column"), _node("column", "table_name", "name")).when(_c("is_measure"), _node("measure", "table_name", "name")).alias("dst"), (_c("is_column").isNull() & _c("is_measure")).alias("to_measure"))
+    bare = refs.filter("table_name is null").drop("table_name").join(m, ["project_id", "name"], "left").withColumnRenamed("table_name", "of")
+    bare = bare.join(column.select("project_id", _c("table_name").alias("own_table"), "name", "is_column"), ["project_id", "own_table", "name"], "left")
+    bare = bare.select("project_id", "kind", "own_table", "src", F.when(_c("of").isNotNull(), _node("measure", "of", "name")).when(_c("is_column"), _node("column", "own_table", "name")).alias("dst"), _c("of").isNotNull().alias("to_measure"))
+    named = full.unionByName(bare).filter("dst is not null")
+    table = _node("table", "own_table", F.lit(""))
+    turn = named.filter("kind = 'column' and to_measure").select("src", table.alias("dst"))
+    inside = known.filter("calculated").select(_node("table", "table_name", F.lit("")).alias("src"), _node("column", "table_name", "column_name").alias("dst"))
+    sort = cols.filter("sort_by is not null").select("project_id", "table_name", "column_name", "sort_by").join(known.select("project_id", "table_name", _c("column_name").alias("sort_by")), ["project_id", "table_name", "sort_by"], "left_semi")
+    sort = sort.select(_node("column", "table_name", "column_name").alias("src"), _node("column", "table_name", "sort_by").alias("dst"))
+    own = (_c("src") == _c("dst")) & _c("src").contains("|measure|")
+    return together(named.select("src", "dst"), turn, inside, sort).filter(~own).distinct()
+
+
+def circular(spark, sf) -> DataFrame:
+    """project_id, kind, table_name, name, component of measures and columns on a cycle; component is its smallest member.
+
+    A table's node is no member; with a single column beside it there is no cycle, as a column may use a measure of its own table.
+    """
+    e = written(formula_edges(spark, sf))
+    found = components(e).filter("name not like '%|table|%'")
+    alone = found.groupBy("component").agg(F.count("*").alias("n"), F.min("name").alias("least"))
+    itself = e.filter("src = dst").select(_c("src").alias("name"), F.lit(True).alias("itself"))
+    kept = found.join(alone, "component").join(itself, "name", "left").filter("n > 1 or itself")
+    part = F.split("name", r"\|")
+    return kept.select(part[0].cast("long").alias("project_id"), part[1].alias("kind"), part[2].alias("table_name"), part[3].alias("name"), _c("least").alias("component"))
+
+
+_CYCLES = f"""known as (select project_id, table_name, column_name, bool_or(is_calculated) as calculated from columns group by 1, 2, 3), ms as (select distinct project_id, table_name, name from formulas),
+  qr as (select q.project_id, q.kind, own_table, {_NODE.format(p='q.project_id', k="' || q.kind || '", t='own_table', n='own_name')} as src, case when k.column_name is not null then {_NODE.format(p='q.project_id', k='column', t='q.table_name', n='q.column_name')} when ms.name is not null then {_NODE.format(p='q.project_id', k='measure', t='q.table_name', n='q.column_name')} end as dst,
+    k.column_name is null and ms.name is not null as to_measure from qualified q left join known k on k.project_id = q.project_id and k.table_name = q.table_name and k.column_name = q.column_name left join ms on ms.project_id = q.project_id and ms.table_name = q.table_name and ms.name = q.column_name where q.kind <> 'item'),
+  br as (select q.project_id, q.kind, own_table, {_NODE.format(p='q.project_id', k="' || q.kind || '", t='own_table', n='own_name')} as src, case when ms.name is not null then {_NODE.format(p='q.project_id', k='measure', t='ms.table_name', n='q.column_name')} when k.column_name is not null then {_NODE.format(p='q.project_id', k='column', t='own_table', n='q.column_name')} end as dst,
+    ms.name is not null as to_measure from bare q left join ms on ms.project_id = q.project_id and ms.name = q.column_name left join known k on k.project_id = q.project_id and k.table_name = own_table and k.column_name = q.column_name where q.kind <> 'item'),
+  named as (select * from qr union all select * from br),
+  edge as (select distinct src, dst from (select src, dst from named union all select src, {_NODE.format(p='project_id', k='table', t='own_table', n="''")} from named where kind = 'column' and to_measure and dst is not null
+    union all select {_NODE.format(p='project_id', k='table', t='table_name', n="''")}, {_NODE.format(p='project_id', k='column', t='table_name', n='column_name')} from known where calculated
+    union all select {_NODE.format(p='c.project_id', k='column', t='c.table_name', n='c.column_name')}, {_NODE.format(p='c.project_id', k='column', t='c.table_name', n='c.sort_by')} from columns c join known k on k.project_id = c.project_id and k.table_name = c.table_name and k.column_name = c.sort_by)
+    where dst is not null and not (src = dst and contains(src, '|measure|'))),
+  walk as (select src, dst from edge union select walk.src, edge.dst from walk join edge on edge.src = walk.dst),
+  ring as (select a.src as name, min(a.dst) filter (not contains(a.dst, '|table|')) as component, count(distinct a.dst) filter (not contains(a.dst, '|table|')) as n from walk a join walk b on b.src = a.dst and b.dst = a.src where not contains(a.src, '|table|') group by 1),
+  circular as (select split_part(name, '|', 1)::bigint as project_id, split_part(name, '|', 2) as kind, split_part(name, '|', 3) as table_name, split_part(name, '|', 4) as name, component from ring where n > 1 or exists (select 1 from edge where src = dst and src = ring.name))"""
+
+
+@query(f"with recursive {_REFS}, {_CYCLES} select * from circular")
+def formula_cycles(spark, sf):
+    return circular(spark, sf)
+
+
 def _found(df: DataFrame, category: str, severity: str, rule: str, entity: str) -> DataFrame:
     return df.select("project_id", *(F.lit(v).alias(n) for n, v in (("category", category), ("severity", severity), ("rule", rule))), _c(entity).alias("entity"))
 
@@ -227,7 +311,7 @@ CATEGORIES = ("structural", "performance", "dax", "formatting", "maintenance", "
 
 
 def lint(spark, sf, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
-    """All findings of the categories asked for, in one pass over each kind of object; `dep_cycles` has the rule on cycles."""
+    """All findings of the categories asked for, in one pass over each kind of object and, for cycles, over the references between them."""
     p, t, refs, cols, rels, m, items, f = (fleet(spark, sf, n) for n in ("projects", "tables", "refs", "columns", "relationships", "formulas", "items", "functions"))
     parts = [
         *flagged(cols, _member(name="column_name"), _column_rules(), categories),
@@ -244,6 +328,8 @@ def lint(spark, sf, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
     if "maintenance" in categories:
         dup = m.groupBy("project_id", "name").agg(F.count_distinct("table_name").alias("n")).filter("n > 1")
         parts.append(_found(dup, "maintenance", "warning", "maint_duplicate_measure_name", "name"))
+    if "error" in categories:
+        parts.append(_found(circular(spark, sf).select("project_id", _member().alias("entity")), "error", "error", "err_circular_dependency", "entity"))
     return together(*parts)
 
 
@@ -353,15 +439,16 @@ _ERRORS = r"""select project_id, 'warning' as severity, 'err_missing_data_type'
   union all select r.project_id, 'warning', 'err_relationship_type_mismatch', r.name from relationships r join columns a on a.project_id = r.project_id and a.table_name = from_table and a.column_name = from_column
     join columns b on b.project_id = r.project_id and b.table_name = to_table and b.column_name = to_column where a.data_type <> b.data_type and a.data_type <> '' and b.data_type <> ''
   union all select project_id, 'info', 'err_userelationship_check', table_name || '.' || name from formulas where regexp_matches(expression, '(?i)\buserelationship\s*\(')
-  union all select project_id, 'error', 'err_empty_measure_expression', table_name || '.' || name from formulas where trim(coalesce(expression, '')) = ''"""
+  union all select project_id, 'error', 'err_empty_measure_expression', table_name || '.' || name from formulas where trim(coalesce(expression, '')) = ''
+  union all select project_id, 'error', 'err_circular_dependency', table_name || '.' || name from circular"""
 
 
-@query(f"with {fleet_sql('columns', 'relationships', 'formulas')} {_ERRORS}")
+@query(f"with recursive {_REFS}, {fleet_sql('relationships')}, {_CYCLES} {_ERRORS}")
 def lint_errors(spark, sf):
     return lint(spark, sf, ("error",)).drop("category")
 
 
-_ALL = f"""{_S_TABLES}, texts as (select project_id, 'measure' as kind, table_name, name, expression from formulas union all select project_id, 'column', table_name, column_name, expression from columns where is_calculated union all select project_id, 'item', table_name, name, expression from items),
+_ALL = f"""recursive {_REFS}, {fleet_sql('projects', 'tables', 'refs', 'relationships', 'functions')}, {_EV}, {_CYCLES},
   f as (select *, 'structural' as category from ({_STRUCTURAL}) union all select *, 'performance' from ({_PERFORMANCE}) union all select *, 'dax' from ({_FORMULAS}) union all select *, 'formatting' from ({_FORMATTING})
   union all select *, 'maintenance' from ({_MAINTENANCE}) union all select *, 'naming' from ({_NAMING}) union all select *, 'error' from ({_ERRORS}))"""
 

@@ -4,7 +4,7 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
-from starlens.operators import MODULES, catalog, timeline
+from starlens.operators import MODULES, catalog, graphs, timeline
 from starlens.sources.frames import dense
 
 from .support import same
@@ -37,7 +37,7 @@ def test_dense_frame_has_no_gap_and_feb_29_meets_feb_28(spark):
 def test_longest_paths_take_the_longer_branch_and_leave_cycles_out(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x"), ("z", "x")], "src string, dst string")
     nodes = spark.createDataFrame([(x,) for x in "abcxyz"], "name string")
-    assert {r.name: r.depth for r in catalog.longest_paths(nodes, e).collect()} == {"a": 2, "b": 1, "c": 0}
+    assert {r.name: r.depth for r in graphs.longest_chains(nodes, e).collect()} == {"a": 2, "b": 1, "c": 0}
 
 
 def test_capped_list_keeps_twenty_names_before_it_gathers_them(spark, tmp_path):
