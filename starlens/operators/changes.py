@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.fleet import fleet, fleet_sql
-from ..sources.frames import lake
+from ..sources.frames import lake, written
 from .rules import relationship_ends, together
 
 _c = F.col
@@ -124,3 +125,42 @@ def create_relationships(spark, sf):
     j = relationship_ends(new, names, fleet(spark, sf, "columns")).join(old, ["project_id", *ENDS], "left")
     missing = [F.when(_c(f"{side}_{k}").isNull(), f"{side} {what} not found") for k, what in (("t", "table"), ("c", "column")) for side in ("from", "to")]
     return j.select("project_id", "name", F.coalesce(*missing, F.when(_c("old"), "relationship exists"), F.lit("created")).alias("outcome"))
+
+
+def composed(ops: DataFrame) -> DataFrame:
+    """entity, property, to_entity, to_property, steps: what a sequence of renames and moves makes of every key that one of them names.
+
+    ops: seq, entity, property and new_entity (a move) or new_property (a rename) or both; seq tells all apart. An operation takes what is called by its
+    key at its turn, so that a rename of a rename, a move of what was renamed, and swaps by way of a third name come out as if done one after
+    the other. Each operation is followed by the next one on the key it leads to; these links are doubled until they end, in rounds that grow with the
+    logarithm of the longest chain. Null entity or property names nothing.
+    """
+    o = written(ops.select("seq", "entity", "property", F.coalesce("new_entity", "entity").alias("e2"), F.coalesce("new_property", "property").alias("p2")).filter("entity is not null and property is not null"))
+    leaving = o.select("entity", "property", "seq", F.lit(True).alias("leaves"), F.lit(None).cast("long").alias("op"))
+    coming = o.select(_c("e2").alias("entity"), _c("p2").alias("property"), "seq", F.lit(False).alias("leaves"), _c("seq").cast("long").alias("op"))
+    later = Window.partitionBy("entity", "property").orderBy("seq").rangeBetween(1, Window.unboundedFollowing)
+    nxt = leaving.unionByName(coming).withColumn("next", F.min(F.when(_c("leaves"), _c("seq"))).over(later)).filter("not leaves").select(_c("op").alias("seq"), "next")
+    at = written(o.join(nxt, "seq").select("seq", "next", "e2", "p2", F.lit(1).alias("steps")))
+    while not at.filter("next is not null").isEmpty():
+        on = at.select(_c("seq").alias("next"), _c("next").alias("n2"), _c("e2").alias("e3"), _c("p2").alias("p3"), _c("steps").alias("s2"))
+        at = written(at.join(on, "next", "left").select("seq", _c("n2").alias("next"), F.coalesce("e3", "e2").alias("e2"), F.coalesce("p3", "p2").alias("p2"), (_c("steps") + F.coalesce("s2", F.lit(0))).alias("steps")))
+    first = o.groupBy("entity", "property").agg(F.min("seq").alias("seq"))
+    return first.join(at, "seq").select("entity", "property", _c("e2").alias("to_entity"), _c("p2").alias("to_property"), "steps")
+
+
+_OPS = """select cast(p_partkey as bigint) as seq, concat('E', cast(p_partkey % 8 as string)) as entity, concat('N', cast(p_partkey * 5 % 31 as string)) as property, case when p_size % 3 = 0 then concat('E', cast(p_size % 8 as string)) end as new_entity,
+  case when p_size % 3 <> 0 or p_size % 4 = 0 then concat('N', cast(p_partkey * 11 % 31 as string)) end as new_property from {part} where p_partkey % 3 = 0"""
+_BINDINGS = "select l_suppkey as page, 'E' || l_partkey % 9 as entity, 'N' || (l_partkey + l_linenumber) % 37 as property, l_linenumber from lineitem"
+
+
+@query(f"""with recursive ops as ({_OPS.format(part='part')}), b as ({_BINDINGS}), r(entity, property, e, p, seq, steps) as (select distinct entity, property, entity, property, -1::bigint, 0 from b
+    union all select r.entity, r.property, coalesce(o.new_entity, o.entity), coalesce(o.new_property, o.property), o.seq, steps + 1 from r join ops o on o.entity = r.e and o.property = r.p and o.seq > r.seq
+      where not exists (select 1 from ops x where x.entity = r.e and x.property = r.p and x.seq > r.seq and x.seq < o.seq)),
+  last as (select entity, property, arg_max(e, steps) as e, arg_max(p, steps) as p, max(steps)::int as steps from r group by 1, 2)
+  select page, e as entity, p as property, count(*) as bindings, count_if(steps > 0) as touched, max(steps) as steps from b join last using (entity, property) group by 1, 2, 3""")
+def change_sequence(spark, sf):
+    """Bindings after a sequence of renames and moves: the operations are composed first, and each binding is then looked up once."""
+    b = lake(spark, sf, "lineitem").select(_c("l_suppkey").alias("page"), F.concat(F.lit("E"), (_c("l_partkey") % 9).cast("string")).alias("entity"), F.concat(F.lit("N"), ((_c("l_partkey") + _c("l_linenumber")) % 37).cast("string")).alias("property"))
+    done = b.join(composed(spark.sql(_OPS, part=lake(spark, sf, "part"))), ["entity", "property"], "left").withColumn("steps", F.coalesce("steps", F.lit(0)))
+    now = done.groupBy("page", F.coalesce("to_entity", "entity").alias("e"), F.coalesce("to_property", "property").alias("p"))
+    return now.agg(F.count("*").alias("bindings"), F.count_if(_c("steps") > 0).alias("touched"), F.max("steps").alias("steps")).select("page", _c("e").alias("entity"), _c("p").alias("property"), "bindings", "touched", "steps")

@@ -34,7 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
     with the larger number drawn does. When no such node is left, all nodes take the largest name that reaches them and, from the nodes
     that keep their own, whatever of the same colour reaches them back is one component; edges between colours go.
     """
-    e = cut(edges.filter("src <> dst").select("src", "dst").distinct())
+    e = edges.filter("src <> dst").select("src", "dst").distinct()
+    for _ in range(2):  # most nodes of a graph that has few cycles go at once
+        e = cut(e.join(e.select(_c("dst").alias("src")).distinct(), "src", "left_semi").join(e.select(_c("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
     loops = [edges.filter("src = dst").select(_c("src").alias("name"))]
     out, taken, turn = [], [], 0
     while not e.isEmpty():
@@ -104,49 +106,51 @@ def longest_chains(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     each hangs on a node that has none or several edges, in as many rounds as the logarithm of the longest run. Edges into runs
     move to their ends, edges to nodes without further ones become part of `least`, and so on with what is left; the runs get their depths last.
     """
-    open_ = nodes.select("name", F.lit(0).alias("least"))
     e = cut(edges.filter("src <> dst").join(nodes.select(_c("name").alias("src")), "src", "left_semi").groupBy("src", "dst").agg(F.lit(1).alias("w")))
-    loops = edges.filter("src = dst").select(_c("src").alias("name"))
-    open_ = cut(open_.join(loops, "name", "left_anti"))
+    open_ = nodes.select("name", F.lit(0).alias("least")).join(edges.filter("src = dst").select(_c("src").alias("name")), "name", "left_anti")
     done, runs = [], []
     while True:
         out = e.groupBy(_c("src").alias("name")).agg(F.count("*").alias("n"), F.max(F.struct("w", "dst")).alias("one"))
-        state = cut(open_.join(out, "name", "left").select("name", "least", F.coalesce("n", F.lit(0)).alias("n"), "one"))
+        state = cut(open_.join(out, "name", "left").select("name", "least", F.coalesce("n", F.lit(0)).alias("n"), _c("one.w").alias("w"), _c("one.dst").alias("dst")))
         ended = state.filter("n = 0").select("name", _c("least").alias("depth"))
         done.append(ended)
-        run, most = cut(state.filter("n = 1").select("name", "least", _c("one.w").alias("w"), _c("one.dst").alias("dst"))), None
-        most = run.count()
-        for _ in range(most.bit_length()):
-            on = run.select(_c("name").alias("dst"), _c("least").alias("l2"), _c("w").alias("w2"), _c("dst").alias("d2"))
-            run = cut(run.join(on, "dst", "left").select("name", F.greatest("least", _c("w") + F.coalesce("l2", F.lit(0))).alias("least"), (_c("w") + F.coalesce("w2", F.lit(0))).alias("w"), F.coalesce("d2", "dst").alias("dst"), _c("d2").isNotNull().alias("on")))
-            if run.filter("on").isEmpty():
-                break
-            run = run.drop("on")
-        run = run.select("name", "least", "w", "dst")
-        if most:
-            run = cut(run.join(run.select(_c("name").alias("dst")), "dst", "left_anti"))  # runs that still hang on runs go round
+        run, size = _run_ends(state.filter("n = 1").select("name", "least", "w", "dst"))
         runs.append(run)
         many = state.filter("n > 1").select("name", "least")
         if many.isEmpty():
             break
         kept = e.join(many.select(_c("name").alias("src")), "src", "left_semi")
         on = run.select(_c("name").alias("dst"), _c("least").alias("l2"), _c("w").alias("w2"), _c("dst").alias("d2"))
-        moved = kept.join(on, "dst", "left").join(ended.select(_c("name").alias("dst"), "depth"), "dst", "left")
-        moved = moved.select("src", F.coalesce("d2", "dst").alias("dst"), (_c("w") + F.coalesce("w2", F.lit(0))).alias("w"), (_c("w") + F.coalesce("l2", "depth", F.lit(0))).alias("floor"), _c("depth").isNotNull().alias("over"))
-        moved = moved.join(ended.select(_c("name").alias("dst"), _c("depth").alias("d3")), "dst", "left")  # a run may end at a node that has ended
-        moved = cut(moved.withColumn("floor", F.greatest("floor", _c("w") + _c("d3"))).withColumn("over", _c("over") | _c("d3").isNotNull()))
+        moved = kept.join(on, "dst", "left").select("src", F.coalesce("d2", "dst").alias("dst"), (_c("w") + F.coalesce("w2", F.lit(0))).alias("w"), (_c("w") + F.coalesce("l2", F.lit(0))).alias("floor"))
+        moved = moved.join(ended.select(_c("name").alias("dst"), "depth"), "dst", "left")
+        moved = cut(moved.select("src", "dst", "w", F.greatest("floor", _c("w") + F.coalesce("depth", F.lit(0))).alias("floor"), _c("depth").isNotNull().alias("over")))
         floors = moved.groupBy(_c("src").alias("name")).agg(F.max("floor").alias("floor"))
-        new = moved.filter("not over").groupBy("src", "dst").agg(F.max("w").alias("w"))
-        before = e
-        open_ = cut(many.join(floors, "name", "left").select("name", F.greatest("least", "floor").alias("least")))
-        e = cut(new)
-        if not most and ended.isEmpty() and e.count() == before.count():
+        before = e.count()
+        open_ = cut(many.join(floors, "name", "left").select("name", F.greatest("least", F.coalesce("floor", F.lit(0))).alias("least")))
+        e = cut(moved.filter("not over").groupBy("src", "dst").agg(F.max("w").alias("w")))
+        if not size and ended.isEmpty() and e.count() == before:
             break  # all that is left goes round
     for run in reversed(runs):
-        done.append(cut(run.join(_union(done).toDF("dst", "depth"), "dst").select("name", F.greatest("least", _c("w") + _c("depth")).alias("depth"))))
+        done.append(run.join(_union(done).toDF("dst", "depth"), "dst").select("name", F.greatest("least", _c("w") + _c("depth")).alias("depth")))
     return _union(done)
 
 
+def _run_ends(run: DataFrame) -> tuple[DataFrame, int]:
+    """run (name, least, w, dst) with dst moved to where each run ends, four times as far with every table written, and its size; runs that go round are left out."""
+
+    def jump(r: DataFrame) -> DataFrame:
+        on = r.select(_c("name").alias("dst"), _c("least").alias("l2"), _c("w").alias("w2"), _c("dst").alias("d2"))
+        return r.join(on, "dst", "left").select("name", F.greatest("least", _c("w") + F.coalesce("l2", F.lit(0))).alias("least"), (_c("w") + F.coalesce("w2", F.lit(0))).alias("w"), F.coalesce("d2", "dst").alias("dst"))
+
+    size = run.count()
+    for _ in range((size.bit_length() + 1) // 2):
+        run = cut(jump(jump(run)))
+        on = run.join(run.select(_c("name").alias("dst")), "dst", "left_semi")
+        if on.isEmpty():
+            return run, size
+    return (cut(run.join(run.select(_c("name").alias("dst")), "dst", "left_anti")) if size else run), size
+
+
 def chains(edges: DataFrame) -> DataFrame:
     """name, chain, pos, weight, for all nodes of an acyclic graph: paths that share no node; pos counts to the path's end, whose name the chain has.
 
@@ -155,11 +159,13 @@ def chains(edges: DataFrame) -> DataFrame:
     asked = edges.groupBy("src").agg(F.min("dst").alias("dst")).groupBy("dst").agg(F.min("src").alias("src"))
     names = edges.select(_c("src").alias("name")).union(edges.select("dst")).distinct()
     at = cut(names.join(asked.select(_c("src").alias("name"), _c("dst").alias("next")), "name", "left").select("name", F.coalesce("next", "name").alias("chain"), _c("next").isNotNull().cast("int").alias("pos")))
-    while True:
+    def jump(at: DataFrame) -> DataFrame:
         on = at.select(_c("name").alias("chain"), _c("chain").alias("c2"), _c("pos").alias("p2"))
-        new = cut(at.join(on, "chain").select("name", _c("c2").alias("chain"), (_c("pos") + _c("p2")).alias("pos"), (_c("p2") > 0).alias("on")))
-        at = new.drop("on")
-        if new.filter("on").isEmpty():
+        return at.join(on, "chain").select("name", _c("c2").alias("chain"), (_c("pos") + _c("p2")).alias("pos"))
+
+    while True:
+        at = cut(jump(jump(at)))
+        if at.join(at.filter("pos > 0").select(_c("name").alias("chain")), "chain", "left_semi").isEmpty():
             return at
 
 

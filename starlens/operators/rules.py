@@ -312,7 +312,8 @@ CATEGORIES = ("structural", "performance", "dax", "formatting", "maintenance", "
 
 def lint(spark, sf, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
     """All findings of the categories asked for, in one pass over each kind of object and, for cycles, over the references between them."""
-    p, t, refs, cols, rels, m, items, f = (fleet(spark, sf, n) for n in ("projects", "tables", "refs", "columns", "relationships", "formulas", "items", "functions"))
+    p, refs, rels, items, f = (fleet(spark, sf, n) for n in ("projects", "refs", "relationships", "items", "functions"))
+    t, cols, m = (written(fleet(spark, sf, n)) if len(categories) > 1 else fleet(spark, sf, n) for n in ("tables", "columns", "formulas"))
     parts = [
         *flagged(cols, _member(name="column_name"), _column_rules(), categories),
         *flagged(m, _member(), _measure_rules(), categories),

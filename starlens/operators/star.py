@@ -102,6 +102,41 @@ def generate_topn(spark, sf):
     return o.withColumn("k", F.row_number().over(w)).filter("k <= 2").select("c_custkey", "o_orderkey", "o_totalprice")
 
 
+_ABOVE = "o_totalprice > 20 * abs(c_acctbal)"
+
+
+def _generate(outer: bool) -> str:
+    """Two orders of each customer that are large for the customer's balance; the inner form leaves out customers without one.
+
+    The argument meets the outer row's values by a join on its key: a comparison with an outer column would be evaluated for all pairs of orders and balances.
+    """
+    table = f"(select o_orderkey, o_totalprice from (select * from {{orders}} join {{customer}} on o_custkey = c_custkey and {_ABOVE}) x where x.c_custkey = c.c_custkey order by o_totalprice desc, o_orderkey limit 2) t"
+    return f"select c.c_custkey, c.c_mktsegment, o_orderkey, o_totalprice from {{customer}} c {'left' if outer else 'inner'} join lateral {table}" + (" on true" if outer else "")
+
+
+_GENERATE_SQL = f"select c_custkey, c_mktsegment, o_orderkey, o_totalprice from customer {{}} join (select * from (select c_custkey as k, o_orderkey, o_totalprice, row_number() over (partition by c_custkey order by o_totalprice desc, o_orderkey) as r from customer join orders on o_custkey = c_custkey where {_ABOVE}) where r <= 2) on k = c_custkey"
+
+
+@query(_GENERATE_SQL.format("inner"))
+def generate_inner(spark, sf):
+    """A table expression evaluated for each outer row, with a filter and a limit of its own: rows for which it is empty go."""
+    return spark.sql(_generate(False), customer=lake(spark, sf, "customer"), orders=lake(spark, sf, "orders"))
+
+
+@query(_GENERATE_SQL.format("left"))
+def generate_outer(spark, sf):
+    """The same, and rows for which it is empty stay with nulls."""
+    return spark.sql(_generate(True), customer=lake(spark, sf, "customer"), orders=lake(spark, sf, "orders"))
+
+
+@query("select c_custkey, unnest(['low', 'high']) as band, unnest([0, 5000]) as from_, case unnest([0, 5000]) when 0 then c_acctbal < 5000 else c_acctbal >= 5000 end as inside from customer")
+def datatable_rows(spark, sf):
+    """A table of constants, and one row built of expressions, met by every outer row."""
+    bands = F.explode(F.array(*(F.struct(F.lit(b).alias("band"), F.lit(f).alias("from_")) for b, f in (("low", 0), ("high", 5000))))).alias("t")
+    inside = F.when(_c("t.from_") == 0, _c("c_acctbal") < 5000).otherwise(_c("c_acctbal") >= 5000)
+    return lake(spark, sf, "customer").select("c_custkey", "c_acctbal", bands).select("c_custkey", "t.band", "t.from_", inside.alias("inside"))
+
+
 def _audit(spark, sf, name):
     a, x, b, y, _ = RELATIONSHIPS[name]
     left, right = lake(spark, sf, a).select(_c(x).cast("long").alias("k")), lake(spark, sf, b).select(_c(y).cast("long").alias("k"))

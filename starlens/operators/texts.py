@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.packs import color_hex_to_rgb
+from ..functions.formats import by_format
 from ..functions.text import CONNECTIONS, QUOTED, REDACTED, balanced, blanked, dedent, redact
 from ..sources.fleet import fleet, fleet_sql
 from ..sources.frames import lake
@@ -163,3 +164,28 @@ def input_guards(spark, sf):
         "literal": F.replace(e, F.lit('"'), F.lit('""')),
     }
     return fleet(spark, sf, "formulas").select("project_id", "name", "pos", *(g.alias(n) for n, g in guards.items()))
+
+
+#: formats with one, two and three sections, optional digits, quoted parts and signs
+FORMATS = ("0.0%", "#,0", "0.00", "$#,0.00", '"$"#,0.00;("$"#,0.00);"-"', "0.##", '#,##0.0 "items"', "+0.0%;-0.0%;0%", "0000", "#.00", "#,0;;zero", "\\x0.0")
+_IN = "round(abs(v), {})"
+_FORMAT_SQL = {
+    "0.0%": "sg || format('{:.1f}', round(a * 100, 1)::double) || '%'", "#,0": "sg || format('{:,}', round(a, 0)::bigint)", "0.00": "sg || format('{:.2f}', round(a, 2)::double)", "$#,0.00": "sg || '$' || format('{:,.2f}', round(a, 2)::double)",
+    '"$"#,0.00;("$"#,0.00);"-"': "case when v = 0 then '-' when v < 0 then '($' || format('{:,.2f}', round(a, 2)::double) || ')' else '$' || format('{:,.2f}', round(a, 2)::double) end",
+    "0.##": "sg || regexp_replace(regexp_replace(format('{:.2f}', round(a, 2)::double), '0{1,2}$', ''), '\\.$', '')", '#,##0.0 "items"': "sg || format('{:,.1f}', round(a, 1)::double) || ' items'",
+    "+0.0%;-0.0%;0%": "case when v = 0 then '0%' else case when v < 0 then '-' else '+' end || format('{:.1f}', round(a * 100, 1)::double) || '%' end", "0000": "sg || lpad(round(a, 0)::bigint::varchar, greatest(4, length(round(a, 0)::bigint::varchar))::int, '0')",
+    "#.00": "sg || regexp_replace(format('{:.2f}', round(a, 2)::double), '^0\\.', '.')", "#,0;;zero": "case when v = 0 then 'zero' else sg || format('{:,}', round(a, 0)::bigint) end", "\\x0.0": "sg || 'x' || format('{:.1f}', round(a, 1)::double)",
+}
+_DIGITS = {"0.0%": "round(a * 100, 1)", "#,0": "round(a, 0)", "0.00": "round(a, 2)", "$#,0.00": "round(a, 2)", "0.##": "round(a, 2)", '#,##0.0 "items"': "round(a, 1)", "0000": "round(a, 0)", "#.00": "round(a, 2)", "#,0;;zero": "round(a, 0)", "\\x0.0": "round(a, 1)"}
+_TEXT = lambda t: "'" + t.replace("'", "''") + "'"
+_VALUES = "case s_suppkey % 5 when 0 then 0 when 1 then -s_acctbal when 2 then s_acctbal / 100000 when 3 then s_acctbal end"
+
+
+@query(f"""with x as (select s_suppkey, ({_VALUES})::decimal(18,2)::decimal(18,6) / 1 as v0, k from supplier, (select unnest(range({len(FORMATS)})) as k)), y as (select s_suppkey, k, (case s_suppkey % 5 when 2 then s_acctbal::decimal(18,2) / 100000 else {_VALUES} end)::decimal(18,6) as v from (select supplier.*, unnest(range({len(FORMATS)})) as k from supplier)),
+  z as (select s_suppkey, k, v, abs(v) as a from y)
+  select s_suppkey, k::int as k, case when v is null then null {' '.join(f"when k = {k} then (select {_FORMAT_SQL[f].replace('sg', f"(case when v < 0 and {_DIGITS.get(f, '1')} > 0 then '-' else '' end)")})" for k, f in enumerate(FORMATS))} end as shown from z""")
+def format_sections(spark, sf):
+    """Values above, below and at zero, small ones and blanks by every kind of format text."""
+    v = F.when(_c("s_suppkey") % 5 == 2, (_c("s_acctbal").cast("decimal(18,2)") / F.lit(100000)).cast("decimal(18,6)")).otherwise(F.expr(_VALUES).cast("decimal(18,6)"))
+    rows = lake(spark, sf, "supplier").select("s_suppkey", v.alias("v"), F.posexplode(F.array(*map(F.lit, FORMATS))).alias("k", "fmt"))
+    return by_format(rows, "v", "fmt", "shown").select("s_suppkey", "k", "shown")

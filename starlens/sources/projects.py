@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import dedent
+from .frames import cut
 
 _c = F.col
 
 #: fixed values: words that open an object of a model outline
-OBJECTS = "annotation|calculationGroup|calculationItem|column|cultureInfo|database|expression|function|hierarchy|level|measure|model|partition|perspective|ref table|relationship|role|table|tablePermission"
+OBJECTS = "annotation|calculationGroup|calculationItem|column|cultureInfo|database|expression|formatStringDefinition|function|hierarchy|level|measure|model|partition|perspective|ref table|relationship|role|table|tablePermission"
 #: objects nest this deep at most: table, calculation group, item, its format, annotation
 _DEPTH = range(5)
 
@@ -32,6 +33,34 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
     return f.select("path", F.regexp_extract("path", r"([^/]+)\.pbip$", 1).alias("name"), report.alias("report"))
 
 
+def resolved(folder: Column, path: Column) -> Column:
+    """A path seen from a folder: absolute paths stay, `.` and empty steps go, `..` takes the step before away."""
+    whole = F.when(path.startswith("/"), path).otherwise(F.concat(folder, F.lit("/"), path))
+    step = lambda done, x: F.when((x == "") | (x == "."), done).when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.array_append(done, x))
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(F.split(F.replace(whole, F.lit("\\"), F.lit("/")), "/"), F.array().cast("array<string>"), step), "/"))
+
+
+def resolve_projects(files: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
+    """path, name, model_path, report_path of every project file in a listing (path, content) of files.
+
+    Project files lie at most max_depth folders below root, and in no folder of tools or builds; what is no JSON is dropped. Paths are resolved
+    against the project's folder. Where a project names no model, its report's definition file in the listing may; where that is missing or broken, there is none.
+    """
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    below = F.size(F.split(F.substr(folder, F.lit(len(root.rstrip("/")) + 1)), "/")) - 1
+    kept = files.filter(_c("path").startswith(root.rstrip("/") + "/") & _c("path").endswith(".pbip") & ~_c("path").rlike("/(node_modules|\\.git|dist)/")).filter(below <= max_depth)
+    j = kept.withColumn("j", F.try_parse_json("content")).filter("j is not null").select("path", folder.alias("folder"), "j")
+    artifacts = F.from_json(F.to_json("j"), "struct<artifacts: array<struct<report: struct<path: string>, semanticModel: struct<path: string>>>>")["artifacts"]
+    last = lambda kind: F.try_element_at(F.filter(F.transform(artifacts, lambda a: a[kind]["path"]), lambda x: x != ""), F.lit(-1))
+    at = lambda rel: F.when(rel.isNotNull(), resolved(_c("folder"), rel))
+    named = j.select("path", "folder", last("report").alias("report"), last("semanticModel").alias("model"))
+    named = named.select("path", at(_c("report")).alias("report_path"), at(_c("model")).alias("model"))
+    back = files.filter(_c("path").endswith("/definition.pbir")).select(folder.alias("report_path"), F.try_variant_get(F.try_parse_json("content"), "$.datasetReference.byPath.path", "string").alias("to")).filter("to is not null")
+    both = named.join(back, "report_path", "left")
+    model = F.coalesce("model", F.when(_c("to").isNotNull(), resolved(_c("report_path"), _c("to"))))
+    return both.select("path", F.regexp_extract("path", r"([^/]+)\.pbip$", 1).alias("name"), model.alias("model_path"), "report_path")
+
+
 def _unquoted(c: Column) -> Column:
     return F.replace(F.regexp_replace(c, r"^(['\"])(.*)\1$", "$2"), F.lit("''"), F.lit("'"))
 
@@ -112,19 +141,29 @@ def _ids(c: str = "path") -> list[Column]:
     return [F.regexp_extract(c, r"/pages/([^/]+)/", 1).alias("page_id"), F.regexp_extract(c, r"/visuals/([^/]+)/", 1).alias("visual_id")]
 
 
+def pages_of(files: DataFrame) -> DataFrame:
+    """path, page_id, display_name from files (path, content); a page is the folder of its page.json."""
+    f = files.filter(_c("path").endswith("/page.json")).withColumn("j", F.try_parse_json("content")).filter("j is not null")
+    return f.select("path", _ids()[0], F.try_variant_get("j", "$.displayName", "string").alias("display_name"))
+
+
 def pages(spark: SparkSession, root: str) -> DataFrame:
     """page_id, display_name; a page is its folder."""
-    f = whole_files(spark, root, "page.json").withColumn("j", F.try_parse_json("content")).filter("j is not null")
-    return f.select("path", _ids()[0], F.try_variant_get("j", "$.displayName", "string").alias("display_name"))
+    return pages_of(whole_files(spark, root, "page.json"))
 
 
-def visuals(spark: SparkSession, root: str) -> DataFrame:
-    """page_id, visual_id, type (else unknown), title, content as a variant."""
-    f = whole_files(spark, root, "visual.json").withColumn("j", F.try_parse_json("content")).filter("j is not null")
+def visuals_of(files: DataFrame) -> DataFrame:
+    """path, page_id, visual_id, type (else unknown), title, content as a variant, from files (path, content); what is no JSON is dropped."""
+    f = files.filter(_c("path").endswith("/visual.json")).withColumn("j", F.try_parse_json("content")).filter("j is not null")
     title = F.try_variant_get("j", "$.visual.visualContainerObjects.title[0].properties.text.expr.Literal.Value", "string")
     return f.select("path", *_ids(), F.coalesce(F.try_variant_get("j", "$.visual.visualType", "string"), F.lit("unknown")).alias("type"), F.regexp_replace(title, r"^(['\"])(.*)\1$", "$2").alias("title"), "j")
 
 
+def visuals(spark: SparkSession, root: str) -> DataFrame:
+    """page_id, visual_id, type (else unknown), title, content as a variant."""
+    return visuals_of(whole_files(spark, root, "visual.json"))
+
+
 #: where in a visual a field stands, by what its path holds; the first that fits
 _PLACES = [("projection", r"\.projections\["), ("sort", r"\.sortDefinition\."), ("container", r"\.visualContainerObjects\."), ("reference_line", r"(?i)referenceLine"), ("filter", r"(?i)\.filter"), ("visual_object", r"\.objects\.")]
 
@@ -134,17 +173,14 @@ def bindings(found: DataFrame) -> DataFrame:
 
     Each round takes all visuals one level deeper, so that rounds are as many as the deepest file has levels.
     """
-    from ..operators.catalog import _cut
-
     ids = ["path", "page_id", "visual_id"]
     level, out = found.select(*ids, F.lit("$").alias("at"), _c("j").alias("v")), None
     while True:
         # checkpoints hold no variants: texts are kept and parsed again
-        level = _cut(level.select(*ids, "at", F.to_json("v").alias("t"))).withColumn("v", F.parse_json("t"))
+        level = cut(level.select(*ids, "at", F.to_json("v").alias("t"))).withColumn("v", F.parse_json("t"))
         if level.isEmpty():
             break
-        level.createOrReplaceTempView("starlens_binding_level")
-        deeper = level.sparkSession.sql("select path, page_id, visual_id, case when e.key is null then concat(at, '[', e.pos, ']') else concat(at, '.', e.key) end as at, e.key as kind, e.value as v from starlens_binding_level, lateral variant_explode(v) as e")
+        deeper = level.sparkSession.sql("select path, page_id, visual_id, case when e.key is null then concat(at, '[', e.pos, ']') else concat(at, '.', e.key) end as at, e.key as kind, e.value as v from {level}, lateral variant_explode(v) as e", level=level)
         name = F.coalesce(F.try_variant_get("v", "$.Property", "string"), F.try_variant_get("v", "$.Level", "string"))
         entity = F.coalesce(F.try_variant_get("v", "$.Expression.SourceRef.Entity", "string"), F.try_variant_get("v", "$.Expression.Hierarchy.Expression.SourceRef.Entity", "string"))
         hits = deeper.filter(_c("kind").isin("Measure", "Column", "Aggregation", "HierarchyLevel")).select(*ids, "kind", entity.alias("entity"), name.alias("property"), "at").filter("entity is not null and property is not null")
@@ -194,3 +230,66 @@ def report_info(files: DataFrame) -> DataFrame:
         at("//ReportParameter[ValidValues]").alias("with_valid"), F.greatest(at("//ReportSections/ReportSection"), F.lit(1)).alias("sections"), at(held).alias("items"), at("//ReportItems/Textbox").alias("textboxes"),
         F.xpath_boolean("content", F.lit("//PageHeader")).alias("has_header"), size("PageWidth", "8.5in").alias("page_width"), size("PageHeight", "11in").alias("page_height"),
     )
+
+
+#: fixed values: kinds of items in paginated reports
+ITEMS = ("Chart", "GaugePanel", "Image", "Line", "Map", "Rectangle", "Subreport", "Tablix", "Textbox")
+
+
+def xml_tags(files: DataFrame) -> DataFrame:
+    """path, n, name, attributes (text), kind (open, close, alone), level of every tag in files (path, content); the outermost has level 1.
+
+    Comments, declarations and quoted data hold no tags. Attributes may hold any character but their own quote. Prefixes of names are dropped.
+    """
+    quiet = F.regexp_replace("content", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<![^>]*>", "")
+    tag = r"""<(/?)(?:[\w.-]+:)?([\w.-]+)((?:[^<>"']|"[^"]*"|'[^']*')*?)(/?)>"""
+    t = files.select("path", F.posexplode(F.regexp_extract_all(quiet, F.lit(tag), F.lit(0))).alias("n", "t"))
+    part = lambda k: F.regexp_extract("t", f"(?s)^{tag}$", k)
+    t = t.select("path", "n", part(2).alias("name"), part(3).alias("attributes"), F.when(part(1) != "", "close").when(part(4) != "", "alone").otherwise("open").alias("kind"))
+    here = Window.partitionBy("path").orderBy("n")  # one file
+    step = F.sum(F.when(_c("kind") == "open", 1).when(_c("kind") == "close", -1).otherwise(0)).over(here)
+    return t.withColumn("level", step + F.when(_c("kind") == "open", 0).otherwise(1))
+
+
+def xml_tree(files: DataFrame) -> DataFrame:
+    """path, n, name, attributes, level, parent (the n of the element around it, null for the outermost), last (the n of its closing tag, or its own), of every element.
+
+    Around an element of some level is the last one opened a level above before it; both are rows of one window, over the elements of a level in a file.
+    """
+    t = xml_tags(files)
+    asks = t.filter("kind <> 'close'").select("path", "n", (_c("level") - 1).alias("at"), F.lit(None).cast("int").alias("opened"), F.struct("name", "attributes", "level", "kind").alias("e"), F.lit("child").alias("what"))
+    gives = t.filter("kind = 'open'").select("path", "n", _c("level").alias("at"), _c("n").alias("opened"), F.lit(None).cast(asks.schema["e"].dataType).alias("e"), F.lit("open").alias("what"))
+    shuts = t.filter("kind = 'close'").select("path", "n", _c("level").alias("at"), F.lit(None).cast("int").alias("opened"), F.lit(None).cast(asks.schema["e"].dataType).alias("e"), F.lit("close").alias("what"))
+    before = Window.partitionBy("path", "at").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    found = asks.unionByName(gives).unionByName(shuts).withColumn("around", F.last("opened", True).over(before))
+    ends = found.filter("what = 'close'").select("path", _c("around").alias("n"), _c("n").alias("last"))
+    return found.filter("what = 'child'").join(ends, ["path", "n"], "left").select("path", "n", "e.name", "e.attributes", "e.level", _c("around").alias("parent"), F.coalesce("last", "n").alias("last"))
+
+
+def report_items(files: DataFrame) -> DataFrame:
+    """path, section (from 0), part (body, header, footer), type, name, parent (the item that holds it, at any depth) of the items of paginated reports.
+
+    Reports of the older formats, whose body stands outside of sections, have one section. What is nested in cells belongs to their table.
+    """
+    tree = xml_tree(files)
+    held = Window.partitionBy("path").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one file
+    inside = lambda name: _c("n") <= F.coalesce(F.last(F.when(_c("name") == name, _c("last")), True).over(held), F.lit(-1))
+    section = F.greatest(F.count(F.when(_c("name") == "ReportSection", 1)).over(held) - 1, F.lit(0)).cast("int")
+    part = F.when(inside("PageHeader"), "header").when(inside("PageFooter"), "footer").when(inside("Body"), "body")
+    is_item = _c("name").isin(*ITEMS)
+    # items that hold others still open here, the innermost last
+    marked = tree.select("*", section.alias("section"), part.alias("part"), is_item.alias("is_item"))
+    own = marked.filter("is_item and part is not null")
+    ends = own.select("path", _c("last").alias("at"), F.lit(-1).alias("d"), F.lit(None).cast("int").alias("n"))
+    starts = own.select("path", _c("n").alias("at"), F.lit(1).alias("d"), "n")
+    order = Window.partitionBy("path").orderBy("at", F.desc("d"))
+    depth = starts.unionByName(ends).withColumn("depth", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).filter("d = 1").select("path", "n", "depth")
+    own = own.join(depth, ["path", "n"])
+    name = F.coalesce(F.nullif(F.regexp_extract("attributes", r"""(?s)\bName\s*=\s*(["'])(.*?)\1""", 2), F.lit("")), F.lit(""))
+    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        name = F.replace(name, F.lit(code), F.lit(char))
+    own = own.select("path", "n", "section", "part", _c("name").alias("type"), name.alias("name"), "depth")
+    seek = own.select("path", "n", (_c("depth") - 1).alias("at"), F.struct("section", "part", "type", "name").alias("i"), F.lit(None).cast("string").alias("holder"))
+    give = own.select("path", "n", _c("depth").alias("at"), F.lit(None).cast(seek.schema["i"].dataType).alias("i"), _c("name").alias("holder"))
+    before = Window.partitionBy("path", "at").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    return seek.unionByName(give).withColumn("parent", F.last("holder", True).over(before)).filter("i is not null").select("path", "i.*", "parent")
