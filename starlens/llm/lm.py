@@ -3,8 +3,8 @@
 Word counts come from all training texts. The commonest words are units of their own, thousands of them once the corpus
 is large enough; every other word belongs to the unit of its ending. The model predicts the next unit from the two words
 before it: the sum of a vector for the nearer and one for the farther word, times the vector of the predicted unit,
-plus its bias. It is trained by noise-contrastive estimation on every word of all training texts, in tasks whose
-parameters are averaged after each round. The score is bilinear, so the normalising sums of all contexts are
+plus its bias. It is trained by noise-contrastive estimation on every word of all training texts, in parts of about half a million words, whose
+parameters are averaged after each round. Texts are dealt to parts by hash, so that the result doesn't depend on how many tasks there are. The score is bilinear, so the normalising sums of all contexts are
 one matrix product: the exponentials of the nearer words' scores times those of the farther words'. Within the unit of an ending,
 words have their share of its count, less what unseen words get (the share of words seen once). The probabilities of all
 known words and of one unseen word per ending add up to 1.
@@ -26,8 +26,10 @@ from .common import LOWER, Words, chunks, cut, text_rows, tidy
 
 #: most units of single words (a word needs LEAST occurrences), of those the ones told apart as the farther word; endings
 HEAD, FAR, LEAST, ENDINGS = 3840, 512, 20, 128
-#: length of vectors; noise words of a batch; words of a batch; rounds of averaging in a pass over the corpus; words that passes add up to at least
-DIM, NOISE, BATCH, ROUNDS, LONG = 24, 64, 2048, 4, 300_000
+#: length of vectors; noise words of a batch; words of a batch; words that passes over the corpus add up to at least
+DIM, NOISE, BATCH, LONG = 24, 64, 2048, 300_000
+#: words of a part that is trained on by itself between two averages, and of a piece that texts are dealt to parts in
+PART, PIECE = 1 << 19, 1 << 14
 _c = F.col
 
 
@@ -146,13 +148,41 @@ def _encode(held):
         known: Known = held.value
         for part in chunks(batches):
             w = Words(part.column(1).to_pylist(), lower=True)
-            flat = known.sequence(w, known.units(w)[0])[0].astype("<u2")
-            yield pa.RecordBatch.from_arrays([pa.array([len(flat)]), pa.array([flat.tobytes()], pa.binary())], ["n", "units"])
+            flat, owner = known.sequence(w, known.units(w)[0])
+            ends = np.cumsum(np.bincount(owner, minlength=part.num_rows))
+            out = []
+            for key, i, j in zip(part.column(2).to_pylist(), (ends - (w.sizes + 1)).tolist(), ends.tolist(), strict=True):
+                out += [(key, at - i, min(PIECE, j - at), flat[at : at + min(PIECE, j - at)].astype("<u2").tobytes()) for at in range(i, j, PIECE)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "piece", "n", "units"])
         tidy()
 
     return run
 
 
+def _gathered(table: pa.Table) -> pa.Table:
+    """One row for a part: its pieces in the order of their keys."""
+    rows = sorted(zip(table.column("key").to_pylist(), table.column("piece").to_pylist(), table.column("units").to_pylist(), strict=True))
+    units = b"".join(r[2] for r in rows)
+    return pa.table([table.column("part")[:1], pa.array([len(units) // 2], pa.int64()), pa.array([units], pa.binary())], names=["part", "n", "units"])
+
+
+def dealt(train: DataFrame, known_held) -> tuple[DataFrame, int]:
+    """part, n, units: all training texts as parts of about PART words, and their number.
+
+    A piece goes to the part that the hash of its text, id and place names, so that a text copied many times is spread; rows that repeat are
+    told apart by their place in the input.
+    """
+    doc = F.coalesce(_c("doc_id").cast("string"), F.lit(""))
+    key = F.xxhash64(F.coalesce(_c("text").cast("string"), F.lit("")), doc).alias("key")
+    coded = cut(text_rows(train, key).mapInArrow(_encode(known_held), "key long, piece long, n long, units binary"))
+    parts = 1 + (coded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // PART
+    copies = coded.groupBy("key", "piece").agg(F.count("*").alias("c")).filter(_c("c") > 1)
+    told = F.when(_c("c").isNotNull(), F.monotonically_increasing_id())
+    part = F.pmod(F.xxhash64("key", "piece", told), F.lit(parts)).cast("int").alias("part")
+    rows = coded.join(copies, ["key", "piece"], "left").select("key", "piece", "units", part)
+    return cut(rows.repartition(parts, "part").groupBy("part").applyInArrow(_gathered, "part int, n long, units binary")), parts
+
+
 class Net:
     """Vectors of the nearer word, the farther word and the predicted unit, and a bias per unit."""
 
@@ -226,21 +256,23 @@ class Net:
         return out / np.float32(np.log(10))
 
 
-def _train(known_held, net_held, k: int, rate: float):
+def _train(known_held, net_held, k: int, rounds: int, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Known = known_held.value
-        net, total = Net(known).load(net_held.value), 0
-        train = net.trainer(rate, k)
+        mean, total = 0.0, 0
         for batch in batches:
-            for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for part, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 flat = np.frombuffer(raw, "<u2").astype(np.int64)
                 one, two = known.contexts(flat)
-                mine = slice(n * (k % ROUNDS) // ROUNDS, n * (k % ROUNDS + 1) // ROUNDS)
+                n = len(flat)
+                mine = slice(n * (k % rounds) // rounds, n * (k % rounds + 1) // rounds)
                 if len(flat[mine]):
-                    train(flat[mine], one[mine], two[mine])
+                    net = Net(known).load(net_held.value)
+                    net.trainer(rate, 1009 * k + part)(flat[mine], one[mine], two[mine])
+                    mean = mean + len(flat[mine]) * np.frombuffer(net.dump(), "<f4").astype(np.float64)
                     total += len(flat[mine])
         if total:
-            yield pa.RecordBatch.from_arrays([pa.array([float(total)]), pa.array([net.dump()], pa.binary())], ["weight", "net"])
+            yield pa.RecordBatch.from_arrays([pa.array([float(total)]), pa.array([(mean / total).astype("<f4").tobytes()], pa.binary())], ["weight", "net"])
 
     return run
 
@@ -252,23 +284,26 @@ def _mean(table: pa.Table) -> pa.Table:
     return pa.table([table.column("part")[:1], pa.array([total]), pa.array([mean.astype("<f4").tobytes()], pa.binary())], names=["part", "weight", "net"])
 
 
-def train_net(coded: DataFrame, known_held, fan: int = 8) -> Net:
-    """Rounds of training in parallel, each on a part of every text's words; then the mean of the parameters (about 1 MB).
+def train_net(parts: DataFrame, n_parts: int, known_held, fan: int = 8) -> Net:
+    """Rounds of training, each on the next slice of every part, from the mean of all parts' parameters (about 1 MB) after the round before.
 
-    The mean is taken of `fan` at a time, in as many levels as it needs, so that one set alone comes to the driver.
-    Small corpora are passed several times, until LONG words are reached or 8 passes.
+    Parts hold a fixed number of words, and a pass has more rounds the more parts there are, so that they don't drift apart. The mean is taken of `fan` tasks at a time,
+    in as many levels as it needs, so that one set alone comes to the driver. Small corpora are passed several times, until LONG words are reached or 8 passes.
     """
-    sc = coded.sparkSession.sparkContext
+    sc = parts.sparkSession.sparkContext
     net = Net(known_held.value)
-    words = coded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    for k in range(ROUNDS * min(8, max(1, LONG // max(words, 1))) if words else 0):
-        made = coded.mapInArrow(_train(known_held, sc.broadcast(net.dump()), k, 0.02), "weight double, net binary").select(F.spark_partition_id().cast("long").alias("part"), "weight", "net")
-        n = coded.rdd.getNumPartitions()
+    words = parts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rounds = 3 + n_parts.bit_length()
+    for k in range(rounds * min(8, max(1, LONG // max(words, 1))) if words else 0):
+        sent = sc.broadcast(net.dump())
+        made = parts.mapInArrow(_train(known_held, sent, k, rounds, 0.02), "weight double, net binary").select(F.spark_partition_id().cast("long").alias("part"), "weight", "net")
+        n = parts.rdd.getNumPartitions()
         while n > 1:
             n = -(-n // fan)
             made = made.withColumn("part", _c("part") % n).groupBy("part").applyInArrow(_mean, "part long, weight double, net binary")
         for r in made.collect():
             net.load(bytes(r.net))
+        sent.destroy()
     return net
 
 
@@ -321,7 +356,7 @@ def train_and_score(docs: DataFrame, train: DataFrame) -> DataFrame:
     table = cut(counts(train))
     known = known_words(table, n_docs)
     held = sc.broadcast(known)
-    net = train_net(cut(text_rows(train).mapInArrow(_encode(held), "n long, units binary")), held)
+    net = train_net(*dealt(train, held), held)
     key = F.xxhash64(F.coalesce(_c("text").cast("string"), F.lit(""))).alias("key")
     parts = text_rows(docs, key).mapInArrow(_score(held, sc.broadcast(net.dump()), sc.broadcast(net.log_sums())), _PARTS)
     kind = _ending_sql("word")
