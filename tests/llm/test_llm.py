@@ -1,4 +1,5 @@
 import collections
+import hashlib
 import math
 import random
 import re
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from starlens.llm import decontam, langid, license, lm, neardup, packing, quality, queries, sharding, substring, toxicity
+from starlens.llm import decontam, langid, license, lm, mixing, neardup, packing, quality, queries, sharding, substring, toxicity, variants, vectorcode
 
 from ..support import rows_of, same
 
@@ -630,3 +631,169 @@ def test_pipeline_against_brute_force(spark, tmp_path):
             assert p.start == at and p.ids_crc32 == zlib.crc32(np.asarray(ids[at : at + p.length], "<u4").tobytes())
             at += p.length
         assert at == len(ids)
+
+
+def test_language_model_does_not_depend_on_partitions(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sums = []
+    for n in (2, 64):
+        some = docs.repartition(n)
+        held = F.expr("crc32(cast(cast(doc_id as string) as binary)) % 7 = 2")
+        got = lm.train_and_score(some, some.filter(~held)).groupBy(held.alias("h")).agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).collect()
+        sums.append({r.h: (r[1], r[2]) for r in got})
+    for h in (True, False):
+        assert abs(sums[0][h][0] - sums[1][h][0]) < 0.001 and sums[0][h][0] > sums[0][h][1]
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({c: F.lit(f"extra {c}") for c in ("row", "code", "error", "vector", "entry", "part", "n", "sums")})
+
+
+def brute_codes(rows, entries=256):
+    """vec_id, code, error, label of the rows that have a code, and the codebooks; plain loops over integers."""
+    kept = [(i, [math.floor(1024 * x) for x in v], lab) for i, v, lab in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    size = max(len(v) for _, v, _ in kept)
+    w = max(1, -(-size // 4))
+    kept = [(i, v + [0] * (4 * w - len(v)), lab) for i, v, lab in kept]
+    order = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    books = [[r[1][p * w : p * w + w] for r in order] for p in range(4)]
+
+    def nearest(p, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e, strict=True)), k) for k, e in enumerate(books[p]))
+
+    for _ in range(4):
+        new = []
+        for p in range(4):
+            got = collections.defaultdict(list)
+            for _, v, _ in kept:
+                got[nearest(p, v[p * w : p * w + w])[1]].append(v[p * w : p * w + w])
+            new.append([[sum(c) // len(got[k]) for c in zip(*got[k], strict=True)] if k in got else e for k, e in enumerate(books[p])])
+        books = new
+    coded = []
+    for i, v, lab in kept:
+        found = [nearest(p, v[p * w : p * w + w]) for p in range(4)]
+        coded.append((i, "".join(f"{k:02x}" for _, k in found), sum(d for d, _ in found), lab))
+    return coded, books
+
+
+def test_vector_codes_against_plain_loops(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(k, [rng.choice([-1.5, -0.25, 0.0, 0.0005, -0.0005, 0.7, 2.0]) for _ in range(8)], k % 3 if k % 5 else None) for k in range(60)]
+    rows += [(60, None, 1), (61, [1.0, None] * 4, 1), (62, [math.nan] * 8, 1), (63, [math.inf, *[0.0] * 7], 1), (None, [0.5] * 8, 2), (5, rows[5][1], 1), (64, [0.25] * 3, 0), (65, [], None)]
+    df = vectors(spark, rows)
+    want, books = brute_codes(rows, entries=16)
+    made = vectorcode.train(df, entries=16)
+    assert [e.tolist() for e in made.entries] == books
+    got = vectorcode.encode(df, made).select("row.vec_id", "code", "error", "row.label", "row.row")
+    assert sorted(map(str, ((r.vec_id, r.code, r.error, r.label) for r in got.collect()))) == sorted(map(str, want))
+    back = {r.vec_id: r.decoded for r in vectorcode.decode(got, made).filter("vec_id is not null").collect()}
+    assert all(len(v) == 8 for v in back.values())
+    vectors(spark, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    full, books = brute_codes(rows)
+    by = collections.Counter()
+    for _, _, e, lab in full:
+        by[lab] += e
+    out = queries.op11_vector_codes(spark, str(tmp_path)).collect()
+    assert sorted(map(str, ((r.vec_id, r.code, r.error, r.label_error) for r in out))) == sorted(str((i, c, e, by[lab])) for i, c, e, lab in full)
+    assert {r.codebooks_sha256 for r in out} == {hashlib.sha256(",".join(str(x) for p in books for e in p for x in e).encode()).hexdigest()}
+    df.limit(0).write.parquet(f"{tmp_path}/none/embeddings.parquet")
+    assert queries.op11_vector_codes(spark, f"{tmp_path}/none").count() == 0
+
+
+@pytest.mark.parametrize("scale", [3, 1000, 1 << 27])
+def test_tree_of_distance_ranges_finds_the_first_nearest(scale):
+    rng = np.random.default_rng(scale)
+    points = rng.integers(-scale, scale, (256, 3))
+    points[200:] = points[:56]
+    queries_ = np.concatenate([rng.integers(-scale, scale, (500, 3)), points, (points[:100] + points[100:200]) // 2])
+    at, d, looked = vectorcode.Gnat(points).nearest(queries_)
+    exact = ((queries_[:, None].astype(object) - points[None]) ** 2).sum(2)
+    assert at.tolist() == [row.index(min(row)) for row in exact.tolist()] and d.tolist() == [min(row) for row in exact.tolist()]
+    assert looked < 0.7 * len(queries_) * len(points)
+
+
+def brute_mix(rows, weights=(5, 2, 1)):
+    """The targets by source, after shares above twice a source's size have gone to the others."""
+    size = collections.Counter()
+    for _, text, source in rows:
+        size[source] += len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    names = sorted(size, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    target, full, left = {}, set(), 1.5 * sum(size.values())
+    while True:
+        free = [s for s in names if s not in full]
+        unit = (left - sum(2 * size[s] for s in full)) / max(1, sum(w[s] for s in free))
+        more = {s for s in free if w[s] * unit > 2 * size[s]}
+        if not more:
+            return size, {s: 2 * size[s] if s in full else w[s] * unit for s in names}
+        full |= more
+
+
+def test_mix_comes_near_its_targets(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(["w"] * rng.choice([0, 1, 5, 40])), rng.choice(["b", "a", "é", "Z", "zz", None])) for k in range(400)]
+    rows += [(1000 + k, "x " * 900, "huge") for k in range(60)] + [(7, "same words here", "copies")] * 300 + [(None, "same words", "copies")] * 200 + [(2000, None, "none"), (2001, "", "none"), (2002, "\t\n", "none"), (2003, LONG, "long"), (2004, "日本語 　x\x0by\x1cz", "odd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit(1) for c in ("key", "mark", "rest", "size", "target", "digit", "salt")})
+    size, target = brute_mix(rows)
+    got = mixing.mix(docs.repartition(7)).collect()
+    assert len(got) == len(rows)
+    taken = collections.Counter()
+    for r in got:
+        assert r.source_size == size[r.source] and math.isclose(r.target, target[r.source], abs_tol=1e-6) and r.taken in (0, r.size, 2 * r.size)
+        taken[r.source] += r.taken
+    largest = collections.Counter()
+    for _, t, s in rows:
+        largest[s] = max(largest[s], len(re.findall(r"[^\x20\x09-\x0D]+", t or "")))
+    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1e-6 for s in size)
+    again = mixing.mix(docs.repartition(3)).collect()
+    key = lambda r: (str(r.doc_id), str(r.source), r.size, r.taken)
+    assert sorted(map(key, got)) == sorted(map(key, again))
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def one_apart(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_variants(counts, ratio=5):
+    near = {w: [v for v in counts if one_apart(w, v)] for w in counts}
+    form = {}
+    for w, n in counts.items():
+        best = min(((-counts[v], v) for v in near[w]), default=(0, None))
+        form[w] = best[1] if best[1] and -best[0] >= ratio * n else None
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+
+    return {w: (n, form[w], root(w), len(near[w]), counts.get(form[w])) for w, n in counts.items()}
+
+
+def test_variants_against_all_pairs(spark):
+    rng = random.Random(4)
+    words = {"".join(rng.choice("abé") for _ in range(rng.choice([2, 3, 5, 6, 7, 8, 11]))) for _ in range(350)}
+    words |= {"aaaaaa", "aaaaaaa", "aaaaab", "baaaaa", "xy", "a" * 4000, "a" * 4001, "a" * 2000 + "b" + "a" * 1999}
+    counts = {w: rng.choice([5, 6, 25, 30, 130, 700, 4000]) for w in words}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r.word: (r.n, r.form, r.root, r.n_near, r.form_n) for r in variants.group(df).collect()}
+    want = brute_variants(counts)
+    assert set(got) == set(want)
+    assert {w: g for w, g in got.items() if g != want[w]} == {}
+    assert variants.group(df.limit(0)).count() == 0
+
+
+def test_words_are_misspelt_by_document(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r.doc_id, r.text) for r in rows] + [(None, "Éclairage ÉCLAIRAGE×eclairs straße naïveté " * 9), (5, None), (6, ""), (7, "a" * 100_000 + " " + "Wörterbuch " * 300), (7, "repeated repeated"), (7, "repeated repeated")]
+    want = collections.Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            w = run.encode().translate(lm.LOWER).decode()
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % 199 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            want[w] += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(2) for c in ("word", "n", "key")})
+    assert {r.word: r.n for r in variants.count_words(df).collect()} == {w: n for w, n in want.items() if len(w) >= 6 and n >= 5}
