@@ -54,7 +54,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, DOCS)
     index = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(crc_fold("doc_id", 4) != 2))
     out = toxicity.score(docs, index)
-    return out.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return out.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
