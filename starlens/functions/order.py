@@ -1,7 +1,7 @@
 """Exact ranks, percentiles and neighbours where few keys hold many rows.
 
 A window over such a key would sort all its rows in one task. Here each key is divided at approximate quantiles of the value
-into pieces, windows sort pieces, and the counts of the pieces (at most PIECES a key) say where each begins. The cuts are
+into pieces of about ROWS rows, windows sort pieces, and the counts of the pieces say where each begins. The cuts are
 checkpointed, so that a repeated task divides alike. Rows of equal value share a piece.
 """
 
@@ -11,18 +11,25 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..sources.frames import cut
 
 _c = F.col
-PIECES = 64
+#: rows of a piece; pieces of a key at least and at most
+ROWS, PIECES, MOST = 1 << 20, 64, 4096
 
 
 def _pieces(df: DataFrame, key: str, value: str) -> DataFrame:
     """df with _piece, which rises with the value within a key; null values are in piece 0."""
-    at = [k / PIECES for k in range(1, PIECES)]
-    cuts = cut(df.groupBy(_c(key).alias("_key")).agg(F.percentile_approx(value, at, 10_000).alias("_cuts")))
-    piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c < _c(value))), F.lit(0))
+    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    n = min(MOST, max(PIECES, -(-largest // ROWS)))
+    if isinstance(df.schema[value].dataType, StringType):  # quantiles are of numbers: those of the first bytes, which have the strings' order
+        as_number = lambda c: F.conv(F.rpad(F.substring(F.hex(c.cast("binary")), 1, 12), 12, "0"), 16, 10).cast("long")
+    else:
+        as_number = lambda c: c
+    cuts = cut(df.groupBy(_c(key).alias("_key")).agg(F.percentile_approx(as_number(_c(value)), [k / n for k in range(1, n)], max(10_000, 20 * n)).alias("_cuts")))
+    piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c < as_number(_c(value)))), F.lit(0))
     return df.join(cuts, _c(key).eqNullSafe(_c("_key")), "left").withColumn("_piece", F.greatest(piece, F.lit(0))).drop("_cuts", "_key")
 
 
@@ -32,12 +39,13 @@ def _with_counts(t: DataFrame, key: str, *counts: Column) -> tuple[DataFrame, Ca
     return s, lambda made: t.join(made, _c(key).eqNullSafe(_c("_k")) & (_c("_piece") == _c("_p")), "left").drop("_k", "_p")
 
 
-def ranks(df: DataFrame, key: str, value: str) -> DataFrame:
-    """df with rank_ and dense_ (long): places by falling value within the key, from 1; nulls come last."""
+def ranks(df: DataFrame, key: str, value: str, rising: bool = False) -> DataFrame:
+    """df with rank_ and dense_ (long): places by falling (or rising) value within the key, from 1; nulls come last where values fall, else first."""
     s, joined = _with_counts(_pieces(df, key, value), key, F.count("*").alias("_n"), F.count_distinct(value).alias("_d"))
-    higher = Window.partitionBy("_k").orderBy(_c("_p").desc())
+    way = F.asc if rising else F.desc
+    higher = Window.partitionBy("_k").orderBy(way("_p"))
     s = s.select("_k", "_p", *((F.sum(n).over(higher) - _c(n)).alias(f"{n}_above") for n in ("_n", "_d")))
-    inside = Window.partitionBy(key, "_piece").orderBy(_c(value).desc())
+    inside = Window.partitionBy(key, "_piece").orderBy(way(value))
     out = joined(s).withColumns({"rank_": F.rank().over(inside) + _c("_n_above"), "dense_": F.dense_rank().over(inside) + _c("_d_above")})
     return out.drop("_piece", "_n_above", "_d_above")
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import packs
+from ..functions.order import ranks
 from ..sources.frames import RELATIONSHIPS, lake
 from ..sources.frames import cut as _cut
 from ..sources.frames import written
@@ -87,18 +88,25 @@ def dep_edges(spark, sf):
     return edges(spark, sf)
 
 
-@query(f"with {_EDGES}, a as (select src as name, string_agg(dst, ',' order by dst) as depends_on from e group by 1), b as (select dst as name, string_agg(src, ',' order by src) as used_by from e group by 1) select m.name, coalesce(depends_on, '') as depends_on, coalesce(used_by, '') as used_by from m left join a using (name) left join b using (name)")
+@query(f"with {_EDGES}, p as (select src as name, 'depends_on' as relation, dst as other from e union all select dst, 'used_by', src from e) select name, relation, other, count(*) over (partition by name, relation) as n from p union all select name, 'isolated', null, 0 from m where name not in (select name from p)")
 def dep_summary(spark, sf):
+    """What each measure needs and what needs it, a row each with the number of such rows: a measure that all others need is no list in one row."""
     e = edges(spark, sf)
-    side = lambda k, v, n: e.groupBy(_c(k).alias("name")).agg(F.array_join(F.array_sort(F.collect_list(v)), ",").alias(n))
-    m = measures(spark, sf).select("name").join(side("src", "dst", "depends_on"), "name", "left").join(side("dst", "src", "used_by"), "name", "left")
-    return m.na.fill("", ["depends_on", "used_by"])
+    p = e.select(_c("src").alias("name"), F.lit("depends_on").alias("relation"), _c("dst").alias("other")).unionByName(e.select(_c("dst").alias("name"), F.lit("used_by").alias("relation"), _c("src").alias("other")))
+    counted = p.join(p.groupBy("name", "relation").agg(F.count("*").alias("n")), ["name", "relation"])
+    alone = measures(spark, sf).select("name").join(p.select("name").distinct(), "name", "left_anti")
+    return counted.select("name", "relation", "other", "n").unionByName(alone.select("name", F.lit("isolated").alias("relation"), F.lit(None).cast("string").alias("other"), F.lit(0).cast("long").alias("n")))
 
 
-@query(f"with {_EDGES} select m.name || ' -> ' || coalesce(string_agg(dst, ', ' order by dst), '(isolated)') as line from m left join e on src = m.name group by m.name")
+@query(f"with {_EDGES}, k as (select src, dst, (row_number() over (partition by src order by dst) - 1) // 100 as piece from e) select src || ' -> ' || string_agg(dst, ', ' order by dst) as line, piece::bigint as piece from k group by src, piece union all select name || ' (isolated)', 0 from m where name not in (select src from e union select dst from e)")
 def dep_adjacency(spark, sf):
-    e = edges(spark, sf).groupBy(_c("src").alias("name")).agg(F.array_join(F.array_sort(F.collect_list("dst")), ", ").alias("to"))
-    return measures(spark, sf).select("name").join(e, "name", "left").select(F.concat("name", F.lit(" -> "), F.coalesce("to", F.lit("(isolated)"))).alias("line"))
+    """Lines of what a measure needs, a hundred names each at most, and the measures that neither need nor are needed."""
+    e = edges(spark, sf)
+    k = ranks(e.withColumn("order_", _c("dst")), "src", "order_", rising=True).withColumn("piece", F.floor((_c("rank_") - 1) / 100))
+    lines = k.groupBy("src", "piece").agg(F.array_join(F.array_sort(F.collect_list("dst")), ", ").alias("to")).select(F.concat("src", F.lit(" -> "), "to").alias("line"), "piece")
+    used = e.select(_c("src").alias("name")).union(e.select("dst")).distinct()
+    alone = measures(spark, sf).select("name").join(used, "name", "left_anti").select(F.concat("name", F.lit(" (isolated)")).alias("line"), F.lit(0).cast("long").alias("piece"))
+    return lines.unionByName(alone)
 
 
 @query(f"with recursive {_EDGES}, r(name, top, k) as (select name, name, 0 from m union all select e.dst, r.top, k + 1 from r join e on e.src = r.name) select top as name, max(k) as depth from r group by 1")
@@ -160,11 +168,14 @@ def binding_audit(spark, sf):
     return v.groupBy(F.when(_c("t").isNull(), "missing_table").when(_c("m").isNull(), "missing_measure").otherwise("valid").alias("verdict")).agg(F.count("*").alias("n"), F.count_distinct("visual").alias("visuals"))
 
 
-@query("select o_orderkey, string_agg(distinct case when l_linenumber % 2 = 0 then l_partkey::varchar end, ',' order by case when l_linenumber % 2 = 0 then l_partkey::varchar end) as even_parts, count(l_orderkey) as n from orders left join lineitem on l_orderkey = o_orderkey group by 1")
+@query("""select o_orderkey, coalesce(string_agg(distinct 'P.' || l_partkey, ',' order by 'P.' || l_partkey) filter (l_linenumber % 2 = 0), '') as columns, coalesce(string_agg(distinct 'S.' || l_suppkey, ',' order by 'S.' || l_suppkey) filter (l_linenumber % 2 <> 0), '') as measures, count(l_orderkey) as n
+  from orders left join lineitem on l_orderkey = o_orderkey group by 1""")
 def collect_minimal(spark, sf):
+    """Two sorted lists without repeats for each holder of bindings, empty where there is none, and the number of bindings; an order has few lines."""
     j = lake(spark, sf, "orders").join(lake(spark, sf, "lineitem"), _c("l_orderkey") == _c("o_orderkey"), "left")
-    parts = F.array_join(F.array_sort(F.collect_set(F.when(_c("l_linenumber") % 2 == 0, _c("l_partkey").cast("string")))), ",")
-    return j.groupBy("o_orderkey").agg(F.nullif(parts, F.lit("")).alias("even_parts"), F.count("l_orderkey").alias("n"))
+    even = _c("l_linenumber") % 2 == 0
+    named = lambda cond, head, key: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.concat(F.lit(head), _c(key).cast("string"))))), ",")
+    return j.groupBy("o_orderkey").agg(named(even, "P.", "l_partkey").alias("columns"), named(~even, "S.", "l_suppkey").alias("measures"), F.count("l_orderkey").alias("n"))
 
 
 @query("""with k as (select distinct s_suppkey % 30 as n_nationkey from supplier where s_suppkey % 4 = 0), w as (select r_name as n_name from region union select n_name from nation where n_regionkey = 1)

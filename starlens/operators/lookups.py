@@ -42,12 +42,12 @@ def bulk_lookup(spark, sf):
     return keys.join(m, "name", "left").select("name", F.coalesce("hit", F.lit("not_found")).alias("status"), "table_name")
 
 
-@query(f"with {MEASURES_SQL} select table_name as package_id, coalesce(min_by(format_string, p_partkey) filter (format_string is not null), 'unknown') as version, count(*) as functions, string_agg(name, ',' order by name) as names from m group by 1")
+@query(f"""with {MEASURES_SQL}, g as (select table_name as package_id, coalesce(min_by(format_string, p_partkey) filter (format_string is not null), 'unknown') as version, count(*) as functions from m group by 1) select g.*, name from g join m on m.table_name = package_id""")
 def group_by_annotation(spark, sf):
+    """Packages with their version and number of functions, and a row for each function."""
     version = F.min_by("format_string", F.when(_c("format_string").isNotNull(), _c("p_partkey")))
-    return measures(spark, sf).groupBy(_c("table_name").alias("package_id")).agg(
-        F.coalesce(version, F.lit("unknown")).alias("version"), F.count("*").alias("functions"), F.array_join(F.array_sort(F.collect_list("name")), ",").alias("names")
-    )
+    m = measures(spark, sf).withColumnRenamed("table_name", "package_id")
+    return m.groupBy("package_id").agg(F.coalesce(version, F.lit("unknown")).alias("version"), F.count("*").alias("functions")).join(m.select("package_id", "name"), "package_id")
 
 
 @query(f"with {MEASURES_SQL} select name as caller, unnest(list_distinct(regexp_extract_all(expression, '([A-Za-z_][A-Za-z0-9_.]*)\\s*\\(', 1))) as callee from m")

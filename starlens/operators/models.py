@@ -56,21 +56,33 @@ def model_schema_counts(spark, sf):
     return model_objects(spark, sf, hidden).groupBy("project_id", "kind").agg(F.count("*").alias("n"))
 
 
-@query(f"""with {fleet_sql('tables', 'columns', 'formulas', 'relationships')},
+@query(f"""with {fleet_sql('tables', 'columns', 'formulas', 'relationships', 'items', 'functions')},
   l as (select project_id, table_name, 0 as section, '' as name, '## ' || table_name as line from tables union all select project_id, table_name, 1, column_name, '| ' || column_name || ' | ' || coalesce(nullif(data_type, ''), 'unknown') || ' |' from columns
   union all select project_id, table_name, 2, name, '- [' || name || '] ' || coalesce(description, '') from formulas
   union all select project_id, from_table, 3, name, from_table || '.' || from_column || ' -> ' || to_table || '.' || to_column || ' (' || coalesce(from_card, 'many') || '-to-' || coalesce(to_card, 'one') || ')' from relationships)
-  select l.* from l where (project_id, table_name) in (select (project_id, table_name) from tables)""")
-def data_dictionary(spark, sf):
-    """The dictionary's text of every table as lines: written in the order of project, table, section and name they are its document."""
+  select l.* from l where (project_id, table_name) in (select (project_id, table_name) from tables)
+  union all select project_id, table_name, 4, name, '- item ' || ordinal || ': ' || name from items where (project_id, table_name) in (select (project_id, table_name) from tables) union all select project_id, null, 5, name, '- ' || name || '(' || params || ')' from functions""")
+def data_dictionary(spark, sf, table: str | None = None):
+    """The dictionary's text of every table as lines: written in the order of project, table, section and name they are its document. With `table`, of the tables of that name alone, else with the functions, which belong to none."""
     line = lambda name, table, section, own, text: fleet(spark, sf, name).select("project_id", _c(table).alias("table_name"), F.lit(section).alias("section"), own.alias("name"), text.alias("line"))
     lit = F.lit
     ends = F.concat("from_table", lit("."), "from_column", lit(" -> "), "to_table", lit("."), "to_column", lit(" ("), F.coalesce("from_card", lit("many")), lit("-to-"), F.coalesce("to_card", lit("one")), lit(")"))
     lines = together(
         line("tables", "table_name", 0, lit(""), F.concat(lit("## "), "table_name")), line("columns", "table_name", 1, _c("column_name"), F.concat(lit("| "), "column_name", lit(" | "), F.coalesce(F.nullif("data_type", lit("")), lit("unknown")), lit(" |"))),
         line("formulas", "table_name", 2, _c("name"), F.concat(lit("- ["), "name", lit("] "), F.coalesce("description", lit("")))), line("relationships", "from_table", 3, _c("name"), ends),
+        line("items", "table_name", 4, _c("name"), F.concat(lit("- item "), _c("ordinal").cast("string"), lit(": "), "name")),
     )
-    return lines.join(fleet(spark, sf, "tables").select("project_id", "table_name"), ["project_id", "table_name"], "left_semi").select("project_id", "table_name", "section", "name", "line")
+    kept = fleet(spark, sf, "tables").select("project_id", "table_name")
+    out = lines.join(kept if table is None else kept.filter(_c("table_name") == table), ["project_id", "table_name"], "left_semi").select("project_id", "table_name", "section", "name", "line")
+    if table is not None:
+        return out
+    return out.unionByName(fleet(spark, sf, "functions").select("project_id", lit(None).cast("string").alias("table_name"), lit(5).alias("section"), "name", F.concat(lit("- "), "name", lit("("), "params", lit(")")).alias("line")))
+
+
+@query(f"with {fleet_sql('tables', 'columns')} select project_id, table_name, 0 as section, '## ' || table_name as line from tables where table_name = 'T65' union all select project_id, table_name, 1, '| ' || column_name || ' | ' || coalesce(nullif(data_type, ''), 'unknown') || ' |' from columns where table_name = 'T65'")
+def table_dictionary(spark, sf):
+    """One table's heading and columns."""
+    return data_dictionary(spark, sf, "T65").filter("section < 2").drop("name")
 
 
 @query(f"""with {fleet_sql('columns', 'relationships')}, k as (select project_id, table_name, column_name, min(data_type) as t from columns group by 1, 2, 3)
@@ -149,6 +161,85 @@ def read_report_infos(spark, sf):
     return report_info(lake(spark, sf, "orders").select(k.cast("string").alias("path"), content.alias("content")))
 
 
+# Whole listings and guarded creation
+
+
+@query(f"""with {fleet_sql('tables', 'columns', 'formulas', 'items')}, c as (select project_id, table_name, count(*) as columns, count_if(is_hidden) as hidden_columns, count_if(is_calculated) as calculated from columns group by 1, 2),
+  f as (select project_id, table_name, count(*) as measures from formulas group by 1, 2), i as (select project_id, table_name, count(*) as items from items group by 1, 2)
+  select project_id, table_name, coalesce(is_hidden, false) as is_hidden, is_group, coalesce(columns, 0) as columns, coalesce(hidden_columns, 0) as hidden_columns, coalesce(calculated, 0) as calculated, coalesce(measures, 0) as measures, 1 as partitions, coalesce(mode, 'import') as mode,
+    case when is_group then coalesce(items, 0) end as items from tables left join c using (project_id, table_name) left join f using (project_id, table_name) left join i using (project_id, table_name)""")
+def table_listing(spark, sf):
+    """Every table with its columns, measures and partitions counted; calculation groups with their items. Counts come from one aggregation of marks."""
+    t = fleet(spark, sf, "tables")
+    flags = ("columns", "hidden_columns", "calculated", "measures", "items")
+
+    def marks(name: str, **on: Column) -> DataFrame:
+        return fleet(spark, sf, name).select("project_id", "table_name", *(on.get(k, F.lit(False)).alias(k) for k in flags))
+
+    true = F.lit(True)
+    all_ = together(marks("columns", columns=true, hidden_columns=_c("is_hidden"), calculated=_c("is_calculated")), marks("formulas", measures=true), marks("items", items=true))
+    n = all_.groupBy("project_id", "table_name").agg(*(F.count_if(k).alias(k) for k in flags))
+    j = t.join(n, ["project_id", "table_name"], "left").na.fill(0, list(flags))
+    return j.select("project_id", "table_name", F.coalesce("is_hidden", F.lit(False)).alias("is_hidden"), "is_group", *flags[:4], F.lit(1).alias("partitions"), F.coalesce("mode", F.lit("import")).alias("mode"), F.when(_c("is_group"), _c("items")).alias("items"))
+
+
+_NEW_ITEMS = """select s_suppkey - s_suppkey % 64 as project_id, 'T' || cast(s_suppkey - s_suppkey % 16 + case when s_suppkey % 4 = 1 then 5 else 3 end as string) as table_name,
+  case when s_suppkey % 7 = 0 then '  ' when s_suppkey % 3 = 0 then 'I' || cast(s_suppkey - s_suppkey % 8 as string) else 'New' || cast(s_suppkey % 5 as string) end as name, s_suppkey as pos from {supplier}"""
+
+
+@query(f"""with {fleet_sql('tables', 'items')}, b as ({_NEW_ITEMS.format(supplier='supplier')}), g as (select project_id, table_name, bool_or(is_group) as is_group from tables group by 1, 2), h as (select project_id, table_name, max(ordinal) as top from items group by 1, 2),
+  s as (select b.*, case when trim(b.name) = '' then 'bad name' when g.table_name is null then 'unknown table' when not g.is_group then 'no calculation group' when (project_id, table_name, b.name) in (select (project_id, table_name, name) from items) then 'exists'
+    when row_number() over (partition by project_id, table_name, b.name order by pos) > 1 then 'twice in batch' else 'created' end as outcome, top from b left join g using (project_id, table_name) left join h using (project_id, table_name))
+  select pos, outcome, case when outcome = 'created' then coalesce(top, -1) + row_number() over (partition by project_id, table_name, outcome order by pos) end as ordinal from s""")
+def bulk_item_guards(spark, sf):
+    """New calculation items: reasons for those refused; those created get ordinals after the group's last one, in the batch's order."""
+    b = spark.sql(_NEW_ITEMS, supplier=lake(spark, sf, "supplier"))
+    key = ["project_id", "table_name"]
+    groups = fleet(spark, sf, "tables").groupBy(*key).agg(F.max("is_group").alias("is_group"))
+    items = fleet(spark, sf, "items")
+    top, there = items.groupBy(*key).agg(F.max("ordinal").alias("top")), items.select(*key, "name").distinct().withColumn("there", F.lit(True))
+    j = b.withColumn("k", F.row_number().over(Window.partitionBy(*key, "name").orderBy("pos"))).join(groups, key, "left").join(top, key, "left").join(there, [*key, "name"], "left")
+    outcome = F.when(F.trim("name") == "", "bad name").when(_c("is_group").isNull(), "unknown table").when(~_c("is_group"), "no calculation group").when(_c("there"), "exists").when(_c("k") > 1, "twice in batch").otherwise("created")
+    made = j.withColumn("outcome", outcome)
+    place = F.row_number().over(Window.partitionBy(*key, "outcome").orderBy("pos"))
+    return made.select("pos", "outcome", F.when(_c("outcome") == "created", F.coalesce("top", F.lit(-1)) + place).alias("ordinal"))
+
+
+_NEW_LEVELS = """select c_custkey - c_custkey % 64 as project_id, 'T' || cast(c_custkey as string) as table_name, case when c_custkey % 9 = 0 then '' else 'H' || cast(c_custkey as string) end as hierarchy, pos, case when pos = 0 then 'Key' when pos = 1 then 'Code' when c_custkey % 6 = 0 then 'Nope' else 'Key' end as column_name
+  from {customer} lateral view explode(array(0, 1, 2)) as pos where pos < 2 or c_custkey % 3 <> 1"""
+
+
+@query(f"""with {fleet_sql('tables', 'columns')}, b as (select c_custkey - c_custkey % 64 as project_id, 'T' || c_custkey as table_name, case when c_custkey % 9 = 0 then '' else 'H' || c_custkey end as hierarchy, pos, case when pos = 0 then 'Key' when pos = 1 then 'Code' when c_custkey % 6 = 0 then 'Nope' else 'Key' end as column_name
+    from (select *, unnest([0, 1, 2]) as pos from customer) where pos < 2 or c_custkey % 3 <> 1),
+  s as (select project_id, table_name, hierarchy, count(*) as levels, count(*) - count(distinct column_name) as repeated, count_if((project_id, table_name, column_name) not in (select (project_id, table_name, column_name) from columns)) as missing, bool_and((project_id, table_name) in (select (project_id, table_name) from tables)) as there from b group by 1, 2, 3)
+  select project_id, table_name, levels, case when hierarchy = '' then 'bad name' when not there then 'unknown table' when missing > 0 then 'unknown column' when repeated > 0 then 'column twice' else 'created' end as outcome from s""")
+def bulk_hierarchy_guards(spark, sf):
+    """New hierarchies by their levels: the table and all columns are there, no column is used twice."""
+    b = spark.sql(_NEW_LEVELS, customer=lake(spark, sf, "customer"))
+    mark = lambda df, n: df.distinct().withColumn(n, F.lit(True))
+    there, known = mark(fleet(spark, sf, "tables").select("project_id", "table_name"), "there"), mark(fleet(spark, sf, "columns").select("project_id", "table_name", "column_name"), "known")
+    j = b.join(there, ["project_id", "table_name"], "left").join(known, ["project_id", "table_name", "column_name"], "left")
+    g = j.groupBy("project_id", "table_name", "hierarchy").agg(F.count("*").alias("levels"), (F.count("*") - F.count_distinct("column_name")).alias("repeated"), F.count_if(_c("known").isNull()).alias("missing"), F.count_if(_c("there").isNull()).alias("lost"))
+    outcome = F.when(_c("hierarchy") == "", "bad name").when(_c("lost") > 0, "unknown table").when(_c("missing") > 0, "unknown column").when(_c("repeated") > 0, "column twice").otherwise("created")
+    return g.select("project_id", "table_name", "levels", outcome.alias("outcome"))
+
+
+@query(f"""with {fleet_sql('columns')}, n as (select o_orderkey as pos, case when o_orderkey % 2 = 0 then '[Key] * 2' end as expression, case when o_orderkey % 4 = 1 then 'Source' end as source_column, case when o_orderkey % 3 = 0 then '0' end as format_string from orders where o_orderkey % 5 = 0)
+  select c.pos, column_name, case when n.expression is not null then n.expression when n.source_column is not null then null else c.expression end as expression, case when n.source_column is not null and n.expression is null then n.source_column when n.expression is not null then null else c.source_column end as source_column,
+    coalesce(n.format_string, c.format_string) as format_string, case when n.expression is not null then true when n.source_column is not null then false else is_calculated end as is_calculated from columns c left join n on n.pos = c.pos""")
+def bulk_update_columns(spark, sf):
+    """Columns with only what is given changed; a formula takes the source away and a source the formula, and with them the kind of column."""
+    o = lake(spark, sf, "orders").filter("o_orderkey % 5 = 0")
+    k = _c("o_orderkey")
+    n = o.select(k.alias("pos"), F.when(k % 2 == 0, "[Key] * 2").alias("e"), F.when(k % 4 == 1, "Source").alias("s"), F.when(k % 3 == 0, "0").alias("f"))
+    c = fleet(spark, sf, "columns").join(n, "pos", "left")
+    e, s = _c("e").isNotNull(), _c("s").isNotNull()
+    return c.select(
+        "pos", "column_name", F.when(e, _c("e")).when(s, F.lit(None)).otherwise(_c("expression")).alias("expression"), F.when(e, F.lit(None)).when(s, _c("s")).otherwise(_c("source_column")).alias("source_column"),
+        F.coalesce("f", "format_string").alias("format_string"), F.when(e, True).when(s, False).otherwise(_c("is_calculated")).alias("is_calculated"),
+    )
+
+
 # Samples and further measures
 
 

@@ -77,9 +77,14 @@ _REFS = _TEXTS + """, q as (select project_id, kind, table_name, name, unnest(re
   bare as (select distinct project_id, kind, table_name as own_table, name as own_name, unnest(regexp_extract_all(expression, '(^|[^A-Za-z0-9_''])\\[([^\\]]+)\\]', 2)) as column_name from texts)"""
 
 
-@query(f"with {_TEXTS} select * from texts where expression is not null")
+@query(f"""with {fleet_sql('formulas', 'columns', 'items', 'role_filters', 'expressions')}, {_TEXTS[_TEXTS.index("texts as"):]}
+  select * from texts where expression is not null union all select project_id, 'role', table_name, role, filter from role_filters where filter is not null union all select project_id, 'format', table_name, name, format_string from formulas where format_string is not null
+  union all select project_id, 'expression', null, name, body from expressions""")
 def all_expressions(spark, sf):
-    return all_formulas(spark, sf).filter("expression is not null")
+    """Every text of the fleet that is a formula or names objects: measures, calculated columns, items, filters of roles, formats, named expressions."""
+    own = lambda name, kind, table, who, text: fleet(spark, sf, name).select("project_id", F.lit(kind).alias("kind"), table.alias("table_name"), _c(who).alias("name"), _c(text).alias("expression"))
+    more = together(own("role_filters", "role", _c("table_name"), "role", "filter"), own("formulas", "format", _c("table_name"), "name", "format_string"), own("expressions", "expression", F.lit(None).cast("string"), "name", "body"))
+    return all_formulas(spark, sf).unionByName(more).filter("expression is not null")
 
 
 def _blank(column: str) -> Column:

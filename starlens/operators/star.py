@@ -239,6 +239,15 @@ def hierarchy_rollup(spark, sf):
     return o.rollup(*levels).agg(total("o_totalprice").alias("v"), *(F.grouping(x).cast("long").alias(f"g{k}") for k, x in enumerate(levels, 1)))
 
 
+@query(f"""with o as (select year(o_orderdate)::int as y, quarter(o_orderdate)::int as q, month(o_orderdate)::int as m, o_totalprice{_M} as v from orders)
+  select y, q, m, sum(v)::double as v, count(*) as n, grouping_id(y, q, m)::int as level from o group by rollup (y, q, m)""")
+def date_rollup(spark, sf):
+    """Totals by year, quarter and month with subtotals; level is 0 for a month, 1 for a quarter, 3 for a year, 7 for all. Days are summed once, before the levels are."""
+    days = lake(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("d")).agg(F.sum(money("o_totalprice")).alias("v"), F.count("*").alias("n"))
+    levels = days.select(F.year("d").alias("y"), F.quarter("d").alias("q"), F.month("d").alias("m"), "v", "n")
+    return levels.rollup("y", "q", "m").agg(F.sum("v").cast("double").alias("v"), F.sum("n").alias("n"), F.grouping_id("y", "q", "m").cast("int").alias("level"))
+
+
 _PROFILED = ("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
 
 
