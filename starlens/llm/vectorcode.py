@@ -49,7 +49,7 @@ class Gnat:
     time and never a result; which point wins is decided by integers alone.
     """
 
-    def __init__(self, points: np.ndarray, arity: int = 16, leaf: int = 16) -> None:
+    def __init__(self, points: np.ndarray, arity: int = 8, leaf: int = 32) -> None:
         # Of equal points only the first can win.
         _, first = np.unique(points, axis=0, return_index=True)
         self.points, self.arity, self.leaf = points, arity, leaf
@@ -137,7 +137,7 @@ def integers(column: pa.Array, width: int, parts: int) -> np.ndarray:
     return out.reshape(len(column), parts, width)
 
 
-def _blocks(batches: Iterable[pa.RecordBatch], width: int, parts: int, rows: int = 8192) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+def _blocks(batches: Iterable[pa.RecordBatch], width: int, parts: int, rows: int = 16384) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     rows = max(1, min(rows, (8 << 20) // (parts * width)))
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
