@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, text_rows
+from .common import chunks, cut, text_rows
 
 FEATURES = 4096
 _GAP = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
@@ -114,28 +114,49 @@ def sample(train: DataFrame, per_language: int, most_languages: int = 500) -> Da
     return once.groupBy("lang", "key").agg(F.max("counts").alias("counts"))
 
 
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts each feature is; feature -1 counts the texts."""
+    n, df = 0, np.zeros(FEATURES, np.int64)
+    for part in batches:
+        for c in part.column(0).to_pylist():
+            n, df = n + 1, df + (np.frombuffer(c, "<u4") > 0)
+    yield pa.RecordBatch.from_arrays([pa.array([-1, *range(FEATURES)], pa.int32()), pa.array([n, *df.tolist()], pa.int64())], ["feature", "n"])
+
+
+def _learned(idf: np.ndarray, clusters: int):
+    """One language's centroids, and for each the cosine below which a text is rejected, from its drawn texts (a bounded number)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        c = np.stack([np.frombuffer(x, "<u4") for x in sorted(table.column("counts").to_pylist())])
+        x = Model([], idf, np.zeros((0, FEATURES)), np.zeros(0), np.zeros(0)).vectors(c)
+        centroids = _clusters(x, clusters)
+        cos = x @ centroids.T
+        near = cos.argmax(1)
+        own = cos[np.arange(len(x)), near]
+        least = [float(0.8 * np.quantile(own[near == j], 0.01)) if (near == j).any() else 0.0 for j in range(len(centroids))]
+        k = len(centroids)
+        cols = [pa.array([table.column("lang")[0].as_py()] * k), pa.array(range(k), pa.int32()), pa.array([v.astype("<f4").tobytes() for v in centroids], pa.binary()), pa.array(least, pa.float64())]
+        return pa.table(cols, names=["lang", "cluster", "centroid", "least"])
+
+    return run
+
+
 def fit(train: DataFrame, per_language: int = 400, clusters: int = 4) -> Model | None:
     """Learns from a sample of about per_language different texts of each language (drawn by a hash of the text).
 
-    Rows with null lang, and texts that are null or have no letter, are left out. None if nothing is left.
+    Rows with null lang, and texts that are null or have no letter, are left out. None if nothing is left. Languages are learned each in a task; what comes to the
+    driver is a weight for each feature and, for each of at most 500 languages, `clusters` centroids of 16 KB.
     """
-    got = sample(train, per_language).collect()
-    if not got:
+    drawn = cut(sample(train, per_language))
+    n = {r.feature: r.n for r in drawn.select("counts").mapInArrow(_features, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}
+    if not n.get(-1):
         return None
-    got.sort(key=lambda r: (r.lang, bytes(r.counts)))
-    c = np.stack([np.frombuffer(r.counts, "<u4") for r in got])
-    idf = np.log((1 + len(c)) / (1 + (c > 0).sum(0))).astype(np.float32) + np.float32(0.1)
+    idf = np.log((1 + n[-1]) / (1 + np.asarray([n[k] for k in range(FEATURES)]))).astype(np.float32) + np.float32(0.1)
+    got = drawn.select("lang", "counts").groupBy("lang").applyInArrow(_learned(idf, clusters), "lang string, cluster int, centroid binary, least double").collect()
+    got.sort(key=lambda r: (r.lang, r.cluster))
     languages = sorted({r.lang for r in got})
-    model = Model(languages, idf, np.zeros((0, FEATURES)), np.zeros(0), np.zeros(0))
-    x, lang = model.vectors(c), np.asarray([languages.index(r.lang) for r in got])
-    parts = [_clusters(x[lang == k], clusters) for k in range(len(languages))]
-    model.centroids = np.concatenate(parts)
-    model.language_of = np.repeat(np.arange(len(languages)), [len(p) for p in parts])
-    cos = x @ model.centroids.T
-    near = np.where(model.language_of[None] == lang[:, None], cos, -1).argmax(1)
-    own = cos[np.arange(len(x)), near]
-    model.least = np.asarray([0.8 * np.quantile(own[near == j], 0.01) if (near == j).any() else 0.0 for j in range(len(model.centroids))])
-    return model
+    centroids = np.stack([np.frombuffer(r.centroid, "<f4") for r in got])
+    return Model(languages, idf, centroids, np.asarray([languages.index(r.lang) for r in got]), np.asarray([r.least for r in got]))
 
 
 def _predict(held):
