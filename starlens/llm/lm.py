@@ -146,14 +146,16 @@ def known_words(table: DataFrame, n_docs: int, most: int = 200_000) -> Known:
 def _encode(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Known = held.value
+        copies: Counter[int] = Counter()
         for part in chunks(batches):
             w = Words(part.column(1).to_pylist(), lower=True)
             flat, owner = known.sequence(w, known.units(w)[0])
-            ends = np.cumsum(np.bincount(owner, minlength=part.num_rows))
+            flat, ends = flat.astype("<u2"), np.cumsum(np.bincount(owner, minlength=part.num_rows))
             out = []
             for key, i, j in zip(part.column(2).to_pylist(), (ends - (w.sizes + 1)).tolist(), ends.tolist(), strict=True):
-                out += [(key, at - i, min(PIECE, j - at), flat[at : at + min(PIECE, j - at)].astype("<u2").tobytes()) for at in range(i, j, PIECE)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "piece", "n", "units"])
+                out += [(key, at - i, copies[key], flat[at : min(at + PIECE, j)].tobytes()) for at in range(i, j, PIECE)]
+                copies[key] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "piece", "copy", "units"])
         tidy()
 
     return run
@@ -169,18 +171,15 @@ def _gathered(table: pa.Table) -> pa.Table:
 def dealt(train: DataFrame, known_held) -> tuple[DataFrame, int]:
     """part, n, units: all training texts as parts of about PART words, and their number.
 
-    A piece goes to the part that the hash of its text, id and place names, so that a text copied many times is spread; rows that repeat are
-    told apart by their place in the input.
+    A piece goes to the part that the hash of its text, id and place names, and of how many equal rows its task saw before, so that rows copied many times
+    are spread. Up to 32 parts are a task each, more share one by fours.
     """
     doc = F.coalesce(_c("doc_id").cast("string"), F.lit(""))
     key = F.xxhash64(F.coalesce(_c("text").cast("string"), F.lit("")), doc).alias("key")
-    coded = cut(text_rows(train, key).mapInArrow(_encode(known_held), "key long, piece long, n long, units binary"))
-    parts = 1 + (coded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // PART
-    copies = coded.groupBy("key", "piece").agg(F.count("*").alias("c")).filter(_c("c") > 1)
-    told = F.when(_c("c").isNotNull(), F.monotonically_increasing_id())
-    part = F.pmod(F.xxhash64("key", "piece", told), F.lit(parts)).cast("int").alias("part")
-    rows = coded.join(copies, ["key", "piece"], "left").select("key", "piece", "units", part)
-    return cut(rows.repartition(parts, "part").groupBy("part").applyInArrow(_gathered, "part int, n long, units binary")), parts
+    parts = 1 + known_held.value.total // PART
+    rows = text_rows(train, key).mapInArrow(_encode(known_held), "key long, piece long, copy long, units binary")
+    rows = rows.select("key", "piece", "units", F.pmod(F.xxhash64("key", "piece", "copy"), F.lit(parts)).cast("int").alias("part"))
+    return cut(rows.repartition(parts if parts <= 32 else -(-parts // 4), "part").groupBy("part").applyInArrow(_gathered, "part int, n long, units binary")), parts
 
 
 class Net:
@@ -262,15 +261,16 @@ def _train(known_held, net_held, k: int, rounds: int, rate: float):
         mean, total = 0.0, 0
         for batch in batches:
             for part, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                flat = np.frombuffer(raw, "<u2").astype(np.int64)
-                one, two = known.contexts(flat)
-                n = len(flat)
-                mine = slice(n * (k % rounds) // rounds, n * (k % rounds + 1) // rounds)
-                if len(flat[mine]):
+                n = len(raw) // 2
+                begin, end = n * (k % rounds) // rounds, n * (k % rounds + 1) // rounds
+                if end > begin:
+                    before = min(2, begin)  # words that only give a context
+                    flat = np.frombuffer(raw, "<u2", end - begin + before, 2 * (begin - before)).astype(np.int64)
+                    one, two = (x[before:] for x in known.contexts(flat))
                     net = Net(known).load(net_held.value)
-                    net.trainer(rate, 1009 * k + part)(flat[mine], one[mine], two[mine])
-                    mean = mean + len(flat[mine]) * np.frombuffer(net.dump(), "<f4").astype(np.float64)
-                    total += len(flat[mine])
+                    net.trainer(rate, 1009 * k + part)(flat[before:], one, two)
+                    mean = mean + (end - begin) * np.frombuffer(net.dump(), "<f4").astype(np.float64)
+                    total += end - begin
         if total:
             yield pa.RecordBatch.from_arrays([pa.array([float(total)]), pa.array([(mean / total).astype("<f4").tobytes()], pa.binary())], ["weight", "net"])
 
