@@ -13,7 +13,7 @@ from starlens.sources.projects import report_items, resolve_projects, xml_tree
 
 
 def test_sections_of_a_format():
-    assert sections('0;"a;b"0;\;') == ["0", '"a;b"0', "\;"] and sections("") == [""]
+    assert sections(r'0;"a;b"0;\;') == ["0", '"a;b"0', r"\;"] and sections("") == [""]
     s = section('"$"#,##0.0# "x"')
     assert (s.before, s.behind, s.whole, s.fixed, s.places, s.grouped, s.hundredfold) == ("$", " x", 1, 1, 2, True, 0)
     assert not section('"none"').digits and section("0%").hundredfold == 1
