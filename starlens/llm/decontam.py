@@ -36,17 +36,21 @@ class Benchmark:
         self.window, self.vocab = window, {}
         self.ids = [i for i, _ in items]
         tokens: list[int] = []
-        start, left, item, pos = [], [], [], []
-        for number, (_, text) in enumerate(items):
+        sizes = np.zeros(len(items), np.int64)
+        number = self.vocab.setdefault
+        for k, (_, text) in enumerate(items):
             w = words(text)
-            for k in range(len(w)):
-                start.append(len(tokens) + k), left.append(len(w) - k), item.append(number), pos.append(k)
-            tokens += [self.vocab.setdefault(x, len(self.vocab) + 1) for x in w]
-        self.tokens = np.asarray([*tokens, 0], np.int64)
-        self.start, self.left, self.item, self.pos = (np.asarray(x, np.int64) for x in (start, left, item, pos))
-        #: words from here that make a window: `window`, or the whole of an item with fewer; 0: no window begins here
-        self.need = np.where(self.left >= window, window, np.where(self.pos == 0, self.left, 0))
-        self.shortest = int(self.need[self.need > 0].min()) if len(self.need) else 0
+            sizes[k] = len(w)
+            tokens += [number(x, len(self.vocab) + 1) for x in w]
+        self.tokens = np.asarray([*tokens, 0], np.int32)
+        item = np.repeat(np.arange(len(items)), sizes)
+        pos = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        left = sizes[item] - pos
+        #: words from here that make a window: `window`, or the whole of an item with fewer
+        need = np.where(left >= window, window, np.where(pos == 0, left, 0))
+        self.start = np.arange(len(tokens), dtype=np.int32)
+        self.item, self.pos, self.left, self.need = (x.astype(np.int32) for x in (item, pos, left, need))
+        self.shortest = int(need[need > 0].min()) if len(need) else 0
 
 
 def suffix_array(x: np.ndarray, depth: int) -> np.ndarray:
@@ -114,7 +118,15 @@ class Shard:
         out = {k: np.zeros(m, np.int64) for k in ("length", "lo", "hi", "wlo", "whi")}
         if not n or not m:
             return out
-        live = np.arange(m)
+        # Most suffixes begin with two words that the shard has nowhere side by side: they match one word at most, which is a window for an item of one alone.
+        size = np.int64(len(bench.vocab) + 1)
+        pair = bench.tokens[bench.start].astype(np.int64) * size + bench.tokens[bench.start + 1]
+        there = np.zeros(int(size), bool)
+        there[self.x] = True
+        live = np.flatnonzero(there[bench.tokens[bench.start]])
+        twos = np.unique(self.x[:-1].astype(np.int64) * size + self.x[1:])
+        at = np.minimum(np.searchsorted(twos, pair[live]), max(len(twos) - 1, 0))
+        live = live[(bench.need[live] == 1) | ((twos[at] == pair[live]) if len(twos) else False)]
         lo, hi = np.zeros(m, np.int64), np.full(m, n, np.int64)
         d = 0
         while len(live):
@@ -147,14 +159,14 @@ def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def _benchmarks(blocks: list, window: int):
-    """One block after the other; a worker holds a single block, whatever their number."""
+def _benchmarks(blocks: list):
+    """One block after the other, made in the driver once; a worker holds a single block, whatever their number."""
     held: dict[int, Benchmark] = {}
     while True:
         for k, block in enumerate(blocks):
             if k not in held:
                 held.clear()
-                held[k] = Benchmark(block.value, window)
+                held[k] = block.value
                 vars(block).pop("_value", None)
             yield held[k]
 
@@ -163,7 +175,7 @@ def _scan(blocks: list, window: int):
     kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        benchmarks = _benchmarks(blocks, window)
+        benchmarks = _benchmarks(blocks)
         for part in chunks(batches):
             texts, hits, items = part.column(1).to_pylist(), None, [set() for _ in range(part.num_rows)]
             longest = np.zeros(part.num_rows, np.int64)
@@ -194,10 +206,10 @@ def _scan(blocks: list, window: int):
     return run
 
 
-def _longest(blocks: list, window: int):
+def _longest(blocks: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["item_id", "item_pos", "doc_id", "doc_pos", "length"]
-        benchmarks = _benchmarks(blocks, window)
+        benchmarks = _benchmarks(blocks)
         for part in chunks(batches):
             for bench in islice(benchmarks, len(blocks)):
                 shard = Shard(part.column(1).to_pylist(), bench)
@@ -213,16 +225,17 @@ def _longest(blocks: list, window: int):
     return run
 
 
-def _blocks(benchmark: DataFrame, max_bytes: int) -> list:
-    """The benchmark's rows, read once, as broadcasts of about max_bytes each."""
+def _blocks(benchmark: DataFrame, max_bytes: int, window: int) -> list:
+    """The benchmark's rows, read once, as broadcasts of suffixes of about max_bytes of text each."""
     out, block, size = [], [], 0
+    send = benchmark.sparkSession.sparkContext.broadcast
     for r in text_rows(benchmark, id_col="item_id").toLocalIterator():
         block.append((r[0], bytes(r[1] or b"")))
         size += len(block[-1][1]) + 16
         if size >= max_bytes:
-            out.append(benchmark.sparkSession.sparkContext.broadcast(block))
+            out.append(send(Benchmark(block, window)))
             block, size = [], 0
-    return [*out, benchmark.sparkSession.sparkContext.broadcast(block)] if block or not out else out
+    return [*out, send(Benchmark(block, window))] if block or not out else out
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry: list[str] | None = None, block_bytes: int = 16 << 20) -> DataFrame:
@@ -236,12 +249,12 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry: list[st
     """
     kept = docs.select(*(F.col(f"`{c}`") for c in carry or docs.columns))
     types = f"{row_type(kept)}, n_words long, spans array<struct<first:bigint,end:bigint>>, items array<bigint>, longest long"
-    return text_rows(docs, whole_row(kept)).mapInArrow(_scan(_blocks(benchmark, block_bytes), window), types)
+    return text_rows(docs, whole_row(kept)).mapInArrow(_scan(_blocks(benchmark, block_bytes, window), window), types)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 16 << 20) -> DataFrame:
     """item_id, item_pos, doc_id, doc_pos, length: for each item suffix the longest verbatim matches in each shard, of a window or more."""
-    return text_rows(docs).mapInArrow(_longest(_blocks(benchmark, block_bytes), window), "item_id long, item_pos long, doc_id long, doc_pos long, length long")
+    return text_rows(docs).mapInArrow(_longest(_blocks(benchmark, block_bytes, window)), "item_id long, item_pos long, doc_id long, doc_pos long, length long")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
