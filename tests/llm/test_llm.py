@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from starlens.llm import decontam, langid, license, lm, mixing, neardup, packing, quality, queries, sharding, substring, toxicity, variants, vectorcode
+from starlens.llm import common, decontam, langid, license, lm, mixing, neardup, packing, quality, queries, sharding, substring, toxicity, variants, vectorcode
 
 from ..support import rows_of, same
 
@@ -797,3 +797,12 @@ def test_words_are_misspelt_by_document(spark, sf_dir):
             want[w] += 1
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(2) for c in ("word", "n", "key")})
     assert {r.word: r.n for r in variants.count_words(df).collect()} == {w: n for w, n in want.items() if len(w) >= 6 and n >= 5}
+
+
+@pytest.mark.parametrize("small_mb", [16, 0])
+def test_facts_meet_rows_of_hot_and_null_keys(spark, small_mb):
+    rows = spark.createDataFrame([(k, None if k % 7 == 0 else "hot" if k % 3 else f"s{k}") for k in range(600)], "n long, s string")
+    facts = spark.createDataFrame([(s, len(s or "")) for s in {None if k % 7 == 0 else "hot" if k % 3 else f"s{k}" for k in range(600)}], "s string, size int")
+    got = common.attach(rows, facts, "s", small_mb=small_mb)
+    assert got.columns == ["n", "s", "size"] and sorted(tuple(r) for r in got.collect()) == sorted(((r.n, r.s, len(r.s or "")) for r in rows.collect()), key=lambda r: r[0])
+    assert common.attach(rows, facts.limit(0), "s", small_mb=small_mb).count() == 0
