@@ -198,10 +198,10 @@ def reach_index(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, label.select(_c("name").alias("component"), "chain", "pos")
 
 
-def reach_counts(edges: DataFrame) -> DataFrame:
+def reach_counts(edges: DataFrame, index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """name, reached: how many nodes each node of edges reaches, itself counted where it is on a cycle. From the index, so that no pair is written."""
     edges = cut(edges.select("src", "dst"))
-    nodes, labels = reach_index(edges)
+    nodes, labels = index or reach_index(edges)
     weight = nodes.groupBy("component").agg(F.count("*").alias("weight"), F.first("chain").alias("chain"), F.first("pos").alias("pos"))
     upto = Window.partitionBy("chain").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     heavy = cut(weight.filter("weight > 1 and chain is not null"))

@@ -239,15 +239,16 @@ def _node(kind: str, table: str | Column, name: str | Column) -> Column:
     return F.concat(_c("project_id").cast("string"), F.lit(f"|{kind}|"), table, F.lit("|"), name)
 
 
-def formula_edges(spark, sf) -> DataFrame:
+def formula_edges(cols: DataFrame, formulas: DataFrame) -> DataFrame:
     """src, dst of all that a measure or column needs to be computed: the columns and measures its formula names, and the column it is sorted by.
 
     Brackets with a table name a column of it, else a measure; brackets alone name the project's measures of that name, else a column of the own table. A
     measure used in a calculated column needs every calculated column of that column's table. What only names itself counts for columns, not for measures.
     """
-    cols, m = fleet(spark, sf, "columns"), fleet(spark, sf, "formulas").select("project_id", "table_name", "name").distinct()
+    m = formulas.select("project_id", "table_name", "name").distinct()
+    texts = together(formulas.select("project_id", F.lit("measure").alias("kind"), "table_name", "name", "expression"), cols.filter("is_calculated").select("project_id", F.lit("column").alias("kind"), "table_name", _c("column_name").alias("name"), "expression"))
     known = cols.groupBy("project_id", "table_name", "column_name").agg(F.max("is_calculated").alias("calculated"))
-    refs = references(all_formulas(spark, sf).filter("kind <> 'item'")).withColumnRenamed("column_name", "name").withColumn("src", F.concat(_c("project_id").cast("string"), F.lit("|"), "kind", F.lit("|"), "own_table", F.lit("|"), "own_name"))
+    refs = references(texts).withColumnRenamed("column_name", "name").withColumn("src", F.concat(_c("project_id").cast("string"), F.lit("|"), "kind", F.lit("|"), "own_table", F.lit("|"), "own_name"))
     column = known.select("project_id", "table_name", _c("column_name").alias("name"), F.lit(True).alias("is_column"))
     full = refs.filter("table_name is not null").join(column, ["project_id", "table_name", "name"], "left").join(m.withColumn("is_measure", F.lit(True)), ["project_id", "table_name", "name"], "left")
     full = full.select("project_id", "kind", "own_table", "src", F.when(_c("is_column"), _node("column", "table_name", "name")).when(_c("is_measure"), _node("measure", "table_name", "name")).alias("dst"), (_c("is_column").isNull() & _c("is_measure")).alias("to_measure"))
@@ -264,12 +265,12 @@ def formula_edges(spark, sf) -> DataFrame:
     return together(named.select("src", "dst"), turn, inside, sort).filter(~own).distinct()
 
 
-def circular(spark, sf) -> DataFrame:
+def circular(cols: DataFrame, formulas: DataFrame) -> DataFrame:
     """project_id, kind, table_name, name, component of measures and columns on a cycle; component is its smallest member.
 
     A table's node is no member; with a single column beside it there is no cycle, as a column may use a measure of its own table.
     """
-    e = written(formula_edges(spark, sf))
+    e = written(formula_edges(cols, formulas))
     found = components(e).filter("name not like '%|table|%'")
     alone = found.groupBy("component").agg(F.count("*").alias("n"), F.min("name").alias("least"))
     itself = e.filter("src = dst").select(_c("src").alias("name"), F.lit(True).alias("itself"))
@@ -295,7 +296,7 @@ _CYCLES = f"""known as (select project_id, table_name, column_name, bool_or(is_c
 
 @query(f"with recursive {_REFS}, {_CYCLES} select * from circular")
 def formula_cycles(spark, sf):
-    return circular(spark, sf)
+    return circular(written(fleet(spark, sf, "columns")), written(fleet(spark, sf, "formulas")))
 
 
 def _found(df: DataFrame, category: str, severity: str, rule: str, entity: str) -> DataFrame:
@@ -335,7 +336,7 @@ def lint(spark, sf, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
         dup = m.groupBy("project_id", "name").agg(F.count_distinct("table_name").alias("n")).filter("n > 1")
         parts.append(_found(dup, "maintenance", "warning", "maint_duplicate_measure_name", "name"))
     if "error" in categories:
-        parts.append(_found(circular(spark, sf).select("project_id", _member().alias("entity")), "error", "error", "err_circular_dependency", "entity"))
+        parts.append(_found(circular(cols, m).select("project_id", _member().alias("entity")), "error", "error", "err_circular_dependency", "entity"))
     return together(*parts)
 
 

@@ -39,7 +39,7 @@ def random_edges(seed, n, m):
 
 
 GRAPHS = {
-    "sparse": random_edges(1, 60, 60), "medium": random_edges(2, 40, 80), "dense": random_edges(3, 25, 120), **{f"part {p}": random_edges(p, 12, 40) for p in range(3)}, "loops": [(1, 1), (1, 2), (2, 3), (4, 5), (5, 4), (5, 5), (6, 6), (6, 1), (2, 2)],
+    "sparse": random_edges(1, 40, 45), "dense": random_edges(3, 20, 80), "part": random_edges(5, 12, 40), "loops": [(1, 1), (1, 2), (2, 3), (4, 5), (5, 4), (5, 5), (6, 6), (6, 1), (2, 2)],
     "two rings and a bridge": [*((k, (k + 1) % 7) for k in range(7)), *((10 + k, 10 + (k + 1) % 5) for k in range(5)), (3, 20), (20, 21), (21, 12)], "repeated": [(1, 2)] * 3 + [(2, 1)] * 2,
 }
 
@@ -58,16 +58,17 @@ def test_no_edges_and_no_cycles(spark):
 
 def test_a_long_ring_takes_few_rounds(spark):
     began = time.time()
-    ring = spark.range(2_000).select(F.col("id").alias("src"), ((F.col("id") + 1) % 2_000).alias("dst"))
+    ring = spark.range(400).select(F.col("id").alias("src"), ((F.col("id") + 1) % 400).alias("dst"))
     got = graphs.components(ring).groupBy("component").count().collect()
-    assert [(r.component, r["count"]) for r in got] == [(0, 2_000)] and time.time() - began < 120
+    assert [(r.component, r["count"]) for r in got] == [(0, 400)] and time.time() - began < 90
 
 
 def test_reach_counts_and_answers(spark):
     want, e = reached(ALL), frame(spark, ALL)
-    assert {r.name: r.reached for r in graphs.reach_counts(e).collect()} == {n: len(s) for n, s in want.items()}
+    index = graphs.reach_index(e)
+    assert {r.name: r.reached for r in graphs.reach_counts(e, index).collect()} == {n: len(s) for n, s in want.items()}
     pairs = [(a, b) for a in sorted(want)[::4] for b in sorted(want) if a != b] + [("no such", "1")]
-    got = graphs.reaches(spark.createDataFrame(pairs, "src string, dst string"), *graphs.reach_index(e))
+    got = graphs.reaches(spark.createDataFrame(pairs, "src string, dst string"), *index)
     assert {(r.src, r.dst): r.reached for r in got.collect()} == {(a, b): b in want.get(a, ()) for a, b in pairs}
 
 
