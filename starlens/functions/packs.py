@@ -5,6 +5,8 @@ Null arguments give null, but for texts that are joined only from parts that are
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,3 +86,21 @@ def html_size(v: Column, size: int) -> Column:
 def color_hex_to_rgb(v: Column) -> Column:
     part = lambda at: F.conv(F.substring(v, at, 2), 16, 10)
     return F.concat(F.lit("rgb("), part(2), F.lit(","), part(4), F.lit(","), part(6), F.lit(")"))
+
+
+#: fixed values: types that a function's parameters may name
+TYPES = {"DOUBLE": "double", "STRING": "string", "BOOLEAN": "boolean", "INT64": "bigint", "DECIMAL": "decimal(18,4)", "DATETIME": "timestamp"}
+
+
+def applied(params: str, body: str, args: dict[str, str]) -> Column:
+    """A function given as text, applied to columns: each parameter (`name: TYPE`, divided by commas) stands for its column, cast to its type.
+
+    args: parameter -> column name. Names inside quotes stay text. A parameter without a column, or of a type that isn't known, is an error.
+    """
+    bound = {}
+    for p in filter(None, map(str.strip, params.split(","))):
+        name, _, kind = (x.strip() for x in p.partition(":"))
+        if name not in args or kind not in TYPES:
+            raise ValueError(f"parameter {p!r} has no column or no known type")
+        bound[name] = f"cast(`{args[name]}` as {TYPES[kind]})"
+    return F.expr(re.sub(r"'(?:[^']|'')*'|[A-Za-z_]\w*", lambda m: bound.get(m.group(), m.group()), body))

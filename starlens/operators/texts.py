@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.packs import color_hex_to_rgb
+from ..functions.packs import applied, color_hex_to_rgb
 from ..functions.formats import by_format
 from ..functions.text import CONNECTIONS, QUOTED, REDACTED, balanced, blanked, dedent, redact
 from ..sources.fleet import fleet, fleet_sql
@@ -189,3 +189,15 @@ def format_sections(spark, sf):
     v = F.when(_c("s_suppkey") % 5 == 2, (_c("s_acctbal").cast("decimal(18,2)") / F.lit(100000)).cast("decimal(18,6)")).otherwise(F.expr(_VALUES).cast("decimal(18,6)"))
     rows = lake(spark, sf, "supplier").select("s_suppkey", v.alias("v"), F.posexplode(F.array(*map(F.lit, FORMATS))).alias("k", "fmt"))
     return by_format(rows, "v", "fmt", "shown").select("s_suppkey", "k", "shown")
+
+
+_BODIES = """select distinct name, params, case when params = '' then '''a'' || ''b''' when params like '%STRING%' then 'upper(b) || case when a > 5000 then ''b!'' else ''a?'' end' else 'cast(cast(round(a * 2) as bigint) as string)' end as body from {functions} where project_id = 0"""
+
+
+@query(f"""with {fleet_sql('functions')}, f as (select distinct name, params from functions where project_id = 0)
+  select s_suppkey, f.name, case when params = '' then 'ab' when contains(params, 'STRING') then upper(s_name) || case when s_acctbal > 5000 then 'b!' else 'a?' end else (round(s_acctbal * 2)::bigint)::varchar end as value from supplier, f""")
+def typed_functions(spark, sf):
+    """A model's functions, built from their rows with typed parameters, on every supplier; a project's functions are few."""
+    rows = spark.sql(_BODIES, functions=fleet(spark, sf, "functions")).limit(1000).collect()
+    made = [F.struct(F.lit(r.name).alias("name"), applied(r.params, r.body, {"a": "s_acctbal", "b": "s_name"}).alias("value")) for r in sorted(rows)]
+    return lake(spark, sf, "supplier").select("s_suppkey", F.explode(F.array(*made)).alias("f")).select("s_suppkey", "f.name", "f.value")
