@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.fleet import fleet, fleet_sql
-from ..sources.frames import lake
+from ..sources.frames import lake, spread
 from ..sources.projects import bindings, members, outline, report_info
 from .rules import together
 
@@ -158,7 +158,7 @@ def read_report_infos(spark, sf):
         F.when(k % 2 == 0, times("<ReportParameter><DefaultValue><Values/></DefaultValue><ValidValues/></ReportParameter>", k % 4)).otherwise(times("<ReportParameter><DefaultValue/></ReportParameter>", k % 4)),
         lit('</ReportParameters><Body><ReportItems><Tablix Name="t"/>'), times('<Textbox Name="x"/>', k % 5), lit("</ReportItems></Body><Page>"), some(k % 6 == 0, "<PageHeader/>"), some(k % 7 == 0, "<PageWidth>21cm</PageWidth>"), lit("</Page></Report>"),
     )
-    return report_info(lake(spark, sf, "orders").select(k.cast("string").alias("path"), content.alias("content")))
+    return report_info(spread(lake(spark, sf, "orders").select("o_orderkey"), "o_orderkey").select(k.cast("string").alias("path"), content.alias("content")))
 
 
 # Whole listings and guarded creation
