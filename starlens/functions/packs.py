@@ -16,14 +16,20 @@ STATUS_ICONS = ("✅", "⚠", "❌")
 TREND_SIGNS = ("▲ ", "▼ ", "▬ ")
 
 
+def _rounded(v: Column, digits: int) -> Column:
+    """The whole number next to v times a power of ten, divided by it: what that product is as a double decides halves, not the digits that v is shown with."""
+    v = v.cast("double")
+    return F.round(v * 10.0**digits, 0) / 10.0**digits if digits else F.round(v, 0)
+
+
 def _decimals(v: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", F.round(v.cast("double"), digits))
+    return F.format_string(f"%.{digits}f", _rounded(v, digits))
 
 
 def format_number(v: Column, digits: int) -> Column:
     """Digits after the point; before it at least as many, and one at least."""
     width = max(1, digits) + digits + (digits > 0)
-    return F.format_string(f"%0{width}.{digits}f", F.round(F.abs(v.cast("double")), digits)) if digits else _decimals(F.abs(v), 0)
+    return F.format_string(f"%0{width}.{digits}f", _rounded(F.abs(v.cast("double")), digits)) if digits else _decimals(F.abs(v), 0)
 
 
 def format_percent(v: Column, digits: int) -> Column:
@@ -31,7 +37,7 @@ def format_percent(v: Column, digits: int) -> Column:
 
 
 def format_currency(v: Column, symbol: str) -> Column:
-    return F.concat(F.lit(symbol), F.format_number(F.round(v.cast("double"), 2), 2))
+    return F.concat(F.lit(symbol), F.format_number(_rounded(v, 2), 2))
 
 
 def pad_left(v: Column, length: int, ch: str) -> Column:
