@@ -4,7 +4,7 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
-from starlens.operators import MODULES, catalog, graphs, timeline
+from starlens.operators import MODULES, catalog, graphs, models, timeline
 from starlens.sources.frames import dense
 
 from .support import same
@@ -47,3 +47,18 @@ def test_capped_list_keeps_twenty_names_before_it_gathers_them(spark, tmp_path):
     d = ", ".join(f"d{k:02}" for k in range(20))
     assert {r.c_nationkey: r.names for r in df.collect()} == {1: ", ".join(f"c{k:03}" for k in range(20)) + " (+10 more)", 2: "a, a, b", None: "x", 3: "", 4: d + " (+1 more)"}
     assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_figures_round_the_product_as_sql_does(spark, tmp_path):
+    spark.createDataFrame([(67781, 285925.0), (1, 49975.0), (5, 7.0)], "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.o_orderkey: r.variance for r in catalog.udf_kpi_pack(spark, str(tmp_path)).collect()}
+    assert got == {67781: "+471.9%", 1: "-0.1%", 5: "+0.0%"}
+
+
+def test_approximate_counts_are_of_distinct_pairs_without_a_sketch_a_user(spark, tmp_path):
+    spark.range(20000).selectExpr("case id % 3 when 0 then 'a' when 1 then 'b' end as event_type", "case when id % 7 > 0 then id % 4000 end as user_id").write.parquet(f"{tmp_path}/events.parquet")
+    df = models.approx_distinct(spark, str(tmp_path))
+    users = lambda left: len({k % 4000 for k in range(20000) if k % 3 in left and k % 7})
+    assert {r.event_type: (r.exact, r.near) for r in df.collect()} == {"a": (users({0}), True), "b": (users({1}), True), None: (users({2}), True)}
+    steps = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [x for x in steps if "approx_count_distinct" in x and "user_id" in x.split("keys=[")[1].split("]")[0]]
