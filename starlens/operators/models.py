@@ -119,7 +119,7 @@ def _quoted(c: str) -> Column:
 
 @query(f"with {fleet_sql('formulas')} select pos, table_name, name, expression, format_string, is_hidden, description from formulas where trim(expression) <> ''")
 def read_outlines(spark, sf):
-    lit, f = F.lit, fleet(spark, sf, "formulas").filter("trim(expression) <> ''")
+    lit, f = F.lit, spread(fleet(spark, sf, "formulas").filter("trim(expression) <> ''"), "pos")
     optional = lambda c, head: F.coalesce(F.concat(lit(head), c), lit(""))
     content = F.concat(
         lit("table "), _quoted("table_name"), lit("\n"), optional(_c("description"), "\n\t/// "), lit("\n\tmeasure "), _quoted("name"), lit(" = "), "expression", optional(_c("format_string"), "\n\t\tformatString: "),
@@ -143,7 +143,7 @@ def read_bindings(spark, sf):
         ).alias("query"),
         F.when(_c("p_size") % 3 == 0, F.struct(F.array(column).alias("title"))).alias("visualContainerObjects"),
     )
-    texts = lake(spark, sf, "part").select(_c("p_partkey").cast("string").alias("visual_id"), F.to_json(F.struct(visual.alias("visual"))).alias("t"))
+    texts = spread(lake(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), "p_partkey").select(_c("p_partkey").cast("string").alias("visual_id"), F.to_json(F.struct(visual.alias("visual"))).alias("t"))
     return bindings(texts.select(F.lit("").alias("path"), F.lit("").alias("page_id"), "visual_id", F.parse_json("t").alias("j"))).select("visual_id", "kind", "entity", "property", "place")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.fleet import fleet, fleet_sql
-from ..sources.frames import lake
+from ..sources.frames import lake, spread
 from ..sources.projects import members, outline, pages_of, relationships, report_items, resolve_projects, visuals_of
 from .rules import together
 
@@ -86,7 +86,7 @@ def read_report_items(spark, sf):
     section = F.concat(_l("<ReportSection>"), one, _l("</ReportSection>"))
     whole = F.when(k % 3 == 0, F.concat(_l('<Report xmlns="http://example.org/2016/01/reportdefinition"><ReportSections>'), F.when(k % 2 == 1, F.concat(section, section)).otherwise(section), _l("</ReportSections></Report>")))
     whole = whole.when(k % 3 == 1, F.concat(_l('<?xml version="1.0"?><Report xmlns="http://example.org/2010/01/reportdefinition">'), one, _l("</Report>"))).otherwise(F.concat(_l('<Report xmlns="http://example.org/2008/01/reportdefinition">'), one, _l("</Report>")))
-    return report_items(lake(spark, sf, "orders").select(F.concat(_l("r"), _text(k)).alias("path"), whole.alias("content")))
+    return report_items(spread(lake(spark, sf, "orders").select("o_orderkey"), "o_orderkey").select(F.concat(_l("r"), _text(k)).alias("path"), whole.alias("content")))
 
 
 # Objects of models
@@ -109,7 +109,7 @@ def _flag(c: str, text: str) -> Column:
 @query(f"with {fleet_sql('columns')} select pos, table_name, trim(column_name) as column_name, nullif(data_type, '') as data_type, is_calculated, case when is_calculated then expression || chr(10) || chr(10) || chr(9) || '+ 0 /* '' = '' */' end as expression, summarize_by, format_string, sort_by, is_hidden, tag from columns where column_name not in ('Key', 'Code')")
 def read_columns(spark, sf):
     """Columns of tables, with formulas of several lines, names with blanks and quotes, flags and properties that nothing asks for."""
-    c = fleet(spark, sf, "columns").filter("column_name not in ('Key', 'Code')")
+    c = spread(fleet(spark, sf, "columns").filter("column_name not in ('Key', 'Code')"), "pos", "table_name")
     formula = F.when(_c("is_calculated"), F.concat(_l(" =\n\t\t\t"), _c("expression"), _l("\n\n\t\t\t\t+ 0 /* ' = ' */"))).otherwise("")
     text = F.concat(
         _l("table "), _quoted("table_name"), _l("\r\n\tlineageTag: x\n\n\tcolumn "), _quoted("column_name"), formula, _line(F.nullif("data_type", _l("")), "\n\t\tdataType: "), _l("\n\t\tchangedProperty: IsHidden"), _line("format_string", "\n\t\tformatString: "), _line("summarize_by", "\n\t\tsummarizeBy: "),
@@ -125,7 +125,7 @@ def read_columns(spark, sf):
 
 @query(f"with {fleet_sql('relationships')} select name, from_table, from_column, to_table, to_column, coalesce(from_card, 'many') as from_card, coalesce(to_card, 'one') as to_card, coalesce(cross_filter, 'oneDirection') as cross_filter, coalesce(is_active, true) as is_active from relationships")
 def read_relationships(spark, sf):
-    r = fleet(spark, sf, "relationships")
+    r = spread(fleet(spark, sf, "relationships"), "name")
     end = lambda s: F.concat(_quoted(f"{s}_table"), _l("."), _c(f"{s}_column"))
     text = F.concat(_l("relationship "), "name", _l("\n\tfromColumn: "), end("from"), _l("\n\ttoColumn: "), end("to"), _line("from_card", "\n\tfromCardinality: "), _line("to_card", "\n\ttoCardinality: "), _line("cross_filter", "\n\tcrossFilteringBehavior: "), F.when(_c("is_active").eqNullSafe(False), "\n\tisActive: false").otherwise(""), _l("\n"))
     return relationships(outline(r.select(_c("name").alias("path"), text.alias("content")))).drop("path")
@@ -134,7 +134,7 @@ def read_relationships(spark, sf):
 @query(f"with {fleet_sql('role_filters')} select role, table_name, filter, metadata from role_filters where filter is not null or metadata is not null")
 def read_roles(spark, sf):
     """Roles with a permission for each table: a filter, or what hides the table, or both."""
-    f = fleet(spark, sf, "role_filters").filter("filter is not null or metadata is not null")
+    f = spread(fleet(spark, sf, "role_filters").filter("filter is not null or metadata is not null"), "role", "table_name")
     text = F.concat(_l("role "), _quoted("role"), _l("\n\tmodelPermission: read\n\n\ttablePermission "), _quoted("table_name"), _line("filter", " = "), _line("metadata", "\n\t\tmetadataPermission: "), _l("\n\n\tannotation N = 1\n"))
     m = members(outline(f.select(F.concat_ws("|", "role", "table_name").alias("path"), text.alias("content"))), "tablePermission")
     return m.select(_c("holder").alias("role"), _c("name").alias("table_name"), _c("expression").alias("filter"), _c("properties")["metadataPermission"].alias("metadata"))
@@ -143,12 +143,13 @@ def read_roles(spark, sf):
 @query(f"with {fleet_sql('items')} select project_id, table_name, 'C ' || name as name, ordinal::int as ordinal, nullif(expression, '') as expression, case when ordinal = 1 then '\"0.0\"' end as format from items where name <> ''")
 def read_calculation_items(spark, sf):
     """Calculation items with ordinals, and formats that are formulas themselves."""
-    i = fleet(spark, sf, "items").filter("name <> ''")
+    i = spread(fleet(spark, sf, "items").filter("name <> ''"), "project_id", "table_name", "name", "ordinal")
     fmt = F.when(_c("ordinal") == 1, '\n\n\t\t\tformatStringDefinition = "0.0"').otherwise("")
     text = F.concat(_l("table "), _quoted("table_name"), _l("\n\tcalculationGroup\n\t\tprecedence: 20\n\n\t\tcalculationItem "), _quoted(F.concat(_l("C "), "name")), _l(" =\n\t\t\t\t"), "expression", fmt, _l("\n\t\t\tordinal: "), _text("ordinal"), _l("\n\n\tcolumn Name\n\t\tdataType: string\n"))
     objects = outline(i.select(F.concat_ws("|", _text("project_id"), "table_name", "name", _text("ordinal")).alias("path"), text.alias("content")))
-    formats = objects.filter("kind = 'formatStringDefinition'").select("path", _c("expression").alias("format"))
-    of = members(objects, "calculationItem").join(formats, "path", "left")
+    # an item and the format below it have the item's line in common, so that files are read once
+    both = objects.filter("kind in ('calculationItem', 'formatStringDefinition')").withColumn("own", _c("kind") == "calculationItem")
+    of = both.groupBy("path", F.when(_c("own"), _c("n")).otherwise(_c("parent")).alias("n")).agg(F.max_by(F.struct("name", "expression", "properties"), "own").alias("i"), F.max(F.when(~_c("own"), _c("expression"))).alias("format"), F.max("own").alias("own")).filter("own").select("path", "i.*", "format")
     return of.select(F.split("path", r"\|")[0].cast("long").alias("project_id"), F.split("path", r"\|")[1].alias("table_name"), "name", _c("properties")["ordinal"].cast("int").alias("ordinal"), "expression", "format")
 
 
@@ -173,7 +174,7 @@ def _file(*keys: str):
 @query(f"with {fleet_sql('tables', 'functions', 'expressions')} select 'partition' as kind, table_name as name, coalesce(mode, 'import') as detail, case when source = 'm' then 'let' || chr(10) || chr(9) || 'x = ''a'' ' || chr(10) || 'in x' end as body from tables union all select 'function', name, nullif(params, ''), '(' || params || ') =>' || chr(10) || chr(9) || 'a' from functions union all select 'expression', name, 'M', body from expressions")
 def read_other_objects(spark, sf):
     """Partitions with their scripts, functions with their parameters in comments, named expressions."""
-    t, f, e = fleet(spark, sf, "tables"), fleet(spark, sf, "functions"), fleet(spark, sf, "expressions")
+    t, f, e = spread(fleet(spark, sf, "tables"), "project_id", "table_name"), spread(fleet(spark, sf, "functions"), "project_id", "name"), spread(fleet(spark, sf, "expressions"), "project_id", "name")
     script = F.when(_c("source") == "m", "\n\t\tsource =\n\t\t\t\tlet\n\t\t\t\t\tx = 'a' \n\t\t\t\tin x").otherwise("")
     part = F.concat(_l("table "), _quoted("table_name"), _l("\n\n\tpartition "), _quoted("table_name"), _l(" = m"), _line("mode", "\n\t\tmode: "), script, _l("\n"))
     fn = F.concat(_line(F.nullif("params", _l("")), "/// "), _l("\nfunction "), _quoted("name"), _l(" =\n\t\t("), "params", _l(") =>\n\t\t\ta\n\tlineageTag: z\n"))
