@@ -72,6 +72,23 @@ def test_reach_counts_and_answers(spark):
     assert {(r.src, r.dst): r.reached for r in got.collect()} == {(a, b): b in want.get(a, ()) for a, b in pairs}
 
 
+def test_forests_have_numbers_in_place_of_labels(spark):
+    rng = random.Random(7)
+    forest = [(k, rng.randrange(k // 2, k)) for k in range(1, 60) if k % 9] + [(5, 5), (70, 70)]
+    index = graphs.reach_index(frame(spark, forest))
+    assert index[1] is None and index[0].count() == len(reached(forest))
+    want = reached(forest)
+    assert {r.name: r.reached for r in graphs.reach_counts(frame(spark, forest), index).collect()} == {n: len(s) for n, s in want.items()}
+    pairs = [(a, b) for a in want for b in want if a != b] + [("no such", "1"), ("1", None)]
+    got = graphs.reaches(spark.createDataFrame(pairs, "src string, dst string"), *index)
+    assert {(r.src, r.dst): r.reached for r in got.collect()} == {(a, b): b in want.get(a, ()) for a, b in pairs}
+    for more in ([(9, 3), (9, 4)], [(18, 20), (20, 18)]):  # two edges out; a ring, in a graph of one edge out
+        e = [x for x in forest if not (more[0][0] == 18 and x[0] in (18, 20))] + more
+        got = graphs.reach_index(frame(spark, e))
+        assert got[1] is not None
+        assert {r.name: r.reached for r in graphs.reach_counts(frame(spark, e), got).collect()} == {n: len(s) for n, s in reached(e).items()}
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_longest_chains(spark, seed):
     edges = [(a, b) for a, b in random_edges(seed, 40, 70) if a < b] + ([(50, 51), (51, 50), (49, 50), (48, 49), (48, 39)] if seed else [])
