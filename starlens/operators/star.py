@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.order import percentiles
@@ -253,9 +255,14 @@ _PROFILED = ("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
 
 @query(" union all ".join(f"select '{x}' as col, count({x}) as n, count(*) - count({x}) as nulls, count(distinct {x}) as distinct_values, min({x})::varchar as lo, max({x})::varchar as hi from part" for x in _PROFILED))
 def column_profile(spark, sf):
+    """Each column by its own values with their counts: all in one pass would make a row of every column for each column."""
     p = lake(spark, sf, "part")
-    agg = p.agg(*(F.struct(F.lit(x).alias("col"), F.count(x).alias("n"), (F.count("*") - F.count(x)).alias("nulls"), F.count_distinct(x).alias("distinct_values"), F.min(x).cast("string").alias("lo"), F.max(x).cast("string").alias("hi")).alias(x) for x in _PROFILED))
-    return agg.select(F.explode(F.array(*_PROFILED)).alias("s")).select("s.*")
+    def profile(x: str) -> DataFrame:
+        values = p.groupBy(_c(x).alias("x")).agg(F.count("*").alias("k"))
+        there = F.coalesce(F.sum(F.when(_c("x").isNotNull(), _c("k"))), F.lit(0))
+        return values.agg(there.alias("n"), (F.coalesce(F.sum("k"), F.lit(0)) - there).alias("nulls"), F.count("x").alias("distinct_values"), F.min("x").cast("string").alias("lo"), F.max("x").cast("string").alias("hi")).select(F.lit(x).alias("col"), "*")
+
+    return reduce(DataFrame.unionByName, map(profile, _PROFILED))
 
 
 @query("select o_orderpriority, quantile_cont(o_totalprice, 0.5) as median, quantile_cont(o_totalprice, 0.9) as p90 from orders group by 1")

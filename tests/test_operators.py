@@ -4,7 +4,7 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
-from starlens.operators import MODULES, catalog, graphs, models, timeline
+from starlens.operators import MODULES, catalog, graphs, models, star, timeline
 from starlens.sources.frames import dense
 
 from .support import same
@@ -62,3 +62,11 @@ def test_approximate_counts_are_of_distinct_pairs_without_a_sketch_a_user(spark,
     assert {r.event_type: (r.exact, r.near) for r in df.collect()} == {"a": (users({0}), True), "b": (users({1}), True), None: (users({2}), True)}
     steps = df._jdf.queryExecution().executedPlan().toString().splitlines()
     assert not [x for x in steps if "approx_count_distinct" in x and "user_id" in x.split("keys=[")[1].split("]")[0]]
+
+
+def test_profiles_of_columns_make_no_row_of_all_columns(spark, tmp_path):
+    spark.sql("select id as p_partkey, case when id % 3 > 0 then concat('n', id % 7) end as p_name, 'b' as p_brand, cast(null as int) as p_size, id / 2 as p_retailprice from range(50)").write.parquet(f"{tmp_path}/part.parquet")
+    df = star.column_profile(spark, str(tmp_path))
+    assert {r.col: (r.n, r.nulls, r.distinct_values, r.lo, r.hi) for r in df.collect()} == {
+        "p_partkey": (50, 0, 50, "0", "49"), "p_name": (33, 17, 7, "n0", "n6"), "p_brand": (50, 0, 1, "b", "b"), "p_size": (0, 50, 0, None, None), "p_retailprice": (50, 0, 50, "0.0", "24.5")}
+    assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
