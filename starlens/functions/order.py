@@ -16,19 +16,22 @@ from pyspark.sql.types import StringType
 from ..sources.frames import cut
 
 _c = F.col
-#: rows of a piece; pieces of a key at least and at most
-ROWS, PIECES, MOST = 1 << 20, 64, 4096
+#: rows of a piece; pieces of a key at least and at most; rows up to which a key is not divided
+ROWS, PIECES, MOST, WHOLE = 1 << 20, 64, 4096, 1 << 16
 
 
 def _pieces(df: DataFrame, key: str, value: str) -> DataFrame:
-    """df with _piece, which rises with the value within a key; null values are in piece 0."""
-    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    """df with _piece, which rises with the value within a key; null values are in piece 0, as is all of a key of few rows: quantiles are sought for the few large keys alone."""
+    large = cut(df.groupBy(_c(key).alias("_key")).count().filter(_c("count") > WHOLE))
+    largest = large.agg(F.max("count")).first()[0] or 0
+    if not largest:
+        return df.withColumn("_piece", F.lit(0))
     n = min(MOST, max(PIECES, -(-largest // ROWS)))
     if isinstance(df.schema[value].dataType, StringType):  # quantiles are of numbers: those of the first bytes, which have the strings' order
         as_number = lambda c: F.conv(F.rpad(F.substring(F.hex(c.cast("binary")), 1, 12), 12, "0"), 16, 10).cast("long")
     else:
         as_number = lambda c: c
-    cuts = cut(df.groupBy(_c(key).alias("_key")).agg(F.percentile_approx(as_number(_c(value)), [k / n for k in range(1, n)], max(10_000, 20 * n)).alias("_cuts")))
+    cuts = cut(df.join(large.select("_key"), _c(key).eqNullSafe(_c("_key")), "left_semi").groupBy(_c(key).alias("_key")).agg(F.percentile_approx(as_number(_c(value)), [k / n for k in range(1, n)], max(10_000, 20 * n)).alias("_cuts")))
     piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c < as_number(_c(value)))), F.lit(0))
     return df.join(cuts, _c(key).eqNullSafe(_c("_key")), "left").withColumn("_piece", F.greatest(piece, F.lit(0))).drop("_cuts", "_key")
 

@@ -52,3 +52,15 @@ def test_neighbours_across_stretches(spark, rows):
     assert len(got) == len(rows) and {(r.k, r.i): (r.before, r.after, r.s) for r in got} == want
     empty = neighbourhood(spark.createDataFrame([], "k string, v double, i long"), "k", "v", "i", 2, 1, made)
     assert empty.count() == 0
+
+
+def test_only_large_keys_are_divided(spark, rows, monkeypatch):
+    from starlens.functions import order
+
+    monkeypatch.setattr(order, "WHOLE", 100)
+    df = spark.createDataFrame(rows, "k string, v double, i long").repartition(4)
+    pieces = {r.k: r.n for r in order._pieces(df, "k", "v").groupBy("k").agg(F.count_distinct("_piece").alias("n")).collect()}
+    assert pieces.pop("a") > 10 and set(pieces.values()) == {1}
+    divided = {(r.k, r.i): (r.rank_, r.dense_) for r in ranks(df, "k", "v").collect()}
+    monkeypatch.setattr(order, "WHOLE", 1 << 16)
+    assert divided == {(r.k, r.i): (r.rank_, r.dense_) for r in ranks(df, "k", "v").collect()}
