@@ -63,13 +63,19 @@ _TEXTS = fleet_sql("formulas", "columns", "items") + """, texts as (select proje
   union all select project_id, 'column', table_name, column_name, expression from columns where is_calculated union all select project_id, 'item', table_name, name, expression from items)"""
 
 
-def references(texts: DataFrame) -> DataFrame:
-    """project_id, kind, own_table, own_name, table_name (null: brackets without a table), column_name; each once a text."""
+def named(texts: DataFrame) -> DataFrame:
+    """project_id, kind, own_table, own_name, table_name (null: brackets without a table), column_name; a text may show a name again in another spelling."""
     own = ["project_id", "kind", _c("table_name").alias("own_table"), _c("name").alias("own_name")]
-    full = texts.select(*own, F.explode(F.regexp_extract_all("expression", F.lit(QUALIFIED), F.lit(0))).alias("r"))
+    found = lambda pattern, group: F.explode(F.array_distinct(F.regexp_extract_all("expression", F.lit(pattern), F.lit(group))))
+    full = texts.select(*own, found(QUALIFIED, 0).alias("r"))
     full = full.select("project_id", "kind", "own_table", "own_name", F.replace(F.trim(F.regexp_extract("r", r"^([^\[]*)", 1)), F.lit("'"), F.lit("")).alias("table_name"), F.regexp_extract("r", r"\[([^\]]+)\]", 1).alias("column_name"))
-    bare = texts.select(*own, F.explode(F.regexp_extract_all("expression", F.lit(BARE), F.lit(1))).alias("column_name")).withColumn("table_name", F.lit(None).cast("string"))
-    return full.unionByName(bare).distinct()
+    bare = texts.select(*own, found(BARE, 1).alias("column_name")).withColumn("table_name", F.lit(None).cast("string"))
+    return full.unionByName(bare)
+
+
+def references(texts: DataFrame) -> DataFrame:
+    """What texts name, each once a text."""
+    return named(texts).distinct()
 
 
 _REFS = _TEXTS + """, q as (select project_id, kind, table_name, name, unnest(regexp_extract_all(expression, '[A-Za-z_''][A-Za-z0-9_'' ]*\\[[^\\]]+\\]')) as r from texts),
@@ -240,29 +246,34 @@ def _node(kind: str, table: str | Column, name: str | Column) -> Column:
 
 
 def formula_edges(cols: DataFrame, formulas: DataFrame) -> DataFrame:
-    """src, dst of all that a measure or column needs to be computed: the columns and measures its formula names, and the column it is sorted by.
+    """src, dst of all that a measure or column needs to be computed and that needs something itself: columns and measures its formula names, the column it is sorted by.
 
     Brackets with a table name a column of it, else a measure; brackets alone name the project's measures of that name, else a column of the own table. A
     measure used in a calculated column needs every calculated column of that column's table. What only names itself counts for columns, not for measures.
+    Columns that are neither calculated nor sorted by another need nothing and lie on no cycle; all columns are looked at only where one hides a measure.
     """
-    m = formulas.select("project_id", "table_name", "name").distinct()
-    texts = together(formulas.select("project_id", F.lit("measure").alias("kind"), "table_name", "name", "expression"), cols.filter("is_calculated").select("project_id", F.lit("column").alias("kind"), "table_name", _c("column_name").alias("name"), "expression"))
-    known = cols.groupBy("project_id", "table_name", "column_name").agg(F.max("is_calculated").alias("calculated"))
-    refs = references(texts).withColumnRenamed("column_name", "name").withColumn("src", F.concat(_c("project_id").cast("string"), F.lit("|"), "kind", F.lit("|"), "own_table", F.lit("|"), "own_name"))
-    column = known.select("project_id", "table_name", _c("column_name").alias("name"), F.lit(True).alias("is_column"))
-    full = refs.filter("table_name is not null").join(column, ["project_id", "table_name", "name"], "left").join(m.withColumn("is_measure", F.lit(True)), ["project_id", "table_name", "name"], "left")
-    full = full.select("project_id", "kind", "own_table", "src", F.when(_c("is_column"), _node("column", "table_name", "name")).when(_c("is_measure"), _node("measure", "table_name", "name")).alias("dst"), (_c("is_column").isNull() & _c("is_measure")).alias("to_measure"))
-    bare = refs.filter("table_name is null").drop("table_name").join(m, ["project_id", "name"], "left").withColumnRenamed("table_name", "of")
-    bare = bare.join(column.select("project_id", _c("table_name").alias("own_table"), "name", "is_column"), ["project_id", "own_table", "name"], "left")
-    bare = bare.select("project_id", "kind", "own_table", "src", F.when(_c("of").isNotNull(), _node("measure", "of", "name")).when(_c("is_column"), _node("column", "own_table", "name")).alias("dst"), _c("of").isNotNull().alias("to_measure"))
-    named = full.unionByName(bare).filter("dst is not null")
-    table = _node("table", "own_table", F.lit(""))
-    turn = named.filter("kind = 'column' and to_measure").select("src", table.alias("dst"))
-    inside = known.filter("calculated").select(_node("table", "table_name", F.lit("")).alias("src"), _node("column", "table_name", "column_name").alias("dst"))
-    sort = cols.filter("sort_by is not null").select("project_id", "table_name", "column_name", "sort_by").join(known.select("project_id", "table_name", _c("column_name").alias("sort_by")), ["project_id", "table_name", "sort_by"], "left_semi")
-    sort = sort.select(_node("column", "table_name", "column_name").alias("src"), _node("column", "table_name", "sort_by").alias("dst"))
-    own = (_c("src") == _c("dst")) & _c("src").contains("|measure|")
-    return together(named.select("src", "dst"), turn, inside, sort).filter(~own).distinct()
+    place = ["project_id", "table_name", "name"]
+    m = written(formulas.select(*place).distinct())
+    own = written(cols.filter("is_calculated or sort_by is not null").select("project_id", "table_name", _c("column_name").alias("name"), "is_calculated", "expression", "sort_by"))
+    needy = own.groupBy(*place).agg(F.max("is_calculated").alias("calculated"))
+    texts = together(formulas.select("project_id", F.lit("measure").alias("kind"), "table_name", "name", "expression"), own.filter("is_calculated").select("project_id", F.lit("column").alias("kind"), "table_name", "name", "expression"))
+    src = F.concat(_c("project_id").cast("string"), F.lit("|"), "kind", F.lit("|"), "own_table", F.lit("|"), "own_name").alias("src")
+    refs = written(named(texts).select("project_id", "kind", "own_table", "table_name", _c("column_name").alias("name"), src))
+    full, bare = refs.filter("table_name is not null"), refs.filter("table_name is null").drop("table_name")
+    of_table = written(full.join(m, place, "left_semi"))
+    hidden = cols.select("project_id", "table_name", _c("column_name").alias("name")).join(of_table.select(*place).distinct(), place, "left_semi")
+    to_measure = together(of_table.join(hidden, place, "left_anti"), bare.join(m, ["project_id", "name"]))
+    to_measure = written(to_measure.select("project_id", "kind", "own_table", "src", _node("measure", "table_name", "name").alias("dst")).filter("dst is not null"))
+    inner = bare.withColumn("table_name", _c("own_table")).join(needy, place, "left_semi").join(m, ["project_id", "name"], "left_anti")
+    to_column = together(full.join(needy, place, "left_semi"), inner).select("src", _node("column", "table_name", "name").alias("dst"))
+    turning = to_measure.filter("kind = 'column'")
+    turn = turning.select("src", _node("table", "own_table", F.lit("")).alias("dst"))
+    inside = needy.filter("calculated").join(turning.select("project_id", _c("own_table").alias("table_name")).distinct(), ["project_id", "table_name"], "left_semi")
+    inside = inside.select(_node("table", "table_name", F.lit("")).alias("src"), _node("column", "table_name", "name").alias("dst"))
+    sort = own.filter("sort_by is not null").select("project_id", "table_name", _c("name").alias("by"), _c("sort_by").alias("name")).join(needy, place, "left_semi")
+    sort = sort.select(_node("column", "table_name", "by").alias("src"), _node("column", "table_name", "name").alias("dst"))
+    itself = (_c("src") == _c("dst")) & _c("src").contains("|measure|")
+    return together(to_measure.select("src", "dst"), to_column, turn, inside, sort).filter(~itself).distinct()
 
 
 def circular(cols: DataFrame, formulas: DataFrame) -> DataFrame:
@@ -296,7 +307,7 @@ _CYCLES = f"""known as (select project_id, table_name, column_name, bool_or(is_c
 
 @query(f"with recursive {_REFS}, {_CYCLES} select * from circular")
 def formula_cycles(spark, sf):
-    return circular(written(fleet(spark, sf, "columns")), written(fleet(spark, sf, "formulas")))
+    return circular(fleet(spark, sf, "columns"), fleet(spark, sf, "formulas"))
 
 
 def _found(df: DataFrame, category: str, severity: str, rule: str, entity: str) -> DataFrame:
