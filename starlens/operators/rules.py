@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import BARE, QUALIFIED
-from ..sources.fleet import fleet, fleet_sql
+from ..sources.fleet import dealt, fleet, fleet_sql
 from ..sources.frames import written
 from .graphs import components
 
@@ -39,7 +39,8 @@ def flagged(df: DataFrame, entity: Column, rules: list[Rule], wanted: tuple[str,
     marks = [F.when(cond, named(k, s, r)) for k, s, r, cond in rules if k in wanted]
     if not marks:
         return []
-    hits = df.select("project_id", entity.alias("entity"), F.explode(F.filter(F.array(*marks), lambda x: x.isNotNull())).alias("f"))
+    # a lambda would have all conditions interpreted, not compiled
+    hits = df.select("project_id", entity.alias("entity"), F.explode(F.array(*marks)).alias("f")).filter("f is not null")
     return [hits.select("project_id", "f.category", "f.severity", "f.rule", "entity")]
 
 
@@ -307,7 +308,7 @@ _CYCLES = f"""known as (select project_id, table_name, column_name, bool_or(is_c
 
 @query(f"with recursive {_REFS}, {_CYCLES} select * from circular")
 def formula_cycles(spark, sf):
-    return circular(fleet(spark, sf, "columns"), fleet(spark, sf, "formulas"))
+    return circular(dealt(spark, sf, "columns"), dealt(spark, sf, "formulas"))
 
 
 def _found(df: DataFrame, category: str, severity: str, rule: str, entity: str) -> DataFrame:
@@ -329,8 +330,10 @@ CATEGORIES = ("structural", "performance", "dax", "formatting", "maintenance", "
 
 def lint(spark, sf, categories: tuple[str, ...] = CATEGORIES) -> DataFrame:
     """All findings of the categories asked for, in one pass over each kind of object and, for cycles, over the references between them."""
-    p, refs, rels, items, f = (fleet(spark, sf, n) for n in ("projects", "refs", "relationships", "items", "functions"))
-    t, cols, m = (written(fleet(spark, sf, n)) if len(categories) > 1 else fleet(spark, sf, n) for n in ("tables", "columns", "formulas"))
+    p, refs, rels, f = (fleet(spark, sf, n) for n in ("projects", "refs", "relationships", "functions"))
+    t, cols, m, items = fleet(spark, sf, "tables"), *(dealt(spark, sf, n) for n in ("columns", "formulas", "items"))
+    if len(categories) > 1:
+        t, cols, m = map(written, (t, cols, m))
     parts = [
         *flagged(cols, _member(name="column_name"), _column_rules(), categories),
         *flagged(m, _member(), _measure_rules(), categories),

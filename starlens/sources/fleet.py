@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .frames import lake
+from .frames import lake, spread
 
 _P, _T = "c_custkey - c_custkey % 64", "'T' || cast(c_custkey as string)"
 _KEPT = "({0} % 64 < 24 or {0} % 128 >= 64)"
@@ -62,10 +62,15 @@ SHIMS = {
 _LAKE = ("customer", "orders", "part", "supplier")
 
 
-def fleet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One catalog table of the fleet."""
-    text = SHIMS[name]
-    return spark.sql(text, **{t: lake(spark, sf_dir, t) for t in _LAKE if f"{{{t}}}" in text})
+def fleet(spark: SparkSession, sf_dir: str, name: str, keys: dict[str, str] | None = None) -> DataFrame:
+    """One catalog table of the fleet; lake tables that have one of `keys` are dealt by it."""
+    text, keys = SHIMS[name], keys or {}
+    return spark.sql(text, **{t: spread(lake(spark, sf_dir, t), keys[t]) if t in keys else lake(spark, sf_dir, t) for t in _LAKE if f"{{{t}}}" in text})
+
+
+def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A catalog table whose texts are a lot of work: the keys it is made of are few bytes and are dealt to all cores first, since a file of one row group is one task."""
+    return fleet(spark, sf_dir, name, {"orders": "o_orderkey", "part": "p_partkey"})
 
 
 def fleet_sql(*names: str) -> str:

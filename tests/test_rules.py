@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from starlens.operators import rules
+from starlens.sources import fleet as sources
 
 COLS = "project_id long, table_name string, column_name string, is_calculated boolean, expression string, sort_by string"
 MEASURES = "project_id long, table_name string, name string, expression string"
@@ -29,3 +30,17 @@ def test_cycles_of_columns_and_measures(spark):
     assert got == {
         ("column", "T", "A"): "1|column|T|A", ("column", "T", "B"): "1|column|T|A", ("column", "T", "Twice"): "1|column|T|Twice", ("column", "U", "C"): ring, ("column", "U", "D"): ring, ("measure", "T", "M"): ring,
         ("measure", "T", "X"): "1|measure|T|X", ("measure", "U", "Y"): "1|measure|T|X"}
+
+
+def test_rules_are_compiled_and_a_null_condition_does_not_hold(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", None), (2, "c", 5)], "project_id long, name string, x int")
+    found = rules.flagged(df, F.col("name"), [("naming", "info", "odd", F.col("x") % 2 == 1), ("dax", "error", "large", F.col("x") > 4), ("error", "error", "not asked for", F.lit(True))], ("naming", "dax"))
+    assert sorted(map(tuple, found[0].collect())) == [(1, "naming", "info", "odd", "a"), (2, "dax", "error", "large", "c"), (2, "naming", "info", "odd", "c")]
+    assert "lambda" not in found[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_file_of_one_row_group_is_many_tasks(spark, sf_dir):
+    for name in ("columns", "formulas", "items"):
+        one, many = (f(spark, sf_dir, name) for f in (sources.fleet, sources.dealt))
+        assert many.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism > one.rdd.getNumPartitions()
+        assert many.exceptAll(one).isEmpty() and many.count() == one.count()
