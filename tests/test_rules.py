@@ -44,3 +44,7 @@ def test_a_file_of_one_row_group_is_many_tasks(spark, sf_dir):
         one, many = (f(spark, sf_dir, name) for f in (sources.fleet, sources.dealt))
         assert many.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism > one.rdd.getNumPartitions()
         assert many.exceptAll(one).isEmpty() and many.count() == one.count()
+
+
+def test_findings_by_rule_are_compiled(spark, sf_dir):
+    assert "lambda" not in rules.lint_by_rule(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
